@@ -33,104 +33,112 @@ def gold_similarities(gold: DataFrame, sims: DataFrame) -> DataFrame:
     )
 
 
+def scored_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
+    """Every candidate or gold pair once: (a_id, b_id, similarity,
+    is_candidate, is_gold); similarity is 0 for a gold pair that is not a
+    candidate. One full outer join; the candidates arrive already
+    partitioned by (a_id, b_id) from their aggregation."""
+    c = sims.select(*KEYS, "similarity", F.lit(True).alias("_cand"))
+    g = gold.select(*KEYS, F.lit(True).alias("_gold"))
+    return c.join(g, KEYS, "full_outer").select(
+        *KEYS,
+        F.coalesce(F.col("similarity"), F.lit(0.0)).alias("similarity"),
+        F.coalesce(F.col("_cand"), F.lit(False)).alias("is_candidate"),
+        F.coalesce(F.col("_gold"), F.lit(False)).alias("is_gold"),
+    )
+
+
 def gold_evaluation(sims: DataFrame, gold: DataFrame, a_records: DataFrame, b_records: DataFrame) -> DataFrame:
     """One row over all |A| x |B| pairs (zeros implied):
 
     n_true_duplicates, avg_sim_duplicates (gold pairs, zero when not a
     candidate), n_candidates, avg_sim_non_duplicates = (sum over all pairs -
-    sum over gold pairs) / (|A| * |B| - gold pairs).
+    sum over gold pairs) / (|A| * |B| - gold pairs). One pass over the
+    scored pairs; |A| and |B| are scalar subqueries over the ids.
     """
     n_a = a_records.agg(F.count_distinct("id")).scalar()
     n_b = b_records.agg(F.count_distinct("id")).scalar()
-    sum_all = sims.agg(F.sum("similarity")).scalar()
-    n_cand = sims.agg(F.count(F.lit(1))).scalar()
-    g = gold_similarities(gold, sims)
-    return g.agg(
-        F.count(F.lit(1)).alias("n_true_duplicates"),
-        F.sum("similarity").alias("_gold_sum"),
-    ).select(
+    sim, is_gold, is_cand = F.col("similarity"), F.col("is_gold"), F.col("is_candidate")
+    totals = scored_pairs(sims, gold).agg(
+        F.count_if(is_gold).alias("n_true_duplicates"),
+        F.sum(F.when(is_gold, sim)).alias("_gold_sum"),
+        F.count_if(is_cand).alias("n_candidates"),
+        F.sum(F.when(is_cand, sim)).alias("_all_sum"),
+    )
+    return totals.select(
         "n_true_duplicates",
-        F.try_divide(F.col("_gold_sum"), F.col("n_true_duplicates").cast("double")).alias(
-            "avg_sim_duplicates"
-        ),
-        n_cand.alias("n_candidates"),
+        F.try_divide(F.col("_gold_sum"), F.col("n_true_duplicates").cast("double")).alias("avg_sim_duplicates"),
+        "n_candidates",
         F.try_divide(
-            sum_all - F.coalesce(F.col("_gold_sum"), F.lit(0.0)),
+            F.coalesce(F.col("_all_sum"), F.lit(0.0)) - F.coalesce(F.col("_gold_sum"), F.lit(0.0)),
             (n_a * n_b - F.col("n_true_duplicates")).cast("double"),
         ).alias("avg_sim_non_duplicates"),
     )
 
 
+def _first_threshold_above(x, n: int):
+    """Smallest i with x < i / n, exactly (float division as written):
+    floor(x * n) is within one of it, so test the neighbours in order."""
+    k0 = F.floor(x * n).cast("long")
+    nf = F.lit(float(n))
+    return (
+        F.when(x < (k0 - 1) / nf, k0 - 1)
+        .when(x < k0 / nf, k0)
+        .when(x < (k0 + 1) / nf, k0 + 1)
+        .otherwise(k0 + 2)
+    )
+
+
 def threshold_sweep(sims: DataFrame, gold: DataFrame, n_thresholds: int = 100) -> DataFrame:
-    """Precision / recall / F-measure for thresholds t = n / n_thresholds.
-
-    For each threshold (n = 0 .. n_thresholds - 1):
-      fp(t) = sum of per-bin counts over bins b with b / n_thresholds >= t,
-              where a bin counts the candidates with int(sim * n) == b
-              minus the gold pairs in it (gold pairs without a candidate
-              have similarity 0);
-      fn(t) = gold pairs with similarity < t (exact comparison);
+    """Precision / recall / F-measure for thresholds t = i / n, i = 0..n-1.
+
+      fp(t) = sum over bins b with b / n >= t of (candidates with
+              int(sim * n) == b) - (gold pairs in bin b; a gold pair that
+              is not a candidate has sim 0); bins outside 0..n are dropped;
+      fn(t) = gold pairs with sim < t (exact comparison);
       tp(t) = gold pairs - fn(t).
-    Both counts are one partially aggregated group-by into at most
-    n_thresholds + 1 keys plus a running sum over those few rows; the data
-    are never paired with the thresholds.
+
+    One pass: each scored pair emits a signed count for its bin and, if it
+    is gold, a count for the first threshold it falls below. A partially
+    aggregated group-by reduces that to at most ~2n small rows, and running
+    sums over those rows give every threshold at once. The data are never
+    paired with the thresholds.
     """
     n = n_thresholds
     spark = sims.sparkSession
-    gs = gold_similarities(gold, sims)
-    signed = sims.select(similarity_bin("similarity", n).alias("bin"), F.lit(1).alias("d")).unionByName(
-        gs.select(similarity_bin("similarity", n).alias("bin"), F.lit(-1).alias("d"))
-    )
-    # Fixed bound: n + 1 threshold rows, so the broadcast is safe at any scale.
-    grid = spark.range(0, n + 1).select(F.col("id").cast("int").alias("bin"), F.lit(0).alias("d"))
-    per_bin = (
-        signed.where(F.col("bin").between(0, n))
-        .unionByName(grid)
-        .groupBy("bin")
-        .agg(F.sum("d").alias("d"))
-    )
-    # fp for threshold index i: bins b >= i (b / n >= i / n  <=>  b >= i).
-    fp = per_bin.select(
-        F.col("bin").alias("i"),
-        F.sum("d").over(Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)).alias("fp"),
-    )
-    # fn: the smallest threshold index i with x < i / n, found exactly by
-    # testing the neighbours of floor(x * n); then a running count over i.
     x = F.col("similarity")
-    k0 = F.floor(x * n).cast("long")
-    first_above = (
-        F.when(x < (k0 - 1) / F.lit(float(n)), k0 - 1)
-        .when(x < k0 / F.lit(float(n)), k0)
-        .when(x < (k0 + 1) / F.lit(float(n)), k0 + 1)
-        .otherwise(k0 + 2)
-    )
-    first = gs.select(F.greatest(first_above, F.lit(0)).cast("int").alias("i"), F.lit(1).alias("c"))
-    grid_i = spark.range(0, n).select(F.col("id").cast("int").alias("i"), F.lit(0).alias("c"))
-    fn = (
-        first.where(F.col("i") < n)
-        .unionByName(grid_i)
-        .groupBy("i")
-        .agg(F.sum("c").alias("c"))
-        .select(
-            "i",
-            F.sum("c").over(Window.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)).alias("fn"),
-        )
+    delta = F.col("is_candidate").cast("int") - F.col("is_gold").cast("int")
+    events = scored_pairs(sims, gold).select(
+        F.explode(F.array(
+            F.struct(F.lit("fp").alias("kind"), similarity_bin(x, n).cast("long").alias("idx"), delta.alias("v")),
+            F.struct(F.lit("fn").alias("kind"), F.greatest(_first_threshold_above(x, n), F.lit(0)).alias("idx"),
+                     F.col("is_gold").cast("int").alias("v")),
+        )).alias("e")
+    ).select("e.kind", "e.idx", "e.v")
+    events = events.where((F.col("v") != 0) & ((F.col("kind") == "fn") | F.col("idx").between(0, n)))
+    # Fixed bound: the threshold grid has n + 1 rows per kind.
+    grid = spark.range(0, n + 1).select(
+        F.explode(F.array(F.lit("fp"), F.lit("fn"))).alias("kind"), F.col("id").alias("idx"), F.lit(0).alias("v")
     )
-    n_gold = gs.agg(F.count(F.lit(1))).scalar()
-    out = (
-        fn.join(F.broadcast(fp), "i")
-        .select(
-            (F.col("i") / F.lit(float(n))).alias("threshold"),
-            (n_gold - F.col("fn")).alias("tp"),
-            F.col("fp").cast("bigint").alias("fp"),
-            F.col("fn").cast("bigint").alias("fn"),
-        )
-        .withColumn("tp", F.col("tp").cast("bigint"))
+    per_key = events.unionByName(grid).groupBy("kind", "idx").agg(F.sum("v").alias("v"))
+    by_kind = Window.partitionBy("kind")
+    running = per_key.select(
+        "kind", "idx",
+        F.sum("v").over(by_kind.orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, 0)).alias("from_top"),
+        F.sum("v").over(by_kind.orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)).alias("from_bottom"),
+        F.sum("v").over(by_kind).alias("total"),
+    ).where(F.col("idx") < n)
+    fp = running.where(F.col("kind") == "fp").select(F.col("idx").alias("i"), F.col("from_top").alias("fp"))
+    fn = running.where(F.col("kind") == "fn").select(
+        F.col("idx").alias("i"), F.col("from_bottom").alias("fn"), F.col("total").alias("n_gold")
     )
-    precision = F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double"))
-    recall = F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double"))
-    out = out.withColumn("precision", precision).withColumn("recall", recall)
-    fmeasure = F.try_divide(
-        2 * F.col("recall") * F.col("precision"), F.col("recall") + F.col("precision")
+    out = fn.join(F.broadcast(fp), "i").select(
+        (F.col("i") / F.lit(float(n))).alias("threshold"),
+        (F.col("n_gold") - F.col("fn")).cast("bigint").alias("tp"),
+        F.col("fp").cast("bigint").alias("fp"),
+        F.col("fn").cast("bigint").alias("fn"),
     )
+    tp, fp_c, fn_c = F.col("tp").cast("double"), F.col("fp").cast("double"), F.col("fn").cast("double")
+    out = out.withColumn("precision", F.try_divide(tp, tp + fp_c)).withColumn("recall", F.try_divide(tp, tp + fn_c))
+    fmeasure = F.try_divide(2 * F.col("recall") * F.col("precision"), F.col("recall") + F.col("precision"))
     return out.withColumn("fmeasure", fmeasure).orderBy("threshold")

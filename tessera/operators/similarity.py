@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
 from tessera.plans.joins import salt_count, salted_join
+from tessera.plans.partitioning import is_narrow
 from tessera.sources.fixtures import STOPWORDS
 
 # Target number of candidate pairs produced by one join task for a hot token.
@@ -59,13 +60,21 @@ def term_frequency(records: DataFrame, stopwords: Iterable[str] = STOPWORDS) ->
     """(id, token, n, n_tokens, tf): tf = occurrences / tokens of the record.
 
     The record length rides along with every token, so no per-record join
-    or window is needed; records are clustered by id first so the count per
-    (id, token) needs no further shuffle.
+    or window is needed; token lists are clustered by id first so the count
+    per (id, token) needs no further shuffle.
     """
-    toks = record_tokens(records.repartition("id"), stopwords)
+    # Cluster by id. With a wide scan, tokenize before the shuffle: the
+    # exchange then carries token lists (no separators, no stopwords) and is
+    # reused by every consumer. A narrow scan is spread out first instead.
+    # explode_outer + a null test keeps the optimizer from inferring a
+    # ``size(tokens) > 0`` filter that would tokenize every record twice.
+    if is_narrow(records):
+        toks = record_tokens(records.repartition("id"), stopwords)
+    else:
+        toks = record_tokens(records, stopwords).repartition("id")
     exploded = toks.select(
-        "id", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token")
-    )
+        "id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token")
+    ).where(F.col("token").isNotNull())
     return (
         exploded.groupBy("id", "token", "n_tokens")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -131,7 +140,13 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
 def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """(id, token, weight, df_0, df_1, ...): tf * idf."""
     extra = [c for c in idf.columns if c.startswith("df_")]
-    return tf.join(idf.select("token", "idf", *extra), "token").select(
+    # The vocabulary has no size bound, so it is never broadcast by hand;
+    # the hint makes the per-token idf rows the hash-table side of a
+    # shuffled hash join (one row per token per task), so the postings are
+    # streamed and never end up in a hash table or a broadcast. AQE's skew
+    # handling still splits the postings of hot tokens.
+    idf_side = idf.select("token", "idf", *extra).hint("shuffle_hash")
+    return tf.join(idf_side, "token").select(
         "id", "token", (F.col("tf") * F.col("idf")).alias("weight"), *extra
     )
 

@@ -17,7 +17,8 @@ from tessera.functions.text import append_suffix, clean_text, split_words
 def words(lines: DataFrame, col: str = "line", clean: bool = True) -> DataFrame:
     """One ``word`` row per space-separated piece (empty pieces included)."""
     text = clean_text(col) if clean else F.col(col)
-    return lines.select(F.explode(split_words(text)).alias("word"))
+    # explode_outer + null test: no inferred size() filter re-running clean_text.
+    return lines.select(F.explode_outer(split_words(text)).alias("word")).where(F.col("word").isNotNull())
 
 
 def drop_empty_words(df: DataFrame, col: str = "word") -> DataFrame:

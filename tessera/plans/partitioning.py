@@ -1,0 +1,25 @@
+"""Where to put the first shuffle of a CPU-heavy per-row job.
+
+Tokenizing or regex-parsing text is per-row work that runs in the scan
+stage when the scan has enough splits (the normal case at scale: a large
+table has far more splits than the cluster has cores). A scan with fewer
+splits than the default parallelism (one small file, one row group) would
+run all of it in a few tasks, so the raw rows are hash-partitioned by their
+key first, which spreads the per-row work over every core. Either way the
+result is the same.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def is_narrow(df: DataFrame) -> bool:
+    """True when the DataFrame has fewer partitions than the cluster's
+    default parallelism (decided from the plan; no data is read)."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when its scan is narrow."""
+    return df.repartition(key) if is_narrow(df) else df

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
+from tessera.plans.partitioning import spread
 from tessera.sources.text import document_lines
 
 # The stopword list used in place of the reference's file.
@@ -29,7 +30,7 @@ GOLD_HEADER = '"idAmazon","idGoogle"'
 
 def corpus_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, line_no, line): the text corpus, one row per line."""
-    return document_lines(documents.select("doc_id", "text"))
+    return document_lines(spread(documents.select("doc_id", "text"), "doc_id"))
 
 
 def clf_lines(events: DataFrame) -> DataFrame:
@@ -157,6 +158,14 @@ def token_text(c) -> F.Column:
     return F.concat(F.lit(" "), F.array_join(simple_tokenize(c), " "), F.lit(" "))
 
 
+def _distinct_tokens(records: DataFrame, id_alias: str) -> DataFrame:
+    # explode_outer + null test: no inferred size() filter re-running the tokenizer.
+    return spread(records, "id").select(
+        F.col("id").alias(id_alias),
+        F.explode_outer(F.array_distinct(simple_tokenize("value"))).alias("token"),
+    ).where(F.col("token").isNotNull())
+
+
 def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     """(a_id, b_id): B records whose token sequence occurs in an A record.
 
@@ -165,8 +174,8 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     anchor is equi-joined to A's (id, token) postings, and the candidates
     are verified with a substring test on the normalised token strings.
     """
-    a_tok = a.select(F.col("id").alias("a_id"), F.explode(F.array_distinct(simple_tokenize("value"))).alias("token"))
-    b_tok = b.select(F.col("id").alias("b_id"), F.explode(F.array_distinct(simple_tokenize("value"))).alias("token"))
+    a_tok = _distinct_tokens(a, "a_id")
+    b_tok = _distinct_tokens(b, "b_id")
     a_df = a_tok.groupBy("token").agg(F.count(F.lit(1)).alias("df_a"))
     anchors = (
         b_tok.join(a_df, "token", "left")

@@ -33,8 +33,8 @@ def document_lines(
     Narrow: each row explodes in place, no shuffle.
     """
     return df.select(
-        F.col(id_col), F.posexplode(split_lines(text_col)).alias("line_no", "line")
-    )
+        F.col(id_col), F.posexplode_outer(split_lines(text_col)).alias("line_no", "line")
+    ).where(F.col("line").isNotNull())
 
 
 def numbered_lines(df: DataFrame, order_col: str | None = None) -> DataFrame:
