@@ -128,12 +128,15 @@ def parse_gold_csv(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def parse_ratings(df: DataFrame, col: str = "value") -> DataFrame:
-    """``user::item::rating::timestamp`` -> (user_id, item_id, rating)."""
+    """``user::item::rating::timestamp`` -> (user_id, item_id, rating).
+
+    Short or malformed lines give NULLs (``get`` and ``try_cast`` never
+    raise), so one bad line cannot fail the job."""
     parts = F.split(F.col(col), "::")
     return df.select(
-        parts.getItem(0).try_cast("bigint").alias("user_id"),
-        parts.getItem(1).try_cast("bigint").alias("item_id"),
-        parts.getItem(2).try_cast("double").alias("rating"),
+        F.get(parts, 0).try_cast("bigint").alias("user_id"),
+        F.get(parts, 1).try_cast("bigint").alias("item_id"),
+        F.get(parts, 2).try_cast("double").alias("rating"),
     )
 
 
@@ -141,8 +144,8 @@ def parse_movies(df: DataFrame, col: str = "value") -> DataFrame:
     """``id::title::genres`` -> (item_id, title)."""
     parts = F.split(F.col(col), "::")
     return df.select(
-        parts.getItem(0).try_cast("bigint").alias("item_id"),
-        parts.getItem(1).alias("title"),
+        F.get(parts, 0).try_cast("bigint").alias("item_id"),
+        F.get(parts, 1).alias("title"),
     )
 
 
