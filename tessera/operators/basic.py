@@ -30,13 +30,14 @@ def filter_min_count(counts: DataFrame, threshold: int, col: str = "count") -> D
     return counts.where(F.col(col) > threshold)
 
 
-def group_values(df: DataFrame, key: str, value: str, alias: str = "values") -> DataFrame:
-    """(key, sorted list of values): the ``groupByKey`` shape.
+def group_values(df: DataFrame, key: str, value: str) -> DataFrame:
+    """The values of every key as a multiset: (key, value, multiplicity).
 
-    Only for results whose lists are the point; a list is as large as its
-    group, so prefer an aggregate when the goal is a number.
+    This is the ``groupByKey`` result in long form. It never gathers a
+    group into one list (a hot key would put a third of the data into one
+    row of one task); each (key, value) count is partially aggregated.
     """
-    return df.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(alias))
+    return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("multiplicity"))
 
 
 def group_count_values(df: DataFrame, key: str, alias: str = "count") -> DataFrame:

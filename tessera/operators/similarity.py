@@ -188,6 +188,11 @@ def _pair_postings(
     return salted_join(a, b, "token", "a_id", "_salts").drop("_salts")
 
 
+def token_pairs(a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """(token, a_id, b_id): the inverted-index join, one row per shared token."""
+    return _pair_postings(a_w, b_w, "weight", pairs_per_task).select("token", "a_id", "b_id")
+
+
 def similarities(
     a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame:

@@ -276,9 +276,7 @@ def _join_on_key(c: Ctx) -> DataFrame:
 @query("join_tokens", o.with_(o.ER, """SELECT a.token, a.id AS a_id, b.id AS b_id
   FROM tf_a a JOIN tf_b b ON a.token = b.token"""))
 def _join_tokens(c: Ctx) -> DataFrame:
-    a = sm.inverted_index(c.w_a).withColumnRenamed("id", "a_id")
-    b = sm.inverted_index(c.w_b).withColumnRenamed("id", "b_id")
-    return a.join(b, "token").select("token", "a_id", "b_id")
+    return sm.token_pairs(c.w_a, c.w_b)
 
 
 @query("true_duplicates", o.with_(o.ER_GOLD, """SELECT s.a_id, s.b_id, round(s.similarity, 6) AS similarity
@@ -323,8 +321,8 @@ def _count_rows(c: Ctx) -> DataFrame:
     return basic.count_rows(c.lines)
 
 
-@query("group_values", o.with_([o.RATINGS], """SELECT item_id, list_sort(list(rating)) AS "values"
-  FROM ratings GROUP BY item_id"""))
+@query("group_values", o.with_([o.RATINGS], """SELECT item_id, rating, count(*) AS multiplicity
+  FROM ratings GROUP BY item_id, rating"""))
 def _group_values(c: Ctx) -> DataFrame:
     return basic.group_values(c.ratings, "item_id", "rating")
 
