@@ -4,10 +4,10 @@ Records are ``(id, value)`` DataFrames. Every vector lives in long form
 ``(id, token, weight)``; no dictionary is collected or broadcast by hand.
 
 Plan shape of ``similarities`` (per side):
-  records -> hash-partition by id (one shuffle of the raw text)
-  -> tokenize + count per (id, token)       (no shuffle: id-clustered)
+  records -> tokenize -> hash-partition by id (one exchange, reused)
+  -> count per (id, token)                  (no shuffle: id-clustered)
   -> document frequency per token           (partial agg + shuffle)
-  -> tf * idf (join on token; AQE broadcasts the idf table only when small)
+  -> tf * idf (shuffled hash join on token; hot tokens salted)
   -> unit-length weights by a window on id
 then one join of the two sides on (token, salt) and one partially
 aggregated group-by on (a_id, b_id). Hot tokens are salted: the A postings
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
-from tessera.plans.joins import salt_count, salted_join
+from tessera.plans.joins import hot_keys, salt_count, salted_join, skew_safe_lookup_join
 from tessera.plans.partitioning import is_narrow
 from tessera.sources.fixtures import STOPWORDS
 
@@ -56,54 +56,67 @@ def biggest_record(tokens: DataFrame) -> DataFrame:
     )
 
 
-def term_frequency(records: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
-    """(id, token, n, n_tokens, tf): tf = occurrences / tokens of the record.
+def clustered_tokens(records: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
+    """(id, tokens) hash-partitioned by id: the one exchange every TF / IDF
+    consumer reads (Spark reuses it, so each record is tokenized once).
 
-    The record length rides along with every token, so no per-record join
-    or window is needed; token lists are clustered by id first so the count
-    per (id, token) needs no further shuffle.
+    With a wide scan the tokenizer runs map-side and the exchange carries
+    token lists (no separators, no stopwords). A narrow scan (fewer splits
+    than cores) is spread by id first so the tokenizer runs on every core.
     """
-    # Cluster by id. With a wide scan, tokenize before the shuffle: the
-    # exchange then carries token lists (no separators, no stopwords) and is
-    # reused by every consumer. A narrow scan is spread out first instead.
+    src = records.repartition("id") if is_narrow(records) else records
+    return record_tokens(src, stopwords).repartition("id")
+
+
+def _exploded(tokens: DataFrame, distinct: bool = False) -> DataFrame:
     # explode_outer + a null test keeps the optimizer from inferring a
-    # ``size(tokens) > 0`` filter that would tokenize every record twice.
-    if is_narrow(records):
-        toks = record_tokens(records.repartition("id"), stopwords)
-    else:
-        toks = record_tokens(records, stopwords).repartition("id")
-    exploded = toks.select(
-        "id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token")
+    # ``size(tokens) > 0`` filter that would re-run the tokenizer.
+    arr = F.array_distinct("tokens") if distinct else F.col("tokens")
+    return tokens.select(
+        "id", F.size("tokens").alias("n_tokens"), F.explode_outer(arr).alias("token")
     ).where(F.col("token").isNotNull())
+
+
+def term_frequency_of(tokens: DataFrame) -> DataFrame:
+    """(id, token, n_tokens, n, tf) from id-clustered (id, tokens).
+
+    The record length rides along with every token, so no per-record join
+    or window is needed, and the count per (id, token) needs no shuffle.
+    """
     return (
-        exploded.groupBy("id", "token", "n_tokens")
+        _exploded(tokens).groupBy("id", "token", "n_tokens")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("tf", F.col("n") / F.col("n_tokens"))
     )
 
 
+def term_frequency(records: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
+    """(id, token, n_tokens, n, tf): tf = occurrences / tokens of the record."""
+    return term_frequency_of(clustered_tokens(records, stopwords))
+
+
 def record_count(records: DataFrame) -> DataFrame:
     return records.agg(F.count_distinct("id").alias("n_records"))
 
 
-def inverse_document_frequency(
-    tfs: Sequence[DataFrame], records: Sequence[DataFrame]
-) -> DataFrame:
+def inverse_document_frequency(token_frames: Sequence[DataFrame]) -> DataFrame:
     """(token, df, df_0, df_1, ..., idf) over the union of several corpora.
 
-    idf = N / df (no logarithm), N = number of records of all corpora
-    (empty records count), df = number of records holding the token; the
-    per-corpus counts ``df_i`` are kept for skew planning. N is a scalar
-    subquery, so no join or driver round trip is needed for it.
+    Input: one (id, tokens) frame per corpus (one row per record, empty
+    records included). idf = N / df (no logarithm), N = number of records of
+    all corpora, df = number of records holding the token; the per-corpus
+    counts ``df_i`` are kept for skew planning. Each record contributes its
+    distinct tokens once, partially aggregated before the shuffle; N is a
+    scalar subquery.
     """
     tagged = None
-    for i, tf in enumerate(tfs):
-        part = tf.select("token", F.lit(i).alias("_src"))
+    for i, toks in enumerate(token_frames):
+        part = _exploded(toks, distinct=True).select("token", F.lit(i).alias("_src"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    per_corpus = [F.count_if(F.col("_src") == i).alias(f"df_{i}") for i in range(len(tfs))]
+    per_corpus = [F.count_if(F.col("_src") == i).alias(f"df_{i}") for i in range(len(token_frames))]
     n_total = None
-    for r in records:
-        n = r.agg(F.count_distinct("id")).scalar()
+    for toks in token_frames:
+        n = toks.agg(F.count_distinct("id")).scalar()
         n_total = n if n_total is None else n_total + n
     return (
         tagged.groupBy("token")
@@ -138,17 +151,19 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
 
 
 def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """(id, token, weight, df_0, df_1, ...): tf * idf."""
+    """(id, token, weight, df_0, df_1, ...): tf * idf.
+
+    The vocabulary has no size bound, so the idf table is never broadcast
+    by hand; it joins as the hash side of a shuffled join (one row per
+    token per task). Tokens holding a large share of all postings are
+    salted (see ``skew_safe_lookup_join``), so no task receives all
+    postings of a hot token.
+    """
     extra = [c for c in idf.columns if c.startswith("df_")]
-    # The vocabulary has no size bound, so it is never broadcast by hand;
-    # the hint makes the per-token idf rows the hash-table side of a
-    # shuffled hash join (one row per token per task), so the postings are
-    # streamed and never end up in a hash table or a broadcast. AQE's skew
-    # handling still splits the postings of hot tokens.
-    idf_side = idf.select("token", "idf", *extra).hint("shuffle_hash")
-    return tf.join(idf_side, "token").select(
-        "id", "token", (F.col("tf") * F.col("idf")).alias("weight"), *extra
-    )
+    lookup = idf.select("token", "idf", *extra)
+    hot = hot_keys(idf, "token", "df")
+    joined = skew_safe_lookup_join(tf.select("id", "token", "tf"), lookup, "token", "id", hot)
+    return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"), *extra)
 
 
 def vector_norms(weights: DataFrame) -> DataFrame:
@@ -227,10 +242,10 @@ def er_weights(
     a_records: DataFrame, b_records: DataFrame, stopwords: Iterable[str] = STOPWORDS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(A weights, B weights, idf) with the IDF of the union of both sides."""
-    tf_a = term_frequency(a_records, stopwords)
-    tf_b = term_frequency(b_records, stopwords)
-    idf = inverse_document_frequency([tf_a, tf_b], [a_records, b_records])
-    return tfidf(tf_a, idf), tfidf(tf_b, idf), idf
+    tok_a = clustered_tokens(a_records, stopwords)
+    tok_b = clustered_tokens(b_records, stopwords)
+    idf = inverse_document_frequency([tok_a, tok_b])
+    return tfidf(term_frequency_of(tok_a), idf), tfidf(term_frequency_of(tok_b), idf), idf
 
 
 def scalable_similarity(

@@ -72,17 +72,25 @@ class Ctx:
     def b(self) -> DataFrame:
         return fx.records_b(self.t.benchmark)
 
+    @cached_property
+    def tok_a(self) -> DataFrame:
+        return sm.clustered_tokens(self.a)
+
+    @cached_property
+    def tok_b(self) -> DataFrame:
+        return sm.clustered_tokens(self.b)
+
     @cached_property
     def tf_a(self) -> DataFrame:
-        return sm.term_frequency(self.a)
+        return sm.term_frequency_of(self.tok_a)
 
     @cached_property
     def tf_b(self) -> DataFrame:
-        return sm.term_frequency(self.b)
+        return sm.term_frequency_of(self.tok_b)
 
     @cached_property
     def idf(self) -> DataFrame:
-        return sm.inverse_document_frequency([self.tf_a, self.tf_b], [self.a, self.b])
+        return sm.inverse_document_frequency([self.tok_a, self.tok_b])
 
     @cached_property
     def w_a(self) -> DataFrame:

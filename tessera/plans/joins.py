@@ -52,3 +52,53 @@ def salted_join(
         "_salt", F.explode(F.sequence(F.lit(0), F.col(salts_col) - 1))
     ).drop(salts_col)
     return left.join(right, [key, "_salt"]).drop("_salt")
+
+
+# Hot keys: the HOT_MAX_KEYS keys with the most rows, if they hold more
+# than HOT_MIN_ROWS rows. Any key outside that top list holds at most
+# 1 / HOT_MAX_KEYS of all rows, and the list itself has at most HOT_MAX_KEYS
+# rows by construction, which is the bound that makes broadcasting it safe.
+HOT_MAX_KEYS = 10_000
+HOT_MIN_ROWS = 1_000_000
+HOT_SALTS = 64
+
+
+def hot_keys(counts: DataFrame, key: str, count_col: str,
+             max_keys: int = HOT_MAX_KEYS, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+    """At most ``max_keys`` keys: the largest ones with more than
+    ``min_rows`` rows (a per-task top-k merge, no full sort)."""
+    return (
+        counts.where(F.col(count_col) > min_rows)
+        .orderBy(F.desc(count_col), F.asc(key))
+        .limit(max_keys)
+        .select(key)
+    )
+
+
+def skew_safe_lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    split_by: str,
+    hot: DataFrame,
+    salts: int = HOT_SALTS,
+) -> DataFrame:
+    """``rows`` joined to ``lookup`` (one row per key) on ``key``.
+
+    Rows of hot keys (``hot``: a bounded key set, see ``hot_keys``) are
+    spread over ``salts`` tasks by a hash of ``split_by`` and their lookup
+    row is copied to each; other keys join unsalted. Same result as the
+    plain equi-join, but no task receives all rows of a hot key. The lookup
+    side is the hash side of a shuffled hash join: it has one row per key
+    and task, while ``rows`` are streamed (never broadcast or hashed).
+    """
+    flags = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
+    r = rows.join(flags, key, "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(split_by)), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
+    ).drop("_hot")
+    lk = lookup.join(flags, key, "left").withColumn(
+        "_salt",
+        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
+    ).drop("_hot")
+    return r.join(lk.hint("shuffle_hash"), [key, "_salt"]).drop("_salt")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
-from tessera.plans.partitioning import spread
+from tessera.plans.partitioning import is_narrow, spread
 from tessera.sources.text import document_lines
 
 # The stopword list used in place of the reference's file.
@@ -144,28 +144,38 @@ def stopwords(spark: SparkSession) -> DataFrame:
 
 def records_a(documents: DataFrame) -> DataFrame:
     """Entity-resolution side A: (id, value) from ``documents``."""
-    return documents.select(F.col("doc_id").alias("id"), F.col("text").alias("value"))
+    return documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), F.col("text").alias("value"))
 
 
 def records_b(benchmark: DataFrame) -> DataFrame:
     """Entity-resolution side B: (id, value) from ``benchmark``."""
-    return benchmark.select(F.col("item_id").alias("id"), F.col("text").alias("value"))
+    return benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").alias("id"), F.col("text").alias("value"))
 
 
-def token_text(c) -> F.Column:
-    """The token sequence as one string with a space before and after
-    every token, so containment of one in another is token-aligned."""
-    return F.concat(F.lit(" "), F.array_join(simple_tokenize(c), " "), F.lit(" "))
+def _token_lists(records: DataFrame) -> DataFrame:
+    """(id, tokens) clustered by id: one exchange that every branch of
+    ``gold_pairs`` reads, so each record is tokenized once."""
+    src = records.repartition("id") if is_narrow(records) else records
+    return src.select("id", simple_tokenize("value").alias("tokens")).repartition("id")
 
 
-def _distinct_tokens(records: DataFrame, id_alias: str) -> DataFrame:
+def _distinct_tokens(lists: DataFrame, id_alias: str) -> DataFrame:
     # explode_outer + null test: no inferred size() filter re-running the tokenizer.
-    return spread(records, "id").select(
-        F.col("id").alias(id_alias),
-        F.explode_outer(F.array_distinct(simple_tokenize("value"))).alias("token"),
+    return lists.select(
+        F.col("id").alias(id_alias), F.explode_outer(F.array_distinct("tokens")).alias("token")
     ).where(F.col("token").isNotNull())
 
 
+def _token_text(lists: DataFrame, id_alias: str, text_alias: str) -> DataFrame:
+    """The token sequence as one string with a space before and after every
+    token, so containment of one in another is token-aligned."""
+    # Non-nullable on purpose: a nullable expression here would let the
+    # optimizer infer an ``isnotnull(<tokenizer>)`` filter from the
+    # containment test and run the tokenizer again inside the scan.
+    text = F.coalesce(F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")), F.lit(""))
+    return lists.select(F.col("id").alias(id_alias), text.alias(text_alias))
+
+
 def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     """(a_id, b_id): B records whose token sequence occurs in an A record.
 
@@ -174,8 +184,9 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     anchor is equi-joined to A's (id, token) postings, and the candidates
     are verified with a substring test on the normalised token strings.
     """
-    a_tok = _distinct_tokens(a, "a_id")
-    b_tok = _distinct_tokens(b, "b_id")
+    a_lists, b_lists = _token_lists(a), _token_lists(b)
+    a_tok = _distinct_tokens(a_lists, "a_id")
+    b_tok = _distinct_tokens(b_lists, "b_id")
     a_df = a_tok.groupBy("token").agg(F.count(F.lit(1)).alias("df_a"))
     anchors = (
         b_tok.join(a_df, "token", "left")
@@ -183,11 +194,9 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
         .agg(F.min_by("token", F.struct(F.coalesce("df_a", F.lit(0)), F.col("token"))).alias("token"))
     )
     candidates = a_tok.join(anchors, "token").select("a_id", "b_id")
-    a_text = a.select(F.col("id").alias("a_id"), token_text("value").alias("a_text"))
-    b_text = b.select(F.col("id").alias("b_id"), token_text("value").alias("b_text"))
     return (
-        candidates.join(a_text, "a_id")
-        .join(b_text, "b_id")
+        candidates.join(_token_text(a_lists, "a_id", "a_text"), "a_id")
+        .join(_token_text(b_lists, "b_id", "b_text"), "b_id")
         .where(F.col("a_text").contains(F.col("b_text")))
         .select("a_id", "b_id")
     )

@@ -147,3 +147,30 @@ def test_gold_fixture_matches_containment(spark):
     db = {r.id: " " + " ".join(py_tokens(r.value, ())) + " " for r in b.collect() if py_tokens(r.value, ())}
     expected = {(i, j) for i, x in da.items() for j, y in db.items() if y in x}
     assert got == expected
+
+
+def test_skew_safe_lookup_join_equals_plain_join(spark):
+    from tessera.plans.joins import hot_keys, skew_safe_lookup_join
+
+    rows = spark.range(0, 5000).select(F.col("id"), (F.col("id") % 3).cast("string").alias("k"))
+    lookup = spark.createDataFrame([("0", 10.0), ("1", 11.0), ("2", 12.0)], "k string, v double")
+    counts = rows.groupBy("k").count()
+    hot = hot_keys(counts, "k", "count", max_keys=2, min_rows=0)
+    assert hot.count() == 2
+    got = sorted(tuple(r) for r in skew_safe_lookup_join(rows, lookup, "k", "id", hot, salts=7).select("id", "k", "v").collect())
+    plain = sorted(tuple(r) for r in rows.join(lookup, "k").select("id", "k", "v").collect())
+    assert got == plain
+
+
+def test_tfidf_with_hot_tokens_is_exact(spark, monkeypatch):
+    """Force every token hot (min_rows 0): weights are unchanged."""
+    import tessera.plans.joins as J
+
+    a, b = records(spark, A), records(spark, B)
+    plain = {(r.id, r.token): r.weight for r in sm.er_weights(a, b)[0].collect()}
+    monkeypatch.setattr(J, "HOT_MIN_ROWS", 0)
+    monkeypatch.setattr(sm, "hot_keys", lambda c, k, n: J.hot_keys(c, k, n, min_rows=0))
+    salted = {(r.id, r.token): r.weight for r in sm.er_weights(a, b)[0].collect()}
+    assert plain.keys() == salted.keys()
+    for k in plain:
+        assert salted[k] == pytest.approx(plain[k], rel=1e-12)
