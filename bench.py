@@ -36,7 +36,8 @@ HEADLINE = [
 def main() -> None:
     data_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="tessera-bench")
+    partitions = int(os.environ.get("BENCH_PARTITIONS", str(2 * cpus)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions, app_name="tessera-bench")
     # Warm the JVM and the file listing cache once, outside the timings.
     catalog.run("count_rows", spark, data_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

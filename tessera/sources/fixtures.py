@@ -43,6 +43,7 @@ def clf_lines(events: DataFrame) -> DataFrame:
     11th event, else ``floor(value)``. Every 97th event also yields a junk
     line that no pattern accepts.
     """
+    events = spread(events, "event_id")
     eid = F.col("event_id")
     request = F.concat(
         F.lit("GET /"), F.col("event_type"), F.lit("/"), (eid % 50).cast("string"),

@@ -21,6 +21,8 @@ from tessera.functions.text import remove_quotes
 DATAFILE_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)'
 GOLDFILE_PATTERN = r"^(.+),(.+)"
 
+GROUP_SEP = "\n\n"
+
 ACCESS_LOG_COLUMNS = (
     "host", "client_identd", "user_id", "date_time", "method", "endpoint",
     "protocol", "response_code", "content_size",
@@ -37,13 +39,22 @@ def parse_access_log(
     """
     line = F.col(col)
     ok = F.coalesce(line.rlike(pattern), F.lit(False))
+    # One regex pass for all nine groups: the match (extended with ``.*`` to
+    # the end of the value, which cannot change how the groups match) is
+    # rewritten to the groups joined by a separator that no group can hold
+    # (eight groups have no whitespace, the time group exactly one
+    # whitespace character), then split. The split is its own projection so
+    # it is computed once per line, not once per output column (expressions
+    # used only inside conditional branches are not shared by codegen).
+    packed = F.regexp_replace(line, "(?s)" + pattern + ".*", GROUP_SEP.join(f"${i}" for i in range(1, 10)))
+    staged = df.select("*", ok.alias("_ok"), F.when(ok, F.split(packed, GROUP_SEP)).alias("_parts"))
 
     def group(i: int) -> Column:
-        return F.when(ok, F.regexp_extract(line, pattern, i))
+        return F.get(F.col("_parts"), i - 1)
 
     size = group(9)
-    return df.select(
-        "*",
+    return staged.select(
+        *[F.col(c) for c in df.columns],
         group(1).alias("host"),
         group(2).alias("client_identd"),
         group(3).alias("user_id"),
@@ -55,7 +66,7 @@ def parse_access_log(
         F.when(size == "-", F.lit(0).cast("bigint"))
         .otherwise(size.try_cast("bigint"))
         .alias("content_size"),
-        ok.alias("parse_ok"),
+        F.col("_ok").alias("parse_ok"),
     )
 
 
@@ -74,14 +85,32 @@ def parse_counts(parsed: DataFrame) -> DataFrame:
 
 
 def log_cleaning_report(df: DataFrame, col: str = "value") -> DataFrame:
-    """One row comparing the original and the corrected log pattern."""
+    """One row comparing the original and the corrected log pattern.
+
+    Each pattern is evaluated once per line (flags first, then counts).
+    """
     line = F.col(col)
-    return df.agg(
+    flags = df.select(
+        F.coalesce(line.rlike(ACCESS_LOG_PATTERN_ORIGINAL), F.lit(False)).alias("_o"),
+        F.coalesce(line.rlike(ACCESS_LOG_PATTERN), F.lit(False)).alias("_c"),
+    )
+    return flags.agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(line.rlike(ACCESS_LOG_PATTERN_ORIGINAL)).alias("n_ok_original"),
-        F.count_if(~line.rlike(ACCESS_LOG_PATTERN_ORIGINAL)).alias("n_failed_original"),
-        F.count_if(line.rlike(ACCESS_LOG_PATTERN)).alias("n_ok_corrected"),
-        F.count_if(~line.rlike(ACCESS_LOG_PATTERN)).alias("n_failed_corrected"),
+        F.count_if("_o").alias("n_ok_original"),
+        F.count_if(~F.col("_o")).alias("n_failed_original"),
+        F.count_if("_c").alias("n_ok_corrected"),
+        F.count_if(~F.col("_c")).alias("n_failed_corrected"),
+    )
+
+
+def _staged_groups(df: DataFrame, col: str, pattern: str, groups: int) -> DataFrame:
+    """(_m, _g1.._gN): the match flag and each group, each regex evaluated
+    once per line in its own projection (so later conditional uses share
+    it); a group of a non-matching line is ''."""
+    line = F.col(col)
+    return df.select(
+        F.coalesce(line.rlike(pattern), F.lit(False)).alias("_m"),
+        *[F.regexp_extract(line, pattern, i).alias(f"_g{i}") for i in range(1, groups + 1)],
     )
 
 
@@ -93,37 +122,27 @@ def parse_product_csv(df: DataFrame, col: str = "value") -> DataFrame:
     title, description and manufacturer joined by spaces; quotes are removed
     from the id only.
     """
-    line = F.col(col)
-    p = DATAFILE_PATTERN
-    matched = F.coalesce(line.rlike(p), F.lit(False))
-    g1 = F.regexp_extract(line, p, 1)
-    status = F.when(~matched, F.lit(-1)).when(g1 == '"id"', F.lit(0)).otherwise(F.lit(1))
-    is_record = status == 1
-    return df.select(
-        F.when(is_record, remove_quotes(g1)).alias("id"),
-        F.when(
-            is_record,
-            F.concat_ws(
-                " ", F.regexp_extract(line, p, 2), F.regexp_extract(line, p, 3),
-                F.regexp_extract(line, p, 4),
-            ),
-        ).alias("value"),
-        status.alias("parse_status"),
+    g = _staged_groups(df, col, DATAFILE_PATTERN, 4)
+    status = F.when(~F.col("_m"), F.lit(-1)).when(F.col("_g1") == '"id"', F.lit(0)).otherwise(F.lit(1))
+    staged = g.select("*", status.alias("parse_status"))
+    is_record = F.col("parse_status") == 1
+    return staged.select(
+        F.when(is_record, remove_quotes("_g1")).alias("id"),
+        F.when(is_record, F.concat_ws(" ", "_g2", "_g3", "_g4")).alias("value"),
+        "parse_status",
     )
 
 
 def parse_gold_csv(df: DataFrame, col: str = "value") -> DataFrame:
     """``"a_id","b_id"`` lines -> (a_id, b_id, parse_status); header is 0."""
-    line = F.col(col)
-    p = GOLDFILE_PATTERN
-    matched = F.coalesce(line.rlike(p), F.lit(False))
-    g1 = F.regexp_extract(line, p, 1)
-    status = F.when(~matched, F.lit(-1)).when(g1 == '"idAmazon"', F.lit(0)).otherwise(F.lit(1))
-    is_record = status == 1
-    return df.select(
-        F.when(is_record, remove_quotes(g1)).alias("a_id"),
-        F.when(is_record, remove_quotes(F.regexp_extract(line, p, 2))).alias("b_id"),
-        status.alias("parse_status"),
+    g = _staged_groups(df, col, GOLDFILE_PATTERN, 2)
+    status = F.when(~F.col("_m"), F.lit(-1)).when(F.col("_g1") == '"idAmazon"', F.lit(0)).otherwise(F.lit(1))
+    staged = g.select("*", status.alias("parse_status"))
+    is_record = F.col("parse_status") == 1
+    return staged.select(
+        F.when(is_record, remove_quotes("_g1")).alias("a_id"),
+        F.when(is_record, remove_quotes("_g2")).alias("b_id"),
+        "parse_status",
     )
 
 
