@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
 from tessera.plans.joins import hot_keys, salt_count, salted_join, skew_safe_lookup_join
-from tessera.plans.partitioning import is_narrow
+from tessera.plans.partitioning import spread_before
 from tessera.sources.fixtures import STOPWORDS
 
 # Target number of candidate pairs produced by one join task for a hot token.
@@ -64,8 +64,7 @@ def clustered_tokens(records: DataFrame, stopwords: Iterable[str] = STOPWORDS) -
     token lists (no separators, no stopwords). A narrow scan (fewer splits
     than cores) is spread by id first so the tokenizer runs on every core.
     """
-    src = records.repartition("id") if is_narrow(records) else records
-    return record_tokens(src, stopwords).repartition("id")
+    return record_tokens(spread_before(records, "id"), stopwords).repartition("id")
 
 
 def _exploded(tokens: DataFrame, distinct: bool = False) -> DataFrame:

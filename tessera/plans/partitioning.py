@@ -12,6 +12,7 @@ result is the same.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def is_narrow(df: DataFrame) -> bool:
@@ -23,3 +24,15 @@ def is_narrow(df: DataFrame) -> bool:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition ``df`` by ``key`` when its scan is narrow."""
     return df.repartition(key) if is_narrow(df) else df
+
+
+def spread_before(df: DataFrame, key: str) -> DataFrame:
+    """For a narrow scan, spread rows by a hash of ``key`` before per-row
+    work whose output is then clustered by ``key`` itself.
+
+    The spread uses a different partitioning expression than the later
+    ``repartition(key)``, so the optimizer keeps that second exchange, and
+    the per-row work runs once and is shared through it. Hashing (not
+    round-robin) keeps a re-run after a lost executor identical.
+    """
+    return df.repartition(F.xxhash64(F.col(key))) if is_narrow(df) else df

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
-from tessera.plans.partitioning import is_narrow, spread
+from tessera.plans.partitioning import spread, spread_before
 from tessera.sources.text import document_lines
 
 # The stopword list used in place of the reference's file.
@@ -156,8 +156,7 @@ def records_b(benchmark: DataFrame) -> DataFrame:
 def _token_lists(records: DataFrame) -> DataFrame:
     """(id, tokens) clustered by id: one exchange that every branch of
     ``gold_pairs`` reads, so each record is tokenized once."""
-    src = records.repartition("id") if is_narrow(records) else records
-    return src.select("id", simple_tokenize("value").alias("tokens")).repartition("id")
+    return spread_before(records, "id").select("id", simple_tokenize("value").alias("tokens")).repartition("id")
 
 
 def _distinct_tokens(lists: DataFrame, id_alias: str) -> DataFrame:
