@@ -66,3 +66,17 @@ def test_clf_fixture_counts(spark):
     assert rep.n_lines == events + junk
     assert rep.n_ok_corrected == events
     assert rep.n_ok_original == t.events.where(F.col("event_id") % 7 != 0).count()
+
+
+def test_time_parse_ignores_session_zone(spark):
+    """A wall-clock time inside a DST gap of the session zone is kept as is."""
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        line = 'h - - [10/Mar/2024:02:30:00 -0400] "GET / HTTP/1.0" 200 1'
+        r = parse_access_log(lines(spark, line)).first()
+        assert r.date_time == datetime.datetime(2024, 3, 10, 2, 30, 0)
+        bad = 'h - - [31/Feb/2024:02:30:00 -0400] "GET / HTTP/1.0" 200 1'
+        assert parse_access_log(lines(spark, bad)).first().date_time is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
