@@ -56,9 +56,8 @@ def simple_tokenize(c: Column | str) -> Column:
 def tokenize(c: Column | str, stopwords: Iterable[str] = ()) -> Column:
     """``simple_tokenize`` without the given stopwords (duplicates kept).
 
-    For a stopword list held as a DataFrame, use
-    ``tessera.operators.similarity.record_tokens`` which removes them with an
-    anti join instead of an inline list.
+    For a stopword list held as a DataFrame (of any size), explode first
+    and use ``tessera.operators.similarity.drop_stopwords`` (an anti join).
     """
     words = sorted(set(stopwords))
     tokens = simple_tokenize(c)

@@ -38,6 +38,13 @@ def record_tokens(
     return records.select(F.col(id_col).alias("id"), tokenize(text_col, stopwords).alias("tokens"))
 
 
+def drop_stopwords(tokens_long: DataFrame, stopwords: DataFrame, col: str = "token") -> DataFrame:
+    """Long-form tokens without those in a stopword DataFrame (``token``
+    column): a left anti join, broadcast by AQE only when the list is
+    measured small."""
+    return tokens_long.join(stopwords.select(F.col("token").alias(col)).distinct(), col, "left_anti")
+
+
 def token_total(*token_frames: DataFrame) -> DataFrame:
     """One row: the number of tokens over several (id, tokens) frames."""
     total = None

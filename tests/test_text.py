@@ -80,3 +80,26 @@ def test_range_sums(spark):
     r = number_range(spark, 100000)
     assert r.agg(F.sum("id")).first()[0] == 4999950000
     assert r.where(F.col("id") % 7 == 0).agg(F.sum("id")).first()[0] == 714264285
+
+
+def test_read_text_lines_gzip_and_stopwords(spark, tmp_path):
+    import gzip
+
+    from tessera.sources.parsers import load_stopwords
+    from tessera.sources.text import read_text_lines
+
+    p = tmp_path / "words.txt.gz"
+    with gzip.open(p, "wt") as f:
+        f.write("the\na\n\nthe\n  why \n")
+    df = read_text_lines(spark, str(p), partitions=4)
+    assert df.rdd.getNumPartitions() == 4
+    assert df.count() == 5
+    assert sorted(r.token for r in load_stopwords(df).collect()) == ["a", "the", "why"]
+
+
+def test_drop_stopwords_anti_join(spark):
+    from tessera.operators.similarity import drop_stopwords
+    from tessera.sources.fixtures import stopwords
+
+    toks = spark.createDataFrame([(1, "the"), (1, "fox"), (2, "a"), (2, "fox")], "id long, token string")
+    assert sorted(tuple(r) for r in drop_stopwords(toks, stopwords(spark)).collect()) == [(1, "fox"), (2, "fox")]
