@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import squared_error
+from tessera.session import checkpoint_dir
 
 # ALS settings of the original jobs.
 ALS_ITERATIONS = 5
@@ -84,7 +85,13 @@ def als(rank: int, iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed:
 
 def train_als(train: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
               reg: float = ALS_REG, seed: int = ALS_SEED) -> ALSModel:
-    """Explicit-feedback ALS (Spark ML)."""
+    """Explicit-feedback ALS (Spark ML).
+
+    ALS cuts its iteration lineage by checkpointing every
+    ``checkpointInterval`` iterations into the session's shared
+    ``spark.checkpoint.dir``; make sure that folder is set.
+    """
+    checkpoint_dir(train.sparkSession)
     return als(rank, iterations, reg, seed).fit(train.select("user_id", "item_id", "rating"))
 
 
