@@ -142,3 +142,29 @@ def threshold_sweep(sims: DataFrame, gold: DataFrame, n_thresholds: int = 100) -
     out = out.withColumn("precision", F.try_divide(tp, tp + fp_c)).withColumn("recall", F.try_divide(tp, tp + fn_c))
     fmeasure = F.try_divide(2 * F.col("recall") * F.col("precision"), F.col("recall") + F.col("precision"))
     return out.withColumn("fmeasure", fmeasure).orderBy("threshold")
+
+
+def resolve_and_evaluate(
+    a_records: DataFrame,
+    b_records: DataFrame,
+    gold: DataFrame,
+    n_thresholds: int = 100,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entity resolution plus both evaluations over one scored table.
+
+    The candidate similarities are computed once and checkpointed to the
+    session's shared ``spark.checkpoint.dir`` (a reliable checkpoint: it
+    cuts the long lineage, and a lost executor does not force the whole
+    similarity job to re-run). Returns (sims, gold_evaluation,
+    threshold_sweep).
+    """
+    from tessera.operators.similarity import scalable_similarity
+    from tessera.session import checkpoint_dir
+
+    checkpoint_dir(a_records.sparkSession)
+    sims = scalable_similarity(a_records, b_records).checkpoint(eager=True)
+    return (
+        sims,
+        gold_evaluation(sims, gold, a_records, b_records),
+        threshold_sweep(sims, gold, n_thresholds),
+    )

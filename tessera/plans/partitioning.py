@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 
 def is_narrow(df: DataFrame) -> bool:
     """True when the DataFrame has fewer partitions than the cluster's
-    default parallelism (decided from the plan; no data is read)."""
+    default parallelism (decided from the plan; no data is read). A
+    streaming DataFrame is never treated as narrow (its micro-batches are
+    planned per trigger)."""
+    if df.isStreaming:
+        return False
     return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
 
 

@@ -174,3 +174,13 @@ def test_tfidf_with_hot_tokens_is_exact(spark, monkeypatch):
     assert plain.keys() == salted.keys()
     for k in plain:
         assert salted[k] == pytest.approx(plain[k], rel=1e-12)
+
+
+def test_resolve_and_evaluate_checkpointed(spark):
+    a, b = records(spark, A), records(spark, B)
+    gold = spark.createDataFrame([(1, 10), (2, 11), (3, 13)], "a_id long, b_id long")
+    sims, evaluation, sweep = ev.resolve_and_evaluate(a, b, gold)
+    direct = {(r.a_id, r.b_id): r.similarity for r in sm.scalable_similarity(a, b).collect()}
+    assert {(r.a_id, r.b_id): r.similarity for r in sims.collect()} == pytest.approx(direct)
+    assert evaluation.first().n_true_duplicates == 3
+    assert sweep.count() == 100

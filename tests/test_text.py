@@ -104,3 +104,10 @@ def test_drop_stopwords_anti_join(spark):
     toks = spark.createDataFrame([(1, "the"), (1, "fox"), (2, "a"), (2, "fox")], "id long, token string")
     out = drop_stopwords(toks, stopwords(spark)).select("id", "token")
     assert sorted(tuple(r) for r in out.collect()) == [(1, "fox"), (2, "fox")]
+
+
+def test_from_values(spark):
+    from tessera.sources.text import from_values
+
+    df = from_values(spark, [(1, "a"), (2, "b")], "k int, v string")
+    assert [tuple(r) for r in df.orderBy("k").collect()] == [(1, "a"), (2, "b")]
