@@ -195,18 +195,23 @@ def _pair_postings(
     """Join the A and B postings on token, salting hot tokens.
 
     ``a_w`` and ``b_w`` carry ``df_0`` (postings of the token in A) and
-    ``df_1`` (in B). The work of a token is df_0 * df_1 pairs; tokens above
-    ``pairs_per_task`` are split over ceil(work / pairs_per_task) tasks.
+    ``df_1`` (in B). The work of a token is df_0 * df_1 pairs; a token above
+    ``pairs_per_task`` is split over ceil(work / pairs_per_task) tasks (at
+    most one per posting of the split side): the side with more postings
+    of that token is split, the other side is copied to every split.
     """
     work = F.col("df_0").cast("long") * F.col("df_1").cast("long")
-    salts = salt_count(work, pairs_per_task, limit=F.col("df_0"))
+    salts = salt_count(work, pairs_per_task, limit=F.greatest(F.col("df_0"), F.col("df_1")))
+    split_a = F.col("df_0") >= F.col("df_1")
     a = a_w.select(
-        F.col("id").alias("a_id"), "token", F.col(value_col).alias("a_value"), salts.alias("_salts")
+        F.col("id").alias("a_id"), "token", F.col(value_col).alias("a_value"),
+        salts.alias("_salts"), split_a.alias("_split_a"),
     )
     b = b_w.select(
-        F.col("id").alias("b_id"), "token", F.col(value_col).alias("b_value"), salts.alias("_salts")
+        F.col("id").alias("b_id"), "token", F.col(value_col).alias("b_value"),
+        salts.alias("_salts"), split_a.alias("_split_a"),
     )
-    return salted_join(a, b, "token", "a_id", "_salts").drop("_salts")
+    return salted_join(a, b, "token", "a_id", "b_id", "_salts", "_split_a")
 
 
 def token_pairs(a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:

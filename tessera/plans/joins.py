@@ -30,28 +30,35 @@ def salt_count(work: Column, per_task: int, limit: Column | int | None = None) -
 
 
 def salted_join(
-    split_side: DataFrame,
-    copy_side: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
     key: str,
-    split_by: str,
+    left_by: str,
+    right_by: str,
     salts_col: str,
+    split_left_col: str,
 ) -> DataFrame:
     """Equi-join on ``key`` with hot keys spread over ``salts_col`` tasks.
 
-    Both inputs carry ``salts_col`` (the same value for a given key). A row
-    of ``split_side`` goes to one salt, chosen by a hash of ``split_by``
-    (deterministic, so a re-run after a lost executor sends every row to the
-    same place); a row of ``copy_side`` is copied to every salt of its key.
-    Keys with one salt are joined as usual, without copies. The result is
-    exactly the plain equi-join.
+    Both inputs carry ``salts_col`` and the boolean ``split_left_col`` (the
+    same values for a given key). For each key, the side with more rows is
+    split: each of its rows goes to one salt chosen by a hash of its id
+    (``left_by`` / ``right_by``; deterministic, so a re-run after a lost
+    executor sends every row to the same place), and each row of the other
+    side is copied to every salt of the key. Keys with one salt are joined
+    as usual, without copies. The result is exactly the plain equi-join.
     """
-    left = split_side.withColumn(
-        "_salt", F.pmod(F.xxhash64(F.col(split_by)), F.col(salts_col).cast("long")).cast("int")
-    )
-    right = copy_side.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col(salts_col) - 1))
-    ).drop(salts_col)
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    def salted(df: DataFrame, by: str, split: F.Column) -> DataFrame:
+        n = F.col(salts_col)
+        one = F.array(F.pmod(F.xxhash64(F.col(by)), n.cast("long")).cast("int"))
+        every = F.sequence(F.lit(0), n - 1)
+        return df.withColumn("_salt", F.explode(F.when(split, one).otherwise(every))).drop(
+            salts_col, split_left_col
+        )
+
+    l = salted(left, left_by, F.col(split_left_col))
+    r = salted(right, right_by, ~F.col(split_left_col))
+    return l.join(r, [key, "_salt"]).drop("_salt")
 
 
 # Hot keys: the HOT_MAX_KEYS keys with the most rows, if they hold more

@@ -184,3 +184,15 @@ def test_resolve_and_evaluate_checkpointed(spark):
     assert {(r.a_id, r.b_id): r.similarity for r in sims.collect()} == pytest.approx(direct)
     assert evaluation.first().n_true_duplicates == 3
     assert sweep.count() == 100
+
+
+def test_salting_splits_the_larger_side(spark):
+    """B much larger than A for a shared hot token: still exact."""
+    a_rows = [(1, "alpha beta"), (2, "beta gamma")]
+    b_rows = [(100 + i, f"beta word{i % 7} gamma") for i in range(60)]
+    a, b = records(spark, a_rows), records(spark, b_rows)
+    expected = brute_force(a_rows, b_rows)
+    got = {(r.a_id, r.b_id): r.similarity for r in sm.scalable_similarity(a, b, pairs_per_task=3).collect()}
+    assert got.keys() == expected.keys()
+    for k, v in expected.items():
+        assert got[k] == pytest.approx(v, rel=1e-9)
