@@ -84,3 +84,23 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
+
+
+def project_field(df: DataFrame, *cols: str, **renamed: str) -> DataFrame:
+    """Pick fields (``cols``) and renamed fields (``new=old``)."""
+    return df.select(*cols, *[F.col(old).alias(new) for new, old in renamed.items()])
+
+
+def join_on_key(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join on key column(s); the physical join (broadcast only when a
+    side was measured small, else a shuffled join) is left to AQE."""
+    return left.join(right, on, how)
+
+
+def exact_title(movies: DataFrame, title: str, alias: str = "n") -> DataFrame:
+    """One row: the number of items with exactly this title."""
+    return exact_match_count(movies, "title", title, alias)
+
+
+def distinct_ids(df: DataFrame, col: str = "id") -> DataFrame:
+    return distinct_rows(df, [col])

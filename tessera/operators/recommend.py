@@ -30,6 +30,24 @@ def count_and_average(ratings: DataFrame) -> DataFrame:
     )
 
 
+item_count_avg = count_and_average
+
+
+def item_counts(ratings: DataFrame) -> DataFrame:
+    """(item_id, n_ratings)."""
+    return ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_ratings"))
+
+
+def mean_value(ratings: DataFrame, alias: str = "mean_rating") -> DataFrame:
+    """One row: the mean rating."""
+    return ratings.agg(F.avg("rating").alias(alias))
+
+
+def add_ratings(train: DataFrame, mine: DataFrame) -> DataFrame:
+    """Training ratings plus a user's own ratings (bag union by name)."""
+    return train.unionByName(mine.select(*train.columns))
+
+
 def with_titles(stats: DataFrame, movies: DataFrame) -> DataFrame:
     """Attach titles (inner join on item_id)."""
     return stats.join(movies.select("item_id", "title"), "item_id")

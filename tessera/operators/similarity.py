@@ -219,6 +219,19 @@ def token_pairs(a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_
     return _pair_postings(a_w, b_w, "weight", pairs_per_task).select("token", "a_id", "b_id")
 
 
+join_tokens = token_pairs
+
+
+def build_corpus(*token_frames: DataFrame) -> DataFrame:
+    """(src, id, tokens): several (id, tokens) frames as one bag, tagged with
+    the position of their frame (ids of different sources may collide)."""
+    out = None
+    for i, df in enumerate(token_frames):
+        part = df.select(F.lit(i).alias("src"), "id", "tokens")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def similarities(
     a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame:

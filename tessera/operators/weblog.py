@@ -63,7 +63,7 @@ def top_endpoints(access: DataFrame, k: int = 10) -> DataFrame:
 
 def error_endpoint_counts(access: DataFrame) -> DataFrame:
     """(endpoint, count) of requests whose code is not 200."""
-    return endpoint_counts(access.where(F.col("response_code") != 200))
+    return endpoint_counts(filter_status_ne(access, 200))
 
 
 def top_error_endpoints(access: DataFrame, k: int = 10) -> DataFrame:
@@ -102,8 +102,18 @@ def daily_requests_per_host(access: DataFrame) -> DataFrame:
     )
 
 
+def filter_status_ne(access: DataFrame, code: int = 200) -> DataFrame:
+    """Requests whose response code is not ``code``."""
+    return access.where(F.col("response_code") != code)
+
+
+def filter_status_eq(access: DataFrame, code: int = 404) -> DataFrame:
+    """Requests whose response code is ``code``."""
+    return access.where(F.col("response_code") == code)
+
+
 def not_found(access: DataFrame) -> DataFrame:
-    return access.where(F.col("response_code") == 404)
+    return filter_status_eq(access, 404)
 
 
 def not_found_count(access: DataFrame) -> DataFrame:

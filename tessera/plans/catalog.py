@@ -223,7 +223,7 @@ def _word_lengths(c: Ctx) -> DataFrame:
 
 @query("project_field", "SELECT event_id, event_type FROM events")
 def _project_field(c: Ctx) -> DataFrame:
-    return c.t.events.select("event_id", "event_type")
+    return basic.project_field(c.t.events, "event_id", "event_type")
 
 
 @query("filter_modulo", """SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total
@@ -244,15 +244,13 @@ def _drop_empty_words(c: Ctx) -> DataFrame:
 @query("filter_status_ne", o.with_(o.LOG, """SELECT line_id, host, date_time, endpoint, response_code
   FROM access WHERE response_code <> 200"""))
 def _filter_status_ne(c: Ctx) -> DataFrame:
-    return c.access.where(F.col("response_code") != 200).select(
-        "line_id", "host", "date_time", "endpoint", "response_code"
-    )
+    return wl.filter_status_ne(c.access, 200).select("line_id", "host", "date_time", "endpoint", "response_code")
 
 
 @query("filter_status_eq", o.with_(o.LOG, """SELECT line_id, host, date_time, endpoint, response_code
   FROM access WHERE response_code = 404"""))
 def _filter_status_eq(c: Ctx) -> DataFrame:
-    return wl.not_found(c.access).select("line_id", "host", "date_time", "endpoint", "response_code")
+    return wl.filter_status_eq(c.access, 404).select("line_id", "host", "date_time", "endpoint", "response_code")
 
 
 @query("filter_min_count", o.with_([o.RATINGS], f"""SELECT item_id, count(*) AS "count" FROM ratings
@@ -270,7 +268,7 @@ def _lookup_pair(c: Ctx) -> DataFrame:
 
 @query("exact_title", """SELECT count(*) AS n FROM part WHERE p_name = 'red widget'""")
 def _exact_title(c: Ctx) -> DataFrame:
-    return basic.exact_match_count(c.movies, "title", "red widget")
+    return basic.exact_title(c.movies, "red widget")
 
 
 # ------------------------------------------------------------------ joins --
@@ -278,13 +276,13 @@ def _exact_title(c: Ctx) -> DataFrame:
 @query("join_on_key", o.with_([o.RATINGS], """SELECT r.user_id, r.item_id, r.rating, m.title
   FROM ratings r JOIN movies m ON r.item_id = m.item_id"""))
 def _join_on_key(c: Ctx) -> DataFrame:
-    return c.ratings.join(c.movies, "item_id").select("user_id", "item_id", "rating", "title")
+    return basic.join_on_key(c.ratings, c.movies, "item_id").select("user_id", "item_id", "rating", "title")
 
 
 @query("join_tokens", o.with_(o.ER, """SELECT a.token, a.id AS a_id, b.id AS b_id
   FROM tf_a a JOIN tf_b b ON a.token = b.token"""))
 def _join_tokens(c: Ctx) -> DataFrame:
-    return sm.token_pairs(c.w_a, c.w_b)
+    return sm.join_tokens(c.w_a, c.w_b)
 
 
 @query("true_duplicates", o.with_(o.ER_GOLD, """SELECT s.a_id, s.b_id, round(s.similarity, 6) AS similarity
@@ -437,17 +435,17 @@ def _not_found_by_hour(c: Ctx) -> DataFrame:
 @query("item_count_avg", o.with_([o.RATINGS], """SELECT item_id, count(*) AS n_ratings,
   round(avg(rating), 6) AS avg_rating FROM ratings GROUP BY item_id"""))
 def _item_count_avg(c: Ctx) -> DataFrame:
-    return rc.count_and_average(c.ratings).withColumn("avg_rating", r6("avg_rating"))
+    return rc.item_count_avg(c.ratings).withColumn("avg_rating", r6("avg_rating"))
 
 
 @query("item_counts", o.with_([o.RATINGS], "SELECT item_id, count(*) AS n_ratings FROM ratings GROUP BY item_id"))
 def _item_counts(c: Ctx) -> DataFrame:
-    return rc.count_and_average(c.ratings).select("item_id", "n_ratings")
+    return rc.item_counts(c.ratings)
 
 
 @query("mean_value", o.with_([o.RATINGS], "SELECT round(avg(rating), 6) AS mean_rating FROM ratings"))
 def _mean_value(c: Ctx) -> DataFrame:
-    return c.ratings.agg(r6(F.avg("rating")).alias("mean_rating"))
+    return rc.mean_value(c.ratings).withColumn("mean_rating", r6("mean_rating"))
 
 
 @query("token_total", o.with_(o.ER[:1], """SELECT CAST(sum(n) AS BIGINT) AS total_tokens FROM (
@@ -546,9 +544,8 @@ def _sample_take(c: Ctx) -> DataFrame:
 @query("build_corpus", o.with_(o.ER[:1], """SELECT 0 AS src, id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM tok_a
   UNION ALL SELECT 1 AS src, id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM tok_b"""))
 def _build_corpus(c: Ctx) -> DataFrame:
-    a = sm.record_tokens(c.a).select(F.lit(0).alias("src"), "id", F.size("tokens").alias("n_tokens"))
-    b = sm.record_tokens(c.b).select(F.lit(1).alias("src"), "id", F.size("tokens").alias("n_tokens"))
-    return basic.union_all(a, b)
+    corpus = sm.build_corpus(sm.record_tokens(c.a), sm.record_tokens(c.b))
+    return corpus.select("src", "id", F.size("tokens").alias("n_tokens"))
 
 
 @query("add_ratings", o.with_([o.RATINGS, o.SPLITS], """SELECT user_id, item_id, rating FROM train
@@ -557,7 +554,7 @@ def _add_ratings(c: Ctx) -> DataFrame:
     train, _, test = c.splits
     user = c.ratings.agg(F.min("user_id")).scalar()
     mine = test.where(F.col("user_id") == user)
-    return basic.union_all(train, mine)
+    return rc.add_ratings(train, mine)
 
 
 @query("distinct_day_host", o.with_(o.LOG, """SELECT DISTINCT CAST(dayofmonth(date_time) AS INTEGER) AS day, host
@@ -568,7 +565,7 @@ def _distinct_day_host(c: Ctx) -> DataFrame:
 
 @query("distinct_ids", o.with_(o.ER[:2], "SELECT DISTINCT id FROM tf_a"))
 def _distinct_ids(c: Ctx) -> DataFrame:
-    return basic.distinct_rows(c.tf_a, ["id"])
+    return basic.distinct_ids(c.tf_a)
 
 
 @query("distinct_not_found_endpoints", o.with_(o.LOG, """SELECT DISTINCT endpoint FROM access
