@@ -186,7 +186,7 @@ def _parse_product_csv(c: Ctx) -> DataFrame:
   CASE WHEN st = 1 THEN replace(regexp_extract(value, {o.q(o.GOLDFILE_PATTERN)}, 2), '"', '') END AS b_id,
   st AS parse_status
   FROM (SELECT value, CASE WHEN NOT regexp_matches(value, {o.q(o.GOLDFILE_PATTERN)}) THEN -1
-          WHEN regexp_extract(value, {o.q(o.GOLDFILE_PATTERN)}, 1) = '"idAmazon"' THEN 0 ELSE 1 END AS st
+          WHEN regexp_extract(value, {o.q(o.GOLDFILE_PATTERN)}, 1) = {o.q(ps.GOLDFILE_HEADER_FIELD)} THEN 0 ELSE 1 END AS st
         FROM gold_lines)"""))
 def _parse_gold_csv(c: Ctx) -> DataFrame:
     return ps.parse_gold_csv(fx.gold_lines(c.gold))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from tessera.functions.logs import ACCESS_LOG_PATTERN, ACCESS_LOG_PATTERN_ORIGINAL
 from tessera.sources.fixtures import GOLD_HEADER, PRODUCT_HEADER, STOPWORDS
-from tessera.sources.parsers import DATAFILE_PATTERN, GOLDFILE_PATTERN
+from tessera.sources.parsers import DATAFILE_HEADER_FIELD, DATAFILE_PATTERN, GOLDFILE_PATTERN
 
 STOP_LIST = "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"
 
@@ -102,7 +102,7 @@ PRODUCTS = f"""products AS (
     CASE WHEN st = 1 THEN concat_ws(' ', {_dp(2)}, {_dp(3)}, {_dp(4)}) END AS value,
     st AS parse_status
   FROM (SELECT value, CASE WHEN NOT coalesce(regexp_matches(value, {q(DATAFILE_PATTERN)}), false) THEN -1
-                      WHEN {_dp(1)} = '"id"' THEN 0 ELSE 1 END AS st
+                      WHEN {_dp(1)} = {q(DATAFILE_HEADER_FIELD)} THEN 0 ELSE 1 END AS st
         FROM product_lines))"""
 
 RECORDS = f"""rec_a AS (SELECT doc_id AS id, text AS value FROM documents),

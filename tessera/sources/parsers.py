@@ -17,9 +17,12 @@ from tessera.functions.logs import (
 )
 from tessera.functions.text import remove_quotes
 
-# Record patterns of the product and gold-mapping files.
+# Record patterns of the product and gold-mapping files, and
+# the first field that marks each file's header line.
 DATAFILE_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)'
 GOLDFILE_PATTERN = r"^(.+),(.+)"
+DATAFILE_HEADER_FIELD = '"id"'
+GOLDFILE_HEADER_FIELD = '"idAmazon"'
 
 GROUP_SEP = "\n\n"
 
@@ -123,7 +126,7 @@ def parse_product_csv(df: DataFrame, col: str = "value") -> DataFrame:
     from the id only.
     """
     g = _staged_groups(df, col, DATAFILE_PATTERN, 4)
-    status = F.when(~F.col("_m"), F.lit(-1)).when(F.col("_g1") == '"id"', F.lit(0)).otherwise(F.lit(1))
+    status = F.when(~F.col("_m"), F.lit(-1)).when(F.col("_g1") == DATAFILE_HEADER_FIELD, F.lit(0)).otherwise(F.lit(1))
     staged = g.select("*", status.alias("parse_status"))
     is_record = F.col("parse_status") == 1
     return staged.select(
@@ -136,7 +139,7 @@ def parse_product_csv(df: DataFrame, col: str = "value") -> DataFrame:
 def parse_gold_csv(df: DataFrame, col: str = "value") -> DataFrame:
     """``"a_id","b_id"`` lines -> (a_id, b_id, parse_status); header is 0."""
     g = _staged_groups(df, col, GOLDFILE_PATTERN, 2)
-    status = F.when(~F.col("_m"), F.lit(-1)).when(F.col("_g1") == '"idAmazon"', F.lit(0)).otherwise(F.lit(1))
+    status = F.when(~F.col("_m"), F.lit(-1)).when(F.col("_g1") == GOLDFILE_HEADER_FIELD, F.lit(0)).otherwise(F.lit(1))
     staged = g.select("*", status.alias("parse_status"))
     is_record = F.col("parse_status") == 1
     return staged.select(
