@@ -10,9 +10,9 @@ Plan shape of ``similarities`` (per side):
   -> tf * idf (shuffled hash join on token; hot tokens salted)
   -> unit-length weights by a window on id
 then one join of the two sides on (token, salt) and one partially
-aggregated group-by on (a_id, b_id). Hot tokens are salted: the A postings
-of a token with a large pair count are spread over several tasks and the
-B postings copied to each of them.
+aggregated group-by on (a_id, b_id). Hot tokens are salted: for a token
+with a large pair count, the side with more postings is spread over several
+tasks and the other side's postings are copied to each of them.
 """
 
 from __future__ import annotations
