@@ -22,7 +22,10 @@ def is_narrow(df: DataFrame) -> bool:
     planned per trigger)."""
     if df.isStreaming:
         return False
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    try:
+        return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # e.g. a Spark Connect session: no RDD view, assume a wide scan
+        return False
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
