@@ -55,7 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared (distributed) folder there; it is used as is.
     Only when the setting is missing (local tests) a scratch folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. Spark Connect: the server owns the checkpoint setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
