@@ -69,3 +69,14 @@ def test_als_pipeline_smoke(spark):
     rated = {r.item_id for r in ratings.where(F.col("user_id") == user).collect()}
     assert not rated & {r.item_id for r in recs}
     assert rc.mean_baseline_rmse(train, test).first().rmse > 0
+
+
+def test_add_ratings_size_invariant(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    ratings = fx.ratings(t.lineitem, t.orders)
+    train, _, test = rc.keyed_split(ratings)
+    user = ratings.agg(F.min("user_id")).first()[0]
+    mine = test.where(F.col("user_id") == user)
+    assert rc.add_ratings(train, mine).count() == train.count() + mine.count()
+    assert rc.item_counts(ratings).agg(F.sum("n_ratings")).first()[0] == ratings.count()
+    assert rc.mean_value(ratings).first().mean_rating == pytest.approx(ratings.agg(F.avg("rating")).first()[0])
