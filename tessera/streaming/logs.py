@@ -10,7 +10,6 @@ restarted or re-scheduled query continues where it stopped.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,11 +54,12 @@ def start_report(
 ) -> StreamingQuery:
     """Start a streaming report into an in-memory table named ``query_name``.
 
-    The checkpoint defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``.
+    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<query_name>``
+    (the shared folder), so starting the same named report again resumes
+    from its committed offsets and state instead of re-reading everything.
     """
     spark = access.sparkSession
-    location = checkpoint or os.path.join(checkpoint_dir(spark), "streams", f"{query_name}-{uuid.uuid4().hex}")
+    location = checkpoint or os.path.join(checkpoint_dir(spark), "streams", query_name)
     writer = (
         STREAM_REPORTS[report](access)
         .writeStream.outputMode("complete")

@@ -27,3 +27,24 @@ def test_stream_matches_batch(spark):
     got2 = {r.hour: r["count"] for r in spark.sql("SELECT * FROM hours_stream").collect()}
     expected2 = {r.hour: r["count"] for r in wl.not_found_by_hour(batch).collect()}
     assert got2 == expected2
+
+
+def test_restart_resumes_from_checkpoint(spark):
+    """A second start of the same named report reads only new files."""
+    import os
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    lines = fx.clf_lines(t.events).select("value")
+    src = tempfile.mkdtemp(prefix="tessera-stream-src-")
+    ckpt = tempfile.mkdtemp(prefix="tessera-stream-ckpt-")
+    lines.limit(100).write.text(os.path.join(src, "b1"))
+    access = access_stream(log_line_stream(spark, src + "/*"))
+    q = start_report(access, "response_code_counts", "resume_stream", checkpoint=ckpt)
+    q.awaitTermination(120)
+    first = sum(r["count"] for r in spark.sql("SELECT * FROM resume_stream").collect())
+    lines.limit(50).write.text(os.path.join(src, "b2"))
+    q2 = start_report(access_stream(log_line_stream(spark, src + "/*")), "response_code_counts",
+                      "resume_stream2", checkpoint=ckpt)
+    q2.awaitTermination(120)
+    second = sum(r["count"] for r in spark.sql("SELECT * FROM resume_stream2").collect())
+    assert first > 0 and second == first + 50 - sum(1 for r in lines.limit(50).collect() if r.value.startswith("junk"))
