@@ -90,7 +90,8 @@ def skew_safe_lookup_join(
     hot: DataFrame,
     salts: int = HOT_SALTS,
 ) -> DataFrame:
-    """``rows`` joined to ``lookup`` (one row per key) on ``key``.
+    """``rows`` joined to ``lookup`` on ``key`` (any number of lookup rows
+    per key; typically one).
 
     Rows of hot keys (``hot``: a bounded key set, see ``hot_keys``) are
     spread over ``salts`` tasks by a hash of ``split_by`` and their lookup

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
+from tessera.plans.joins import hot_keys, skew_safe_lookup_join
 from tessera.plans.partitioning import spread, spread_before
 from tessera.sources.text import document_lines
 
@@ -193,7 +194,11 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
         .groupBy("b_id")
         .agg(F.min_by("token", F.struct(F.coalesce("df_a", F.lit(0)), F.col("token"))).alias("token"))
     )
-    candidates = a_tok.join(anchors, "token").select("a_id", "b_id")
+    # A's postings of a hot anchor token are spread over several tasks (its
+    # anchors copied to each); the hot set is bounded (top-k by postings).
+    anchored = a_df.join(anchors.select("token").distinct(), "token", "left_semi")
+    hot = hot_keys(anchored, "token", "df_a")
+    candidates = skew_safe_lookup_join(a_tok, anchors, "token", "a_id", hot).select("a_id", "b_id")
     return (
         candidates.join(_token_text(a_lists, "a_id", "a_text"), "a_id")
         .join(_token_text(b_lists, "b_id", "b_text"), "b_id")

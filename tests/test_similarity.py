@@ -196,3 +196,14 @@ def test_salting_splits_the_larger_side(spark):
     assert got.keys() == expected.keys()
     for k, v in expected.items():
         assert got[k] == pytest.approx(v, rel=1e-9)
+
+
+def test_skew_safe_lookup_join_many_lookup_rows_per_key(spark):
+    from tessera.plans.joins import hot_keys, skew_safe_lookup_join
+
+    rows = spark.range(0, 3000).select(F.col("id"), (F.col("id") % 4).cast("string").alias("k"))
+    lookup = spark.createDataFrame([("0", 1), ("0", 2), ("1", 3), ("3", 4), ("3", 5), ("3", 6)], "k string, b int")
+    hot = hot_keys(rows.groupBy("k").count(), "k", "count", max_keys=3, min_rows=0)
+    got = sorted(tuple(r) for r in skew_safe_lookup_join(rows, lookup, "k", "id", hot, salts=5).select("id", "b").collect())
+    plain = sorted(tuple(r) for r in rows.join(lookup, "k").select("id", "b").collect())
+    assert got == plain
