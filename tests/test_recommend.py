@@ -80,3 +80,11 @@ def test_add_ratings_size_invariant(spark):
     assert rc.add_ratings(train, mine).count() == train.count() + mine.count()
     assert rc.item_counts(ratings).agg(F.sum("n_ratings")).first()[0] == ratings.count()
     assert rc.mean_value(ratings).first().mean_rating == pytest.approx(ratings.agg(F.avg("rating")).first()[0])
+
+
+def test_stable_sort_descending_is_total(spark):
+    rows = [(3.0004, "a"), (3.0001, "b"), (2.0, "z"), (3.0, "c")]
+    got = [tuple(r) for r in basic.stable_sort(spark.createDataFrame(rows, "k double, v string"), "k", "v",
+                                                ascending=False).collect()]
+    # 3.0004, 3.0001 and 3.0 all round to 3.000, so the value breaks the tie (descending)
+    assert [v for _, v in got] == ["c", "b", "a", "z"]

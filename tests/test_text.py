@@ -111,3 +111,9 @@ def test_from_values(spark):
 
     df = from_values(spark, [(1, "a"), (2, "b")], "k int, v string")
     assert [tuple(r) for r in df.orderBy("k").collect()] == [(1, "a"), (2, "b")]
+
+
+def test_numbered_lines_by_order_column(spark):
+    df = spark.createDataFrame([("c",), ("a",), ("b",)], "w string").repartition(3)
+    got = sorted((r.line_index, r.w) for r in numbered_lines(df, order_col="w").collect())
+    assert got == [(0, "a"), (1, "b"), (2, "c")]
