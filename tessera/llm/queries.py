@@ -5,9 +5,11 @@ Queries without SQL (see README) are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate
+from tessera.llm import decontaminate, sentencepieces, token_files
 
 QUERIES = {
+    "op2_token_files": token_files.op2_token_files,
+    "op3_sentencepiece": sentencepieces.op3_sentencepiece,
     "op4_decontamination": decontaminate.op4_decontamination,
 }
 
