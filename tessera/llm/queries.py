@@ -5,13 +5,15 @@ Queries without SQL (see README) are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, sentencepieces, simhash, token_files
+from tessera.llm import decontaminate, language, sentencepieces, sharding, simhash, token_files
 
 QUERIES = {
     "op2_token_files": token_files.op2_token_files,
     "op3_sentencepiece": sentencepieces.op3_sentencepiece,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op8_simhash": simhash.op8_simhash,
+    "op9_language": language.op9_language,
+    "op10_sharding": sharding.op10_sharding,
 }
 
 SQL = {
