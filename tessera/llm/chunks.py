@@ -12,53 +12,69 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import numpy as np
+CAPACITY = 1_000_000
 
-CAPACITY = 600_000
-
-# White space beside a space: such a text is cut by the pattern below.
-_RAGGED = re.compile(r" \s|[^\S ] |^\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
+class _Store:
+    """Ids by chunk; emptied when it would outgrow its capacity."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], capacity: int):
+        self.encode, self.capacity = encode, capacity
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, wanted: set[str]) -> dict[str, bytes]:
+        missing = list(wanted.difference(self.known))
+        if len(self.known) + len(missing) > self.capacity:
+            self.known.clear()
+            missing = list(wanted)
+        if missing:
+            self.known.update(zip(missing, self.encode(missing), strict=True))
+        return self.known
+
+
 class ChunkEncoder:
-    """``encode_first`` encodes chunks that begin a text, ``encode_rest`` those
-    that follow a space, given without it; both take and return lists."""
+    """``encode_first`` encodes strings that begin a text, ``encode_rest``
+    those that follow a space, given without it. Both return the ids as
+    little-endian unsigned 32-bit integers. Texts of which ``whole`` is true
+    are never cut."""
 
     def __init__(
         self,
-        encode_first: Callable[[list[str]], list[list[int]]],
-        encode_rest: Callable[[list[str]], list[list[int]]],
+        encode_first: Callable[[list[str]], list[bytes]],
+        encode_rest: Callable[[list[str]], list[bytes]],
         whole: Callable[[str], bool],
         capacity: int = CAPACITY,
     ):
-        self.encode_first, self.encode_rest = encode_first, encode_rest
-        self.whole, self.capacity = whole, capacity
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        self.whole = whole
+        self.first, self.rest = _Store(encode_first, capacity // 20), _Store(encode_rest, capacity)
 
     def _chunks(self, text: str) -> list[str]:
+        if not text:
+            return []
         if self.whole(text):
             return [text]
-        if _RAGGED.search(text):
-            first, *rest = _CUT.split(text)
-            return [first, *[x[1:] for x in rest]]
         return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        chunks = [self._chunks(x) if x else [] for x in texts]
-        for store, encode, wanted in (
-            (self.first, self.encode_first, {c[0] for c in chunks if c}),
-            (self.rest, self.encode_rest, set().union(*[c[1:] for c in chunks])),
-        ):
-            missing = list(wanted.difference(store))
-            if len(store) + len(missing) > self.capacity:
-                store.clear()
-                missing = list(wanted)
-            store.update((k, np.array(ids, "<u4").tobytes()) for k, ids in zip(missing, encode(missing), strict=True))
-        first, rest = self.first, self.rest
+        """Ids of each text."""
+        chunks = [self._chunks(x) for x in texts]
+        wanted = set().union(*[c[1:] for c in chunks])
+        new = wanted.difference(self.rest.known)
+        new.update(c[0] for c in chunks if len(c) > 1)
+        # Chunks that are empty or end in white space: a space was beside other white space.
+        odd = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
+        if odd:
+            for i, c in enumerate(chunks):
+                if len(c) > 1 and not odd.isdisjoint(c):
+                    first, *rest = _CUT.split(texts[i])
+                    chunks[i] = [first, *[x[1:] for x in rest]]
+            wanted = set().union(*[c[1:] for c in chunks])
+        first = self.first.learn({c[0] for c in chunks if c})
+        rest = self.rest.learn(wanted)
         out = [b"".join([first[c[0]], *[rest[x] for x in c[1:]]]) if c else b"" for c in chunks]
-        if len(first) > self.capacity // 10:
-            first.clear()  # beginnings of texts seldom come again
+        if odd:  # not to be taken for chunks between single spaces later
+            for x in [x for x in wanted if x[0].isspace() or x[-1].isspace()]:
+                del rest[x]
         return out

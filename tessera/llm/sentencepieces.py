@@ -170,8 +170,8 @@ class Pieces:
 
     @cached_property
     def chunks(self) -> ChunkEncoder:
-        def encode(texts: list[str]) -> list[list[int]]:
-            return self.lib.encode(texts, num_threads=1) if texts else []
+        def encode(texts: list[str]) -> list[bytes]:
+            return [np.array(x, "<u4").tobytes() for x in self.lib.encode(texts, num_threads=1)]
 
         return ChunkEncoder(encode, encode, lambda text: not self.cut or MARK in text)
 

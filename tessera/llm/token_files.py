@@ -65,6 +65,8 @@ def tokenizer_path(name: str) -> str:
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
+JOIN = 2000
+
 
 def byte_bpe(path: str) -> ChunkEncoder:
     """Encoder over a ``tokenizers`` file, one for each worker. Texts are cut
@@ -83,15 +85,37 @@ def byte_bpe(path: str) -> ChunkEncoder:
             spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
             and spec["truncation"] is None and spec["padding"] is None and spec["model"]["type"] == "BPE"
         )
-        added = [re.escape(x["content"]) for x in spec["added_tokens"]]
-        special = re.compile("|".join(added)).search if added else (lambda text: None)
-
-        def encode(texts: list[str]) -> list[list[int]]:
-            return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-        _ENCODERS[path] = ChunkEncoder(
-            encode, lambda texts: encode([" " + x for x in texts]), lambda text: not plain or special(text) is not None
-        )
+        added = [x["content"] for x in spec["added_tokens"]]
+        size = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for token, number in tokenizer.get_vocab().items():
+            size[number] = len(token)  # a character of a byte-level token is a byte
+
+        def encode(texts: list[str]) -> list[bytes]:
+            return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def after_space(words: list[str]) -> list[bytes]:
+            """Words are laid end to end, each behind a space, and encoded in
+            one go; the tokens' byte lengths tell the words apart again."""
+            out = []
+            for a in range(0, len(words), JOIN):
+                some = [" " + x for x in words[a : a + JOIN]]
+                if any(x[-1].isspace() or x[1].isspace() for x in some):
+                    out += encode(some)
+                    continue
+                raw = encode(["".join(some)])[0]
+                ends = np.concatenate(([0], np.cumsum(size[np.frombuffer(raw, "<u4")])))
+                wanted = np.concatenate(([0], np.cumsum([len(x.encode()) for x in some])))
+                cut = np.searchsorted(ends, wanted)
+                if not np.array_equal(ends[np.minimum(cut, len(ends) - 1)], wanted):
+                    raise ValueError("tokens run across words")
+                cut = (4 * cut).tolist()
+                out += [raw[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+            return out
+
+        def whole(text: str) -> bool:
+            return not plain or any(x in text for x in added)
+
+        _ENCODERS[path] = ChunkEncoder(encode, after_space, whole)
     return _ENCODERS[path]
 
 
@@ -266,7 +290,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("part", "path", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return files.repartition(F.col("part")).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
