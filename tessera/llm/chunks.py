@@ -12,6 +12,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 CAPACITY = 1_000_000
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -47,34 +51,62 @@ class ChunkEncoder:
         whole: Callable[[str], bool],
         capacity: int = CAPACITY,
     ):
-        self.whole = whole
-        self.first, self.rest = _Store(encode_first, capacity // 20), _Store(encode_rest, capacity)
-
-    def _chunks(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self.whole(text):
-            return [text]
-        return text.split(" ")
+        self.whole, self.encode_first, self.encode_rest = whole, encode_first, encode_rest
+        self.rest = _Store(encode_rest, capacity)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        chunks = [self._chunks(x) for x in texts]
-        wanted = set().union(*[c[1:] for c in chunks])
-        new = wanted.difference(self.rest.known)
-        new.update(c[0] for c in chunks if len(c) > 1)
+        out = [b""] * len(texts)
+        cut, alone = [], []
+        for i, text in enumerate(texts):
+            if text:
+                (alone if self.whole(text) else cut).append(i)
+        if cut:
+            for i, ids in zip(cut, self._cut([texts[i] for i in cut]), strict=True):
+                out[i] = ids
+        if alone:
+            for i, ids in zip(alone, self.encode_first([texts[i] for i in alone]), strict=True):
+                out[i] = ids
+        return out
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), pattern=" ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        unit = coded.indices.to_numpy().astype(np.int64)
+        words = coded.dictionary.to_pylist()
         # Chunks that are empty or end in white space: a space was beside other white space.
-        odd = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
-        if odd:
-            for i, c in enumerate(chunks):
-                if len(c) > 1 and not odd.isdisjoint(c):
-                    first, *rest = _CUT.split(texts[i])
-                    chunks[i] = [first, *[x[1:] for x in rest]]
-            wanted = set().union(*[c[1:] for c in chunks])
-        first = self.first.learn({c[0] for c in chunks if c})
-        rest = self.rest.learn(wanted)
-        out = [b"".join([first[c[0]], *[rest[x] for x in c[1:]]]) if c else b"" for c in chunks]
-        if odd:  # not to be taken for chunks between single spaces later
-            for x in [x for x in wanted if x[0].isspace() or x[-1].isspace()]:
-                del rest[x]
+        odd = np.array(pc.or_(pc.equal(pc.binary_length(coded.dictionary), 0), pc.not_equal(pc.ascii_trim_whitespace(coded.dictionary), coded.dictionary)))
+        for i in np.flatnonzero(~np.array(pc.string_is_ascii(coded.dictionary))):
+            odd[i] |= words[i][0].isspace() or words[i][-1].isspace()
+        ragged = np.unique(np.searchsorted(offsets, np.flatnonzero(odd[unit]), side="right") - 1)
+        even = np.ones(len(texts), bool)
+        even[ragged] = False
+        sizes = np.diff(offsets)
+        first = self.encode_first([texts[i].partition(" ")[0] for i in np.flatnonzero(even)]) if even.any() else []
+        inner = np.repeat(even, sizes)
+        inner[offsets[:-1]] = False
+        used = np.unique(unit[inner])
+        chosen = [words[i] for i in used]
+        known = self.rest.learn(set(chosen))
+        ids = [known[x] for x in chosen]
+        length = np.zeros(len(words) + len(first), np.int64)
+        length[used] = [len(x) // 4 for x in ids]
+        length[len(words) :] = [len(x) // 4 for x in first]
+        start = np.zeros(len(length), np.int64)
+        order = np.concatenate((used, len(words) + np.arange(len(first))))
+        start[order] = np.cumsum(length[order]) - length[order]
+        flat = np.frombuffer(b"".join([*ids, *first]), "<u4")
+        unit[offsets[:-1][even]] = len(words) + np.arange(len(first))
+        unit = unit[np.repeat(even, sizes)]
+        n = length[unit]
+        ends = np.cumsum(n)
+        made = flat[np.repeat(start[unit] - (ends - n), n) + np.arange(int(n.sum()))].tobytes()
+        stops = (4 * np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes[even])))]).tolist()
+        out = [b""] * len(texts)
+        for i, a, b in zip(np.flatnonzero(even).tolist(), stops[:-1], stops[1:], strict=True):
+            out[i] = made[a:b]
+        for i in ragged.tolist():
+            head, *tail = _CUT.split(texts[i])
+            out[i] = b"".join([*self.encode_first([head]), *(self.encode_rest([x[1:] for x in tail]) if tail else [])])
         return out

@@ -27,6 +27,7 @@ from tessera.llm.chunks import ChunkEncoder
 from tessera.llm.common import annotate, table
 from tessera.llm.token_files import tokenizer_path
 
+ROWS = 1000
 MARK = "▁"  # stands for a space in pieces
 
 OUT = T.StructType([
@@ -236,8 +237,8 @@ def digest_pieces(docs: DataFrame, model: str, text_col: str = "text") -> DataFr
     def run(rows: pa.StructArray) -> dict:
         m, out = pieces(model), {f.name: [] for f in OUT}
         texts = _texts(rows.field(at))
-        for a in range(0, len(texts), 1000):
-            some = texts[a : a + 1000]
+        for a in range(0, len(texts), ROWS):
+            some = texts[a : a + ROWS]
             for text, ids in zip(some, m.encode(some), strict=True):
                 begin, end = m.spans(text, ids)
                 listed = ids.tolist()

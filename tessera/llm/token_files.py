@@ -65,7 +65,8 @@ def tokenizer_path(name: str) -> str:
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
-JOIN = 2000
+JOIN = 200
+ROWS = 1000
 
 
 def byte_bpe(path: str) -> ChunkEncoder:
@@ -99,7 +100,7 @@ def byte_bpe(path: str) -> ChunkEncoder:
             out = []
             for a in range(0, len(words), JOIN):
                 some = [" " + x for x in words[a : a + JOIN]]
-                if any(x[-1].isspace() or x[1].isspace() for x in some):
+                if any(x[-1].isspace() for x in some):
                     out += encode(some)
                     continue
                 raw = encode(["".join(some)])[0]
@@ -255,8 +256,8 @@ def write_tokens(
                 out = where.open_output_stream(f"{folder}/{name}", compression=None)
                 writer = TokenFileWriter(out, frame_ids, level)
             ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for a in range(0, len(texts), 1000):
-                for doc_id, tokens in zip(ids[a : a + 1000], encoder.encode(texts[a : a + 1000]), strict=True):
+            for a in range(0, len(texts), ROWS):
+                for doc_id, tokens in zip(ids[a : a + ROWS], encoder.encode(texts[a : a + ROWS]), strict=True):
                     writer.add(doc_id, tokens + end)
         if writer is not None:
             writer.close()
