@@ -5,12 +5,13 @@ Queries without SQL (see README) are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, language, quality, sentencepieces, sharding, simhash, token_files
+from tessera.llm import decontaminate, language, quality, sentencepieces, sharding, simhash, substrings, token_files
 
 QUERIES = {
     "op2_token_files": token_files.op2_token_files,
     "op3_sentencepiece": sentencepieces.op3_sentencepiece,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_substring_dedup": substrings.op5_substring_dedup,
     "op6_quality": quality.op6_quality,
     "op8_simhash": simhash.op8_simhash,
     "op9_language": language.op9_language,
@@ -19,4 +20,5 @@ QUERIES = {
 
 SQL = {
     "op4_decontamination": decontaminate.SQL,
+    "op5_substring_dedup": substrings.SQL,
 }
