@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 BUCKET_KEYS = 500_000
 
+TALLY = -1  # the block number of tallies
+
 REQUEST = "bucket int, block long, keys binary, known binary"
 REPLY = "block long, kind int, bucket int, reply binary"
 
@@ -117,11 +119,15 @@ def _known(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def answer(asked: DataFrame, kind: int, join: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]]) -> DataFrame:
+def answer(
+    asked: DataFrame, kind: int, join: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]],
+    tally: Callable[[np.ndarray, list[np.ndarray]], int] | None = None,
+) -> DataFrame:
     """Replies to ``asked`` (``REQUEST``). ``join`` gets what all blocks know
     of a bucket's keys, sorted by key, with the places where a new key starts,
     and returns arrays with an entry per distinct key; each block is sent
-    those entries for its keys."""
+    those entries for its keys. ``tally`` makes a number of a bucket's distinct
+    keys and their entries, see ``tallied``."""
 
     def run(bucket: pa.Table) -> pa.Table:
         blocks = bucket.column("block").to_pylist()
@@ -131,7 +137,8 @@ def answer(asked: DataFrame, kind: int, join: Callable[[list[np.ndarray], np.nda
         order = np.argsort(every, kind="stable")
         ranked = every[order]
         new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-        joined = join([np.concatenate(k)[order] for k in zip(*known, strict=True)], np.flatnonzero(new))
+        starts = np.flatnonzero(new)
+        joined = join([np.concatenate(k)[order] for k in zip(*known, strict=True)], starts)
         place = np.empty(len(every), np.int64)
         place[order] = np.cumsum(new) - 1
         replies, at = [], 0
@@ -140,15 +147,24 @@ def answer(asked: DataFrame, kind: int, join: Callable[[list[np.ndarray], np.nda
             at += len(k)
             parts = [pack_ints(x[mine]) for x in joined]
             replies.append(struct.pack(f"<B{len(parts)}I", len(parts), *map(len, parts)) + b"".join(parts))
-        n = len(blocks)
+        buckets = bucket.column("bucket").to_pylist()
+        if tally:
+            blocks.append(TALLY)
+            buckets.append(buckets[0])
+            replies.append(struct.pack("<q", tally(ranked[starts], joined)))
         return pa.table({
-            "block": pa.array(blocks, pa.int64()), "kind": pa.array([kind] * n, pa.int32()),
-            "bucket": bucket.column("bucket").combine_chunks(), "reply": pa.array(replies, pa.binary()),
+            "block": pa.array(blocks, pa.int64()), "kind": pa.array([kind] * len(blocks), pa.int32()),
+            "bucket": pa.array(buckets, pa.int32()), "reply": pa.array(replies, pa.binary()),
         })
 
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
 
+def tallied(told: DataFrame) -> int:
+    """Sum of the tallies: one number per bucket comes to the driver."""
+    return sum(struct.unpack("<q", r["reply"])[0] for r in told.where(F.col("block") == TALLY).select("reply").toLocalIterator())
+
+
 def replies(rows: pa.Table, kind: int, n: int, keys: int) -> list[np.ndarray]:
     """A block's replies of a kind, joined in the order of its keys: ``n``
     arrays with an entry for each of ``keys`` keys."""

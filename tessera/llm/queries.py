@@ -5,9 +5,10 @@ Queries without SQL (see README) are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, language, quality, sentencepieces, sharding, simhash, substrings, token_files
+from tessera.llm import decontaminate, language, lm, quality, sentencepieces, sharding, simhash, substrings, token_files
 
 QUERIES = {
+    "op1_deleted_interpolation": lm.op1_deleted_interpolation,
     "op2_token_files": token_files.op2_token_files,
     "op3_sentencepiece": sentencepieces.op3_sentencepiece,
     "op4_decontamination": decontaminate.op4_decontamination,
