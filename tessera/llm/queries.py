@@ -5,7 +5,7 @@ Queries without SQL (see README) are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, language, lm, quality, sentencepieces, sharding, simhash, substrings, token_files
+from tessera.llm import decontaminate, language, lm, neighbours, quality, sentencepieces, sharding, simhash, substrings, token_files
 
 QUERIES = {
     "op1_deleted_interpolation": lm.op1_deleted_interpolation,
@@ -14,6 +14,7 @@ QUERIES = {
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op6_quality": quality.op6_quality,
+    "op7_nn_descent": neighbours.op7_nn_descent,
     "op8_simhash": simhash.op8_simhash,
     "op9_language": language.op9_language,
     "op10_sharding": sharding.op10_sharding,
