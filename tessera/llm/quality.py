@@ -44,7 +44,7 @@ EPOCHS = 8
 BATCH = 256
 STEPS = 400  # at least so many, for small samples
 RATE = 0.3
-SPARSITY = 2e-5
+SPARSITY = 1e-3
 REJECT = 0.5
 TARGETS = ("quality", "toxic")
 
@@ -129,28 +129,33 @@ def fit(rows: Rows, y: np.ndarray, bits: int, epochs: int = EPOCHS) -> tuple[np.
     shrinks with its past gradients, and soft thresholds that leave features
     without evidence at zero."""
     n, rng = len(y), np.random.default_rng(7)
-    w, past = np.zeros(1 << bits), np.full(1 << bits, 1e-3)
+    weights = np.zeros(1 << bits)
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3) if n else 0.5
     bias = float(np.log(share / (1 - share)))
     if not n or y.min() == y.max():
-        return w, bias
-    bias_past = 1e-3
+        return weights, bias
+    # Features of one row alone tell nothing of others.
+    used = np.flatnonzero(np.bincount(rows.flat, minlength=1 << bits) > 1)
+    place = np.full(1 << bits, -1, np.int64)
+    place[used] = np.arange(len(used))
+    kept = place[rows.flat]
+    rows = Rows(kept[kept >= 0], np.concatenate(([0], np.cumsum(kept >= 0)))[rows.ends])
+    w, past, bias_past = np.zeros(len(used)), np.full(len(used), 1e-3), 1e-3
     for _ in range(max(epochs, min(200, STEPS * BATCH // n))):
         order = rng.permutation(n)
         for a in range(0, n, BATCH):
             index = order[a : a + BATCH]
             part = rows.take(index)
             error = _sigmoid(part.sums(w) + bias) - y[index]
-            sizes = np.diff(part.ends, prepend=0)
-            used, at = np.unique(part.flat, return_inverse=True)
-            grad = np.bincount(at, np.repeat(error, sizes), len(used)) / len(index)
-            past[used] += grad * grad
-            rate = RATE / np.sqrt(past[used])
-            moved = w[used] - rate * grad
-            w[used] = np.sign(moved) * np.maximum(0, np.abs(moved) - rate * SPARSITY)
+            grad = np.bincount(part.flat, np.repeat(error, np.diff(part.ends, prepend=0)), len(used)) / len(index)
+            past += grad * grad
+            rate = RATE / np.sqrt(past)
+            w -= rate * grad
+            w = np.sign(w) * np.maximum(0, np.abs(w) - rate * SPARSITY * (grad != 0))
             bias_past += error.mean() ** 2
             bias -= RATE * error.mean() / np.sqrt(bias_past)
-    return w, bias
+    weights[used] = w
+    return weights, bias
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
