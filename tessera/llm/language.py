@@ -13,7 +13,7 @@ so they do not depend on how rows are spread.
 Defined cases: a null text or one without letters gets ``und`` with score 0;
 rows without a language are never learned from; equal cosines go to the first
 language by name; without any row to learn from every text gets ``und``; rows
-of equal id are kept; empty tables give empty results; other columns are left.
+of equal id are kept; empty tables give empty results; other columns are passed through.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.common import in_blocks, table
+from tessera.llm.common import annotate, in_blocks, table
 
 DIM = 2048
 N = 3
@@ -34,6 +35,8 @@ FOLDS = 5
 UNKNOWN = "und"
 _SHIFT = 21  # bits of a code point
 
+OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+
 _LETTERS: dict[tuple[int, int], np.ndarray] = {}
 _ALPHA: list[np.ndarray] = []
 
@@ -121,34 +124,29 @@ def prototypes(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
     return langs, out
 
 
-def identify(
-    docs: DataFrame, langs: list[str], model: np.ndarray, keep: list[str], text_col: str = "text", n: int = N
-) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score`` (the cosine, 0 if
-    negative)."""
-    dim = model.shape[1]
+def identify(docs: DataFrame, langs: list[str], model: np.ndarray, text_col: str = "text", n: int = N) -> DataFrame:
+    """``row`` (the document's columns) and ``out`` (``OUT``: the language and
+    its cosine, 0 if negative) per document."""
+    dim, at = model.shape[1], docs.columns.index(text_col)
     norm = np.linalg.norm(model, axis=1, keepdims=True)
     shared = docs.sparkSession.sparkContext.broadcast((langs, (model / np.where(norm > 0, norm, 1)).T))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: pa.StructArray) -> dict:
         names, unit = shared.value
-        for batch in batches:
-            pred, score = [], []
-            for text in _texts(batch.column(0)):
-                grams, counts = np.unique(ngrams(text, n), return_counts=True)
-                if not len(grams) or not names:
-                    pred.append(UNKNOWN)
-                    score.append(0.0)
-                    continue
+        pred, score = [], []
+        for text in _texts(rows.field(at)):
+            grams, counts = np.unique(ngrams(text, n), return_counts=True)
+            best, cosine = UNKNOWN, 0.0
+            if len(grams) and names:
                 v = bundle(grams, counts, n, dim)
-                cosine = v @ unit / max(np.linalg.norm(v), 1e-12)
-                best = int(np.argmax(cosine))
-                pred.append(names[best])
-                score.append(float(min(1.0, max(0.0, cosine[best]))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names[1:], "lang_pred", "score"])
+                cosines = v @ unit / max(np.linalg.norm(v), 1e-12)
+                first = int(np.argmax(cosines))
+                best, cosine = names[first], float(min(1.0, max(0.0, cosines[first])))
+            pred.append(best)
+            score.append(cosine)
+        return {"lang_pred": pred, "score": score}
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(F.col(text_col).alias("__text"), *keep).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return annotate(docs, run, OUT)
 
 
 def fold(id_col: str = "doc_id") -> Column:
@@ -160,4 +158,4 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     langs, model = prototypes(docs.where(fold() != 0))
     rows = docs.select("doc_id", (fold() == 0).alias("held_out"), "text")
-    return identify(rows, langs, model, ["doc_id", "held_out"])
+    return identify(rows, langs, model).select("row.doc_id", "row.held_out", "out.*")

@@ -235,7 +235,7 @@ def score(
         stays, goes = ex.replies(right, COUNTS, 2, len(grams.keys))
         bucket, p, c = grams.estimates(stays + goes, train)
         w = _weights(weights.value, bucket, order)
-        mixed = np.log10(w[:, 0] * uniform + (w[:, 1:] * p).sum(axis=1))
+        mixed = np.log10(w[:, 0] * uniform + (w[:, 1:] * p).sum(axis=1) if train else np.full(len(c), uniform))
         base = np.log10((c + 0.5) / (train + 0.5 * (distinct + 1)))
         first = np.cumsum(grams.tokens) - grams.tokens
         n = len(grams.tokens)
