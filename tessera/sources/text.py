@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,36 +37,52 @@ def document_lines(
     ).where(F.col("line").isNotNull())
 
 
-def numbered_lines(df: DataFrame, order_col: str | None = None) -> DataFrame:
-    """Attach a global 0-based ``line_index`` (the ``zipWithIndex`` operation).
+def _range_bucket(key: Column, bounds: Sequence[Column]) -> Column:
+    """How many of the ascending ``bounds`` are not above ``key``, as a
+    balanced tree of comparisons."""
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    Without ``order_col`` the index follows the physical order of rows (file
-    and partition order), computed with per-partition counts and offsets:
-    only one row per partition is aggregated, never the data itself.  With
-    ``order_col`` the index follows that (total) ordering instead, via a
-    range-partitioned sort.
+    return tree(0, len(bounds))
 
-    The input must be deterministic (a file scan, or a checkpointed
-    DataFrame), because it is evaluated twice.
+
+def numbered_lines(df: DataFrame, order_by: str | Sequence[str], ranges: int = 64) -> DataFrame:
+    """Attach a global 0-based ``line_index`` in the order of ``order_by``
+    (the ``zipWithIndex`` operation).
+
+    Rows have no position of their own, so the order must come from columns;
+    rows that are equal in them are ordered by a hash of all columns. The
+    order is cut into ``ranges`` ranges at values taken from a sample of at
+    most ``100 * ranges`` rows, chosen by that hash. A row's range follows
+    from its own values alone, so the count per range and the number inside
+    it agree however the plan is run. One count per range reaches the driver.
     """
-    if order_col is not None:
-        df = df.orderBy(order_col)
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_mid", F.monotonically_increasing_id()
-    )
-    # monotonically_increasing_id = (partition id << 33) + position in partition
-    tagged = tagged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: the running total is tiny whatever the data size.
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_offset"),
-    )
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn("line_index", F.col("_offset") + F.col("_pos"))
-        .drop("_pid", "_mid", "_pos", "_offset")
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    if not order:
+        raise ValueError("numbered_lines needs columns to order by")
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    keyed = df.withColumn("_tie", tie)
+    names = [*order, "_tie"]
+    # Bounds as literals: both passes below use the same ones.
+    sample = sorted(
+        (tuple(r) for r in keyed.select(*names).orderBy(F.xxhash64("_tie")).limit(100 * ranges).collect()),
+        key=lambda r: [(x is not None, x) for x in r],
     )
+    picked = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
+    types = [keyed.schema[c].dataType for c in names]
+    bounds = [F.struct(*[F.lit(x).cast(t).alias(n) for x, t, n in zip(r, types, names)]) for r in dict.fromkeys(picked)]
+    ranged = keyed.withColumn("_range", _range_bucket(F.struct(*names), bounds))
+    counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
+    before, starts = 0, []
+    for i in range(len(bounds) + 1):
+        starts.append(before)
+        before += counts.get(i, 0)
+    start = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in starts]), F.col("_range") + 1)
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*names))
+    return ranged.withColumn("line_index", start + inside - 1).drop("_tie", "_range")
 
 
 def from_values(

@@ -1,5 +1,6 @@
 """Word count and tokenizer literals (the cases the original labs assert)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.text import clean_text, remove_quotes, simple_tokenize, tokenize
@@ -71,9 +72,11 @@ def test_document_lines_and_numbering(spark):
     docs = spark.createDataFrame([(1, "x\ny\nz"), (2, "only")], "doc_id long, text string")
     lines = document_lines(docs).orderBy("doc_id", "line_no").collect()
     assert [(r.doc_id, r.line_no, r.line) for r in lines] == [(1, 0, "x"), (1, 1, "y"), (1, 2, "z"), (2, 0, "only")]
-    idx = numbered_lines(spark.range(0, 1000, 1, 7)).collect()
+    idx = numbered_lines(spark.range(0, 1000, 1, 7), "id").collect()
     assert sorted(r.line_index for r in idx) == list(range(1000))
     assert all(r.line_index == r.id for r in idx)
+    with pytest.raises(ValueError):
+        numbered_lines(spark.range(3), [])
 
 
 def test_range_sums(spark):
@@ -115,5 +118,32 @@ def test_from_values(spark):
 
 def test_numbered_lines_by_order_column(spark):
     df = spark.createDataFrame([("c",), ("a",), ("b",)], "w string").repartition(3)
-    got = sorted((r.line_index, r.w) for r in numbered_lines(df, order_col="w").collect())
+    got = sorted((r.line_index, r.w) for r in numbered_lines(df, "w").collect())
     assert got == [(0, "a"), (1, "b"), (2, "c")]
+
+
+def test_numbered_lines_with_ties_nulls_and_a_hot_value(spark):
+    rows = [("same", i) for i in range(900)] + [(None, i) for i in range(5)] + [("zz", 1), ("zz", 1), ("aa", None)]
+    df = spark.createDataFrame(rows, "w string, n int").repartition(5)
+    got = sorted((r.line_index, r.w) for r in numbered_lines(df, "w", ranges=8).collect())
+    assert [i for i, _ in got] == list(range(len(rows)))
+    assert [w for _, w in got] == sorted((w for w, _ in rows), key=lambda w: (w is not None, w or ""))
+    assert numbered_lines(df.limit(0), "w").collect() == []
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_numbered_lines_keeps_every_row(spark, tmp_path, coalesce):
+    """Whole rows, written and read back, with partitions coalesced or not."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        numbered_lines(docs, "doc_id").write.parquet(str(tmp_path / "a"))
+        spark.range(2_000_000).select((F.col("id") * 7919 % 2_000_000).alias("k")).write.parquet(str(tmp_path / "b"))
+        numbered_lines(spark.read.parquet(str(tmp_path / "b")), "k").write.parquet(str(tmp_path / "c"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    small = spark.read.parquet(str(tmp_path / "a"))
+    assert small.where("line_index = doc_id").count() == docs.count() == small.count()
+    large = spark.read.parquet(str(tmp_path / "c"))
+    assert large.where("line_index = k").count() == large.count() == 2_000_000
