@@ -80,3 +80,20 @@ def test_time_parse_ignores_session_zone(spark):
         assert parse_access_log(lines(spark, bad)).first().date_time is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_parse_apache_time_in_any_zone(spark):
+    """A wall time in the gap of a zone's clock change stays as written."""
+    from datetime import datetime
+
+    from tessera.functions.logs import parse_apache_time
+
+    df = spark.createDataFrame([("12/Mar/2023:02:30:00 -0400",), ("31/Dec/1999:23:59:59 -0400",), ("99/Mar/2023:02:30:00",), ("",), (None,), ("1/Mar/2023:02:30:00 x",)], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in df.select(parse_apache_time("t").alias("x")).collect()]
+            assert got == [datetime(2023, 3, 12, 2, 30), datetime(1999, 12, 31, 23, 59, 59), None, None, None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
