@@ -53,7 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there; it is used as is.
-    Only when the setting is missing (local tests) a scratch folder is made.
+    Where the setting is missing, a local session gets a scratch folder and
+    any other one an error: a folder of one machine would lose data.
     """
     try:
         sc = spark.sparkContext
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

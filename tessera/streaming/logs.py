@@ -28,7 +28,6 @@ STREAM_REPORTS = {
     "not_found_by_day": lambda a: wl.not_found(a).groupBy(wl.day_of_month("date_time").alias("day")).agg(
         F.count(F.lit(1)).alias("count")
     ),
-    "endpoint_counts": wl.endpoint_counts,
 }
 
 
@@ -48,23 +47,28 @@ def access_stream(lines: DataFrame) -> DataFrame:
 def start_report(
     access: DataFrame,
     report: str,
-    query_name: str,
+    name: str,
+    sink: str,
+    options: dict[str, str] | None = None,
     checkpoint: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start a streaming report into an in-memory table named ``query_name``.
+    """Start a streaming report into ``sink``, a format of the caller's choice
+    that takes ``complete`` output; ``options`` are the sink's. The ``memory``
+    sink keeps its table on the driver; the reports here have at most a
+    thousand keys (codes, hours, days).
 
-    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<query_name>``
-    (the shared folder), so starting the same named report again resumes
-    from its committed offsets and state instead of re-reading everything.
+    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>`` (the
+    shared folder), so starting the same named report again resumes from its
+    committed offsets and state instead of re-reading everything.
     """
-    spark = access.sparkSession
-    location = checkpoint or os.path.join(checkpoint_dir(spark), "streams", query_name)
+    location = checkpoint or os.path.join(checkpoint_dir(access.sparkSession), "streams", name)
     writer = (
         STREAM_REPORTS[report](access)
         .writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(query_name)
+        .format(sink)
+        .queryName(name)
+        .options(**(options or {}))
         .option("checkpointLocation", location)
     )
     if available_now:
