@@ -60,13 +60,14 @@ def sort_by_key(df: DataFrame, keys: Sequence[str], ascending: bool = True) -> D
     return df.orderBy(*cols)
 
 
-def stable_sort(df: DataFrame, key: str, value: str, ascending: bool = True, digits: int = 3) -> DataFrame:
-    """Total order on the key rounded to ``digits`` and then the value, so
-    equal keys always come out in the same order."""
-    k = F.round(F.col(key), digits)
-    if ascending:
-        return df.orderBy(k.asc(), F.col(value).asc())
-    return df.orderBy(k.desc(), F.col(value).desc())
+def stable_sort(
+    df: DataFrame, key: str, value: str, ascending: bool = True, digits: int = 3, ids: Sequence[str] = ()
+) -> DataFrame:
+    """Order by the key rounded to ``digits``, then the value, then ``ids``
+    (columns that tell rows of equal value apart), so that equal keys always
+    come out in the same order."""
+    by = [F.round(F.col(key), digits), F.col(value), *[F.col(c) for c in ids]]
+    return df.orderBy(*[c.asc() if ascending else c.desc() for c in by])
 
 
 def sample_take(df: DataFrame, k: int, order: Sequence[str]) -> DataFrame:

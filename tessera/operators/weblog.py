@@ -9,7 +9,7 @@ distinct hosts per day) are computed here in a single aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.logs import day_of_month, hour_of_day
@@ -36,10 +36,11 @@ def response_code_counts(access: DataFrame) -> DataFrame:
 def response_code_fractions(access: DataFrame) -> DataFrame:
     """(response_code, count, fraction of all requests).
 
-    The total is a scalar subquery (one number), not a join.
+    The total is the sum of the counts, over the rows of the result (a log
+    has a thousand three-digit codes at most): the log is read once.
     """
     counts = response_code_counts(access)
-    total = access.agg(_n()).scalar()
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
     return counts.withColumn("fraction", F.col("count") / total)
 
 
@@ -81,22 +82,24 @@ def distinct_day_host(access: DataFrame) -> DataFrame:
     return access.select(day_of_month("date_time").alias("day"), "host").distinct()
 
 
-def daily_unique_hosts(access: DataFrame) -> DataFrame:
-    """(day, unique_hosts) sorted by day."""
+def daily_unique_hosts(access: DataFrame, by_date: bool = False) -> DataFrame:
+    """(day, unique_hosts) sorted by day: the day of the month, or the date
+    (``by_date``) where a log spans more than one month."""
+    day = F.to_date("date_time") if by_date else day_of_month("date_time")
     return (
-        access.groupBy(day_of_month("date_time").alias("day"))
+        access.groupBy(day.alias("day"))
         .agg(F.count_distinct("host").alias("unique_hosts"))
         .orderBy("day")
     )
 
 
-def daily_requests_per_host(access: DataFrame) -> DataFrame:
-    """(day, avg_requests): requests div distinct hosts, per day, sorted.
-
-    One aggregation pass instead of a join of two aggregates.
+def daily_requests_per_host(access: DataFrame, by_date: bool = False) -> DataFrame:
+    """(day, avg_requests): requests div distinct hosts, per day (or date),
+    sorted. One aggregation pass instead of a join of two aggregates.
     """
+    day = F.to_date("date_time") if by_date else day_of_month("date_time")
     return (
-        access.groupBy(day_of_month("date_time").alias("day"))
+        access.groupBy(day.alias("day"))
         .agg(F.expr("count(1) div count(DISTINCT host)").alias("avg_requests"))
         .orderBy("day")
     )
