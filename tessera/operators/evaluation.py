@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import similarity_bin
+from tessera.operators import similarity as sm
+from tessera.operators.similarity import pair_similarity
+from tessera.session import checkpoint_dir
 
 KEYS = ["a_id", "b_id"]
 
 
-def true_duplicates(sims: DataFrame, gold: DataFrame) -> DataFrame:
-    """Candidate pairs that are in the gold mapping."""
-    return sims.join(gold.select(*KEYS), KEYS, "inner")
+def true_duplicates(a_tokens: DataFrame, b_tokens: DataFrame, idf: DataFrame, gold: DataFrame) -> DataFrame:
+    """Gold pairs that share a token, with their similarity."""
+    return pair_similarity(a_tokens, b_tokens, idf, gold, sharing_only=True)
 
 
 def non_duplicates(sims: DataFrame, gold: DataFrame) -> DataFrame:
@@ -26,11 +29,9 @@ def non_duplicates(sims: DataFrame, gold: DataFrame) -> DataFrame:
     return sims.join(gold.select(*KEYS), KEYS, "left_anti")
 
 
-def gold_similarities(gold: DataFrame, sims: DataFrame) -> DataFrame:
+def gold_similarities(a_tokens: DataFrame, b_tokens: DataFrame, idf: DataFrame, gold: DataFrame) -> DataFrame:
     """(a_id, b_id, similarity) for every gold pair; 0 when not a candidate."""
-    return gold.select(*KEYS).join(sims, KEYS, "left").select(
-        *KEYS, F.coalesce(F.col("similarity"), F.lit(0.0)).alias("similarity")
-    )
+    return pair_similarity(a_tokens, b_tokens, idf, gold)
 
 
 def scored_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
@@ -48,30 +49,24 @@ def scored_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
     )
 
 
-def gold_evaluation(sims: DataFrame, gold: DataFrame, a_records: DataFrame, b_records: DataFrame) -> DataFrame:
+def gold_evaluation(gold_sims: DataFrame, all_sum: DataFrame, a_records: DataFrame, b_records: DataFrame) -> DataFrame:
     """One row over all |A| x |B| pairs (zeros implied):
 
-    n_true_duplicates, avg_sim_duplicates (gold pairs, zero when not a
-    candidate), n_candidates, avg_sim_non_duplicates = (sum over all pairs -
-    sum over gold pairs) / (|A| * |B| - gold pairs). One pass over the
-    scored pairs; |A| and |B| are scalar subqueries over the ids.
+    n_true_duplicates, avg_sim_duplicates (over ``gold_sims``, zero when not
+    a candidate), avg_sim_non_duplicates = (sum over all pairs - sum over
+    gold pairs) / (|A| * |B| - gold pairs). The sum over all pairs comes
+    from ``similarity_total``, so no table of pairs is made.
     """
     n_a = a_records.agg(F.count_distinct("id")).scalar()
     n_b = b_records.agg(F.count_distinct("id")).scalar()
-    sim, is_gold, is_cand = F.col("similarity"), F.col("is_gold"), F.col("is_candidate")
-    totals = scored_pairs(sims, gold).agg(
-        F.count_if(is_gold).alias("n_true_duplicates"),
-        F.sum(F.when(is_gold, sim)).alias("_gold_sum"),
-        F.count_if(is_cand).alias("n_candidates"),
-        F.sum(F.when(is_cand, sim)).alias("_all_sum"),
-    )
+    total = all_sum.select("total").scalar()
+    totals = gold_sims.agg(F.count(F.lit(1)).alias("n_true_duplicates"), F.sum("similarity").alias("_gold_sum"))
+    n = F.col("n_true_duplicates").cast("double")
     return totals.select(
         "n_true_duplicates",
-        F.try_divide(F.col("_gold_sum"), F.col("n_true_duplicates").cast("double")).alias("avg_sim_duplicates"),
-        "n_candidates",
+        F.try_divide(F.col("_gold_sum"), n).alias("avg_sim_duplicates"),
         F.try_divide(
-            F.coalesce(F.col("_all_sum"), F.lit(0.0)) - F.coalesce(F.col("_gold_sum"), F.lit(0.0)),
-            (n_a * n_b - F.col("n_true_duplicates")).cast("double"),
+            total - F.coalesce(F.col("_gold_sum"), F.lit(0.0)), F.lit(1.0) * n_a * n_b - n
         ).alias("avg_sim_non_duplicates"),
     )
 
@@ -158,13 +153,13 @@ def resolve_and_evaluate(
     similarity job to re-run). Returns (sims, gold_evaluation,
     threshold_sweep).
     """
-    from tessera.operators.similarity import scalable_similarity
-    from tessera.session import checkpoint_dir
-
     checkpoint_dir(a_records.sparkSession)
-    sims = scalable_similarity(a_records, b_records).checkpoint(eager=True)
+    tok_a, tok_b = sm.clustered_tokens(a_records), sm.clustered_tokens(b_records)
+    idf = sm.inverse_document_frequency([tok_a, tok_b])
+    a_w, b_w = sm.tfidf(sm.term_frequency_of(tok_a), idf), sm.tfidf(sm.term_frequency_of(tok_b), idf)
+    sims = sm.similarities(a_w, b_w).checkpoint(eager=True)
     return (
         sims,
-        gold_evaluation(sims, gold, a_records, b_records),
+        gold_evaluation(gold_similarities(tok_a, tok_b, idf, gold), sm.similarity_total(a_w, b_w), a_records, b_records),
         threshold_sweep(sims, gold, n_thresholds),
     )

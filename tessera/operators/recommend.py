@@ -8,6 +8,7 @@ DataFrame joins and aggregations.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import squared_error
 from tessera.session import checkpoint_dir
+from tessera.sources.text import numbered_lines
 
 # ALS settings of the original jobs.
 ALS_ITERATIONS = 5
@@ -66,14 +68,23 @@ def top_rated(ratings: DataFrame, movies: DataFrame, min_ratings: int = 500, k:
     return stats.orderBy(*_rating_order(F.col("avg_rating"), F.col("title"), F.col("item_id"))).limit(k)
 
 
+def split_label() -> Column:
+    """``train``, ``validation`` or ``test`` (60/20/20) by arithmetic on the
+    key: remainders are taken before multiplying, so neither negative nor
+    very large ids leave the rule."""
+    user, item = (F.pmod(F.col(c), F.lit(10)) for c in ("user_id", "item_id"))
+    bucket = F.pmod(user * 31 + item * 17, F.lit(10))
+    return F.when(bucket < 6, F.lit("train")).when(bucket < 8, F.lit("validation")).otherwise(F.lit("test"))
+
+
 def keyed_split(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Repeatable 60/20/20 split by arithmetic on the key (no randomness)."""
-    bucket = (F.col("user_id") * 31 + F.col("item_id") * 17) % 10
-    return (
-        ratings.where(bucket < 6),
-        ratings.where((bucket >= 6) & (bucket < 8)),
-        ratings.where(bucket >= 8),
-    )
+    """Repeatable (train, validation, test) split (no randomness)."""
+    return tuple(ratings.where(split_label() == name) for name in ("train", "validation", "test"))
+
+
+def split_sizes(ratings: DataFrame) -> DataFrame:
+    """(split, n): rows of each part, in one pass."""
+    return ratings.groupBy(split_label().alias("split")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def random_split(ratings: DataFrame, weights: Sequence[float] = (6, 2, 2), seed: int = 0) -> list[DataFrame]:
@@ -85,54 +96,95 @@ def rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
     """One row: root mean squared error over (user, item) keys present in both.
 
     ``predicted`` has a ``prediction`` column, ``actual`` a ``rating``
-    column; keys are de-duplicated on the predicted side first so
-    duplicates cannot fan out.
+    column; a key that repeats on a side counts once, with the mean of its
+    values there.
     """
-    p = predicted.groupBy("user_id", "item_id").agg(F.first("prediction").alias("prediction"))
-    joined = p.join(actual.select("user_id", "item_id", "rating"), ["user_id", "item_id"])
-    return joined.agg(F.sqrt(F.avg(squared_error("prediction", "rating"))).alias("rmse"))
+    keys = ["user_id", "item_id"]
+    p = predicted.groupBy(*keys).agg(F.avg("prediction").alias("prediction"))
+    r = actual.groupBy(*keys).agg(F.avg("rating").alias("rating"))
+    return p.join(r, keys).agg(F.sqrt(F.avg(squared_error("prediction", "rating"))).alias("rmse"))
 
 
 def als(rank: int, iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED) -> ALS:
     return ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed,
-        userCol="user_id", itemCol="item_id", ratingCol="rating",
+        userCol="user", itemCol="item", ratingCol="rating",
         coldStartStrategy="drop", nonnegative=False,
     )
 
 
+def _dense(ratings: DataFrame, id_col: str, name: str) -> DataFrame:
+    """(id, dense int): ALS takes int ids, tables have bigint ones."""
+    ids = ratings.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    return numbered_lines(ids, id_col).select(id_col, F.col("line_index").cast("int").alias(name))
+
+
+@dataclass(frozen=True)
+class FittedALS:
+    """A model over dense ids, and the ids they stand for."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    def user_factors(self) -> DataFrame:
+        """(user_id, features)."""
+        return self.model.userFactors.withColumnRenamed("id", "user").join(self.users, "user").select("user_id", "features")
+
+    def item_factors(self) -> DataFrame:
+        """(item_id, features)."""
+        return self.model.itemFactors.withColumnRenamed("id", "item").join(self.items, "item").select("item_id", "features")
+
+
 def train_als(train: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
-              reg: float = ALS_REG, seed: int = ALS_SEED) -> ALSModel:
-    """Explicit-feedback ALS (Spark ML).
+              reg: float = ALS_REG, seed: int = ALS_SEED) -> FittedALS:
+    """Explicit-feedback ALS (Spark ML); ids may be any bigint.
 
     ALS cuts its iteration lineage by checkpointing every
     ``checkpointInterval`` iterations into the session's shared
     ``spark.checkpoint.dir``; make sure that folder is set.
     """
     checkpoint_dir(train.sparkSession)
-    return als(rank, iterations, reg, seed).fit(train.select("user_id", "item_id", "rating"))
+    users, items = _dense(train, "user_id", "user"), _dense(train, "item_id", "item")
+    dense = train.join(users, "user_id").join(items, "item_id").select("user", "item", "rating")
+    return FittedALS(als(rank, iterations, reg, seed).fit(dense), users, items)
 
 
-def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def predict_pairs(fitted: FittedALS, pairs: DataFrame) -> DataFrame:
     """(user_id, item_id, prediction); pairs with unknown ids are dropped."""
-    return model.transform(pairs.select("user_id", "item_id")).select("user_id", "item_id", "prediction")
+    dense = pairs.select("user_id", "item_id").join(fitted.users, "user_id").join(fitted.items, "item_id")
+    return fitted.model.transform(dense).select("user_id", "item_id", "prediction")
 
 
 def select_rank(train: DataFrame, validation: DataFrame, ranks: Sequence[int] = RANKS,
                 iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED) -> DataFrame:
-    """(rank, rmse) of a model per rank on the validation set.
+    """(rank, rmse, best) of a model per rank on the validation set; ``best``
+    marks the lowest error, of equal errors the lowest rank.
 
-    One distributed fit per rank; the training set is cached because every
-    fit reads it. Only one number per rank comes back to the driver.
+    One distributed fit per rank; both sets are cached because every fit
+    reads them. Only one number per rank comes back to the driver.
     """
     train = train.select("user_id", "item_id", "rating").cache()
-    rows = []
-    for rank in ranks:
-        model = train_als(train, rank, iterations, reg, seed)
-        err = rmse(predict_pairs(model, validation), validation).first()["rmse"]
-        rows.append((int(rank), float(err) if err is not None else None))
-    train.unpersist()
-    return train.sparkSession.createDataFrame(rows, "rank int, rmse double")
+    validation = validation.select("user_id", "item_id", "rating").cache()
+    errors: dict[int, float | None] = {}
+    try:
+        for rank in ranks:
+            err = rmse(predict_pairs(train_als(train, rank, iterations, reg, seed), validation), validation).first()["rmse"]
+            errors[int(rank)] = None if err is None else float(err)
+    finally:
+        train.unpersist()
+        validation.unpersist()
+    best = min((r for r, e in errors.items() if e is not None), key=lambda r: (errors[r], r), default=None)
+    rows = [(r, e, r == best) for r, e in errors.items()]
+    return train.sparkSession.createDataFrame(rows, "rank int, rmse double, best boolean")
+
+
+def best_rank(train: DataFrame, validation: DataFrame, **options) -> int:
+    """The rank that ``select_rank`` marks."""
+    row = select_rank(train, validation, **options).where("best").first()
+    if row is None:
+        raise ValueError("no rank can be scored: validation shares no user and item with train")
+    return row["rank"]
 
 
 def test_model(train: DataFrame, test: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
@@ -142,6 +194,11 @@ def test_model(train: DataFrame, test: DataFrame, rank: int, iterations: int = A
     return rmse(predict_pairs(model, test), test)
 
 
+def retest_with_ratings(train: DataFrame, mine: DataFrame, test: DataFrame, rank: int, **options) -> DataFrame:
+    """One row: RMSE on the test set after a user's own ratings joined training."""
+    return test_model(add_ratings(train, mine), test, rank, **options)
+
+
 def mean_baseline_rmse(train: DataFrame, test: DataFrame) -> DataFrame:
     """One row: RMSE of predicting the training mean for every test rating."""
     mean = train.agg(F.avg("rating")).scalar()
@@ -175,15 +232,15 @@ def recommend_for_user(
     seed: int = ALS_SEED,
 ) -> DataFrame:
     """Top-k predicted items the user has not rated, among items with more
-    than ``min_ratings`` ratings: (item_id, title, n_ratings, prediction)."""
-    train = ratings if my_ratings is None else ratings.unionByName(my_ratings.select(*ratings.columns))
+    than ``min_ratings`` ratings: (item_id, title, n_ratings, prediction).
+    Only items with enough ratings are scored."""
+    train = ratings if my_ratings is None else add_ratings(ratings, my_ratings)
     model = train_als(train, rank, iterations, reg, seed)
-    candidates = unrated_items(train, movies, user_id)
-    preds = predict_pairs(model, candidates)
-    counts = count_and_average(train).select("item_id", "n_ratings")
+    known = item_counts(train).where(F.col("n_ratings") > min_ratings)
+    candidates = unrated_items(train, movies, user_id).join(known, "item_id")
     return (
-        preds.join(counts, "item_id")
-        .where(F.col("n_ratings") > min_ratings)
+        predict_pairs(model, candidates)
+        .join(known, "item_id")
         .join(movies.select("item_id", "title"), "item_id")
         .select("item_id", "title", "n_ratings", "prediction")
         .orderBy(F.desc("prediction"), F.asc("item_id"))

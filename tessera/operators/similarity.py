@@ -7,12 +7,11 @@ Plan shape of ``similarities`` (per side):
   records -> tokenize -> hash-partition by id (one exchange, reused)
   -> count per (id, token)                  (no shuffle: id-clustered)
   -> document frequency per token           (partial agg + shuffle)
-  -> tf * idf (shuffled hash join on token; hot tokens salted)
+  -> tf * idf (lookup join on token; AQE splits hot partitions)
   -> unit-length weights by a window on id
-then one join of the two sides on (token, salt) and one partially
-aggregated group-by on (a_id, b_id). Hot tokens are salted: for a token
-with a large pair count, the side with more postings is spread over several
-tasks and the other side's postings are copied to each of them.
+then one join of the two sides on token and one partially aggregated
+group-by on (a_id, b_id). The pairs of a hot token are cut into a grid of
+tasks (see ``grid_join``).
 """
 
 from __future__ import annotations
@@ -23,8 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
-from tessera.plans.joins import hot_keys, salt_count, salted_join, skew_safe_lookup_join
-from tessera.plans.partitioning import spread_before
+from tessera.plans.joins import grid_join
 from tessera.sources.fixtures import STOPWORDS
 
 # Target number of candidate pairs produced by one join task for a hot token.
@@ -63,15 +61,17 @@ def biggest_record(tokens: DataFrame) -> DataFrame:
     )
 
 
-def clustered_tokens(records: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
+def clustered_tokens(records: DataFrame, stopwords: Iterable[str] = STOPWORDS, partitions: int | None = None) -> DataFrame:
     """(id, tokens) hash-partitioned by id: the one exchange every TF / IDF
     consumer reads (Spark reuses it, so each record is tokenized once).
 
-    With a wide scan the tokenizer runs map-side and the exchange carries
-    token lists (no separators, no stopwords). A narrow scan (fewer splits
-    than cores) is spread by id first so the tokenizer runs on every core.
+    The tokenizer runs in the scan and the exchange carries token lists (no
+    separators, no stopwords). ``partitions`` spreads the records before
+    that, for a source with fewer splits than cores.
     """
-    return record_tokens(spread_before(records, "id"), stopwords).repartition("id")
+    if partitions:
+        records = records.repartition(partitions, F.xxhash64("id"))
+    return record_tokens(records, stopwords).repartition("id")
 
 
 def _exploded(tokens: DataFrame, distinct: bool = False) -> DataFrame:
@@ -159,16 +159,12 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
 def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """(id, token, weight, df_0, df_1, ...): tf * idf.
 
-    The vocabulary has no size bound, so the idf table is never broadcast
-    by hand; it joins as the hash side of a shuffled join (one row per
-    token per task). Tokens holding a large share of all postings are
-    salted (see ``skew_safe_lookup_join``), so no task receives all
-    postings of a hot token.
+    A lookup join on token: the vocabulary has no size bound, so the idf
+    table is never broadcast by hand, and AQE splits the partitions that
+    hot tokens fill.
     """
     extra = [c for c in idf.columns if c.startswith("df_")]
-    lookup = idf.select("token", "idf", *extra)
-    hot = hot_keys(idf, "token", "df")
-    joined = skew_safe_lookup_join(tf.select("id", "token", "tf"), lookup, "token", "id", hot)
+    joined = tf.select("id", "token", "tf").join(idf.select("token", "idf", *extra), "token")
     return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"), *extra)
 
 
@@ -184,34 +180,20 @@ def unit_weights(weights: DataFrame) -> DataFrame:
     return weights.withColumn("norm", norm).withColumn("unit", F.try_divide(F.col("weight"), F.col("norm")))
 
 
-def inverted_index(weights: DataFrame) -> DataFrame:
-    """(token, id): which records hold each token."""
-    return weights.select("token", "id")
+def inverted_index(tokens: DataFrame) -> DataFrame:
+    """(token, id): which records hold each token, from (id, tokens)."""
+    return _exploded(tokens, distinct=True).select("token", "id")
 
 
 def _pair_postings(
     a_w: DataFrame, b_w: DataFrame, value_col: str, pairs_per_task: int
 ) -> DataFrame:
-    """Join the A and B postings on token, salting hot tokens.
-
-    ``a_w`` and ``b_w`` carry ``df_0`` (postings of the token in A) and
-    ``df_1`` (in B). The work of a token is df_0 * df_1 pairs; a token above
-    ``pairs_per_task`` is split over ceil(work / pairs_per_task) tasks (at
-    most one per posting of the split side): the side with more postings
-    of that token is split, the other side is copied to every split.
-    """
-    work = F.col("df_0").cast("long") * F.col("df_1").cast("long")
-    salts = salt_count(work, pairs_per_task, limit=F.greatest(F.col("df_0"), F.col("df_1")))
-    split_a = F.col("df_0") >= F.col("df_1")
-    a = a_w.select(
-        F.col("id").alias("a_id"), "token", F.col(value_col).alias("a_value"),
-        salts.alias("_salts"), split_a.alias("_split_a"),
-    )
-    b = b_w.select(
-        F.col("id").alias("b_id"), "token", F.col(value_col).alias("b_value"),
-        salts.alias("_salts"), split_a.alias("_split_a"),
-    )
-    return salted_join(a, b, "token", "a_id", "b_id", "_salts", "_split_a")
+    """Join the A and B postings on token; ``a_w`` and ``b_w`` carry ``df_0``
+    (postings of the token in A) and ``df_1`` (in B), from which the pairs of
+    a hot token are cut into tasks of about ``pairs_per_task`` pairs."""
+    a = a_w.select(F.col("id").alias("a_id"), "token", F.col(value_col).alias("a_value"), "df_0", "df_1")
+    b = b_w.select(F.col("id").alias("b_id"), "token", F.col(value_col).alias("b_value"), "df_0", "df_1")
+    return grid_join(a, b, "token", "a_id", "b_id", "df_0", "df_1", pairs_per_task)
 
 
 def token_pairs(a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
@@ -287,11 +269,39 @@ def scalable_similarity(
     return similarities(a_w, b_w, pairs_per_task)
 
 
-def pair_similarity(sims: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a_id, b_id, similarity) for requested pairs; 0 when no token is shared.
+def pair_similarity(
+    a_tokens: DataFrame, b_tokens: DataFrame, idf: DataFrame, pairs: DataFrame, sharing_only: bool = False
+) -> DataFrame:
+    """(a_id, b_id, similarity) of the requested pairs; 0 when no token is
+    shared (``sharing_only``: such pairs are left out).
 
-    This is the cosine of any pair without materialising all pairs.
+    Starts from the pairs: only the records they name get weights, A's unit
+    weights are joined on a_id, B's on (b_id, token), and products are summed
+    per pair. The work is pairs x tokens per record; no other pair is scored.
     """
-    return pairs.select("a_id", "b_id").join(sims, ["a_id", "b_id"], "left").select(
+    asked = pairs.select("a_id", "b_id").distinct()
+
+    def units(tokens: DataFrame, id_col: str) -> DataFrame:
+        named = tokens.join(asked.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+        return unit_weights(tfidf(term_frequency_of(named), idf)).select(
+            F.col("id").alias(id_col), "token", F.col("unit").alias(f"{id_col}_unit")
+        )
+
+    met = asked.join(units(a_tokens, "a_id"), "a_id").join(units(b_tokens, "b_id"), ["b_id", "token"])
+    sums = met.groupBy("a_id", "b_id").agg(F.sum(F.col("a_id_unit") * F.col("b_id_unit")).alias("similarity"))
+    if sharing_only:
+        return pairs.select("a_id", "b_id").join(sums, ["a_id", "b_id"])
+    return pairs.select("a_id", "b_id").join(sums, ["a_id", "b_id"], "left").select(
         "a_id", "b_id", F.coalesce(F.col("similarity"), F.lit(0.0)).alias("similarity")
     )
+
+
+def similarity_total(a_w: DataFrame, b_w: DataFrame) -> DataFrame:
+    """One row: the sum of the similarities of all A x B pairs. It factors by
+    token, (sum of A's unit weights) x (sum of B's), so no pair is made."""
+    def sums(w: DataFrame, name: str) -> DataFrame:
+        return unit_weights(w).groupBy("token").agg(F.sum("unit").alias(name))
+
+    return sums(a_w, "sa").join(sums(b_w, "sb"), "token").agg(
+        F.coalesce(F.sum(F.col("sa") * F.col("sb")), F.lit(0.0)).alias("total")
+    )

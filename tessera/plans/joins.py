@@ -6,8 +6,11 @@ input: the optimizer broadcasts a side only when its measured size is below
 falls back to a sort-merge join otherwise. Explicit ``F.broadcast`` is used
 only on inputs with a fixed bound (a threshold range, a literal list).
 
-For a many-to-many join whose hot keys would put one key's whole group in a
-single task, ``salted_join`` splits every hot key over several tasks.
+A lookup join (one row per key on one side) is a plain equi-join: when a hot
+key fills a partition of the other side, AQE splits that partition and hands
+each piece the lookup's partition (``spark.sql.adaptive.skewJoin.enabled``).
+A many-to-many join of a hot key makes far more rows than it reads, so
+``grid_join`` cuts the key's pairs into a grid of tasks itself.
 """
 
 from __future__ import annotations
@@ -20,93 +23,46 @@ def salt_count(work: Column, per_task: int, limit: Column | int | None = None) -
     """Tasks to use for a key: ``ceil(work / per_task)``, at least 1.
 
     ``limit`` bounds it (e.g. by the row count of the split side: a task
-    with less than one row of that side is useless).
+    with less than one row of that side is useless). Computed in doubles and
+    bounded before it becomes a whole number, so no product overflows.
     """
-    n = F.greatest(F.lit(1), F.ceil(work.cast("double") / F.lit(float(per_task))).cast("int"))
-    if limit is not None:
-        lim = limit if isinstance(limit, Column) else F.lit(limit)
-        n = F.least(n, F.greatest(F.lit(1), lim.cast("int")))
-    return n
+    most = F.lit(float(1 << 62)) if limit is None else (limit if isinstance(limit, Column) else F.lit(limit)).cast("double")
+    n = F.ceil(F.least(work.cast("double") / F.lit(float(per_task)), most).cast("double"))
+    return F.greatest(F.lit(1).cast("bigint"), n.cast("bigint"))
 
 
-def salted_join(
+def grid_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     left_by: str,
     right_by: str,
-    salts_col: str,
-    split_left_col: str,
+    left_rows: str,
+    right_rows: str,
+    pairs_per_task: int,
 ) -> DataFrame:
-    """Equi-join on ``key`` with hot keys spread over ``salts_col`` tasks.
-
-    Both inputs carry ``salts_col`` and the boolean ``split_left_col`` (the
-    same values for a given key). For each key, the side with more rows is
-    split: each of its rows goes to one salt chosen by a hash of its id
-    (``left_by`` / ``right_by``; deterministic, so a re-run after a lost
-    executor sends every row to the same place), and each row of the other
-    side is copied to every salt of the key. Keys with one salt are joined
-    as usual, without copies. The result is exactly the plain equi-join.
+    """Equi-join on ``key`` with the pairs of a hot key in a grid of tasks.
+
+    Both inputs carry how many rows each side has of the key (``left_rows``,
+    ``right_rows``). A key with more than ``pairs_per_task`` pairs gets
+    ``rows x columns`` cells: a left row goes, by hash of ``left_by``, to one
+    row of the grid and is copied along it, a right row to one column. Both
+    numbers follow the sides' sizes, so that a cell reads about as much of
+    either side and the copies grow with the root of the pairs. Keys with one
+    cell are joined as usual. The result is exactly the plain equi-join;
+    hashing sends a row to the same cells when a lost task runs again.
     """
-    def salted(df: DataFrame, by: str, split: F.Column) -> DataFrame:
-        n = F.col(salts_col)
-        one = F.array(F.pmod(F.xxhash64(F.col(by)), n.cast("long")).cast("int"))
-        every = F.sequence(F.lit(0), n - 1)
-        return df.withColumn("_salt", F.explode(F.when(split, one).otherwise(every))).drop(
-            salts_col, split_left_col
-        )
-
-    l = salted(left, left_by, F.col(split_left_col))
-    r = salted(right, right_by, ~F.col(split_left_col))
-    return l.join(r, [key, "_salt"]).drop("_salt")
-
-
-# Hot keys: the HOT_MAX_KEYS keys with the most rows, if they hold more
-# than HOT_MIN_ROWS rows. Any key outside that top list holds at most
-# 1 / HOT_MAX_KEYS of all rows, and the list itself has at most HOT_MAX_KEYS
-# rows by construction, which is the bound that makes broadcasting it safe.
-HOT_MAX_KEYS = 10_000
-HOT_MIN_ROWS = 1_000_000
-HOT_SALTS = 64
-
+    l, r = F.col(left_rows).cast("double"), F.col(right_rows).cast("double")
+    cells = salt_count(l * r, pairs_per_task).cast("double")
+    rows = salt_count(F.sqrt(cells * l / F.greatest(r, F.lit(1.0))), 1, F.least(cells, l))
+    columns = salt_count(cells / rows, 1, r)
 
-def hot_keys(counts: DataFrame, key: str, count_col: str,
-             max_keys: int = HOT_MAX_KEYS, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """At most ``max_keys`` keys: the largest ones with more than
-    ``min_rows`` rows (a per-task top-k merge, no full sort)."""
-    return (
-        counts.where(F.col(count_col) > min_rows)
-        .orderBy(F.desc(count_col), F.asc(key))
-        .limit(max_keys)
-        .select(key)
-    )
+    def own(by: str, n: Column) -> Column:
+        return F.pmod(F.xxhash64(F.col(by)), n)
 
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
 
-def skew_safe_lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    split_by: str,
-    hot: DataFrame,
-    salts: int = HOT_SALTS,
-) -> DataFrame:
-    """``rows`` joined to ``lookup`` on ``key`` (any number of lookup rows
-    per key; typically one).
-
-    Rows of hot keys (``hot``: a bounded key set, see ``hot_keys``) are
-    spread over ``salts`` tasks by a hash of ``split_by`` and their lookup
-    row is copied to each; other keys join unsalted. Same result as the
-    plain equi-join, but no task receives all rows of a hot key. The lookup
-    side is the hash side of a shuffled hash join: it has one row per key
-    and task, while ``rows`` are streamed (never broadcast or hashed).
-    """
-    flags = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
-    r = rows.join(flags, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(split_by)), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
-    ).drop("_hot")
-    lk = lookup.join(flags, key, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
-    return r.join(lk.hint("shuffle_hash"), [key, "_salt"]).drop("_salt")
+    a = left.withColumn("_row", own(left_by, rows)).withColumn("_column", every(columns)).drop(left_rows, right_rows)
+    b = right.withColumn("_column", own(right_by, columns)).withColumn("_row", every(rows)).drop(left_rows, right_rows)
+    return a.join(b, [key, "_row", "_column"]).drop("_row", "_column")

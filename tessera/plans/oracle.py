@@ -148,9 +148,9 @@ ER = [RECORDS, TF, IDF, WEIGHTS, SIMS]
 ER_GOLD = ER + [GOLD, GOLD_SIMS]
 
 GOLD_LINES = f"""gold_lines AS (
-  SELECT CAST(-1 AS BIGINT) AS line_id, {q(GOLD_HEADER)} AS value
+  SELECT 'header' AS line_id, {q(GOLD_HEADER)} AS value
   UNION ALL
-  SELECT a_id * 100000 + b_id AS line_id,
+  SELECT CAST(a_id AS VARCHAR) || '-' || CAST(b_id AS VARCHAR) AS line_id,
     '"' || CAST(a_id AS VARCHAR) || '","' || CAST(b_id AS VARCHAR) || '"' AS value FROM gold)"""
 
 RATINGS = """ratings AS (
@@ -159,9 +159,11 @@ RATINGS = """ratings AS (
   GROUP BY o.o_custkey, l.l_partkey),
 movies AS (SELECT p_partkey AS item_id, p_name AS title FROM part)"""
 
-SPLITS = """train AS (SELECT * FROM ratings WHERE (user_id * 31 + item_id * 17) % 10 < 6),
-validation AS (SELECT * FROM ratings WHERE (user_id * 31 + item_id * 17) % 10 IN (6, 7)),
-test AS (SELECT * FROM ratings WHERE (user_id * 31 + item_id * 17) % 10 >= 8)"""
+SPLITS = """bucketed AS (SELECT *, ((user_id % 10 + 10) % 10 * 31 + (item_id % 10 + 10) % 10 * 17) % 10 AS bucket FROM ratings),
+train AS (SELECT user_id, item_id, rating FROM bucketed WHERE bucket < 6),
+validation AS (SELECT user_id, item_id, rating FROM bucketed WHERE bucket IN (6, 7)),
+test AS (SELECT user_id, item_id, rating FROM bucketed WHERE bucket >= 8),
+shared AS (SELECT t.* FROM test t WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train))"""
 
 
 def with_(ctes: list[str], body: str) -> str:

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
-from tessera.plans.joins import hot_keys, skew_safe_lookup_join
-from tessera.plans.partitioning import spread, spread_before
+from tessera.plans.joins import grid_join
 from tessera.sources.text import document_lines
 
+# Candidate pairs that one task of the anchor join makes of a hot token.
+PAIRS_PER_TASK = 2_000_000
+
 # The stopword list used in place of the reference's file.
 STOPWORDS = (
     "a", "an", "and", "are", "as", "at", "be", "being", "by", "for", "from",
@@ -24,6 +26,9 @@ STOPWORDS = (
     "was", "were", "why", "with",
 )
 
+# Month names of a log's time stamp.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
 # Header lines of the CSV-shaped fixtures.
 PRODUCT_HEADER = '"id","title","description","manufacturer","price"'
 GOLD_HEADER = '"idAmazon","idGoogle"'
@@ -31,7 +36,7 @@ GOLD_HEADER = '"idAmazon","idGoogle"'
 
 def corpus_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, line_no, line): the text corpus, one row per line."""
-    return document_lines(spread(documents.select("doc_id", "text"), "doc_id"))
+    return document_lines(documents.select("doc_id", "text"))
 
 
 def clf_lines(events: DataFrame) -> DataFrame:
@@ -44,7 +49,6 @@ def clf_lines(events: DataFrame) -> DataFrame:
     11th event, else ``floor(value)``. Every 97th event also yields a junk
     line that no pattern accepts.
     """
-    events = spread(events, "event_id")
     eid = F.col("event_id")
     request = F.concat(
         F.lit("GET /"), F.col("event_type"), F.lit("/"), (eid % 50).cast("string"),
@@ -54,23 +58,30 @@ def clf_lines(events: DataFrame) -> DataFrame:
         F.floor(F.col("value")).cast("bigint").cast("string")
     )
     status = F.when(F.col("event_type") == "error", F.lit("404")).otherwise(F.lit("200"))
+    # The wall time from its parts: formatting would go through the session's zone.
+    ts = F.col("ts").cast("timestamp_ntz")
+
+    def two(part) -> F.Column:
+        return F.lpad(part.cast("string"), 2, "0")
+
+    month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts))
+    stamp = F.concat(
+        two(F.dayofmonth(ts)), F.lit("/"), month, F.lit("/"), F.lpad(F.year(ts).cast("string"), 4, "0"),
+        F.lit(":"), two(F.hour(ts)), F.lit(":"), two(F.minute(ts)), F.lit(":"), two(F.second(ts)),
+    )
     line = F.concat(
-        F.lit("u"), F.col("user_id").cast("string"), F.lit(" - - ["),
-        F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' -0400] "'),
+        F.lit("u"), F.col("user_id").cast("string"), F.lit(" - - ["), stamp, F.lit(' -0400] "'),
         request, F.lit('" '), status, F.lit(" "), size,
     )
-    good = events.select(eid.alias("line_id"), line.alias("value"))
-    junk = events.where(eid % 97 == 0).select(
-        (-eid - 1).alias("line_id"),
-        F.concat(F.lit("junk line "), eid.cast("string")).alias("value"),
-    )
-    return good.unionByName(junk)
+    good = F.struct(eid.alias("line_id"), line.alias("value"))
+    junk = F.struct((-eid - 1).alias("line_id"), F.concat(F.lit("junk line "), eid.cast("string")).alias("value"))
+    both = F.when(eid % 97 == 0, F.array(good, junk)).otherwise(F.array(good))
+    return events.select(F.explode(both).alias("e")).select("e.line_id", "e.value")
 
 
-def _literal_line(spark: SparkSession, line_id: int, text: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(line_id).cast("bigint").alias("line_id"), F.lit(text).alias("value")
-    )
+def _literal_line(spark: SparkSession, line_id: int | str, text: str) -> DataFrame:
+    own = F.lit(line_id) if isinstance(line_id, str) else F.lit(line_id).cast("bigint")
+    return spark.range(1).select(own.alias("line_id"), F.lit(text).alias("value"))
 
 
 def product_lines(part: DataFrame) -> DataFrame:
@@ -93,10 +104,9 @@ def gold_lines(gold: DataFrame) -> DataFrame:
         F.lit('"'), F.col("a_id").cast("string"), F.lit('","'),
         F.col("b_id").cast("string"), F.lit('"'),
     )
-    rows = gold.select(
-        (F.col("a_id") * 100000 + F.col("b_id")).alias("line_id"), line.alias("value")
-    )
-    return _literal_line(gold.sparkSession, -1, GOLD_HEADER).unionByName(rows)
+    own = F.concat_ws("-", F.col("a_id").cast("string"), F.col("b_id").cast("string"))
+    rows = gold.select(own.alias("line_id"), line.alias("value"))
+    return _literal_line(gold.sparkSession, "header", GOLD_HEADER).unionByName(rows)
 
 
 def ratings(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
@@ -157,7 +167,7 @@ def records_b(benchmark: DataFrame) -> DataFrame:
 def _token_lists(records: DataFrame) -> DataFrame:
     """(id, tokens) clustered by id: one exchange that every branch of
     ``gold_pairs`` reads, so each record is tokenized once."""
-    return spread_before(records, "id").select("id", simple_tokenize("value").alias("tokens")).repartition("id")
+    return records.select("id", simple_tokenize("value").alias("tokens")).repartition("id")
 
 
 def _distinct_tokens(lists: DataFrame, id_alias: str) -> DataFrame:
@@ -192,16 +202,19 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     anchors = (
         b_tok.join(a_df, "token", "left")
         .groupBy("b_id")
-        .agg(F.min_by("token", F.struct(F.coalesce("df_a", F.lit(0)), F.col("token"))).alias("token"))
+        .agg(F.min(F.struct(F.coalesce("df_a", F.lit(0)).alias("df_a"), F.col("token"))).alias("least"))
+        .select("b_id", "least.token", "least.df_a")
+        .where("df_a > 0")
     )
-    # A's postings of a hot anchor token are spread over several tasks (its
-    # anchors copied to each); the hot set is bounded (top-k by postings).
-    anchored = a_df.join(anchors.select("token").distinct(), "token", "left_semi")
-    hot = hot_keys(anchored, "token", "df_a")
-    candidates = skew_safe_lookup_join(a_tok, anchors, "token", "a_id", hot).select("a_id", "b_id")
+    # Rows of both sides per anchor token: copies and templates share anchors.
+    sizes = anchors.groupBy("token").agg(F.first("df_a").alias("df_a"), F.count(F.lit(1)).alias("n_b"))
+    left = a_tok.join(sizes, "token")
+    right = anchors.select("b_id", "token").join(sizes, "token")
+    candidates = grid_join(left, right, "token", "a_id", "b_id", "df_a", "n_b", PAIRS_PER_TASK).select("a_id", "b_id")
+    # The shorter texts first, then A's, tested where they meet.
     return (
-        candidates.join(_token_text(a_lists, "a_id", "a_text"), "a_id")
-        .join(_token_text(b_lists, "b_id", "b_text"), "b_id")
+        candidates.join(_token_text(b_lists, "b_id", "b_text"), "b_id")
+        .join(_token_text(a_lists, "a_id", "a_text"), "a_id")
         .where(F.col("a_text").contains(F.col("b_text")))
         .select("a_id", "b_id")
     )

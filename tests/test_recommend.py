@@ -62,10 +62,15 @@ def test_als_pipeline_smoke(spark):
     train, val, test = rc.keyed_split(ratings)
     ranks = rc.select_rank(train, val, ranks=(2, 4), iterations=2)
     rows = ranks.collect()
-    assert [r["rank"] for r in rows] == [2, 4] and all(r.rmse is not None and r.rmse >= 0 for r in rows)
+    assert [r["rank"] for r in rows] == [2, 4] and all(r.rmse is not None and r.rmse > 0 for r in rows)
+    best = min(rows, key=lambda r: (r.rmse, r["rank"]))
+    assert [r["rank"] for r in rows if r.best] == [best["rank"]] == [rc.best_rank(train, val, ranks=(2, 4), iterations=2)]
+    assert rc.test_model(train, test, best["rank"], iterations=2).first().rmse > 0
     user = ratings.agg(F.min("user_id")).first()[0]
     recs = rc.recommend_for_user(ratings, movies, user, rank=2, iterations=2, min_ratings=0, k=5).collect()
     assert len(recs) == 5
+    scores = [r.prediction for r in recs]
+    assert scores == sorted(scores, reverse=True)
     rated = {r.item_id for r in ratings.where(F.col("user_id") == user).collect()}
     assert not rated & {r.item_id for r in recs}
     assert rc.mean_baseline_rmse(train, test).first().rmse > 0
@@ -88,3 +93,45 @@ def test_stable_sort_descending_is_total(spark):
                                                 ascending=False).collect()]
     # 3.0004, 3.0001 and 3.0 all round to 3.000, so the value breaks the tie (descending)
     assert [v for _, v in got] == ["c", "b", "a", "z"]
+
+
+def test_rmse_of_repeated_keys_does_not_depend_on_order(spark):
+    for order in ([3.0, 5.0], [5.0, 3.0]):
+        pred = spark.createDataFrame([(1, 1, p) for p in order], SCHEMA_P)
+        actual = spark.createDataFrame([(1, 1, 4.0), (1, 1, 2.0)], SCHEMA_A)
+        assert rc.rmse(pred, actual).first().rmse == pytest.approx(1.0)
+
+
+def test_split_of_negative_and_huge_ids(spark):
+    rows = [(-i, 9_223_372_036_854_775_000 + i % 7, 1.0) for i in range(2000)]
+    sizes = {r.split: r.n for r in rc.split_sizes(spark.createDataFrame(rows, SCHEMA_A)).collect()}
+    assert sum(sizes.values()) == 2000 and sizes["train"] > 1000 and min(sizes.values()) > 300
+
+
+def test_ids_beyond_int(spark):
+    big = 3_000_000_000
+    rows = [(big + u, -big - i, float((u * i) % 5 + 1)) for u in range(12) for i in range(10) if (u + i) % 4]
+    ratings = spark.createDataFrame(rows, SCHEMA_A)
+    fitted = rc.train_als(ratings, rank=2, iterations=2)
+    assert {r.user_id for r in fitted.user_factors().collect()} == {r[0] for r in rows}
+    assert {r.item_id for r in fitted.item_factors().collect()} == {r[1] for r in rows}
+    asked = ratings.unionByName(spark.createDataFrame([(1, 2, 3.0)], SCHEMA_A))
+    assert rc.predict_pairs(fitted, asked).count() == len(rows)
+
+
+def test_own_ratings_change_the_model(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    ratings = fx.ratings(t.lineitem, t.orders)
+    train, val, test = rc.keyed_split(ratings)
+    user = ratings.agg(F.min("user_id")).first()[0]
+    mine = val.where(F.col("user_id") == user)
+    assert rc.retest_with_ratings(train, mine, test, rank=2, iterations=2).first().rmse > 0
+    recs = rc.recommend_for_user(train, fx.movies(t.part), user, mine, rank=2, iterations=2, min_ratings=0, k=1000).collect()
+    rated = {r.item_id for r in rc.add_ratings(train, mine).where(F.col("user_id") == user).collect()}
+    assert recs and not rated & {r.item_id for r in recs}
+
+
+def test_stable_sort_breaks_ties_by_id(spark):
+    rows = [(1.0, "a", i) for i in (3, 1, 2)]
+    got = basic.stable_sort(spark.createDataFrame(rows, "k double, v string, id int"), "k", "v", ids=["id"]).collect()
+    assert [r.id for r in got] == [1, 2, 3]

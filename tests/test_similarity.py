@@ -68,8 +68,8 @@ def test_dot_and_norm_literal(spark):
 
 
 def test_inverted_index_literal(spark):
-    w = spark.createDataFrame([(1, "foo", 2.0)], "id long, token string, weight double")
-    assert [tuple(r) for r in sm.inverted_index(w).collect()] == [("foo", 1)]
+    tokens = spark.createDataFrame([(1, ["foo", "foo"]), (2, [])], "id long, tokens array<string>")
+    assert [tuple(r) for r in sm.inverted_index(tokens).collect()] == [("foo", 1)]
 
 
 def test_scalable_equals_brute_force(spark):
@@ -95,10 +95,15 @@ def test_common_tokens_and_pair_similarity(spark):
     a_w, b_w, _ = sm.er_weights(a, b)
     common = {(r.a_id, r.b_id): r.tokens for r in sm.common_tokens(a_w, b_w).collect()}
     assert common[(1, 10)] == ["adobe", "photoshop"]
-    sims = sm.similarities(a_w, b_w)
-    pairs = spark.createDataFrame([(1, 10), (1, 12)], "a_id long, b_id long")
-    got = {(r.a_id, r.b_id): r.similarity for r in sm.pair_similarity(sims, pairs).collect()}
-    assert got[(1, 12)] == 0.0 and got[(1, 10)] > 0
+    tok_a, tok_b = sm.clustered_tokens(a, partitions=3), sm.clustered_tokens(b)
+    idf = sm.inverse_document_frequency([tok_a, tok_b])
+    pairs = spark.createDataFrame([(1, 10), (1, 12), (99, 10), (2, 11), (2, 11)], "a_id long, b_id long")
+    got = [(r.a_id, r.b_id, r.similarity) for r in sm.pair_similarity(tok_a, tok_b, idf, pairs).collect()]
+    every = brute_force(A, B)
+    assert sorted(got) == sorted((x, y, pytest.approx(every.get((x, y), 0.0))) for x, y in [(1, 10), (1, 12), (99, 10), (2, 11), (2, 11)])
+    only = {(r.a_id, r.b_id) for r in sm.pair_similarity(tok_a, tok_b, idf, pairs, sharing_only=True).collect()}
+    assert only == {(1, 10), (2, 11)}
+    assert sm.similarity_total(a_w, b_w).first().total == pytest.approx(sum(every.values()))
 
 
 def brute_sweep(sims, gold, n_a, n_b, n=100):
@@ -131,12 +136,14 @@ def test_threshold_sweep_and_gold_eval_brute_force(spark):
     expected = brute_sweep(sims, gold_pairs, len(A), len(B))
     got = [(r.threshold, r.tp, r.fp, r.fn) for r in ev.threshold_sweep(sims_df, gold).collect()]
     assert got == expected
-    row = ev.gold_evaluation(sims_df, gold, a, b).first()
+    tok_a, tok_b = sm.clustered_tokens(a), sm.clustered_tokens(b)
+    idf = sm.inverse_document_frequency([tok_a, tok_b])
+    a_w, b_w, _ = sm.er_weights(a, b)
+    row = ev.gold_evaluation(ev.gold_similarities(tok_a, tok_b, idf, gold), sm.similarity_total(a_w, b_w), a, b).first()
     g = [sims.get(p, 0.0) for p in gold_pairs]
     assert row.n_true_duplicates == 4
     assert row.avg_sim_duplicates == pytest.approx(sum(g) / 4)
     assert row.avg_sim_non_duplicates == pytest.approx((sum(sims.values()) - sum(g)) / (len(A) * len(B) - 4))
-    assert row.n_candidates == len(sims)
 
 
 def test_gold_fixture_matches_containment(spark):
@@ -149,31 +156,34 @@ def test_gold_fixture_matches_containment(spark):
     assert got == expected
 
 
-def test_skew_safe_lookup_join_equals_plain_join(spark):
-    from tessera.plans.joins import hot_keys, skew_safe_lookup_join
+def test_salt_count_of_huge_work(spark):
+    from tessera.plans.joins import salt_count
 
-    rows = spark.range(0, 5000).select(F.col("id"), (F.col("id") % 3).cast("string").alias("k"))
-    lookup = spark.createDataFrame([("0", 10.0), ("1", 11.0), ("2", 12.0)], "k string, v double")
-    counts = rows.groupBy("k").count()
-    hot = hot_keys(counts, "k", "count", max_keys=2, min_rows=0)
-    assert hot.count() == 2
-    got = sorted(tuple(r) for r in skew_safe_lookup_join(rows, lookup, "k", "id", hot, salts=7).select("id", "k", "v").collect())
-    plain = sorted(tuple(r) for r in rows.join(lookup, "k").select("id", "k", "v").collect())
-    assert got == plain
+    rows = [(1e16, 5.0), (1e19, 1e12), (1e30, 1e18), (0.0, 3.0), (10.0, 0.0)]
+    df = spark.createDataFrame(rows, "work double, most double")
+    got = [r[0] for r in df.select(salt_count(F.col("work"), 2_000_000, F.col("most"))).collect()]
+    assert got == [5, 10**12, 10**18, 1, 1]
+    longs = spark.createDataFrame([(3_000_000_000, 3_000_000_000)], "a long, b long")
+    work = F.col("a").cast("double") * F.col("b").cast("double")
+    assert longs.select(salt_count(work, 2_000_000)).first()[0] == 4_500_000_000_000
 
 
-def test_tfidf_with_hot_tokens_is_exact(spark, monkeypatch):
-    """Force every token hot (min_rows 0): weights are unchanged."""
-    import tessera.plans.joins as J
+@pytest.mark.parametrize("n_left,n_right", [(300, 4), (4, 300), (60, 60), (1, 500)])
+def test_grid_join_is_exact_and_copies_little(spark, n_left, n_right):
+    from tessera.plans.joins import grid_join
 
-    a, b = records(spark, A), records(spark, B)
-    plain = {(r.id, r.token): r.weight for r in sm.er_weights(a, b)[0].collect()}
-    monkeypatch.setattr(J, "HOT_MIN_ROWS", 0)
-    monkeypatch.setattr(sm, "hot_keys", lambda c, k, n: J.hot_keys(c, k, n, min_rows=0))
-    salted = {(r.id, r.token): r.weight for r in sm.er_weights(a, b)[0].collect()}
-    assert plain.keys() == salted.keys()
-    for k in plain:
-        assert salted[k] == pytest.approx(plain[k], rel=1e-12)
+    left = spark.createDataFrame([(i, "hot", n_left, n_right) for i in range(n_left)] + [(9999, "cold", 1, 1)], "a long, k string, l long, r long")
+    right = spark.createDataFrame([(i, "hot", n_left, n_right) for i in range(n_right)] + [(9999, "cold", 1, 1)], "b long, k string, l long, r long")
+    out = grid_join(left, right, "k", "a", "b", "l", "r", pairs_per_task=50)
+    assert out.columns == ["k", "a", "b"]
+    got = sorted((r.a, r.b) for r in out.collect())
+    assert got == sorted([(x, y) for x in range(n_left) for y in range(n_right)] + [(9999, 9999)])
+    # Rows that enter the join, copies included: far fewer than the pairs.
+    from math import ceil, sqrt
+    cells = ceil(n_left * n_right / 50)
+    rows = max(1, ceil(min(sqrt(cells * n_left / n_right), cells, n_left)))
+    columns = max(1, ceil(min(cells / rows, n_right)))
+    assert n_left * columns + n_right * rows <= 3 * (n_left + n_right) + 4 * sqrt(n_left * n_right * cells)
 
 
 def test_resolve_and_evaluate_checkpointed(spark):
@@ -196,14 +206,3 @@ def test_salting_splits_the_larger_side(spark):
     assert got.keys() == expected.keys()
     for k, v in expected.items():
         assert got[k] == pytest.approx(v, rel=1e-9)
-
-
-def test_skew_safe_lookup_join_many_lookup_rows_per_key(spark):
-    from tessera.plans.joins import hot_keys, skew_safe_lookup_join
-
-    rows = spark.range(0, 3000).select(F.col("id"), (F.col("id") % 4).cast("string").alias("k"))
-    lookup = spark.createDataFrame([("0", 1), ("0", 2), ("1", 3), ("3", 4), ("3", 5), ("3", 6)], "k string, b int")
-    hot = hot_keys(rows.groupBy("k").count(), "k", "count", max_keys=3, min_rows=0)
-    got = sorted(tuple(r) for r in skew_safe_lookup_join(rows, lookup, "k", "id", hot, salts=5).select("id", "b").collect())
-    plain = sorted(tuple(r) for r in rows.join(lookup, "k").select("id", "b").collect())
-    assert got == plain
