@@ -2,7 +2,7 @@
 
 Regex classes are ASCII: Java's ``\\W`` is ``[^a-zA-Z0-9_]`` unless the
 UNICODE_CHARACTER_CLASS flag is set, which matches the byte-string semantics
-of the original labs, and RE2 (DuckDB) agrees.
+of the source data, and RE2 (DuckDB) agrees.
 """
 
 from __future__ import annotations

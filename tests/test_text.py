@@ -1,4 +1,4 @@
-"""Word count and tokenizer literals (the cases the original labs assert)."""
+"""Word count and tokenizer literals (literal cases)."""
 
 import pytest
 from pyspark.sql import functions as F
