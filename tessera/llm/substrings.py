@@ -39,6 +39,7 @@ from tessera.llm import exchange as ex
 from tessera.llm.common import in_blocks, materialise, spans_cover, table, utf8
 
 WINDOW = 50
+BLOCK = 8 << 20  # bytes of text in a block of documents
 SHORT = 10  # words of the short phrases that anchors come from
 _BASE = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8: its powers differ in high bits
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C13, -1, 1 << 64))
@@ -126,7 +127,7 @@ def dedup_substrings(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        for i, rows in enumerate(in_blocks(batches)):
+        for i, rows in enumerate(in_blocks(batches, BLOCK)):
             block = Block(rows, id_at, text_at, window)
             anchors = block.anchors()
             change = np.flatnonzero(np.concatenate((np.ones(min(1, len(anchors)), bool), (anchors[1:] != anchors[:-1]) | (block.doc[1:] != block.doc[:-1]))))
