@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import annotate, ship, table
+from tessera.llm.common import annotate, materialise, ship, table
 
 LABELLED = 20_000
 POOL = 10_000
@@ -97,27 +97,12 @@ def meta_features(text: str, lang: str | None, source: str | None, n_chars: int
     return np.unique(np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names], np.int32))
 
 
-@dataclass
-class Rows:
-    """Sparse rows: feature numbers end to end."""
-
-    flat: np.ndarray
-    ends: np.ndarray
-
-    @classmethod
-    def of(cls, rows: list[np.ndarray]) -> Rows:
-        return cls(np.concatenate([np.empty(0, np.int32), *rows]), np.cumsum([len(r) for r in rows], dtype=np.int64))
+#: Sparse rows: an array of distinct feature numbers each.
+Rows = list
 
-    def take(self, index: np.ndarray) -> Rows:
-        starts = np.concatenate(([0], self.ends[:-1]))[index] if len(self.ends) else np.empty(0, np.int64)
-        sizes = self.ends[index] - starts
-        ends = np.cumsum(sizes)
-        at = np.repeat(starts - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
-        return Rows(self.flat[at], ends)
 
-    def sums(self, weights: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0.0], np.cumsum(weights[self.flat], dtype=np.float64)))
-        return total[self.ends] - total[np.concatenate(([0], self.ends[:-1]))] if len(self.ends) else np.empty(0)
+def sums(rows: Rows, weights: np.ndarray) -> np.ndarray:
+    return np.array([weights[r].sum() for r in rows], float)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -135,19 +120,21 @@ def fit(rows: Rows, y: np.ndarray, bits: int, epochs: int = EPOCHS) -> tuple[np.
     if not n or y.min() == y.max():
         return weights, bias
     # Features of one row alone tell nothing of others.
-    used = np.flatnonzero(np.bincount(rows.flat, minlength=1 << bits) > 1)
-    place = np.full(1 << bits, -1, np.int64)
+    seen = np.zeros(1 << bits, np.int32)
+    for r in rows:
+        seen[r] += 1
+    used = np.flatnonzero(seen > 1)
+    place = np.full(1 << bits, -1, np.int32)
     place[used] = np.arange(len(used))
-    kept = place[rows.flat]
-    rows = Rows(kept[kept >= 0], np.concatenate(([0], np.cumsum(kept >= 0)))[rows.ends])
+    rows = [p[p >= 0] for p in (place[r] for r in rows)]
     w, past, bias_past = np.zeros(len(used)), np.full(len(used), 1e-3), 1e-3
     for _ in range(max(epochs, min(200, STEPS * BATCH // n))):
         order = rng.permutation(n)
         for a in range(0, n, BATCH):
             index = order[a : a + BATCH]
-            part = rows.take(index)
-            error = _sigmoid(part.sums(w) + bias) - y[index]
-            grad = np.bincount(part.flat, np.repeat(error, np.diff(part.ends, prepend=0)), len(used)) / len(index)
+            part = [rows[i] for i in index]
+            error = _sigmoid(sums(part, w) + bias) - y[index]
+            grad = np.bincount(np.concatenate(part), np.repeat(error, [len(r) for r in part]), len(used)) / len(index)
             past += grad * grad
             rate = RATE / np.sqrt(past)
             w -= rate * grad
@@ -181,7 +168,7 @@ class View:
 
     def margin(self, rows: Rows) -> np.ndarray:
         """Calibrated log-odds."""
-        return self.scale[0] * (rows.sums(self.weights) + self.bias) + self.scale[1]
+        return self.scale[0] * (sums(rows, self.weights) + self.bias) + self.scale[1]
 
 
 @dataclass
@@ -199,16 +186,11 @@ class Model:
 def _calibrated(rows: Rows, y: np.ndarray, bits: int, check: Rows, check_y: np.ndarray) -> View:
     view = View(*fit(rows, y, bits))
     if len(check_y) and check_y.min() != check_y.max():
-        raw = np.clip(check.sums(view.weights) + view.bias, -30, 30)
+        raw = np.clip(sums(check, view.weights) + view.bias, -30, 30)
         view.scale = logistic(raw[:, None], check_y)
     return view
 
 
-def _joined(a: Rows, b: Rows) -> Rows:
-    last = a.ends[-1] if len(a.ends) else 0
-    return Rows(np.concatenate((a.flat, b.flat)), np.concatenate((a.ends, b.ends + last)))
-
-
 def co_train(
     views: tuple[Rows, Rows], y: np.ndarray, pool: tuple[Rows, Rows], rounds: int = ROUNDS, sure: float = SURE
 ) -> Model:
@@ -218,12 +200,12 @@ def co_train(
     goes to neither."""
     held = np.arange(len(y)) % 5 == 4
     kept = np.flatnonzero(~held)
-    check, check_y = [v.take(np.flatnonzero(held)) for v in views], y[held]
-    own, bits = [v.take(kept) for v in views], (TEXT_BITS, META_BITS)
+    check, check_y = [[v[i] for i in np.flatnonzero(held)] for v in views], y[held]
+    own, bits = [[v[i] for i in kept] for v in views], (TEXT_BITS, META_BITS)
     models = [_calibrated(own[i], y[kept], bits[i], check[i], check_y) for i in range(2)]
     limit = np.log(sure / (1 - sure))
     given: list[bytes] = []
-    for _ in range(rounds if len(pool[0].ends) and len(y) else 0):
+    for _ in range(rounds if len(pool[0]) and len(y) else 0):
         margins = [models[i].margin(pool[i]) for i in range(2)]
         clear = [np.abs(m) >= limit for m in margins]
         agree = ~(clear[0] & clear[1] & ((margins[0] > 0) != (margins[1] > 0)))
@@ -233,7 +215,7 @@ def co_train(
             break
         given.append(state)
         for i in range(2):
-            rows = _joined(own[i], pool[i].take(picks[i]))
+            rows = own[i] + [pool[i][k] for k in picks[i]]
             labels = np.concatenate((y[kept], (margins[1 - i][picks[i]] > 0).astype(float)))
             models[i] = _calibrated(rows, labels, bits[i], check[i], check_y)
     mix = np.array([1.0, 0.0, 0.0])
@@ -258,8 +240,10 @@ def _places(docs: DataFrame) -> dict[str, int | None]:
     return {c: docs.columns.index(c) if c in docs.columns else None for c in ("text", "lang", "source", "n_chars")}
 
 
-def _sample(docs: DataFrame) -> tuple[list[tuple], tuple[Rows, Rows]]:
-    """Features of a bounded sample on the driver, in the order of its ids."""
+def _sample(docs: DataFrame, wanted: np.ndarray | None = None) -> tuple[list[tuple], tuple[Rows, Rows], np.ndarray]:
+    """Features of a bounded sample on the driver, in the order of its ids,
+    and which text features are kept: ``wanted``, or else those that more
+    than one row of the sample has."""
     at = _places(docs)
 
     def run(rows: pa.StructArray) -> dict:
@@ -267,10 +251,25 @@ def _sample(docs: DataFrame) -> tuple[list[tuple], tuple[Rows, Rows]]:
         return {"text": [x.tobytes() for x in text], "meta": [x.tobytes() for x in meta]}
 
     kept = [c for c in docs.columns if c not in at]
-    found = annotate(docs, run, FEATURES).select(*[f"row.{c}" for c in kept], "out.text", "out.meta").collect()
-    found.sort(key=lambda r: (r["rank"], *r[: len(kept)]))
-    rows = tuple(Rows.of([np.frombuffer(r[v], np.int32) for r in found]) for v in ("text", "meta"))
-    return [tuple(r[c] for c in kept) for r in found], rows
+    rest = [c for c in kept if c not in ("rank", "doc_id")]
+    rows = annotate(docs, run, FEATURES).select("row.rank", "row.doc_id", F.struct(*[f"row.{c}" for c in rest], "out.text", "out.meta").alias("of"))
+    # One row per id, however often it comes: the least.
+    sample = materialise(rows.groupBy("rank", "doc_id").agg(F.min("of").alias("of")).select("rank", "doc_id", "of.*"), "sample")
+    found = []
+    for r in sample.toLocalIterator():  # a partition at a time
+        text, meta = (np.frombuffer(r[v], np.int32) for v in ("text", "meta"))
+        found.append((tuple(r[c] for c in kept), text if wanted is None else text[wanted[text]], meta))
+    found.sort(key=lambda r: r[0])
+    names, texts, metas = [r[0] for r in found], [r[1] for r in found], [r[2] for r in found]
+    del found
+    if wanted is None:
+        seen = np.zeros(1 << TEXT_BITS, np.int32)
+        for x in texts:
+            seen[x] += 1
+        wanted = seen > 1
+        for i, x in enumerate(texts):
+            texts[i] = x[wanted[x]]
+    return names, (texts, metas), wanted
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> dict[str, Model]:
@@ -287,9 +286,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *fields)
     # Both id lists hold at most `labelled` and `pool` rows, so they are broadcast.
     chosen = merged.orderBy("rank", "doc_id").limit(labelled)
-    known, views = _sample(own.join(F.broadcast(chosen), "doc_id").select("rank", "doc_id", "quality", "toxic", *fields))
+    known, views, wanted = _sample(own.join(F.broadcast(chosen), "doc_id").select("rank", "doc_id", "quality", "toxic", *fields))
     free = own.select("doc_id").where("doc_id IS NOT NULL").join(merged, "doc_id", "left_anti").select("doc_id", rank.alias("rank"))
-    _, spare = _sample(own.join(F.broadcast(free.distinct().orderBy("rank", "doc_id").limit(pool)), "doc_id").select("rank", "doc_id", *fields))
+    some = F.broadcast(free.distinct().orderBy("rank", "doc_id").limit(pool))
+    _, spare, _ = _sample(own.join(some, "doc_id").select("rank", "doc_id", *fields), wanted)
     return {
         target: co_train(views, np.array([r[2 + i] for r in known], float), spare, rounds)
         for i, target in enumerate(TARGETS)
@@ -306,7 +306,7 @@ def classify(docs: DataFrame, labels: DataFrame, reject: float = REJECT, **optio
         if not use:
             half = np.full(len(rows), 0.5)
             return {"quality_score": half, "toxic_score": half, "score": half, "keep": np.ones(len(rows), bool)}
-        text, meta = (Rows.of(x) for x in _features(rows, at))
+        text, meta = _features(rows, at)
         good, bad = use["quality"].probability(text, meta), use["toxic"].probability(text, meta)
         return {"quality_score": good, "toxic_score": bad, "score": good * (1 - bad), "keep": (good > reject) & (bad < 1 - reject)}
 
