@@ -38,7 +38,7 @@ from tessera.llm.common import in_blocks, materialise, table
 
 ORDER = 2
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 STEPS = 8
 ITERATIONS = 60
 BUCKET_KEYS = 1_000_000
