@@ -37,7 +37,9 @@ _SHIFT = 21  # bits of a code point
 
 OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-_LETTERS: dict[tuple[int, int], np.ndarray] = {}
+MOST_LETTERS = 4096  # kept at once
+
+_TURNED: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 _ALPHA: list[np.ndarray] = []
 
 
@@ -49,12 +51,25 @@ def _is_letter() -> np.ndarray:
 
 def letter(code: int, dim: int) -> np.ndarray:
     """The random vector of a code point."""
-    if (code, dim) not in _LETTERS:
-        if len(_LETTERS) > 20_000:
-            _LETTERS.clear()
-        seed = zlib.crc32(f"letter {code}".encode())
-        _LETTERS[code, dim] = np.random.Generator(np.random.PCG64(seed)).integers(0, 2, dim, np.int8) * 2 - 1
-    return _LETTERS[code, dim]
+    seed = zlib.crc32(f"letter {code}".encode())
+    return np.random.Generator(np.random.PCG64(seed)).integers(0, 2, dim, np.int8) * 2 - 1
+
+
+def _turned(codes: np.ndarray, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points in order, at least ``codes`` (distinct), and their vectors
+    turned by 0 to ``n - 1`` places; kept for the next texts."""
+    known, rows = _TURNED.get((n, dim), (np.empty(0, np.int64), np.empty((n, 0, dim), np.int8)))
+    new = np.setdiff1d(codes, known)
+    if len(new):
+        if len(known) + len(new) > MOST_LETTERS:
+            known, rows, new = known[:0], rows[:, :0], np.unique(codes)
+        made = np.stack([letter(int(c), dim) for c in new])
+        rows = np.concatenate((rows, np.stack([np.roll(made, k, axis=1) for k in range(n)])), axis=1)
+        known = np.concatenate((known, new))
+        order = np.argsort(known)
+        known, rows = known[order], rows[:, order]
+        _TURNED[n, dim] = known, rows
+    return known, rows
 
 
 def ngrams(text: str, n: int = N) -> np.ndarray:
@@ -80,21 +95,21 @@ def ngrams(text: str, n: int = N) -> np.ndarray:
 
 def vectors(grams: np.ndarray, n: int = N, dim: int = DIM) -> np.ndarray:
     """Bound vectors of n-gram codes, a row each."""
-    out = None
-    for place in range(n):
-        codes = (grams >> (_SHIFT * (n - 1 - place))) & ((1 << _SHIFT) - 1)
-        used, at = np.unique(codes, return_inverse=True)
-        turned = np.stack([np.roll(letter(int(c), dim), n - 1 - place) for c in used])[at]
-        out = turned if out is None else out * turned
+    places = [(grams >> (_SHIFT * (n - 1 - k))) & ((1 << _SHIFT) - 1) for k in range(n)]
+    known, rows = _turned(np.unique(np.concatenate(places)), n, dim)
+    out = rows[n - 1][np.searchsorted(known, places[0])]
+    for k in range(1, n):
+        out *= rows[n - 1 - k][np.searchsorted(known, places[k])]
     return out
 
 
 def bundle(grams: np.ndarray, counts: np.ndarray, n: int = N, dim: int = DIM) -> np.ndarray:
     """Sum of the n-grams' vectors times their counts, in whole numbers (kept
-    exactly in double precision)."""
+    exactly: in single precision only where all sums are below 2^24)."""
+    kind = np.float32 if counts.sum() < 1 << 24 else np.float64
     total = np.zeros(dim)
-    for a in range(0, len(grams), 4096):
-        total += counts[a : a + 4096].astype(np.float64) @ vectors(grams[a : a + 4096], n, dim).astype(np.float64)
+    for a in range(0, len(grams), 2048):
+        total += counts[a : a + 2048].astype(kind) @ vectors(grams[a : a + 2048], n, dim).astype(kind)
     return total
 
 
