@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -116,6 +118,14 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker's allocators would keep
+    what one block needed while the next task's JVM side grows."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def spans_cover(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     """Boolean array of ``n`` positions covered by windows at ``starts``."""
     edge = np.zeros(n + 1, np.int32)

@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exchange as ex
-from tessera.llm.common import in_blocks, materialise, table
+from tessera.llm.common import in_blocks, materialise, table, trim
 
 ORDER = 2
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 STEPS = 8
 ITERATIONS = 60
 BUCKET_KEYS = 1_000_000
@@ -85,8 +85,11 @@ class Grams:
             self.at.append(place)
             keys.append(key)
             total += len(there)
-        self.keys, self.inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        del gram, hashes, number, words, word
         self._there = np.concatenate([np.flatnonzero(a >= 0) for a in self.at])
+        every = np.concatenate(keys)
+        del keys
+        self.keys, self.inverse = np.unique(every, return_inverse=True)
         self._train, self._deleted = train, deleted
 
     def counts(self) -> list[np.ndarray]:
@@ -179,6 +182,8 @@ def score(
                 ],
                 ["block", "tokens", "train", "deleted", "rows"],
             )
+            del batch, grams
+            trim()
 
     blocks = materialise(rows.mapInArrow(cut, "block long, tokens long, train long, deleted long, rows binary"), "lm-blocks")
     tokens, train, deleted = ex.total(blocks, "tokens", "train", "deleted")
@@ -193,7 +198,11 @@ def score(
         for batch in batches:
             for block, data in zip(batch.column(0), batch.column(1), strict=True):
                 grams = open_block(data.as_py())[1]
-                yield ex.request_batch(list(ex.requests(block.as_py(), grams.keys, grams.counts(), buckets)))
+                keys, counts = grams.keys, grams.counts()
+                del grams
+                yield ex.request_batch(list(ex.requests(block.as_py(), keys, counts, buckets)))
+                del keys, counts
+                trim()
 
     def add(known: list[np.ndarray], new: np.ndarray) -> list[np.ndarray]:
         return [np.add.reduceat(x, new) for x in known]
@@ -215,6 +224,8 @@ def score(
                 bucket, p, _ = grams.estimates(stays, train - deleted, grams.deleted)
                 cells, n = np.unique(np.column_stack((bucket, _bins(p, uniform))), axis=0, return_counts=True)
                 found = np.column_stack((cells, n))
+            del grams
+            trim()
         return pa.table({name: pa.array(found[:, i]) for i, name in enumerate(names)})
 
     fields = ["bucket", *[f"b{k}" for k in range(1, order + 1)]]
@@ -243,7 +254,10 @@ def score(
             batch.column(0), pa.array(grams.held_out), pa.array(grams.tokens), pa.array(np.add.reduceat(c > 0, first, dtype=np.int64)),
             pa.array(np.full(n, train)), pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(mixed, first)),
         ]
-        return pa.table(columns, schema=out)
+        made = pa.table(columns, schema=out)
+        del grams, bucket, p, c, w, mixed, base, stays, goes
+        trim()
+        return made
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return ex.per_block(

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import exchange as ex
-from tessera.llm.common import in_blocks, materialise, spans_cover, table, utf8
+from tessera.llm.common import in_blocks, materialise, spans_cover, table, trim, utf8
 
 WINDOW = 50
 BLOCK = 8 << 20  # bytes of text in a block of documents
@@ -140,6 +140,8 @@ def dedup_substrings(
                 ],
                 ["block", "n_anchors", "n_phrases", "keys", "low", "high", "rows"],
             )
+            del rows, block, anchors, change, keys, low, high
+            trim()
 
     blocks = materialise(
         docs.mapInArrow(cut, "block long, n_anchors long, n_phrases long, keys binary, low binary, high binary, rows binary"), "blocks"
