@@ -10,9 +10,15 @@ above the threshold are the edges of the graph.
 
 Lists need not hold all links of a dense group: links never leave a component,
 so at the end each component is compared in full, tile by tile, and gives every
-node the exact number of its links without listing pairs. Recall is audited
-against brute force for a sample of nodes; while it is too low, another round
-of blocks and joins follows.
+node the exact number of its links without listing pairs.
+
+Recall is audited against brute force: nodes are drawn by how many links were
+found, those without any too, and the share of true links found is taken by
+node and by link for each range of true numbers of links. The least of these
+shares counts, so a dense group cannot hide losses of small ones. While it is
+too low, or no audited node has a link, another round of new draws follows;
+after ``rounds`` of them a recall that is too low is an error, and one without
+evidence (hardly any vector has a link) is null.
 
 Cosines of links are taken in double precision; lists use single precision.
 
@@ -29,7 +35,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, ship, table
@@ -37,7 +43,7 @@ from tessera.llm.components import components
 
 THRESHOLD = 0.9
 LIST = 10
-MOST = 40  # entries of a list; what is beyond counts through its component
+MOST = 40  # entries of a list, what is beyond counts through its component
 BLOCK = 512
 DRAWS = 8
 JOINS = 2
@@ -122,8 +128,12 @@ def _best(node: np.ndarray, v: np.ndarray, k: int, threshold: float) -> list[tup
     k = min(k, len(node) - 1)
     top = np.argpartition(-cos, k - 1, axis=1)[:, :k]
     who = np.repeat(np.arange(len(node)), k)
-    out = [(node[who], node[top.ravel()], cos[who, top.ravel()].astype(np.float32))]
-    near = cos >= threshold
+    return [(node[who], node[top.ravel()], cos[who, top.ravel()].astype(np.float32)), *_stars(node, cos >= threshold)]
+
+
+def _stars(node: np.ndarray, near: np.ndarray) -> list[tuple]:
+    """A star of links for each component of a group."""
+    out = []
     left = np.flatnonzero(near.any(axis=1))
     while len(left):
         root, edge, left = left[0], left[:1], left[1:]
@@ -135,30 +145,50 @@ def _best(node: np.ndarray, v: np.ndarray, k: int, threshold: float) -> list[tup
     return out
 
 
-def _blocks(vectors: DataFrame, count: int, first: int, draws: int) -> DataFrame:
-    """Nodes in blocks of equal signs under random hyperplanes, ``draws``
-    times; a block of more than two times ``BLOCK`` is dealt out by hash."""
-    bits = max(0, int(np.ceil(np.log2(max(1, count / BLOCK)))) + 1)
+def _bits(count: int) -> int:
+    """Hyperplanes of a draw."""
+    return max(0, int(np.ceil(np.log2(max(1, count / BLOCK)))) + 1)
+
+
+def _draws(bits: int, threshold: float) -> int:
+    """Draws after which two nodes at the threshold have met in a block with
+    the chance ``RECALL``."""
+    meet = max(1e-9, (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits)
+    return 1 if meet >= RECALL else int(np.ceil(np.log(1 - RECALL) / np.log1p(-meet)))
+
+
+def _keyed(vectors: DataFrame, bits: int, first: int, draws: int) -> DataFrame:
+    """``key`` of each node's block in ``draws`` draws, beside its columns."""
+    rest = [c for c in vectors.columns if c not in ("size", "vec")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            size = batch.column(1).to_numpy()
+            size = batch.column("size").to_numpy()
             for n in np.unique(size):
                 mine = batch.filter(pa.array(size == n))
-                v = _vectors(mine.column(2))
+                v = _vectors(mine.column("vec"))
                 for draw in range(first, first + draws):
                     planes = np.random.Generator(np.random.PCG64([draw, int(n)])).standard_normal((int(n), bits))
                     code = ((v @ planes > 0) << np.arange(bits)).sum(axis=1) if bits else np.zeros(len(v), np.int64)
-                    key = code * 64 * 4096 + draw % 64 * 4096 + int(n) % 4096
-                    yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), mine.column(0), mine.column(2)], ["key", "node", "vec"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(v), draw)), pa.array(code.astype(np.int64)), *[mine.column(c) for c in ("size", *rest, "vec")]],
+                        ["draw", "code", "size", *rest, "vec"],
+                    )
+
+    schema = "draw long, code long, size int, " + "".join(f"{c} long, " for c in rest) + "vec binary"
+    keyed = vectors.select("size", *rest, "vec").mapInArrow(run, schema)
+    return keyed.select(F.xxhash64("size", "draw", "code").alias("key"), *rest, "vec")
 
-    keyed = vectors.select("node", "size", "vec").mapInArrow(run, "key long, node long, vec binary")
-    sizes = vectors.select("node", "size", "vec").mapInArrow(run, "key long, node long, vec binary").groupBy("key").agg(F.count("*").alias("n"))
+
+def _blocks(vectors: DataFrame, bits: int, first: int, draws: int) -> DataFrame:
+    """Nodes in blocks of equal signs under random hyperplanes, ``draws``
+    times; a block of more than two times ``BLOCK`` is dealt out by hash."""
+    keyed = _keyed(vectors.select("node", "size", "vec"), bits, first, draws)
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
     parts = F.when(F.col("n") > 2 * BLOCK, F.ceil(F.col("n") / BLOCK)).otherwise(1)
-    dealt = keyed.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), parts)).alias("key"), "node", "vec")
-    return dealt
+    return keyed.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), parts)).alias("key"), "node", "vec")
 
 
 def _top(found: DataFrame, length: DataFrame | None) -> DataFrame:
@@ -214,9 +244,29 @@ def _tiles(members: DataFrame, threshold: float) -> DataFrame:
     return _groups(dealt, run, "node long, links long", ["node", "links"]).groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def _audit(vectors: DataFrame, counted: DataFrame, threshold: float, queries: int) -> float:
-    """Mean share of their true links that sampled nodes were found to have."""
-    some = vectors.orderBy(F.xxhash64("node"), "node").limit(queries).select("node", "size", "vec").collect()
+def _rank(links: Column) -> Column:
+    """Range of a number of links: 0, 1 to 3, 4 to 15, 16 to 63, ..."""
+    return F.when(links > 0, F.floor(F.log(4.0, links.cast("double")) + 1e-9) + 1).otherwise(0).cast("int")
+
+
+def _audit(vectors: DataFrame, counted: DataFrame, threshold: float, queries: int, turn: int = 0) -> float | None:
+    """Least share of their true links that sampled nodes were found to have,
+    over ranges of the true number, each by node and by link. About
+    ``queries`` nodes are drawn of those without found links and as many of
+    all others, in equal numbers of each range of the found number; a node
+    counts as the nodes it stands for. Null if no node of a sample has links."""
+    base = vectors.join(counted, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    base = base.select("node", "size", "vec", "links", _rank(F.col("links")).alias("rank"))
+    numbers = {r["rank"]: r["count"] for r in base.groupBy("rank").count().collect()}
+    each = -(-queries // max(1, len(numbers) - (0 in numbers)))
+    rate = {k: min(1.0, (each if k else queries) / n) for k, n in numbers.items()}
+    if not rate:
+        return 1.0
+    chance = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 40)) / float(1 << 40)
+    wanted_rate = F.lit(0.0)
+    for k, x in rate.items():
+        wanted_rate = F.when(F.col("rank") == k, F.lit(x)).otherwise(wanted_rate)
+    some = base.where(chance < wanted_rate).collect()
     by_size = {n: ([r["node"] for r in some if r["size"] == n], np.stack([np.frombuffer(r["vec"], np.float64) for r in some if r["size"] == n])) for n in {r["size"] for r in some}}
     shared = vectors.sparkSession.sparkContext.broadcast(by_size)
 
@@ -227,13 +277,22 @@ def _audit(vectors: DataFrame, counted: DataFrame, threshold: float, queries: in
                 mine = np.flatnonzero(size == n)
                 if not len(mine):
                     continue
-                near = matrix @ _vectors(batch.column(2).take(pa.array(mine))).T >= threshold
+                # A cosine that is the threshold but for rounding may be either.
+                near = matrix @ _vectors(batch.column(2).take(pa.array(mine))).T >= threshold + 1e-12
                 near &= np.array(asked)[:, None] != node[mine][None, :]
                 yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int64()), pa.array(near @ copies[mine].astype(np.int64))], ["node", "links"])
 
-    wanted = vectors.select("node", "size", "vec", "copies").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("wanted")).where("wanted > 0")
-    share = wanted.join(counted, "node", "left").agg(F.avg(F.coalesce("links", F.lit(0)) / F.col("wanted"))).first()[0]
-    return 1.0 if share is None else float(share)
+    sums = vectors.select("node", "size", "vec", "copies").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    wanted = {r["node"]: r["links"] for r in sums.where("links > 0").collect()}
+    strata: dict[int, list[tuple[float, int, int]]] = {}
+    for r in some:
+        if true := wanted.get(r["node"]):
+            strata.setdefault((true.bit_length() + 1) // 2, []).append((1 / rate[r["rank"]], min(true, r["links"]), true))
+    shares = [1.0] if len(some) == sum(numbers.values()) else []
+    for rows in strata.values():
+        weight, found, true = (np.array(x, float) for x in zip(*rows, strict=True))
+        shares += [float(weight @ (found / true) / weight.sum()), float(weight @ found / (weight @ true))]
+    return min(shares, default=None)
 
 
 def near_duplicates(
@@ -248,11 +307,12 @@ def near_duplicates(
         F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("size").alias("size"), F.first("vec").alias("vec")
     )
     vectors = materialise(vectors.select("node", "size", "vec", "copies", "least"), "nodes")
-    count = vectors.count()
-    lists = length = links = None
+    bits = _bits(vectors.count())
+    enough = max(draws, _draws(bits, threshold))
+    lists = length = links = recall = None
     for turn in range(rounds):
         found = _groups(
-            _blocks(vectors, count, turn * draws, draws), lambda other, v: _best(other[0], v, LIST, threshold), LINKS, ["a", "b", "cos"]
+            _blocks(vectors, bits, turn * enough, enough), lambda other, v: _best(other[0], v, LIST, threshold), LINKS, ["a", "b", "cos"]
         )
         found = materialise(found, "met")
         for step in range(JOINS + 1):
@@ -269,9 +329,11 @@ def near_duplicates(
         sizes = members.groupBy("c").agg(F.count("*").alias("total"), F.min("least").alias("component_id"))
         members = materialise(members.join(sizes, "c"), "members")
         counted = materialise(_tiles(members, threshold), "counted")
-        recall = _audit(vectors, counted, threshold, audit)
-        if recall >= RECALL:
+        recall = _audit(vectors, counted, threshold, audit, turn)
+        if recall is not None and recall >= RECALL:
             break
+    if recall is not None and recall < RECALL:
+        raise RuntimeError(f"recall {recall:.4f} of the links is below {RECALL} after {rounds} rounds")
     named = vectors.select("node", "copies", "least").join(members.select("node", "component_id"), "node", "left").join(counted, "node", "left")
     named = named.select(
         "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")
@@ -279,7 +341,7 @@ def near_duplicates(
     return of.select("vec_id", "node").join(named, "node", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))).withColumn("recall", F.lit(recall))
+    ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))).withColumn("recall", F.lit(recall).cast("double"))
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,6 +178,47 @@ def test_embeddings_against_all_pairs(spark, monkeypatch):
     assert sorted(map(str, map(tuple, again))) == sorted(map(str, map(tuple, out)))
 
 
+def unit_vectors(spark, vectors):
+    rows = [(i, v.size, bytearray((v / np.linalg.norm(v)).tobytes()), 1, i) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "node long, size int, vec binary, copies long, least long")
+
+
+def test_recall_of_small_groups_is_not_hidden_by_a_dense_one(spark):
+    rng = np.random.default_rng(3)
+    c = rng.standard_normal(32)
+    some = [c + rng.standard_normal(32) * 0.02 for _ in range(700)]
+    pairs = [v for _ in range(20) for x in [rng.standard_normal(32)] for v in (x, x + rng.standard_normal(32) * 0.02)]
+    vectors = unit_vectors(spark, some + pairs)
+    full = [(i, 699) for i in range(700)] + [(700 + i, 1) for i in range(40)]
+    counted = spark.createDataFrame(full, "node long, links long")
+    assert neighbours._audit(vectors, counted, 0.9, 5000) == 1
+    lost = counted.where("node < 728")  # 14 of 20 pairs
+    assert abs(neighbours._audit(vectors, lost, 0.9, 5000) - 0.7) < 1e-9
+
+
+def test_an_audit_without_linked_nodes_is_no_evidence(spark):
+    rng = np.random.default_rng(4)
+    vectors = unit_vectors(spark, [rng.standard_normal(64) for _ in range(400)])
+    none = spark.createDataFrame([], "node long, links long")
+    assert neighbours._audit(vectors, none, 0.9, 20) is None
+    assert neighbours._audit(vectors, none, 0.9, 400) == 1  # all nodes asked
+
+
+def test_embeddings_end_with_an_error_where_recall_stays_low(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal(16)
+    df = spark.createDataFrame([(i, (x + rng.standard_normal(16) * 0.02).tolist()) for i in range(4)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "_audit", lambda *a: 0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        neighbours.near_duplicates(df, rounds=1)
+
+
+def test_draws_follow_the_hyperplanes():
+    for bits in (0, 1, 8, 17):
+        meet = (1 - np.arccos(0.9) / np.pi) ** bits
+        assert 1 - (1 - meet) ** neighbours._draws(bits, 0.9) >= neighbours.RECALL
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.near_duplicates(df).collect() == []
