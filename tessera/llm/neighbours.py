@@ -8,9 +8,13 @@ name it meet and every one keeps the best it meets. A list that is saturated,
 its last entry still being a link, is enlarged for the next round. Links at or
 above the threshold are the edges of the graph.
 
-Lists need not hold all links of a dense group: links never leave a component,
-so at the end each component is compared in full, tile by tile, and gives every
-node the exact number of its links without listing pairs.
+Lists cannot hold all links of a dense group, so they do not decide which are
+found. Once there are components, blocks of as many draws as make a pair at the
+threshold meet with the chance ``RECALL`` are searched for links between
+different components, and here no block is dealt out: one that is too large is
+cut in tiles, and all pairs of tiles meet but those inside one component. At
+the end each component is compared in full, tile by tile, and gives every node
+the exact number of its links without listing pairs.
 
 Recall is audited against brute force: nodes are drawn by how many links were
 found, those without any too, and the share of true links found is taken by
@@ -43,7 +47,7 @@ from tessera.llm.components import components
 
 THRESHOLD = 0.9
 LIST = 10
-MOST = 40  # entries of a list, what is beyond counts through its component
+MOST = 40  # entries of a list, which bounds what meets in a join
 BLOCK = 512
 DRAWS = 8
 JOINS = 2
@@ -191,6 +195,45 @@ def _blocks(vectors: DataFrame, bits: int, first: int, draws: int) -> DataFrame:
     return keyed.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), parts)).alias("key"), "node", "vec")
 
 
+def _borders(placed: DataFrame, bits: int, first: int, draws: int, threshold: float, small: bool) -> DataFrame:
+    """Links between different components (``c``) in the blocks of ``draws``
+    draws. A block of more than two times ``BLOCK`` is cut in tiles, those of
+    a component that fills a tile apart from the others; all tiles of a block
+    meet but two of one component. Other blocks are left out unless ``small``."""
+    keyed = _keyed(placed.select("node", "c", "size", "vec"), bits, first, draws)
+    byc = keyed.groupBy("key", "c").agg(F.count("*").alias("m"))
+    heavy = F.col("m") > BLOCK
+    large = byc.groupBy("key").agg(F.sum("m").alias("n"), F.sum(F.when(~heavy, F.col("m"))).alias("others")).where(F.col("n") > 2 * BLOCK)
+    cut = byc.join(large, "key").select(
+        "key", "c", heavy.alias("heavy"), F.when(heavy, F.col("c")).otherwise(F.lit(0)).alias("kind"),
+        F.ceil(F.when(heavy, F.col("m")).otherwise(F.col("others")) / BLOCK).cast("int").alias("parts"),
+    )
+    cut = materialise(cut, "cut")
+    kinds = cut.select("key", F.struct("heavy", "kind").alias("kind"), "parts").distinct()
+    pairs = kinds.join(kinds.select("key", F.col("kind").alias("kind2"), F.col("parts").alias("parts2")), "key").where(
+        "kind < kind2 OR (kind = kind2 AND NOT kind.heavy)"
+    )
+    pairs = pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = pairs.withColumn("j", F.explode(F.sequence(F.when(F.col("kind") == F.col("kind2"), F.col("i")).otherwise(F.lit(0)), F.col("parts2") - 1)))
+    pairs = pairs.withColumn("group", F.xxhash64("key", "kind", "i", "kind2", "j"))
+    tiles = pairs.select("key", "kind", F.col("i").alias("tile"), "group").union(
+        pairs.where("kind < kind2 OR i < j").select("key", F.col("kind2").alias("kind"), F.col("j").alias("tile"), "group")
+    ).select("key", F.col("kind.heavy").alias("heavy"), F.col("kind.kind").alias("kind"), "tile", "group")
+    known = keyed.join(cut, ["key", "c"], "left" if small else "inner")
+    met = (
+        known.where("parts IS NOT NULL").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .join(tiles, ["key", "heavy", "kind", "tile"]).select(F.col("group").alias("key"), "node", "c", "vec")
+    )
+    if small:
+        met = met.union(known.where("parts IS NULL").select("key", "node", "c", "vec"))
+
+    def run(cols: list[np.ndarray], v: np.ndarray) -> list[tuple]:
+        node, c = cols
+        return [x[:2] for x in _stars(node, (v @ v.T >= threshold) & (c[:, None] != c[None, :]))]
+
+    return _groups(met, run, "a long, b long", ["a", "b"])
+
+
 def _top(found: DataFrame, length: DataFrame | None) -> DataFrame:
     """Lists: the best distinct entries of each node, ``LIST`` or the enlarged
     length that ``length`` gives for some nodes."""
@@ -312,7 +355,7 @@ def near_duplicates(
     lists = length = links = recall = None
     for turn in range(rounds):
         found = _groups(
-            _blocks(vectors, bits, turn * enough, enough), lambda other, v: _best(other[0], v, LIST, threshold), LINKS, ["a", "b", "cos"]
+            _blocks(vectors, bits, turn * enough, draws), lambda other, v: _best(other[0], v, LIST, threshold), LINKS, ["a", "b", "cos"]
         )
         found = materialise(found, "met")
         for step in range(JOINS + 1):
@@ -325,6 +368,17 @@ def near_duplicates(
                 found = materialise(_join(lists, vectors, threshold), "met")
         links = materialise(links.distinct(), "links")
         reached = components(links)
+        placed = vectors.select("node", "size", "vec").join(reached, "node", "left")
+        placed = materialise(placed.select("node", "size", "vec", F.coalesce("component", "node").alias("c")), "placed")
+        new = 0
+        for first in range(0, enough, draws):  # a few draws at a time, for their copies of the vectors
+            border = _borders(placed, bits, turn * enough + first, min(draws, enough - first), threshold, first > 0)
+            border = materialise(border.distinct(), "borders")
+            new += border.count()
+            links = links.union(border)
+        if new:
+            links = materialise(links.distinct(), "links")
+            reached = components(links)
         members = reached.withColumnRenamed("component", "c").join(vectors, "node")
         sizes = members.groupBy("c").agg(F.count("*").alias("total"), F.min("least").alias("component_id"))
         members = materialise(members.join(sizes, "c"), "members")

@@ -219,6 +219,37 @@ def test_draws_follow_the_hyperplanes():
         assert 1 - (1 - meet) ** neighbours._draws(bits, 0.9) >= neighbours.RECALL
 
 
+def test_a_link_between_saturated_groups(spark, monkeypatch):
+    """Two groups of near copies, far apart but for one member each."""
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    a, b = np.eye(24)[:2]
+
+    def at(angle):
+        return np.cos(angle) * a + np.sin(angle) * b
+
+    rows = [at(x) + 0.01 * rng.standard_normal(24) for x in (0.0, 0.8) for _ in range(300)] + [at(0.2), at(0.63)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    out = neighbours.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(str, map(tuple, out))) == plain_links(list(range(len(rows))), rows)
+
+
+def test_borders_of_a_block_that_is_too_large(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 8)
+    a, b = np.eye(24)[:2]
+    rng = np.random.default_rng(7)
+    rows = [np.cos(x) * a + np.sin(x) * b + 0.001 * rng.standard_normal(24) for x in (0.0, 0.8) for _ in range(100)]
+    rows += [np.cos(x) * a + np.sin(x) * b for x in (0.4, 0.42)]
+    placed = unit_vectors(spark, rows).selectExpr("node", "size", "vec", "CASE WHEN node < 100 THEN 0 WHEN node < 200 THEN 100 ELSE node END AS c")
+    met = neighbours._borders(placed, 0, 0, 1, 0.9, False).collect()
+    of = [0 if i < 100 else 100 if i < 200 else i for i in range(202)]
+    known, left = {0}, [{of[r["a"]], of[r["b"]]} for r in met]
+    while any(known & x and x - known for x in left):
+        known |= set().union(*[x for x in left if known & x])
+    assert known == {0, 100, 200, 201}
+    assert neighbours._borders(placed.withColumn("c", placed["node"] * 0), 0, 0, 1, 0.9, False).collect() == []
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.near_duplicates(df).collect() == []
