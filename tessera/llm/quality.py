@@ -9,8 +9,11 @@ labelled rows held back from fitting, combined there, and all documents are
 scored with the result.
 
 Fitting happens on the driver over bounded samples: at most ``labelled`` rows
-with labels and ``pool`` rows without, those with the least hash of their id.
-Scoring reads every document whole and has no shuffle.
+with labels, those with the least hash of their id, and about ``pool`` rows
+without (one per class and stratum at least). Those are looked for among all
+unlabelled documents: in every round the executors score each with both views,
+and the surest of every class and stratum of language and source come to the
+fit. Scoring reads every document whole and has no shuffle.
 
 Defined cases: a null or empty text has its length and layout features only;
 null metadata is a value of its own; labels of one id are merged (worst
@@ -24,11 +27,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +46,7 @@ TEXT_BITS = 18
 META_BITS = 12
 EPOCHS = 8
 BATCH = 256
+STRATA = 1024  # at most, by hash of language and source
 STEPS = 400  # at least so many, for small samples
 RATE = 0.3
 SPARSITY = 1e-3
@@ -191,39 +196,91 @@ def _calibrated(rows: Rows, y: np.ndarray, bits: int, check: Rows, check_y: np.n
     return view
 
 
-def co_train(
-    views: tuple[Rows, Rows], y: np.ndarray, pool: tuple[Rows, Rows], rounds: int = ROUNDS, sure: float = SURE
-) -> Model:
-    """Fit both views; every fifth labelled row is held back to calibrate and
-    combine them. A round hands each view the pool rows, with their labels,
-    that the other view is sure of; a row both are sure of but disagree on
-    goes to neither."""
-    held = np.arange(len(y)) % 5 == 4
-    kept = np.flatnonzero(~held)
-    check, check_y = [[v[i] for i in np.flatnonzero(held)] for v in views], y[held]
-    own, bits = [[v[i] for i in kept] for v in views], (TEXT_BITS, META_BITS)
-    models = [_calibrated(own[i], y[kept], bits[i], check[i], check_y) for i in range(2)]
-    limit = np.log(sure / (1 - sure))
-    given: list[bytes] = []
-    for _ in range(rounds if len(pool[0]) and len(y) else 0):
-        margins = [models[i].margin(pool[i]) for i in range(2)]
-        clear = [np.abs(m) >= limit for m in margins]
-        agree = ~(clear[0] & clear[1] & ((margins[0] > 0) != (margins[1] > 0)))
-        picks = [np.flatnonzero(clear[1 - i] & agree) for i in range(2)]
-        state = b"".join(p.tobytes() for p in picks)
-        if state in given:
-            break
-        given.append(state)
-        for i in range(2):
-            rows = own[i] + [pool[i][k] for k in picks[i]]
-            labels = np.concatenate((y[kept], (margins[1 - i][picks[i]] > 0).astype(float)))
-            models[i] = _calibrated(rows, labels, bits[i], check[i], check_y)
-    mix = np.array([1.0, 0.0, 0.0])
-    if len(check_y) and check_y.min() != check_y.max():
-        mix = logistic(np.clip(np.stack([m.margin(c) for m, c in zip(models, check, strict=True)], axis=1), -30, 30), check_y)
-    return Model(tuple(models), mix)
-
-
+class Team:
+    """Both views of a target in training; every fifth labelled row is held
+    back to calibrate and combine them."""
+
+    def __init__(self, views: tuple[Rows, Rows], y: np.ndarray):
+        held = np.arange(len(y)) % 5 == 4
+        self.check, self.check_y = [[v[i] for i in np.flatnonzero(held)] for v in views], y[held]
+        self.own, self.y = [[v[i] for i in np.flatnonzero(~held)] for v in views], y[~held]
+        self.models = [self._fitted(i, [], []) for i in range(2)]
+        self.given: list[list] = []
+
+    def _fitted(self, view: int, rows: Rows, labels: list[float]) -> View:
+        bits = (TEXT_BITS, META_BITS)[view]
+        return _calibrated(self.own[view] + rows, np.concatenate((self.y, labels)), bits, self.check[view], self.check_y)
+
+    def learn(self, picks: list[list[tuple]]) -> bool:
+        """Fit each view anew with its picks: id, label, features. False if
+        these picks were given before."""
+        state = [[p[:2] for p in mine] for mine in picks]
+        if state in self.given:
+            return False
+        self.given.append(state)
+        self.models = [self._fitted(i, [p[2] for p in picks[i]], [p[1] for p in picks[i]]) for i in range(2)]
+        return True
+
+    def model(self) -> Model:
+        mix = np.array([1.0, 0.0, 0.0])
+        if len(self.check_y) and self.check_y.min() != self.check_y.max():
+            margins = [m.margin(c) for m, c in zip(self.models, self.check, strict=True)]
+            mix = logistic(np.clip(np.stack(margins, axis=1), -30, 30), self.check_y)
+        return Model(tuple(self.models), mix)
+
+
+def _sure(spare: DataFrame, models: list[list[View]], each: int, sure: float) -> list[list[list[tuple]]]:
+    """For each target and view the ``each`` rows per class and stratum that
+    the other view is surest of, with its label; a row both are sure of but
+    disagree on goes to neither."""
+    limit, shared = np.log(sure / (1 - sure)), spare.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, list[tuple]] = {}
+        for batch in batches:
+            ids, ranks, cells = (batch.column(i).to_pylist() for i in range(3))
+            raw = [batch.column(i).to_pylist() for i in (3, 4)]
+            rows = [[np.frombuffer(x, np.int32) for x in r] for r in raw]
+            touched = set()
+            for target, views in enumerate(shared.value):
+                margins = [v.margin(r) for v, r in zip(views, rows, strict=True)]
+                clear = [np.abs(m) >= limit for m in margins]
+                agree = ~(clear[0] & clear[1] & ((margins[0] > 0) != (margins[1] > 0)))
+                for view in range(2):
+                    other = margins[1 - view]
+                    for k in np.flatnonzero(clear[1 - view] & agree).tolist():
+                        key = (target, view, float(other[k] > 0), cells[k])
+                        touched.add(key)
+                        best.setdefault(key, []).append((-abs(float(other[k])), ranks[k], ids[k], raw[view][k]))
+            for key in touched:
+                best[key] = sorted(set(best[key]))[:each]
+        found = [(*key, *x) for key, mine in best.items() for x in mine]
+        for a in range(0, len(found), 1000):
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*found[a : a + 1000], strict=True), arrow, strict=True)], arrow.names)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(SURE_ROWS)
+    # A task sends at most `each` rows of a class and stratum.
+    place = F.row_number().over(Window.partitionBy("target", "view", "label", "cell").orderBy("doubt", "rank", "doc_id"))
+    # One row per id, however often it comes: the surest.
+    met = spare.select("doc_id", "rank", "cell", "text", "meta").mapInArrow(run, SURE_ROWS)
+    once = met.groupBy("target", "view", "doc_id").agg(F.min(F.struct("doubt", "label", "cell", "rank", "features")).alias("of"))
+    found = once.select("target", "view", "doc_id", "of.*").withColumn("place", place).where(F.col("place") <= each)
+    picks: list[list[list[tuple]]] = [[[], []] for _ in models]
+    for r in materialise(found, "sure").toLocalIterator():
+        picks[r["target"]][r["view"]].append((r["doc_id"], r["label"], np.frombuffer(r["features"], np.int32)))
+    for mine in picks:
+        for p in mine:
+            p.sort(key=lambda x: x[0])
+    return picks
+
+
+SURE_ROWS = T.StructType([
+    T.StructField("target", T.IntegerType()), T.StructField("view", T.IntegerType()), T.StructField("label", T.DoubleType()),
+    T.StructField("cell", T.IntegerType()), T.StructField("doubt", T.DoubleType()), T.StructField("rank", T.LongType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("features", T.BinaryType()),
+])
 FEATURES = T.StructType([T.StructField("text", T.BinaryType()), T.StructField("meta", T.BinaryType())])
 
 
@@ -240,40 +297,35 @@ def _places(docs: DataFrame) -> dict[str, int | None]:
     return {c: docs.columns.index(c) if c in docs.columns else None for c in ("text", "lang", "source", "n_chars")}
 
 
-def _sample(docs: DataFrame, wanted: np.ndarray | None = None) -> tuple[list[tuple], tuple[Rows, Rows], np.ndarray]:
-    """Features of a bounded sample on the driver, in the order of its ids,
-    and which text features are kept: ``wanted``, or else those that more
-    than one row of the sample has."""
+def _featured(docs: DataFrame, rest: list[str]) -> DataFrame:
+    """Features of both views (``text``, ``meta``) beside columns ``rest``."""
     at = _places(docs)
 
     def run(rows: pa.StructArray) -> dict:
         text, meta = _features(rows, at)
         return {"text": [x.tobytes() for x in text], "meta": [x.tobytes() for x in meta]}
 
-    kept = [c for c in docs.columns if c not in at]
-    rest = [c for c in kept if c not in ("rank", "doc_id")]
-    rows = annotate(docs, run, FEATURES).select("row.rank", "row.doc_id", F.struct(*[f"row.{c}" for c in rest], "out.text", "out.meta").alias("of"))
+    return annotate(docs, run, FEATURES).select(*[f"row.{c}" for c in rest], "out.text", "out.meta")
+
+
+def _sample(docs: DataFrame) -> tuple[list[tuple], tuple[Rows, Rows]]:
+    """Labels and features of a bounded sample on the driver, in the order of
+    its ids."""
+    kept = ["rank", "doc_id", *TARGETS]
+    rows = _featured(docs, kept).select("rank", "doc_id", F.struct(*TARGETS, "text", "meta").alias("of"))
     # One row per id, however often it comes: the least.
     sample = materialise(rows.groupBy("rank", "doc_id").agg(F.min("of").alias("of")).select("rank", "doc_id", "of.*"), "sample")
     found = []
     for r in sample.toLocalIterator():  # a partition at a time
-        text, meta = (np.frombuffer(r[v], np.int32) for v in ("text", "meta"))
-        found.append((tuple(r[c] for c in kept), text if wanted is None else text[wanted[text]], meta))
-    found.sort(key=lambda r: r[0])
-    names, texts, metas = [r[0] for r in found], [r[1] for r in found], [r[2] for r in found]
-    del found
-    if wanted is None:
-        seen = np.zeros(1 << TEXT_BITS, np.int32)
-        for x in texts:
-            seen[x] += 1
-        wanted = seen > 1
-        for i, x in enumerate(texts):
-            texts[i] = x[wanted[x]]
-    return names, (texts, metas), wanted
-
-
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> dict[str, Model]:
-    """A model per target from bounded samples."""
+        found.append((tuple(r[c] for c in kept), *(np.frombuffer(r[v], np.int32) for v in ("text", "meta"))))
+    found.sort(key=lambda r: r[0][:2])
+    return [r[0] for r in found], ([r[1] for r in found], [r[2] for r in found])
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS, sure: float = SURE
+) -> dict[str, Model]:
+    """A model per target: fits over bounded samples, picked from all rows."""
     ship(docs.sparkSession)
     rank = F.xxhash64(F.col("doc_id").cast("long"))
     merged = (
@@ -284,16 +336,24 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     )
     fields = [c for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *fields)
-    # Both id lists hold at most `labelled` and `pool` rows, so they are broadcast.
+    # At most `labelled` ids, so they are broadcast.
     chosen = merged.orderBy("rank", "doc_id").limit(labelled)
-    known, views, wanted = _sample(own.join(F.broadcast(chosen), "doc_id").select("rank", "doc_id", "quality", "toxic", *fields))
-    free = own.select("doc_id").where("doc_id IS NOT NULL").join(merged, "doc_id", "left_anti").select("doc_id", rank.alias("rank"))
-    some = F.broadcast(free.distinct().orderBy("rank", "doc_id").limit(pool))
-    _, spare, _ = _sample(own.join(some, "doc_id").select("rank", "doc_id", *fields), wanted)
-    return {
-        target: co_train(views, np.array([r[2 + i] for r in known], float), spare, rounds)
-        for i, target in enumerate(TARGETS)
-    } if known else {}
+    known, views = _sample(own.join(F.broadcast(chosen), "doc_id").select("rank", "doc_id", *TARGETS, *fields))
+    if not known:
+        return {}
+    teams = [Team(views, np.array([r[2 + i] for r in known], float)) for i in range(len(TARGETS))]
+    if rounds:
+        stratum = [F.col(c) for c in ("lang", "source") if c in fields]
+        cell = F.pmod(F.xxhash64(*stratum), F.lit(STRATA)).cast("int") if stratum else F.lit(0)
+        spare = own.where("doc_id IS NOT NULL").select("doc_id", rank.alias("rank"), cell.alias("cell"), *fields)
+        spare = materialise(_featured(spare, ["doc_id", "rank", "cell"]).join(merged.select("doc_id"), "doc_id", "left_anti"), "spare")
+        strata = spare.select("cell").distinct().count()  # at most STRATA
+        each = max(1, pool // (2 * len(TARGETS) * max(1, strata)))
+    for _ in range(rounds):
+        picks = _sure(spare, [t.models for t in teams], each, sure)
+        if not any([t.learn(p) for t, p in zip(teams, picks, strict=True)]):
+            break
+    return {target: t.model() for target, t in zip(TARGETS, teams, strict=True)}
 
 
 def classify(docs: DataFrame, labels: DataFrame, reject: float = REJECT, **options) -> DataFrame:

@@ -135,6 +135,34 @@ def test_quality_cases(spark, make_docs, odd_rows):
     assert quality.classify(make_docs([]), both).collect() == []
 
 
+def test_a_word_of_unlabelled_documents_only_gets_a_weight(spark):
+    """All unlabelled documents are searched for sure rows, and what they have
+    in common is learnt though no labelled document has it."""
+    rng = random.Random(5)
+
+    def text(word):
+        return " ".join(rng.choice("amber birch cedar delta ember fjord".split()) for _ in range(20)) + f" {word}"
+
+    rows = [(i, text("plain"), "en", "good" if i % 2 else "bad", 100) for i in range(200)]
+    rows += [(1000 + i, text("zebra" if i % 2 else "quartz"), "en", "good" if i % 2 else "bad", 100) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    view = quality.train(df, labels)["quality"].views[0]
+    good, bad = (view.weights[zlib.crc32(x) & (1 << quality.TEXT_BITS) - 1] for x in (b"w zebra", b"w quartz"))
+    assert good > 0.1 and bad < -0.1
+
+
+def test_sure_rows_come_from_every_stratum(spark):
+    weights = np.zeros(1 << quality.META_BITS)
+    weights[[1, 2]] = 10, 8
+    views = [quality.View(np.zeros(1 << quality.TEXT_BITS), 0.0), quality.View(weights, 0.0)]
+    one, two = (np.array([x], np.int32).tobytes() for x in (1, 2))
+    rows = [(i, i, 0, one, one) for i in range(3000)] + [(9000, 9000, 1, one, two), (9000, 9000, 1, one, two)]
+    spare = spark.createDataFrame(rows, "doc_id long, rank long, cell int, text binary, meta binary")
+    ((text, meta),) = quality._sure(spare, [views], 5, 0.99)
+    assert [p[:2] for p in text] == [(i, 1.0) for i in [*range(5), 9000]] and meta == []
+
+
 def plain_links(ids, vectors, threshold=0.9):
     ok = [v is not None and None not in v and len(v) > 0 and np.isfinite(v).all() and np.any(v) for v in vectors]
     n, parent = [0] * len(ids), list(range(len(ids)))
