@@ -17,9 +17,10 @@ fit. Scoring reads every document whole and has no shuffle.
 
 Defined cases: a null or empty text has its length and layout features only;
 null metadata is a value of its own; labels of one id are merged (worst
-quality, most toxic), null labels are left out; a target with one class only
-gets the share of that class as its probability; without labels every score
-is 0.5 and everything is kept; rows of equal id are kept; an empty table gives
+quality, most toxic), a null label is left out for its target; a target with
+one class only gets the share of that class as its probability; one without
+labels has 0.5, rejects nothing and does not enter the score; without labels
+every score is 0.5 and everything is kept; rows of equal id are kept; an empty table gives
 an empty result; other columns are passed through.
 """
 
@@ -329,19 +330,26 @@ def train(
     ship(docs.sparkSession)
     rank = F.xxhash64(F.col("doc_id").cast("long"))
     merged = (
-        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+        labels.where("doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("double").alias("quality"), F.max("toxic").cast("double").alias("toxic"))
+        .where("quality IS NOT NULL OR toxic IS NOT NULL")
         .withColumn("rank", rank)
     )
     fields = [c for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *fields)
-    # At most `labelled` ids, so they are broadcast.
-    chosen = merged.orderBy("rank", "doc_id").limit(labelled)
+    # At most `labelled` ids a target, of documents that are there, so they are broadcast.
+    there = materialise(merged.join(own.select("doc_id"), "doc_id", "left_semi"), "labels")
+    chosen = [there.where(F.col(t).isNotNull()).orderBy("rank", "doc_id").limit(labelled) for t in TARGETS]
+    chosen = chosen[0].union(chosen[1]).distinct()
     known, views = _sample(own.join(F.broadcast(chosen), "doc_id").select("rank", "doc_id", *TARGETS, *fields))
     if not known:
         return {}
-    teams = [Team(views, np.array([r[2 + i] for r in known], float)) for i in range(len(TARGETS))]
+    teams = []
+    targets = [t for i, t in enumerate(TARGETS) if any(r[2 + i] is not None for r in known)]
+    for i in map(TARGETS.index, targets):
+        mine = [k for k, r in enumerate(known) if r[2 + i] is not None]
+        teams.append(Team(tuple([v[k] for k in mine] for v in views), np.array([known[k][2 + i] for k in mine], float)))
     if rounds:
         stratum = [F.col(c) for c in ("lang", "source") if c in fields]
         cell = F.pmod(F.xxhash64(*stratum), F.lit(STRATA)).cast("int") if stratum else F.lit(0)
@@ -353,7 +361,7 @@ def train(
         picks = _sure(spare, [t.models for t in teams], each, sure)
         if not any([t.learn(p) for t, p in zip(teams, picks, strict=True)]):
             break
-    return {target: t.model() for target, t in zip(TARGETS, teams, strict=True)}
+    return {target: t.model() for target, t in zip(targets, teams, strict=True)}
 
 
 def classify(docs: DataFrame, labels: DataFrame, reject: float = REJECT, **options) -> DataFrame:
@@ -367,8 +375,14 @@ def classify(docs: DataFrame, labels: DataFrame, reject: float = REJECT, **optio
             half = np.full(len(rows), 0.5)
             return {"quality_score": half, "toxic_score": half, "score": half, "keep": np.ones(len(rows), bool)}
         text, meta = _features(rows, at)
-        good, bad = use["quality"].probability(text, meta), use["toxic"].probability(text, meta)
-        return {"quality_score": good, "toxic_score": bad, "score": good * (1 - bad), "keep": (good > reject) & (bad < 1 - reject)}
+        half = np.full(len(rows), 0.5)
+        good, bad = (use[t].probability(text, meta) if t in use else half for t in TARGETS)
+        score, keep = half, np.ones(len(rows), bool)
+        if "quality" in use:
+            score, keep = good, good > reject
+        if "toxic" in use:
+            score, keep = score * (1 - bad), keep & (bad < 1 - reject)
+        return {"quality_score": good, "toxic_score": bad, "score": score, "keep": keep}
 
     return annotate(docs, run, OUT)
 

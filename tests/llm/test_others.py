@@ -135,6 +135,19 @@ def test_quality_cases(spark, make_docs, odd_rows):
     assert quality.classify(make_docs([]), both).collect() == []
 
 
+def test_labels_of_one_target_each_and_of_unknown_ids(spark):
+    rows = [(i, "fine words here" if i % 2 else "poor stuff there", "en", "good" if i % 2 else "bad", 100) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    schema = "doc_id long, quality int, toxic int"
+    labels = [(i, i % 2, None) if i < 30 else (i, None, 1 - i % 2) for i in range(60)]
+    elsewhere = [(1000 + i, 0, 1) for i in range(2000)]
+    # The bound is on labels of documents that are there.
+    out = quality.classify(df, spark.createDataFrame(labels + elsewhere, schema), labelled=60).collect()
+    assert all(r["out"]["keep"] == (r["row"]["source"] == "good") for r in out)
+    out = quality.classify(df, spark.createDataFrame(labels[:30], schema)).collect()
+    assert all(r["out"]["keep"] == (r["row"]["source"] == "good") and r["out"]["toxic_score"] == 0.5 for r in out)
+
+
 def test_a_word_of_unlabelled_documents_only_gets_a_weight(spark):
     """All unlabelled documents are searched for sure rows, and what they have
     in common is learnt though no labelled document has it."""
