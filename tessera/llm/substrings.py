@@ -102,7 +102,8 @@ class Block:
         short = min(SHORT, self.window)
         if not len(self.first):
             return np.empty(0, np.uint64)
-        return _least(phrase_hashes(self.hashes, short), self.window - short + 1)[self.first]
+        # Least values crowd at the low end; mixed again they fill all buckets alike.
+        return ex.mix(_least(phrase_hashes(self.hashes, short), self.window - short + 1)[self.first])
 
     def phrases(self) -> np.ndarray:
         return phrase_hashes(self.hashes, self.window)[self.first] if len(self.first) else np.empty(0, np.uint64)

@@ -3,10 +3,11 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import exchange as ex
-from tessera.llm.substrings import dedup_substrings, phrase_hashes, without_duplicates
+from tessera.llm.substrings import WINDOW, Block, dedup_substrings, phrase_hashes, without_duplicates
 
 
 def plain(rows, window):
@@ -92,3 +93,11 @@ def test_packing():
             assert (ex.unpack_ints(ex.pack_ints(x)) == x).all()
     ends = np.array([np.iinfo(np.int64).min // 2, np.iinfo(np.int64).max // 2])
     assert (ex.unpack_ints(ex.pack_ints(ends)) == ends).all()
+
+
+def test_anchors_are_even_over_the_buckets():
+    text = " ".join(f"word{i}" for i in range(40_000))
+    rows = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
+    keys = np.unique(Block(rows, 0, 1, WINDOW).anchors())
+    sizes = np.diff(ex.bounds(keys, 8))
+    assert sizes.max() < 1.3 * sizes.mean()
