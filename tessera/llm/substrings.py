@@ -1,13 +1,13 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
-
-Every document is parsed against the documents with smaller ids. The reference
-is indexed by its phrases of ``window`` words, cut into blocks by range of the
-phrase's hash; an entry holds the least document with that phrase. The parse
-is greedy: a factor grows word by word while the next phrase is held by the
-same earlier document, and a new one starts where it is not. Factors of at
-least ``window`` words are duplicate spans. Around a factor's boundary every
-phrase that runs across it is looked up as well (a phrase has its own entry),
-so a repeated passage cannot hide between two factors.
+"""Substring dedup by an exchange of phrase hashes.
+
+Every phrase of ``window`` words of every document is looked up among those of
+all documents, in buckets by range of the phrase's hash; an entry holds the
+least document with that phrase. Words inside a phrase that a document with a
+smaller id has are removed. This replaces a relative Lempel-Ziv parse against
+blocks of reference text, for which every document would meet every block; as
+each phrase has its own entry, no passage can hide at a boundary. ``factors``
+reports the runs of phrases found in one earlier document; nothing is removed
+by them.
 
 All phrases of a corpus would be as many as its words. So blocks of documents
 first exchange anchors: the least hash of the short phrases inside a long one.
