@@ -5,7 +5,21 @@ Queries without SQL (see README) are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, language, lm, neighbours, quality, sentencepieces, sharding, simhash, substrings, token_files
+from tessera.llm import (
+    conversations,
+    decontaminate,
+    language,
+    lm,
+    nearest,
+    neighbours,
+    quality,
+    sentencepieces,
+    sharding,
+    simhash,
+    substrings,
+    token_files,
+    whitening,
+)
 
 QUERIES = {
     "op1_deleted_interpolation": lm.op1_deleted_interpolation,
@@ -18,6 +32,9 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_language": language.op9_language,
     "op10_sharding": sharding.op10_sharding,
+    "op11_prefix_trie": conversations.op11_prefix_trie,
+    "op12_shifted_curves": nearest.op12_shifted_curves,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL = {
