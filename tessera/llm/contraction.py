@@ -1,12 +1,14 @@
 """Totals of all subtrees of a forest by parallel tree contraction.
 
 Each round rakes all leaves (their totals are known, and are added to their
-parents') and then compresses chains: an inner node with one child, chosen by a
-coin so that no chosen node is the child of another, is taken out, and its
-child hangs on to the node above with what was taken out kept on the new edge.
-Rounds end when no node is left; a chain of n nodes takes about log n of them,
-not n. Going back through the rounds, every node that was compressed gets its
-own value and its child's total.
+parents') and then compresses chains of inner nodes with one child: by pointer
+doubling every node of a chain learns in a few joins, log of the chain's length,
+the node below the chain and what lies between; all of them are taken out, and
+the node below hangs on to the one above with the chain's values kept on the
+new edge. Then every inner node has two children or more, so a rake takes at
+least half of what is left, and rounds are few however deep the forest is.
+Going back through the rounds, every node that was compressed gets its own
+value and the total of the node below its chain.
 
 What a parent gets from its children is added up before it is shuffled, and
 only parents with a single child look that child up, so a node with a third of
@@ -15,6 +17,9 @@ are written to the shared folder in each round."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +28,6 @@ from tessera.llm.common import materialise
 KEPT = 16  # tables of totals that are read side by side before they are written as one
 
 
-def _coin(node: Column, turn: int) -> Column:
-    return F.xxhash64(node, F.lit(turn)) % 2 == 0
-
-
 def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
     """``node`` and, in the columns ``values`` (long), their sums over its
     subtree, itself included. ``nodes`` has ``node`` (unique, not null),
@@ -34,7 +35,10 @@ def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
     number of children) and the values. A circle of parents is an error."""
     own = F.struct(*[F.col(v).cast("long").alias(v) for v in values])
     none = F.struct(*[F.lit(0).cast("long").alias(v) for v in values])
-    plus = lambda *xs: F.struct(*[sum((F.col(f"{x}.{v}") for x in xs[1:]), F.col(f"{xs[0]}.{v}")).alias(v) for v in values])
+
+    def plus(*structs: str) -> Column:
+        return F.struct(*[sum((F.col(f"{x}.{v}") for x in structs[1:]), F.col(f"{structs[0]}.{v}")).alias(v) for v in values])
+
     # own: the node's value and what raked children gave; edge: values of compressed nodes up to the parent.
     alive = materialise(nodes.select("node", "parent", F.col("kids").cast("long").alias("kids"), own.alias("own"), none.alias("edge")), "forest")
     left = alive.count()
@@ -50,49 +54,57 @@ def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
             F.when(F.col("gone").isNull(), F.col("own")).otherwise(plus("own", "given")).alias("own"), "edge",
         )
         rest = materialise(rest, "raked")
-        after = rest.count()
-        if after == left:
+        numbers = rest.agg(F.count("*").alias("all"), F.count_if(F.expr("kids = 1 AND parent IS NOT NULL")).alias("chains")).first()
+        if numbers["all"] == left:
             raise ValueError("parents form a circle")
-        spliced = None
-        if after:
-            spliced = materialise(_compressed(rest, plus, len(rounds)), "spliced")
-            gone = spliced.count()
-            if gone:
-                above = spliced.select(F.col("via").alias("node"), F.col("parent").alias("above"), F.col("across"))
-                alive = rest.join(spliced, "node", "left_anti").join(above, "node", "left")
-                alive = alive.select(
-                    "node", F.when(F.col("across").isNull(), F.col("parent")).otherwise(F.col("above")).alias("parent"), "kids", "own", F.coalesce("across", "edge").alias("edge")
-                )
-                alive = materialise(alive, "forest")
-            else:
-                alive, spliced = rest, None
-            after -= gone
-        rounds.append((leaves, spliced))
-        left = after
+        alive, left, chains = rest, numbers["all"], None
+        if numbers["chains"]:
+            chains = _chains(rest, plus)
+            alive = materialise(_without(rest, chains, plus), "forest")
+            left -= numbers["chains"]
+        rounds.append((leaves, chains))
     return _expanded(rounds, nodes.select("node", own.alias("total")).where("false"), plus).select("node", "total.*")
 
 
-def _compressed(rest: DataFrame, plus, turn: int) -> DataFrame:
-    """Inner nodes with one child to be taken out: ``node``, ``parent``, its
-    value with that of the edge below (``own``), the child (``via``) and the
-    child's new ``across`` to the parent."""
-    heads = lambda node, kids: (kids == 1) & _coin(node, turn)
+def _chains(rest: DataFrame, plus: Callable[..., Column]) -> DataFrame:
+    """All nodes with a parent and one child: ``node``, ``parent``, ``edge``,
+    the node below its chain (``via``) and the values down to it (``own``)."""
     single = rest.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n"), F.min(F.struct("node", "kids", "edge")).alias("child"))
-    single = single.where("n = 1").select("node", "child")
-    chosen = rest.where("parent IS NOT NULL").where(heads(F.col("node"), F.col("kids"))).join(single, "node")
-    # The child is inner: raked leaves are gone, and one that became a leaf in this round stays for the next.
-    chosen = chosen.where(~heads(F.col("child.node"), F.col("child.kids")))
-    return chosen.select(
-        "node", "parent", plus("own", "child.edge").alias("own"), F.col("child.node").alias("via"), plus("edge", "own", "child.edge").alias("across")
+    steps = rest.where("kids = 1 AND parent IS NOT NULL").join(single.where("n = 1").select("node", "child"), "node")
+    steps = steps.select("node", "parent", "edge", F.col("child.node").alias("via"), plus("own", "child.edge").alias("own"), (F.col("child.kids") != 1).alias("ends"))
+    steps = materialise(steps, "chains")
+    done, open_ = [steps.where("ends")], steps.where("NOT ends")
+    left = open_.count()
+    while left:
+        known = reduce(DataFrame.union, [*done, open_]).select(F.col("node").alias("via"), F.col("via").alias("next"), F.col("own").alias("further"), F.col("ends").alias("over"))
+        doubled = open_.join(known, "via").select("node", "parent", "edge", F.col("next").alias("via"), plus("own", "further").alias("own"), F.col("over").alias("ends"))
+        doubled = materialise(doubled, "chains")
+        done.append(doubled.where("ends"))
+        open_ = doubled.where("NOT ends")
+        before, left = left, open_.count()
+        if left == before:
+            raise ValueError("parents form a circle")
+    return reduce(DataFrame.union, done).drop("ends")
+
+
+def _without(rest: DataFrame, chains: DataFrame, plus: Callable[..., Column]) -> DataFrame:
+    """The forest without the chains' nodes; who hung below a chain hangs on
+    to the node above it."""
+    inner = chains.select(F.col("node").alias("parent"))
+    tops = chains.join(inner, "parent", "left_anti")
+    above = tops.select(F.col("via").alias("node"), F.col("parent").alias("above"), plus("edge", "own").alias("across"))
+    kept = rest.where("NOT (kids = 1 AND parent IS NOT NULL)").join(above, "node", "left")
+    return kept.select(
+        "node", F.when(F.col("across").isNull(), F.col("parent")).otherwise(F.col("above")).alias("parent"), "kids", "own", F.coalesce("across", "edge").alias("edge")
     )
 
 
-def _expanded(rounds: list[tuple[DataFrame, DataFrame | None]], none: DataFrame, plus) -> DataFrame:
+def _expanded(rounds: list[tuple[DataFrame, DataFrame | None]], none: DataFrame, plus: Callable[..., Column]) -> DataFrame:
     totals, tables = none, 0
-    for leaves, spliced in reversed(rounds):
-        if spliced is not None:
+    for leaves, chains in reversed(rounds):
+        if chains is not None:
             known = totals.select(F.col("node").alias("via"), "total")
-            back = spliced.join(known, "via").select("node", plus("own", "total").alias("total"))
+            back = chains.join(known, "via").select("node", plus("own", "total").alias("total"))
             totals = totals.union(materialise(back, "expanded"))
         totals, tables = totals.union(leaves), tables + 2
         if tables >= KEPT:
