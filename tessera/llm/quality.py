@@ -28,8 +28,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,31 +64,61 @@ OUT = T.StructType([
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKS = re.compile(r"[^\w\s]+")
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+_CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _STEMS = (4, 5)
+CAPACITY = 500_000  # words that a worker remembers the features of
 
 
 def _bucket(share: float) -> int:
     return min(20, int(20 * share))
 
 
-def text_features(text: str) -> np.ndarray:
-    """Hashed features of the text view."""
-    low = text.lower()
-    words = _WORD.findall(low)
+def _number(name: str, bits: int) -> int:
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) & ((1 << bits) - 1)
+
+
+class _Remembered(dict):
+    """Feature numbers of a word; made at the first question, and forgotten
+    when there are too many."""
+
+    def __init__(self, names: Callable[[str], list[str]]):
+        self.names = names
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= CAPACITY:
+            self.clear()
+        found = self[word] = tuple(_number(x, TEXT_BITS) for x in self.names(word))
+        return found
+
+
+_OF_WORD = _Remembered(lambda w: [f"w {w}", *(f"b {w[:n]}" for n in _STEMS if len(w) >= n)])
+_OF_MARK = _Remembered(lambda m: [f"m {m[:8]}"])
+
+
+def _capitals(text: str) -> int:
+    plain = text.encode("ascii", "ignore")
+    n = len(plain) - len(plain.translate(None, _CAPITALS))
+    return n + sum(map(str.isupper, "".join(_BEYOND_ASCII.findall(text)))) if len(plain) < len(text) else n
+
+
+def text_features(text: str, marks: list[str] | None = None) -> np.ndarray:
+    """Hashed features of the text view; ``marks`` if they are known."""
+    words = _WORD.findall(text.lower())
     distinct = set(words)
-    names = {f"w {w}" for w in distinct}
-    for n in _STEMS:
-        names |= {f"b {w[:n]}" for w in distinct if len(w) >= n}
-    names |= {f"m {m[:8]}" for m in set(_MARKS.findall(text))}
+    numbers = list(chain.from_iterable(map(_OF_WORD.__getitem__, distinct)))
+    numbers += chain.from_iterable(map(_OF_MARK.__getitem__, set(_MARKS.findall(text) if marks is None else marks)))
     if words:
-        names.add(f"varied {_bucket(len(distinct) / len(words))} {min(10, len(words).bit_length())}")
-        names.add(f"loud {_bucket(sum(map(str.isupper, text)) / len(text))}")
-        names.add(f"long {min(30, sum(map(len, words)) // len(words))}")
-    mask = (1 << TEXT_BITS) - 1
-    return np.unique(np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names], np.int32))
+        names = (
+            f"varied {_bucket(len(distinct) / len(words))} {min(10, len(words).bit_length())}",
+            f"loud {_bucket(_capitals(text) / len(text))}",
+            f"long {min(30, len(''.join(words)) // len(words))}",
+        )
+        numbers += [_number(x, TEXT_BITS) for x in names]
+    return np.unique(np.array(numbers, np.int32))
 
 
-def meta_features(text: str, lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
+def meta_features(text: str, lang: str | None, source: str | None, n_chars: int | None, marks: list[str] | None = None) -> np.ndarray:
     """Hashed features of the metadata view."""
     lines = text.split("\n")
     n = max(1, len(text))
@@ -95,20 +126,38 @@ def meta_features(text: str, lang: str | None, source: str | None, n_chars: int
         f"lang {lang}", f"source {source}", f"chars {None if n_chars is None else int(n_chars).bit_length()}",
         f"lines {len(lines).bit_length()}", f"width {(n // len(lines)).bit_length()}",
         f"repeated {_bucket(1 - len(set(lines)) / len(lines))}",
-        f"marks {_bucket(2 * sum(map(len, _MARKS.findall(text))) / n)}",
+        f"marks {_bucket(2 * len(''.join(_MARKS.findall(text) if marks is None else marks)) / n)}",
         f"bars {_bucket(10 * text.count('|') / n)}",
         f"blanks {_bucket(text.count(' ') / n)}",
     ]
-    mask = (1 << META_BITS) - 1
-    return np.unique(np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names], np.int32))
+    return np.unique(np.array([_number(x, META_BITS) for x in names], np.int32))
 
 
 #: Sparse rows: an array of distinct feature numbers each.
 Rows = list
 
 
+def pack(row: np.ndarray) -> bytes:
+    """Ascending feature numbers as steps of two bytes, or four where one is
+    longer (then the number of bytes leaves a remainder of one)."""
+    step = np.diff(row, prepend=0)
+    return step.astype("<u2").tobytes() if not len(step) or step.max() < 1 << 16 else step.astype("<u4").tobytes() + b"4"
+
+
+def unpack(data: bytes) -> np.ndarray:
+    step = np.frombuffer(data[:-1], "<u4") if len(data) % 2 else np.frombuffer(data, "<u2")
+    return np.cumsum(step, dtype=np.int32)
+
+
 def sums(rows: Rows, weights: np.ndarray) -> np.ndarray:
-    return np.array([weights[r].sum() for r in rows], float)
+    """Sum of each row's weights."""
+    size = np.array([len(r) for r in rows], np.int64)
+    out = np.zeros(len(rows))
+    some = np.flatnonzero(size)
+    if len(some):
+        flat = weights[np.concatenate([rows[i] for i in some])]
+        out[some] = np.add.reduceat(flat, np.cumsum(size[some]) - size[some])
+    return out
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -233,15 +282,16 @@ class Team:
 def _sure(spare: DataFrame, models: list[list[View]], each: int, sure: float) -> list[list[list[tuple]]]:
     """For each target and view the ``each`` rows per class and stratum that
     the other view is surest of, with its label; a row both are sure of but
-    disagree on goes to neither."""
+    disagree on goes to neither. Rows are ranked without their features, which
+    are fetched for those chosen."""
     limit, shared = np.log(sure / (1 - sure)), spare.sparkSession.sparkContext.broadcast(models)
+    spare = spare.withColumn("mark", F.xxhash64("text", "meta"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple, list[tuple]] = {}
+        best: dict[tuple, set[tuple]] = {}
         for batch in batches:
-            ids, ranks, cells = (batch.column(i).to_pylist() for i in range(3))
-            raw = [batch.column(i).to_pylist() for i in (3, 4)]
-            rows = [[np.frombuffer(x, np.int32) for x in r] for r in raw]
+            ids, ranks, cells, mark = (batch.column(c).to_pylist() for c in ("doc_id", "rank", "cell", "mark"))
+            rows = [[unpack(x) for x in batch.column(c).to_pylist()] for c in ("text", "meta")]
             touched = set()
             for target, views in enumerate(shared.value):
                 margins = [v.margin(r) for v, r in zip(views, rows, strict=True)]
@@ -252,12 +302,13 @@ def _sure(spare: DataFrame, models: list[list[View]], each: int, sure: float) ->
                     for k in np.flatnonzero(clear[1 - view] & agree).tolist():
                         key = (target, view, float(other[k] > 0), cells[k])
                         touched.add(key)
-                        best.setdefault(key, []).append((-abs(float(other[k])), ranks[k], ids[k], raw[view][k]))
+                        best.setdefault(key, set()).add((-abs(float(other[k])), ranks[k], ids[k], mark[k]))
             for key in touched:
-                best[key] = sorted(set(best[key]))[:each]
+                if len(best[key]) > each:
+                    best[key] = set(sorted(best[key])[:each])
         found = [(*key, *x) for key, mine in best.items() for x in mine]
-        for a in range(0, len(found), 1000):
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*found[a : a + 1000], strict=True), arrow, strict=True)], arrow.names)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*found, strict=True), arrow, strict=True)], arrow.names)
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -265,12 +316,15 @@ def _sure(spare: DataFrame, models: list[list[View]], each: int, sure: float) ->
     # A task sends at most `each` rows of a class and stratum.
     place = F.row_number().over(Window.partitionBy("target", "view", "label", "cell").orderBy("doubt", "rank", "doc_id"))
     # One row per id, however often it comes: the surest.
-    met = spare.select("doc_id", "rank", "cell", "text", "meta").mapInArrow(run, SURE_ROWS)
-    once = met.groupBy("target", "view", "doc_id").agg(F.min(F.struct("doubt", "label", "cell", "rank", "features")).alias("of"))
+    met = spare.mapInArrow(run, SURE_ROWS)
+    once = met.groupBy("target", "view", "doc_id").agg(F.min(F.struct("doubt", "label", "cell", "rank", "mark")).alias("of"))
     found = once.select("target", "view", "doc_id", "of.*").withColumn("place", place).where(F.col("place") <= each)
+    chosen = materialise(found.select("target", "view", "doc_id", "label", "mark"), "sure")
+    # At most `each` of every class and stratum for each target and view, so they are broadcast.
+    fetched = spare.select("doc_id", "mark", "text", "meta").join(F.broadcast(chosen), ["doc_id", "mark"]).dropDuplicates(["target", "view", "doc_id"])
     picks: list[list[list[tuple]]] = [[[], []] for _ in models]
-    for r in materialise(found, "sure").toLocalIterator():
-        picks[r["target"]][r["view"]].append((r["doc_id"], r["label"], np.frombuffer(r["features"], np.int32)))
+    for r in fetched.toLocalIterator():
+        picks[r["target"]][r["view"]].append((r["doc_id"], r["label"], unpack(r["text" if r["view"] == 0 else "meta"])))
     for mine in picks:
         for p in mine:
             p.sort(key=lambda x: x[0])
@@ -280,7 +334,7 @@ def _sure(spare: DataFrame, models: list[list[View]], each: int, sure: float) ->
 SURE_ROWS = T.StructType([
     T.StructField("target", T.IntegerType()), T.StructField("view", T.IntegerType()), T.StructField("label", T.DoubleType()),
     T.StructField("cell", T.IntegerType()), T.StructField("doubt", T.DoubleType()), T.StructField("rank", T.LongType()),
-    T.StructField("doc_id", T.LongType()), T.StructField("features", T.BinaryType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("mark", T.LongType()),
 ])
 FEATURES = T.StructType([T.StructField("text", T.BinaryType()), T.StructField("meta", T.BinaryType())])
 
@@ -290,8 +344,9 @@ def _features(rows: pa.StructArray, at: dict[str, int | None]) -> tuple[list[np.
         return [None] * len(rows) if at[name] is None else rows.field(at[name]).to_pylist()
 
     texts = [x or "" for x in column("text")]
-    meta = [meta_features(*x) for x in zip(texts, column("lang"), column("source"), column("n_chars"), strict=True)]
-    return [text_features(x) for x in texts], meta
+    marks = [_MARKS.findall(x) for x in texts]
+    meta = [meta_features(*x) for x in zip(texts, column("lang"), column("source"), column("n_chars"), marks, strict=True)]
+    return [text_features(*x) for x in zip(texts, marks, strict=True)], meta
 
 
 def _places(docs: DataFrame) -> dict[str, int | None]:
@@ -304,7 +359,7 @@ def _featured(docs: DataFrame, rest: list[str]) -> DataFrame:
 
     def run(rows: pa.StructArray) -> dict:
         text, meta = _features(rows, at)
-        return {"text": [x.tobytes() for x in text], "meta": [x.tobytes() for x in meta]}
+        return {"text": [pack(x) for x in text], "meta": [pack(x) for x in meta]}
 
     return annotate(docs, run, FEATURES).select(*[f"row.{c}" for c in rest], "out.text", "out.meta")
 
@@ -318,7 +373,7 @@ def _sample(docs: DataFrame) -> tuple[list[tuple], tuple[Rows, Rows]]:
     sample = materialise(rows.groupBy("rank", "doc_id").agg(F.min("of").alias("of")).select("rank", "doc_id", "of.*"), "sample")
     found = []
     for r in sample.toLocalIterator():  # a partition at a time
-        found.append((tuple(r[c] for c in kept), *(np.frombuffer(r[v], np.int32) for v in ("text", "meta"))))
+        found.append((tuple(r[c] for c in kept), *(unpack(r[v]) for v in ("text", "meta"))))
     found.sort(key=lambda r: r[0][:2])
     return [r[0] for r in found], ([r[1] for r in found], [r[2] for r in found])
 
@@ -354,7 +409,9 @@ def train(
         stratum = [F.col(c) for c in ("lang", "source") if c in fields]
         cell = F.pmod(F.xxhash64(*stratum), F.lit(STRATA)).cast("int") if stratum else F.lit(0)
         spare = own.where("doc_id IS NOT NULL").select("doc_id", rank.alias("rank"), cell.alias("cell"), *fields)
-        spare = materialise(_featured(spare, ["doc_id", "rank", "cell"]).join(merged.select("doc_id"), "doc_id", "left_anti"), "spare")
+        # Packed features, shorter than the text, are what the anti join shuffles.
+        spare = _featured(spare, ["doc_id", "rank", "cell"]).join(merged.select("doc_id"), "doc_id", "left_anti")
+        spare = materialise(spare, "spare")
         strata = spare.select("cell").distinct().count()  # at most STRATA
         each = max(1, pool // (2 * len(TARGETS) * max(1, strata)))
     for _ in range(rounds):

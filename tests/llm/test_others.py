@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import language, neighbours, quality, sharding
@@ -169,13 +170,68 @@ def test_sure_rows_come_from_every_stratum(spark):
     weights = np.zeros(1 << quality.META_BITS)
     weights[[1, 2]] = 10, 8
     views = [quality.View(np.zeros(1 << quality.TEXT_BITS), 0.0), quality.View(weights, 0.0)]
-    one, two = (np.array([x], np.int32).tobytes() for x in (1, 2))
+    one, two = (quality.pack(np.array([x], np.int32)) for x in (1, 2))
     rows = [(i, i, 0, one, one) for i in range(3000)] + [(9000, 9000, 1, one, two), (9000, 9000, 1, one, two)]
     spare = spark.createDataFrame(rows, "doc_id long, rank long, cell int, text binary, meta binary")
     ((text, meta),) = quality._sure(spare, [views], 5, 0.99)
     assert [p[:2] for p in text] == [(i, 1.0) for i in [*range(5), 9000]] and meta == []
 
 
+def test_features_are_packed_whole():
+    for row in ([], [0], [5, 70_000, 70_001, 200_000], [1, 2, 3]):
+        row = np.array(row, np.int32)
+        assert (quality.unpack(quality.pack(row)) == row).all()
+    assert quality._capitals("aBC É é ẞ 1") == 4
+
+
+def test_exchange_equals_plain_co_training(spark):
+    """Training and scores against a single loop over all rows in memory."""
+    rng = random.Random(11)
+    words = {0: "dull grey murk sludge".split(), 1: "bright clear lucid crisp".split()}
+    both = "amber birch cedar delta ember fjord grove heath".split()
+    rows = []
+    for i in range(700):
+        good = i % 2
+        text = " ".join(rng.choice(both + words[good] * rng.randrange(3)) for _ in range(rng.randrange(5, 30)))
+        rows.append((i, text, rng.choice(["en", "de"]), rng.choice("ab") + ("x" if rng.random() < 0.7 else "yz"[good]), 10 ** rng.randrange(1, 5)))
+    rows += rows[300:320]  # some twice
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    known = {i: (i % 2 if rng.random() < 0.9 else 1 - i % 2, int(rng.random() < 0.2)) for i in range(0, 700, 4)}
+    labels = spark.createDataFrame([(i, *x) for i, x in known.items()], "doc_id long, quality int, toxic int")
+    got = {r["row"]["doc_id"]: tuple(r["out"]) for r in quality.classify(df.repartition(5), labels, pool=60, sure=0.9).collect()}
+
+    at = {r["doc_id"]: r for r in df.select("doc_id", F.xxhash64("doc_id").alias("rank"), F.pmod(F.xxhash64("lang", "source"), F.lit(quality.STRATA)).alias("cell")).collect()}
+    views = {i: (quality.text_features(t), quality.meta_features(t, lang, source, n)) for i, t, lang, source, n in rows}
+    order = sorted(known, key=lambda i: (at[i]["rank"], i))
+    teams = [quality.Team(tuple([views[i][v] for i in order] for v in range(2)), np.array([known[i][t] for i in order], float)) for t in range(2)]
+    spare = sorted({i for i, *_ in rows} - set(known))
+    each = max(1, 60 // (4 * len({at[i]["cell"] for i in spare})))
+    limit, rounds = np.log(0.9 / 0.1), 0
+    for _ in range(quality.ROUNDS):
+        picks = []
+        for team in teams:
+            margin = [m.margin([views[i][v] for i in spare]) for v, m in enumerate(team.models)]
+            mine = [[], []]
+            for v in range(2):
+                best = {}
+                for k, i in enumerate(spare):
+                    mark, own = margin[1 - v][k], margin[v][k]
+                    if abs(mark) >= limit and not (abs(own) >= limit and (own > 0) != (mark > 0)):
+                        best.setdefault((mark > 0, at[i]["cell"]), []).append((-abs(mark), at[i]["rank"], i))
+                chosen = sorted((i, float(label)) for (label, _), found in best.items() for _, _, i in sorted(found)[:each])
+                mine[v] = [(i, label, views[i][v]) for i, label in chosen]
+            picks.append(mine)
+        rounds += any(any(mine) for mine in picks)
+        if not any([t.learn(p) for t, p in zip(teams, picks, strict=True)]):
+            break
+    assert rounds
+    models = [t.model() for t in teams]
+    assert len(got) == 700
+    for i, (good, bad, _, keep) in got.items():
+        want = [float(m.probability([views[i][0]], [views[i][1]])[0]) for m in models]
+        assert np.allclose([good, bad], want, rtol=1e-9) and keep == (want[0] > 0.5 and want[1] < 0.5)
+
+
 def plain_links(ids, vectors, threshold=0.9):
     ok = [v is not None and None not in v and len(v) > 0 and np.isfinite(v).all() and np.any(v) for v in vectors]
     n, parent = [0] * len(ids), list(range(len(ids)))
