@@ -10,15 +10,15 @@ what it returned is kept for the next texts, in a store of bounded size.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
+from collections.abc import Callable, Iterator
 
 CAPACITY = 1_000_000
 
+GROUP = 4_000_000  # characters that are in words at a time
+
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+_BLANK_BEHIND = re.compile(r" (?:\s|\Z)")
+_BLANK_BEFORE = re.compile(r"[^\S ] ")
 
 
 class _Store:
@@ -70,43 +70,42 @@ class ChunkEncoder:
         return out
 
     def _cut(self, texts: list[str]) -> list[bytes]:
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), pattern=" ")
-        offsets = split.offsets.to_numpy().astype(np.int64)
-        coded = split.flatten().dictionary_encode()
-        unit = coded.indices.to_numpy().astype(np.int64)
-        words = coded.dictionary.to_pylist()
-        # Chunks that are empty or end in white space: a space was beside other white space.
-        odd = np.array(pc.or_(pc.equal(pc.binary_length(coded.dictionary), 0), pc.not_equal(pc.ascii_trim_whitespace(coded.dictionary), coded.dictionary)))
-        for i in np.flatnonzero(~np.array(pc.string_is_ascii(coded.dictionary))):
-            odd[i] |= words[i][0].isspace() or words[i][-1].isspace()
-        ragged = np.unique(np.searchsorted(offsets, np.flatnonzero(odd[unit]), side="right") - 1)
-        even = np.ones(len(texts), bool)
-        even[ragged] = False
-        sizes = np.diff(offsets)
-        first = self.encode_first([texts[i].partition(" ")[0] for i in np.flatnonzero(even)]) if even.any() else []
-        inner = np.repeat(even, sizes)
-        inner[offsets[:-1]] = False
-        used = np.unique(unit[inner])
-        chosen = [words[i] for i in used]
-        known = self.rest.learn(set(chosen))
-        ids = [known[x] for x in chosen]
-        length = np.zeros(len(words) + len(first), np.int64)
-        length[used] = [len(x) // 4 for x in ids]
-        length[len(words) :] = [len(x) // 4 for x in first]
-        start = np.zeros(len(length), np.int64)
-        order = np.concatenate((used, len(words) + np.arange(len(first))))
-        start[order] = np.cumsum(length[order]) - length[order]
-        flat = np.frombuffer(b"".join([*ids, *first]), "<u4")
-        unit[offsets[:-1][even]] = len(words) + np.arange(len(first))
-        unit = unit[np.repeat(even, sizes)]
-        n = length[unit]
-        ends = np.cumsum(n)
-        made = flat[np.repeat(start[unit] - (ends - n), n) + np.arange(int(n.sum()))].tobytes()
-        stops = (4 * np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes[even])))]).tolist()
         out = [b""] * len(texts)
-        for i, a, b in zip(np.flatnonzero(even).tolist(), stops[:-1], stops[1:], strict=True):
-            out[i] = made[a:b]
-        for i in ragged.tolist():
+        even = [i for i, text in enumerate(texts) if not _ragged(text)]
+        if even:
+            # One text after the other would ask for a word again and again; all at once, for each distinct word.
+            heads = self.encode_first([texts[i].partition(" ")[0] for i in even])
+            for group in _groups(even, texts):
+                units = [part.split(" ")[1:] for _, part in group]
+                get = self.rest.learn(set().union(*units)).__getitem__
+                for (i, _), words in zip(group, units, strict=True):
+                    out[i] += b"".join(map(get, words))
+            for i, head in zip(even, heads, strict=True):
+                out[i] = head + out[i]
+        for i in set(range(len(texts))).difference(even):
             head, *tail = _CUT.split(texts[i])
             out[i] = b"".join([*self.encode_first([head]), *(self.encode_rest([x[1:] for x in tail]) if tail else [])])
         return out
+
+
+def _ragged(text: str) -> bool:
+    """Whether a space stands beside other white space or at an end."""
+    return text[0] == " " or _BLANK_BEHIND.search(text) is not None or _BLANK_BEFORE.search(text) is not None
+
+
+def _groups(places: list[int], texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+    """Texts with their places in groups of about ``GROUP`` characters; a
+    longer text is cut before a space and so in several groups, in order."""
+    group, size = [], 0
+    for i in places:
+        at, text = 0, texts[i]
+        while at < len(text):
+            end = text.find(" ", at + GROUP)
+            part = text[at : end if end > 0 else len(text)]
+            group.append((i, part))
+            at, size = at + len(part), size + len(part)
+            if size >= GROUP:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group

@@ -30,10 +30,11 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -67,6 +68,20 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 JOIN = 200
 ROWS = 1000
+PIECES = 2_000_000  # that a worker remembers the ids of
+
+
+def _cutter(module, letter: str, digit: str, flags: int = 0) -> Callable[[str], list[str]]:
+    """How a byte-level pre-tokenizer cuts a text (a fixed pattern), for the
+    letters and digits of some characters."""
+    pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^\s{letter}{digit}]+|\s+(?!\S)|\s+"
+    return module.compile(pattern, flags).findall
+
+
+_CUT_ASCII = _cutter(re, "A-Za-z", "0-9", re.ASCII)
+_CUT_ANY = _cutter(regex, r"\p{L}", r"\p{N}")
+# Characters whose kind no version of Unicode changes.
+_SETTLED = regex.compile(r"[\t\n\r\x20-\x7e\u00a1-\u024f]+")
 
 
 def byte_bpe(path: str) -> ChunkEncoder:
@@ -94,12 +109,29 @@ def byte_bpe(path: str) -> ChunkEncoder:
         def encode(texts: list[str]) -> list[bytes]:
             return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+        known: dict[str, bytes] = {}
+
         def after_space(words: list[str]) -> list[bytes]:
-            """Words are laid end to end, each behind a space, and encoded in
+            """A word behind a space is cut as the pre-tokenizer does, for its
+            pieces are encoded by themselves; many words share a piece."""
+            whole = [" " + x for x in words]
+            cuts = [_CUT_ASCII(x) if x.isascii() else _CUT_ANY(x) if _SETTLED.fullmatch(x) else [x] for x in whole]
+            missing = list({x for pieces in cuts for x in pieces}.difference(known))
+            if len(known) + len(missing) > PIECES:
+                known.clear()
+                missing = list({x for pieces in cuts for x in pieces})
+            behind = [x for x in missing if x[0] == " " and len(x) > 1]
+            others = [x for x in missing if x[0] != " " or len(x) == 1]
+            known.update(zip(behind, together(behind), strict=True))
+            known.update(zip(others, encode(others) if others else [], strict=True))
+            return [b"".join([known[x] for x in pieces]) for pieces in cuts]
+
+        def together(words: list[str]) -> list[bytes]:
+            """Words that begin with a space are laid end to end and encoded in
             one go; the tokens' byte lengths tell the words apart again."""
             out = []
             for a in range(0, len(words), JOIN):
-                some = [" " + x for x in words[a : a + JOIN]]
+                some = words[a : a + JOIN]
                 if any(x[-1].isspace() for x in some):
                     out += encode(some)
                     continue
