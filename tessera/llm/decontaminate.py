@@ -10,6 +10,17 @@ the shortest window is over cannot hold a match, so only runs of benchmark
 words of at least that length enter it. With a benchmark that shares its whole
 vocabulary with the corpus this is the full suffix array.
 
+A test suffix is found in a range of the array. Equal windows of the benchmark
+are one, and ranges of windows of one length do not overlap, so what is made of
+all ranges is no more than the array a few times over, however often text and
+benchmark repeat themselves. Longest matches come from the array of shard and
+benchmark together: that of a place is with the test suffix before or behind
+it, and ranks over 1, 2, 4, ... words tell how far the two agree.
+
+A benchmark of several chunks is searched chunk by chunk; what was found is
+carried by a digest of the text, and the rows themselves are read once more at
+the end.
+
 Defined cases: a null or empty text has no words and is never contaminated;
 null or empty items have no windows; rows of equal ``doc_id`` are judged row
 by row; items of equal ``item_id`` count once; a null ``item_id`` is named
@@ -20,10 +31,11 @@ an empty result; other columns are passed through (``rows="row"``) or left.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,54 +75,92 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
-    """Start positions of ``s`` in the order of their suffixes, compared over
-    at least ``depth`` symbols (prefix doubling)."""
+def suffix_ranks(s: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Order of the suffixes of ``s`` by their first 1, 2, 4, ... symbols, and
+    their ranks (equal ones share a rank), until ``depth`` symbols count or
+    all differ (prefix doubling)."""
     n = len(s)
     rank = np.unique(s, return_inverse=True)[1].astype(np.int64)
     order = np.argsort(rank, kind="stable")
     h = 1
+    yield order, rank
     while h < depth and n > 1:
         nxt = np.full(n, -1, np.int64)
-        nxt[: n - h] = rank[h:]
+        nxt[: max(0, n - h)] = rank[h:]
         key = rank * (n + 1) + nxt + 1
         order = np.argsort(key, kind="stable")
         ranked = key[order]
         new = np.empty(n, np.int64)
         new[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
         rank, h = new, 2 * h
+        yield order, rank
         if rank[order[-1]] == n - 1:
             break
+
+
+def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
+    """Start positions of ``s`` in the order of their suffixes, compared over
+    at least ``depth`` symbols."""
+    order = np.empty(0, np.int64)
+    for order, _ in suffix_ranks(s, depth):  # noqa: B007
+        pass
     return order
 
 
 class Benchmark:
-    """A chunk of items: vocabulary, word numbers, suffixes to search."""
+    """A chunk of items: vocabulary, word numbers, windows to search."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.window = window
         self.vocab: dict[bytes, int] = {}
         flat: list[int] = []
         self.item: list[str] = []
-        starts, item_of, ends, need = [], [], [], []
+        bases, sizes = [], []
         for name, text in items:
             ws = words(text)
             if not ws:
                 continue
-            number = len(self.item)
             self.item.append(name)
-            base, w = len(flat), min(window, len(ws))
+            bases.append(len(flat))
+            sizes.append(len(ws))
             flat += [self.vocab.setdefault(x, len(self.vocab) + 1) for x in ws]
-            for i in range(len(ws) - w + 1):
-                starts.append(base + i)
-                item_of.append(number)
-                ends.append(base + len(ws))
-                need.append(w)
         self.words = np.array(flat, np.int64)
-        self.start, self.item_of = np.array(starts, np.int64), np.array(item_of, np.int64)
-        self.end, self.need = np.array(ends, np.int64), np.array(need, np.int64)
-        self.shortest = int(self.need.min()) if len(need) else 0
-        self.longest = int((self.end - self.start).max()) if len(need) else 0
+        base, size = np.array(bases, np.int64), np.array(sizes, np.int64)
+        need = np.minimum(window, size)
+        self.longest, self.shortest = int(size.max(initial=0)), int(need.min()) if len(need) else 0
+        self.ends = base + size
+        n = size - need + 1
+        self.item_of = np.repeat(np.arange(len(n)), n)
+        #: First word of every window, and its words.
+        self.start = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        self.need = np.repeat(need, n)
+        self._merge()
+
+    def _merge(self) -> None:
+        """Distinct windows: the first word of one of them, their words, and
+        the set of items that have it; sets are numbered."""
+        reps, needs, kinds = [], [], []
+        names: dict[bytes, int] = {}
+        self.sets: list[np.ndarray] = []
+        for k in np.unique(self.need).tolist():
+            mine = np.flatnonzero(self.need == k)
+            grams = np.ascontiguousarray(self.words[self.start[mine][:, None] + np.arange(k)].astype("<u4"))
+            _, first, which = np.unique(grams.view(f"V{4 * k}").ravel(), return_index=True, return_inverse=True)
+            order = np.lexsort((self.item_of[mine], which.ravel()))
+            held, item = which.ravel()[order], self.item_of[mine][order]
+            new = np.concatenate(([True], (held[1:] != held[:-1]) | (item[1:] != item[:-1])))
+            held, item = held[new], item[new]
+            cut = np.concatenate((np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1]))), [len(held)]))
+            for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                kind = names.setdefault(item[a:z].tobytes(), len(names))
+                if kind == len(self.sets):
+                    self.sets.append(item[a:z])
+                kinds.append(kind)
+            reps.append(self.start[mine][first])
+            needs.append(np.full(len(first), k))
+        empty = [np.empty(0, np.int64)]
+        self.window_start, self.window_need = np.concatenate(reps or empty), np.concatenate(needs or empty)
+        self.window_set = np.array(kinds, np.int64)
 
 
 def _common(s: np.ndarray, at: np.ndarray, q: np.ndarray, start: np.ndarray, limit: np.ndarray) -> np.ndarray:
@@ -125,17 +175,18 @@ def _common(s: np.ndarray, at: np.ndarray, q: np.ndarray, start: np.ndarray, lim
     return length
 
 
-def _bound(s: np.ndarray, order: np.ndarray, bench: Benchmark, limit: np.ndarray, after: bool) -> np.ndarray:
-    """For every test suffix the first place in ``order`` whose suffix is not
-    less (``after``: is greater) over ``limit`` symbols: a binary search of
-    all test suffixes at once."""
-    lo, hi = np.zeros(len(bench.start), np.int64), np.full(len(bench.start), len(order), np.int64)
+def _bound(s: np.ndarray, order: np.ndarray, bench: Benchmark, after: bool) -> np.ndarray:
+    """For every window the first place in ``order`` whose suffix is not less
+    (``after``: is greater) over the window's words: a binary search of all
+    windows at once."""
+    limit = bench.window_need
+    lo, hi = np.zeros(len(limit), np.int64), np.full(len(limit), len(order), np.int64)
     while True:
         live = np.flatnonzero(lo < hi)
         if not len(live):
             return lo
         mid = (lo[live] + hi[live]) // 2
-        at, start, most = order[mid], bench.start[live], limit[live]
+        at, start, most = order[mid], bench.window_start[live], limit[live]
         same = _common(s, at, bench.words, start, most)
         whole = same >= most
         place = np.minimum(at + same, len(s) - 1)
@@ -146,9 +197,66 @@ def _bound(s: np.ndarray, order: np.ndarray, bench: Benchmark, limit: np.ndarray
         hi[live] = np.where(right, hi[live], mid)
 
 
+def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``n`` numbers from each start on, end to end."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+class _Agreement:
+    """How far places of a shard and test suffixes agree, from the ranks of
+    the suffixes of both together over 1, 2, 4, ... words."""
+
+    def __init__(self, runs: np.ndarray, stop: np.ndarray, bench: Benchmark):
+        # Every separator differs from all others, so no match runs across one.
+        both = np.concatenate((runs, [0], np.insert(bench.words, bench.ends, 0)))
+        mark = np.concatenate((stop, [len(runs)], len(runs) + 1 + bench.ends + np.arange(len(bench.ends))))
+        both[mark] = -1 - np.arange(len(mark))
+        self.n, self.tests = len(both), len(runs) + 1 + bench.start + bench.item_of  # a separator for each item before
+        self.levels, order = [], np.empty(0, np.int64)
+        for order, rank in suffix_ranks(both, bench.longest + 1):  # noqa: B007
+            self.levels.append(rank.astype(np.int32))
+        self.at = np.empty(self.n, np.int64)
+        self.at[order] = np.arange(self.n)
+
+    def words(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        length = np.zeros(len(a), np.int64)
+        for h in range(len(self.levels) - 1, -1, -1):
+            there = np.flatnonzero((a + length < self.n) & (b + length < self.n))
+            same = there[self.levels[h][a[there] + length[there]] == self.levels[h][b[there] + length[there]]]
+            length[same] += 1 << h
+        return length
+
+
+class _Longest:
+    """Longest matches of places with some of the test suffixes: each is with
+    the one before or behind it in the order of all."""
+
+    def __init__(self, agreement: _Agreement, places: np.ndarray, tests: np.ndarray, item: np.ndarray):
+        by = np.argsort(agreement.at[tests], kind="stable")
+        self.agreement, self.places, self.tests, self.item = agreement, places, tests[by], item[by]
+        self.where = np.searchsorted(agreement.at[self.tests], agreement.at[places])
+        before, behind = np.maximum(self.where - 1, 0), np.minimum(self.where, len(tests) - 1)
+        self.full = np.maximum(agreement.words(places, self.tests[before]), agreement.words(places, self.tests[behind]))
+        self.steps: np.ndarray | None = None
+
+    def least_item(self, k: int) -> int:
+        """The least item whose suffix has the match of the k-th place."""
+        if self.steps is None:
+            self.steps = self.agreement.words(self.tests[:-1], self.tests[1:])
+        short = np.flatnonzero(self.steps < self.full[k])
+        near = min(int(self.where[k]), len(self.tests) - 1)
+        if self.agreement.words(self.places[k : k + 1], self.tests[near : near + 1])[0] < self.full[k]:
+            near -= 1
+        cut = int(np.searchsorted(short, near))
+        low = int(short[cut - 1]) + 1 if cut else 0
+        high = int(short[cut]) + 1 if cut < len(short) else len(self.tests)
+        return int(self.item[low:high].min())
+
+
 def search(docs: list[list[bytes]], bench: Benchmark) -> list[tuple[list[int], list[str], int, int, str | None]]:
     """Per document: hit word positions, items found, and the longest match
-    (words, where it starts, whose it is)."""
+    (words, where it starts, whose it is; of equal ones the first place, then
+    the first item)."""
     nothing: tuple[list[int], list[str], int, int, str | None] = ([], [], 0, -1, None)
     out = [nothing] * len(docs)
     if not bench.shortest:
@@ -169,43 +277,54 @@ def search(docs: list[list[bytes]], bench: Benchmark) -> list[tuple[list[int], l
     if not len(begin):
         return out
     span = stop - begin + 1  # with one 0 after each run
-    where = np.repeat(begin - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+    where = _spread(begin, span)
     runs = s[where]
-    runs[np.cumsum(span) - 1] = 0
-    order = suffix_array(runs, bench.longest + 1)
-    low = _bound(runs, order, bench, bench.need, False)
-    high = _bound(runs, order, bench, bench.need, True)
-    n = high - low
-    found = np.flatnonzero(n > 0)
-    if not len(found):
+    ends = np.cumsum(span) - 1
+    runs[ends] = 0
+    order = suffix_array(runs, bench.window)
+    low, high = _bound(runs, order, bench, False), _bound(runs, order, bench, True)
+    cover, begins, pairs = np.zeros(len(s) + 1, np.int64), {}, []
+    for k in np.unique(bench.window_need[high > low]).tolist():
+        met = np.flatnonzero((bench.window_need == k) & (high > low))
+        n = high[met] - low[met]
+        at = order[_spread(low[met], n)]  # ranges of one length share no place
+        begins[k] = at
+        spot = where[at]
+        np.add.at(cover, spot, 1)
+        np.add.at(cover, spot + k, -1)
+        doc = np.searchsorted(first, spot, side="right") - 1
+        pairs.append(np.unique(doc * len(bench.sets) + np.repeat(bench.window_set[met], n)))
+    if not pairs:
         return out
-    which = np.repeat(found, n[found])
-    offset = np.arange(len(which)) - np.repeat(np.cumsum(n[found]) - n[found], n[found])
-    at = order[low[which] + offset]
-    full = _common(runs, at, bench.words, bench.start[which], (bench.end - bench.start)[which])
-    spot = where[at]
-    doc = np.searchsorted(first, spot, side="right") - 1
-    by = np.lexsort((bench.item_of[which], spot, -full, doc))
-    doc_sorted = doc[by]
-    for a, b in zip(*_runs(doc_sorted), strict=True):
-        mine, d = by[a:b], int(doc_sorted[a])
-        rel = spot[mine] - first[d]
-        length = int(sizes[d]) - 1
-        cover = np.zeros(length + 1, np.int64)
-        np.add.at(cover, rel, 1)
-        np.add.at(cover, rel + bench.need[which[mine]], -1)
-        hit = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-        items = sorted({bench.item[i] for i in np.unique(bench.item_of[which[mine]]).tolist()})
-        best = mine[0]
-        out[d] = (hit.tolist(), items, int(full[best]), int(rel[0]), bench.item[int(bench.item_of[which[best]])])
+    # Only runs with a hit take part in the search for the longest matches.
+    run_of = np.repeat(np.arange(len(span)), span)
+    alive = np.zeros(len(span), bool)
+    alive[run_of[np.concatenate(list(begins.values()))]] = True
+    kept = np.flatnonzero(alive[run_of])
+    spot = where[kept]
+    agreement = _Agreement(runs[kept], np.flatnonzero(np.isin(kept, ends)), bench)
+    best: dict[int, tuple[int, int, int]] = {}
+    for k, at in begins.items():
+        mine = bench.need == k  # a match counts if it holds a whole window of its item
+        found = _Longest(agreement, np.searchsorted(kept, at), agreement.tests[mine], bench.item_of[mine])
+        doc = np.searchsorted(first, spot[found.places], side="right") - 1
+        order = np.lexsort((spot[found.places], -found.full, doc))
+        order = order[np.concatenate(([True], doc[order][1:] != doc[order][:-1]))]
+        for i, d in zip(order.tolist(), doc[order].tolist(), strict=True):
+            match = -int(found.full[i]), int(spot[found.places[i]]), found.least_item(i)
+            best[d] = min(best.get(d, match), match)
+    hits = np.cumsum(cover[:-1]) > 0
+    sets = np.unique(np.concatenate(pairs))
+    of_doc = sets // len(bench.sets)
+    for d, (most, at, item) in best.items():
+        a = int(first[d])
+        hit = np.flatnonzero(hits[a : a + int(sizes[d])])
+        mine = sets[np.searchsorted(of_doc, d) : np.searchsorted(of_doc, d, side="right")] % len(bench.sets)
+        items = np.unique(np.concatenate([bench.sets[i] for i in mine.tolist()]))
+        out[d] = (hit.tolist(), sorted({bench.item[i] for i in items.tolist()}), -most, at - a, bench.item[item])
     return out
 
 
-def _runs(x: np.ndarray) -> tuple[list[int], list[int]]:
-    cut = np.flatnonzero(x[1:] != x[:-1]) + 1
-    return [0, *cut.tolist()], [*cut.tolist(), len(x)]
-
-
 def _chunks(bench: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> list[DataFrame]:
     """The benchmark in chunks of about ``chunk_bytes`` of text: as many as
     its measured size asks for, items dealt by hash of the id and the text."""
@@ -228,49 +347,77 @@ def find_contamination(
 ) -> DataFrame:
     """``row`` (the document's columns) and ``out`` (``OUT``) per document.
 
-    The benchmark goes to the tasks chunk by chunk; when it needs more than
-    one, what was found so far travels with the rows and is written to the
-    shared folder between chunks."""
+    The benchmark goes to the tasks chunk by chunk. When it needs more than
+    one, each chunk's search returns what it found beside a digest of the
+    text (equal texts are found alike), and the rows are joined with all
+    of it in the end; the rows themselves are never rewritten."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spark = docs.sparkSession
-    text_at = docs.columns.index(text_col)
-    state_schema = T.StructType([T.StructField("row", docs.schema), T.StructField("state", _STATE)])
     state_arrow, out_arrow = to_arrow_schema(_STATE), to_arrow_schema(OUT)
+    text_at = docs.columns.index(text_col)
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     chunks = _chunks(bench, item_col, item_text_col, chunk_bytes)
-    for i, chunk in enumerate(chunks):
-        items = sorted(("null" if r[0] is None else r[0], bytes(r[1] or b"")) for r in chunk.toLocalIterator())
-        shared = spark.sparkContext.broadcast(items)
-        last = i == len(chunks) - 1
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
-            chunk = Benchmark(shared.value, window)
-            for batch in in_blocks(batches):
-                rows = batch.column(0)
-                texts = [words(x) for x in utf8(rows.field(text_at))]
-                found = search(texts, chunk)
-                old = batch.column(1).to_pylist() if batch.num_columns > 1 else None
-                state = []
-                for k, (ws, f) in enumerate(zip(texts, found, strict=True)):
-                    hit, items, most, at, item = f
-                    if old:
-                        o = old[k]
-                        hit, items = sorted({*hit, *o["hit"]}), sorted({*items, *o["items"]})
-                        if (-o["longest_match"], o["longest_at"], o["longest_item"] or "") < (-most, at, item or ""):
-                            most, at, item = o["longest_match"], o["longest_at"], o["longest_item"]
-                    state.append({"n_words": len(ws), "hit": hit, "items": items, "longest_match": most, "longest_at": at, "longest_item": item})
-                if last:
-                    made = pa.array([_result(x) for x in state], pa.struct(list(out_arrow)))
-                else:
-                    made = pa.array(state, pa.struct(list(state_arrow)))
-                yield pa.RecordBatch.from_arrays([rows, made], ["row", "out" if last else "state"])
-
-        if last:
-            df = df.mapInArrow(run, T.StructType([T.StructField("row", docs.schema), T.StructField("out", OUT)]))
-        else:
-            df = materialise(df.mapInArrow(run, state_schema), "contamination")
-    return df
+    if len(chunks) == 1:
+        shared = _shared(chunks[0])
+
+        def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, state in _states(batches, shared.value, window, text_at):
+                yield pa.RecordBatch.from_arrays([rows, pa.array([_result(x) for x in state], pa.struct(list(out_arrow)))], ["row", "out"])
+
+        return df.mapInArrow(once, T.StructType([T.StructField("row", docs.schema), T.StructField("out", OUT)]))
+
+    digest = F.sha2(F.coalesce(F.col(f"row.`{text_col}`").cast("binary"), F.lit(b"")), 256)
+    found = None
+    for chunk in chunks:
+        shared = _shared(chunk)
+
+        def some(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for rows, state in _states(batches, shared.value, window, 0):
+                met = [i for i, x in enumerate(state) if x["hit"]]
+                if met:
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.field(1).take(pa.array(met)), pa.array([state[i] for i in met], pa.struct(list(state_arrow)))], ["digest", "state"]
+                    )
+
+        texts = df.select(F.struct(F.col(f"row.`{text_col}`").alias("text"), digest.alias("digest")).alias("row"))
+        part = texts.mapInArrow(some, T.StructType([T.StructField("digest", T.StringType()), T.StructField("state", _STATE)]))
+        # A text that many rows have is found once.
+        part = materialise(part.groupBy("digest").agg(F.first("state").alias("state")), "contamination")
+        found = part if found is None else found.union(part)
+    found = materialise(found.groupBy("digest").agg(F.collect_list("state").alias("states")), "contamination")  # one of each chunk
+    joined = df.withColumn("digest", digest).join(found, "digest", "left").select("row", "states")
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, out = batch.column(0), []
+            for text, states in zip(utf8(rows.field(text_at)), batch.column(1).to_pylist(), strict=True):
+                whole = {"n_words": len(words(text)), "hit": [], "items": [], "longest_match": 0, "longest_at": -1, "longest_item": None}
+                for x in states or []:
+                    whole["hit"], whole["items"] = sorted({*whole["hit"], *x["hit"]}), sorted({*whole["items"], *x["items"]})
+                best = min(states or [whole], key=lambda x: (-x["longest_match"], x["longest_at"], x["longest_item"] or ""))
+                whole.update((c, best[c]) for c in ("longest_match", "longest_at", "longest_item"))
+                out.append(_result(whole))
+            yield pa.RecordBatch.from_arrays([rows, pa.array(out, pa.struct(list(out_arrow)))], ["row", "out"])
+
+    return joined.mapInArrow(merged, T.StructType([T.StructField("row", docs.schema), T.StructField("out", OUT)]))
+
+
+def _shared(chunk: DataFrame) -> Broadcast:
+    """The items of a chunk, sorted, for the tasks."""
+    items = sorted(("null" if r[0] is None else r[0], bytes(r[1] or b"")) for r in chunk.toLocalIterator())
+    return chunk.sparkSession.sparkContext.broadcast(items)
+
+
+def _states(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window: int, text_at: int) -> Iterator[tuple[pa.StructArray, list[dict]]]:
+    """Blocks of rows (the first column) and what the chunk's search found."""
+    chunk = Benchmark(items, window)
+    for batch in in_blocks(batches):
+        rows = batch.column(0)
+        texts = [words(x) for x in utf8(rows.field(text_at))]
+        yield rows, [
+            {"n_words": len(ws), "hit": hit, "items": names, "longest_match": most, "longest_at": at, "longest_item": item}
+            for ws, (hit, names, most, at, item) in zip(texts, search(texts, chunk), strict=True)
+        ]
 
 
 def _result(x: dict) -> dict:

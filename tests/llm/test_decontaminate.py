@@ -1,6 +1,7 @@
 """Decontamination against a plain search of every window."""
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -80,3 +81,33 @@ def test_random_texts():
         for text, found in zip(docs, search([words(t.encode()) for t in docs], bench), strict=True):
             want = plain(text, items, 4)
             assert (len(found[0]), len(found[1])) == want[1:3]
+            assert found[2:] == longest(text, items, 4)
+
+
+def longest(text, items, window):
+    """Longest match by trying every pair of places: words, place, item."""
+    ws, best = words(text.encode()), (0, -1, None)
+    for name, item in items:
+        iw = words(item.encode())
+        k = min(window, len(iw))
+        for i in range(len(iw) - k + 1 if iw else 0):
+            for at in range(len(ws)):
+                n = 0
+                while at + n < len(ws) and i + n < len(iw) and ws[at + n] == iw[i + n]:
+                    n += 1
+                if n >= k and (-n, at, name) < (-best[0], best[1], best[2] or ""):
+                    best = n, at, name
+    return best
+
+
+def test_repetitive_text_is_no_product():
+    """Two hundred thousand equal words against an item of two thousand."""
+    bench = Benchmark([("a", b"r " * 2000), ("b", b"r " * 20 + b"end"), ("c", b"r r")], 13)
+    assert len(bench.window_start) == 3  # 13 equal words, with the end, and two words
+    docs = [[b"r"] * 200_000, [b"r"] * 40 + [b"end"], [b"x"] * 100_000]
+    start = time.process_time()
+    one, two, none = search(docs, bench)
+    assert time.process_time() - start < 5
+    assert (len(one[0]), one[1:]) == (200_000, (["a", "b", "c"], 2000, 0, "a"))
+    assert (len(two[0]), two[1:]) == (41, (["a", "b", "c"], 40, 0, "a"))
+    assert none == ([], [], 0, -1, None)
