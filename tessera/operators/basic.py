@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.plans.joins import lookup_join
+from tessera.sources.text import numbered_lines
+
 
 def filter_modulo(df: DataFrame, col: str, m: int, r: int = 0) -> DataFrame:
     """Rows whose ``col % m == r`` (e.g. multiples of 7)."""
@@ -40,6 +43,22 @@ def group_values(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("multiplicity"))
 
 
+def value_lists(df: DataFrame, key: str, value: str, size: int = 10_000) -> DataFrame:
+    """(key, segment, values): the sorted values of every key in lists of
+    ``size`` (the last of a key may be shorter), segments from 0. Joined in
+    order they are the key's whole list.
+
+    Rows are numbered in the order of key and value by ranges, so a hot key's
+    values lie in many tasks; a row's segment follows from its number and the
+    key's first. Rows with a null value are left out, a null key is a key."""
+    rows = numbered_lines(df.where(F.col(value).isNotNull()).select(key, value), [key, value])
+    keyed = rows.withColumn("_key", F.struct(key))
+    first = keyed.groupBy("_key").agg(F.min("line_index").alias("_first"))
+    segment = F.floor((F.col("line_index") - F.col("_first")) / size).cast("bigint")
+    cut = lookup_join(keyed, first, "_key").select(key, value, segment.alias("segment"))
+    return cut.groupBy(key, "segment").agg(F.sort_array(F.collect_list(value)).alias("values"))
+
+
 def group_count_values(df: DataFrame, key: str, alias: str = "count") -> DataFrame:
     """(key, number of rows)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(alias))

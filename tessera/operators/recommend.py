@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import squared_error
+from tessera.plans.stored import indexed, stored
 from tessera.session import checkpoint_dir
-from tessera.sources.text import numbered_lines
 
 # ALS settings of the original jobs.
 ALS_ITERATIONS = 5
@@ -113,10 +115,42 @@ def als(rank: int, iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed:
     )
 
 
-def _dense(ratings: DataFrame, id_col: str, name: str) -> DataFrame:
-    """(id, dense int): ALS takes int ids, tables have bigint ones."""
-    ids = ratings.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return numbered_lines(ids, id_col).select(id_col, F.col("line_index").cast("int").alias(name))
+@dataclass(frozen=True)
+class Dictionary:
+    """Stored (user_id, user) and (item_id, item): ALS takes int ids, tables
+    have bigint ones."""
+
+    users: DataFrame
+    items: DataFrame
+
+    def coded(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``user`` and ``item`` beside ``user_id`` and
+        ``item_id``; rows with other ids are dropped."""
+        return rows.join(self.users, "user_id").join(self.items, "item_id")
+
+
+def dictionary(ratings: DataFrame) -> Dictionary:
+    """Dense ids of all users and items of ``ratings``. Written once; fits,
+    predictions and evaluations of a query read the same one."""
+    parts = []
+    for id_col, name in (("user_id", "user"), ("item_id", "item")):
+        ids = ratings.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+        parts.append(indexed(ids, name, f"{name}-ids").select(id_col, F.col(name).cast("int").alias(name)))
+    return Dictionary(*parts)
+
+
+@dataclass(frozen=True)
+class DenseRatings:
+    """Stored (user, item, rating) with the ids they stand for."""
+
+    rows: DataFrame
+    ids: Dictionary
+
+
+def dense(ratings: DataFrame, ids: Dictionary | None = None) -> DenseRatings:
+    """``ratings`` in dense ids, stored for the fits that read them."""
+    ids = ids or dictionary(ratings)
+    return DenseRatings(stored(ids.coded(ratings).select("user", "item", "rating"), "ratings"), ids)
 
 
 @dataclass(frozen=True)
@@ -124,19 +158,18 @@ class FittedALS:
     """A model over dense ids, and the ids they stand for."""
 
     model: ALSModel
-    users: DataFrame
-    items: DataFrame
+    ids: Dictionary
 
     def user_factors(self) -> DataFrame:
         """(user_id, features)."""
-        return self.model.userFactors.withColumnRenamed("id", "user").join(self.users, "user").select("user_id", "features")
+        return self.model.userFactors.withColumnRenamed("id", "user").join(self.ids.users, "user").select("user_id", "features")
 
     def item_factors(self) -> DataFrame:
         """(item_id, features)."""
-        return self.model.itemFactors.withColumnRenamed("id", "item").join(self.items, "item").select("item_id", "features")
+        return self.model.itemFactors.withColumnRenamed("id", "item").join(self.ids.items, "item").select("item_id", "features")
 
 
-def train_als(train: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
+def train_als(train: DataFrame | DenseRatings, rank: int, iterations: int = ALS_ITERATIONS,
               reg: float = ALS_REG, seed: int = ALS_SEED) -> FittedALS:
     """Explicit-feedback ALS (Spark ML); ids may be any bigint.
 
@@ -144,42 +177,45 @@ def train_als(train: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
     ``checkpointInterval`` iterations into the session's shared
     ``spark.checkpoint.dir``; make sure that folder is set.
     """
-    checkpoint_dir(train.sparkSession)
-    users, items = _dense(train, "user_id", "user"), _dense(train, "item_id", "item")
-    dense = train.join(users, "user_id").join(items, "item_id").select("user", "item", "rating")
-    return FittedALS(als(rank, iterations, reg, seed).fit(dense), users, items)
+    if isinstance(train, DataFrame):
+        train = dense(train)
+    checkpoint_dir(train.rows.sparkSession)
+    return FittedALS(als(rank, iterations, reg, seed).fit(train.rows), train.ids)
 
 
 def predict_pairs(fitted: FittedALS, pairs: DataFrame) -> DataFrame:
     """(user_id, item_id, prediction); pairs with unknown ids are dropped."""
-    dense = pairs.select("user_id", "item_id").join(fitted.users, "user_id").join(fitted.items, "item_id")
-    return fitted.model.transform(dense).select("user_id", "item_id", "prediction")
+    coded = fitted.ids.coded(pairs.select("user_id", "item_id"))
+    return fitted.model.transform(coded).select("user_id", "item_id", "prediction")
 
 
-def select_rank(train: DataFrame, validation: DataFrame, ranks: Sequence[int] = RANKS,
+def select_rank(train: DataFrame | DenseRatings, validation: DataFrame, ranks: Sequence[int] = RANKS,
                 iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED) -> DataFrame:
     """(rank, rmse, best) of a model per rank on the validation set; ``best``
     marks the lowest error, of equal errors the lowest rank.
 
-    One distributed fit per rank; both sets are cached because every fit
-    reads them. Only one number per rank comes back to the driver.
+    Both sets are stored once in dense ids, and the fits run side by side as
+    jobs of their own. A key that repeats in the validation set counts once,
+    with its mean (as in ``rmse``). One number per rank comes to the driver.
     """
-    train = train.select("user_id", "item_id", "rating").cache()
-    validation = validation.select("user_id", "item_id", "rating").cache()
-    errors: dict[int, float | None] = {}
-    try:
-        for rank in ranks:
-            err = rmse(predict_pairs(train_als(train, rank, iterations, reg, seed), validation), validation).first()["rmse"]
-            errors[int(rank)] = None if err is None else float(err)
-    finally:
-        train.unpersist()
-        validation.unpersist()
+    if isinstance(train, DataFrame):
+        train = dense(train)
+    known = train.ids.coded(validation.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating")))
+    known = stored(known.select("user", "item", "rating"), "validation")
+
+    def error(rank: int) -> float | None:
+        scored = train_als(train, rank, iterations, reg, seed).model.transform(known)
+        return scored.agg(F.sqrt(F.avg(squared_error("prediction", "rating"))).alias("rmse")).first()["rmse"]
+
+    with ThreadPool(len(ranks)) as pool:
+        found = pool.map(inheritable_thread_target(known.sparkSession)(error), ranks)
+    errors = {int(r): None if e is None else float(e) for r, e in zip(ranks, found)}
     best = min((r for r, e in errors.items() if e is not None), key=lambda r: (errors[r], r), default=None)
     rows = [(r, e, r == best) for r, e in errors.items()]
-    return train.sparkSession.createDataFrame(rows, "rank int, rmse double, best boolean")
+    return known.sparkSession.createDataFrame(rows, "rank int, rmse double, best boolean")
 
 
-def best_rank(train: DataFrame, validation: DataFrame, **options) -> int:
+def best_rank(train: DataFrame | DenseRatings, validation: DataFrame, **options) -> int:
     """The rank that ``select_rank`` marks."""
     row = select_rank(train, validation, **options).where("best").first()
     if row is None:
@@ -187,16 +223,18 @@ def best_rank(train: DataFrame, validation: DataFrame, **options) -> int:
     return row["rank"]
 
 
-def test_model(train: DataFrame, test: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
+def test_model(train: DataFrame | DenseRatings, test: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
                reg: float = ALS_REG, seed: int = ALS_SEED) -> DataFrame:
     """One row: RMSE on the test set of a model trained with ``rank``."""
     model = train_als(train, rank, iterations, reg, seed)
     return rmse(predict_pairs(model, test), test)
 
 
-def retest_with_ratings(train: DataFrame, mine: DataFrame, test: DataFrame, rank: int, **options) -> DataFrame:
-    """One row: RMSE on the test set after a user's own ratings joined training."""
-    return test_model(add_ratings(train, mine), test, rank, **options)
+def retest_with_ratings(train: DataFrame, mine: DataFrame, test: DataFrame, rank: int,
+                        ids: Dictionary | None = None, **options) -> DataFrame:
+    """One row: RMSE on the test set after a user's own ratings joined
+    training. ``ids`` must know the users and items of both."""
+    return test_model(dense(add_ratings(train, mine), ids), test, rank, **options)
 
 
 def mean_baseline_rmse(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -226,23 +264,24 @@ def recommend_for_user(
     my_ratings: DataFrame | None = None,
     rank: int = 8,
     min_ratings: int = 75,
-    k: int = 25,
+    k: int | None = 25,
     iterations: int = ALS_ITERATIONS,
     reg: float = ALS_REG,
     seed: int = ALS_SEED,
+    ids: Dictionary | None = None,
 ) -> DataFrame:
     """Top-k predicted items the user has not rated, among items with more
     than ``min_ratings`` ratings: (item_id, title, n_ratings, prediction).
-    Only items with enough ratings are scored."""
+    Only items with enough ratings are scored. Without ``k`` all of them are
+    returned, in no order."""
     train = ratings if my_ratings is None else add_ratings(ratings, my_ratings)
-    model = train_als(train, rank, iterations, reg, seed)
+    model = train_als(dense(train, ids), rank, iterations, reg, seed)
     known = item_counts(train).where(F.col("n_ratings") > min_ratings)
     candidates = unrated_items(train, movies, user_id).join(known, "item_id")
-    return (
+    found = (
         predict_pairs(model, candidates)
         .join(known, "item_id")
         .join(movies.select("item_id", "title"), "item_id")
         .select("item_id", "title", "n_ratings", "prediction")
-        .orderBy(F.desc("prediction"), F.asc("item_id"))
-        .limit(k)
     )
+    return found if k is None else found.orderBy(F.desc("prediction"), F.asc("item_id")).limit(k)

@@ -11,7 +11,11 @@ Plan shape of ``similarities`` (per side):
   -> unit-length weights by a window on id
 then one join of the two sides on token and one partially aggregated
 group-by on (a_id, b_id). The pairs of a hot token are cut into a grid of
-tasks (see ``grid_join``).
+tasks (see ``grid_join``). Where records share so many tokens that token pairs
+outnumber what a grid of blocks copies (``pair_blocks`` measures both), the
+pairs are summed cell by cell instead, without a shuffle of token pairs
+(``block_pairs``). With a least similarity only pairs that can reach it are
+made (``threshold_candidates``).
 """
 
 from __future__ import annotations
@@ -22,12 +26,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
-from tessera.plans.joins import grid_join
+from tessera.plans.joins import block_pairs, block_shape, grid_join, lookup_join
 from tessera.sources.fixtures import STOPWORDS
 
 # Target number of candidate pairs produced by one join task for a hot token.
 PAIRS_PER_TASK = 2_000_000
 
+# Pairs of records in a cell of the block join.
+PAIRS_PER_CELL = 100_000
+
+# Bounds of pruning are taken so much lower than the threshold: sums of
+# doubles depend on their order.
+SLACK = 1e-9
+
 
 def record_tokens(
     records: DataFrame, stopwords: Iterable[str] = STOPWORDS, id_col: str = "id", text_col: str = "value"
@@ -164,7 +175,7 @@ def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     hot tokens fill.
     """
     extra = [c for c in idf.columns if c.startswith("df_")]
-    joined = tf.select("id", "token", "tf").join(idf.select("token", "idf", *extra), "token")
+    joined = lookup_join(tf.select("id", "token", "tf"), idf.select("token", "idf", *extra), "token")
     return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"), *extra)
 
 
@@ -214,34 +225,116 @@ def build_corpus(*token_frames: DataFrame) -> DataFrame:
     return out
 
 
+def pair_blocks(
+    idf: DataFrame, a_records: DataFrame, b_records: DataFrame, pairs_per_cell: int = PAIRS_PER_CELL
+) -> tuple[int, int] | None:
+    """Rows and columns of a block join of the two sides, or None where the
+    token join moves fewer rows.
+
+    The token join shuffles a row for every token that a pair shares, the
+    block join a copy of A's postings for every column and of B's for every
+    row. Both numbers follow from the document frequencies; one row comes to
+    the driver.
+    """
+    d0, d1 = F.col("df_0").cast("double"), F.col("df_1").cast("double")
+    n = idf.agg(F.sum(d0 * d1).alias("met"), F.sum(d0).alias("a"), F.sum(d1).alias("b")).first()
+    rows, columns = block_shape(a_records.count(), b_records.count(), pairs_per_cell)
+    copies = (n["a"] or 0.0) * columns + (n["b"] or 0.0) * rows
+    return (rows, columns) if (n["met"] or 0.0) > copies else None
+
+
+def _summed_pairs(
+    a_w: DataFrame, b_w: DataFrame, value_col: str, sums: dict, blocks: tuple[int, int] | None, pairs_per_task: int
+) -> DataFrame:
+    """Aggregates of every pair that shares a token, over ``token``,
+    ``left_value`` and ``right_value``, by one of the two joins."""
+    if blocks:
+        a = a_w.select(F.col("id").alias("a_id"), "token", F.col(value_col).alias("value"))
+        b = b_w.select(F.col("id").alias("b_id"), "token", F.col(value_col).alias("value"))
+        return block_pairs(a, b, "token", "a_id", "b_id", *blocks, sums)
+    joined = _pair_postings(a_w, b_w, value_col, pairs_per_task).withColumnsRenamed({"a_value": "left_value", "b_value": "right_value"})
+    return joined.groupBy("a_id", "b_id").agg(*[c.alias(n) for n, c in sums.items()])
+
+
+def _products():
+    return F.sum(F.col("left_value") * F.col("right_value"))
+
+
 def similarities(
-    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
+    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None, min_similarity: float = 0.0
 ) -> DataFrame:
-    """(a_id, b_id, similarity) for every pair sharing at least one token.
+    """(a_id, b_id, similarity) for every pair sharing at least one token and
+    of at least ``min_similarity``.
 
     ``a_w`` / ``b_w`` are ``tfidf`` outputs (with ``df_0``/``df_1``). The
     cosine is the sum of products of unit weights over shared tokens, so no
     per-pair norm lookup (and no extra join) is needed.
     """
-    joined = _pair_postings(unit_weights(a_w), unit_weights(b_w), "unit", pairs_per_task)
-    return joined.groupBy("a_id", "b_id").agg(
-        F.sum(F.col("a_value") * F.col("b_value")).alias("similarity")
-    )
+    a_u, b_u = unit_weights(a_w), unit_weights(b_w)
+    if min_similarity > 0:
+        return _scored(threshold_candidates(a_u, b_u, min_similarity, pairs_per_task), a_u, b_u).where(F.col("similarity") >= min_similarity)
+    return _summed_pairs(a_u, b_u, "unit", {"similarity": _products()}, blocks, pairs_per_task)
+
+
+def _prefixes(units: DataFrame, min_similarity: float) -> DataFrame:
+    """(id, token, rest, df_0, df_1): the rarest tokens of each vector, as far
+    as what is left from a token on (``rest``, its length) can still make the
+    least similarity with a vector of length one."""
+    onwards = Window.partitionBy("id").orderBy(F.col("df_0") + F.col("df_1"), "token").rowsBetween(0, Window.unboundedFollowing)
+    rest = F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(onwards))
+    return units.withColumn("rest", rest).where(F.col("rest") >= min_similarity - SLACK).select("id", "token", "rest", "df_0", "df_1")
+
+
+def threshold_candidates(a_u: DataFrame, b_u: DataFrame, min_similarity: float, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """(a_id, b_id) of all pairs that can have ``min_similarity``, from unit
+    weights with document frequencies.
+
+    Both sides order tokens from rare to common. Take the first token that a
+    pair shares: all that it shares lies from there on in both vectors, so its
+    cosine is at most the product of the two rests. A pair is made only where
+    that bound holds, and only prefixes whose own rest reaches the least
+    similarity are indexed; common tokens mostly fall out. No pair is lost.
+    """
+    met = _pair_postings(_prefixes(a_u, min_similarity), _prefixes(b_u, min_similarity), "rest", pairs_per_task)
+    return met.where(F.col("a_value") * F.col("b_value") >= min_similarity - SLACK).select("a_id", "b_id").distinct()
+
+
+def _scored(pairs: DataFrame, a_u: DataFrame, b_u: DataFrame) -> DataFrame:
+    """(a_id, b_id, similarity) of pairs that share a token, over all their tokens."""
+    a = a_u.select(F.col("id").alias("a_id"), "token", F.col("unit").alias("a_unit"))
+    b = b_u.select(F.col("id").alias("b_id"), "token", F.col("unit").alias("b_unit"))
+    met = pairs.join(a, "a_id").join(b, ["b_id", "token"])
+    return met.groupBy("a_id", "b_id").agg(F.sum(F.col("a_unit") * F.col("b_unit")).alias("similarity"))
+
+
+def threshold_report(a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """(threshold, candidates, pairs): how many pairs the pruned join makes
+    and keeps for each threshold."""
+    a_u, b_u = unit_weights(a_w), unit_weights(b_w)
+    out = None
+    for t in thresholds:
+        met = threshold_candidates(a_u, b_u, t, pairs_per_task)
+        scored = _scored(met, a_u, b_u).agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("similarity") >= t).alias("pairs"))
+        row = scored.select(F.lit(float(t)).alias("threshold"), "candidates", "pairs")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
-def dot_products(a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+def dot_products(
+    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+) -> DataFrame:
     """(a_id, b_id, dot): raw dot products over shared tokens."""
-    joined = _pair_postings(a_w, b_w, "weight", pairs_per_task)
-    return joined.groupBy("a_id", "b_id").agg(F.sum(F.col("a_value") * F.col("b_value")).alias("dot"))
+    return _summed_pairs(a_w, b_w, "weight", {"dot": _products()}, blocks, pairs_per_task)
 
 
-def common_tokens(a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+def common_tokens(
+    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+) -> DataFrame:
     """(a_id, b_id, tokens): the sorted shared tokens of each candidate pair.
 
     A list is at most as long as the smaller record's vocabulary.
     """
-    joined = _pair_postings(a_w, b_w, "weight", pairs_per_task)
-    return joined.groupBy("a_id", "b_id").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    return _summed_pairs(a_w, b_w, "weight", {"tokens": F.sort_array(F.collect_list("token"))}, blocks, pairs_per_task)
 
 
 def er_weights(
@@ -259,14 +352,17 @@ def scalable_similarity(
     b_records: DataFrame,
     stopwords: Iterable[str] = STOPWORDS,
     pairs_per_task: int = PAIRS_PER_TASK,
+    blocks: tuple[int, int] | None = None,
+    min_similarity: float = 0.0,
 ) -> DataFrame:
     """Entity resolution: (a_id, b_id, similarity) for all candidate pairs.
 
     A pair is a candidate when the two records share a token; the cosine of
-    every other pair is 0 and is not materialised.
+    every other pair is 0 and is not materialised. With ``min_similarity``
+    only pairs of at least that much are returned, and hardly any other is made.
     """
     a_w, b_w, _ = er_weights(a_records, b_records, stopwords)
-    return similarities(a_w, b_w, pairs_per_task)
+    return similarities(a_w, b_w, pairs_per_task, blocks, min_similarity)
 
 
 def pair_similarity(

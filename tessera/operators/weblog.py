@@ -77,6 +77,27 @@ def unique_hosts(access: DataFrame, approximate: bool = False) -> DataFrame:
     return access.agg(agg.alias("unique_hosts"))
 
 
+def host_sketches(access: DataFrame, precision: int = 12) -> DataFrame:
+    """(day, requests, hosts): a distinct sketch of the hosts of every date, a
+    few kilobytes whatever the traffic. Kept as a table, it answers for any
+    range of days without the log; a new day is one more row."""
+    return access.groupBy(F.to_date("date_time").alias("day")).agg(
+        _n().alias("requests"), F.hll_sketch_agg("host", precision).alias("hosts")
+    )
+
+
+def hosts_of_days(sketches: DataFrame, first=None, last=None) -> DataFrame:
+    """One row: ``unique_hosts`` (estimated; with 12 bits about 1.6 % off, and
+    exact for few hosts) and ``requests`` of the days from ``first`` to ``last``."""
+    if first is not None:
+        sketches = sketches.where(F.col("day") >= first)
+    if last is not None:
+        sketches = sketches.where(F.col("day") <= last)
+    return sketches.agg(
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("hosts")), F.lit(0)).alias("unique_hosts"), F.coalesce(F.sum("requests"), F.lit(0)).alias("requests")
+    )
+
+
 def distinct_day_host(access: DataFrame) -> DataFrame:
     """Distinct (day, host) pairs, day = day of month."""
     return access.select(day_of_month("date_time").alias("day"), "host").distinct()

@@ -12,22 +12,26 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.logs import parse_apache_time
+from tessera.functions.logs import day_of_month, hour_of_day, parse_apache_time
 from tessera.functions.numeric import similarity_bin, squared_error
 from tessera.functions.text import clean_text, remove_quotes, simple_tokenize, tokenize
 from tessera.operators import basic, evaluation as ev, recommend as rc, similarity as sm
 from tessera.operators import weblog as wl, wordcount as wc
+from tessera.operators.frequent import frequent_top
 from tessera.plans import oracle as o
+from tessera.plans.stored import stored
 from tessera.session import checkpoint_dir
 from tessera.sources import fixtures as fx
 from tessera.sources import parsers as ps
+from tessera.sources.logstore import read_days, store_days
 from tessera.sources.tables import Tables
-from tessera.sources.text import document_lines, numbered_lines, read_text_lines
+from tessera.sources.text import document_lines, numbered_lines, read_file_lines, read_text_lines
 
 # Parameters of the registered queries (the data has ~30 ratings per item).
 TOP_RATED_MIN = 30
@@ -102,9 +106,18 @@ class Ctx:
     def w_b(self) -> DataFrame:
         return sm.tfidf(self.tf_b, self.idf)
 
+    @cached_property
+    def stored_weights(self) -> tuple[DataFrame, DataFrame]:
+        """Both sides' weights, for queries that join them several times."""
+        return stored(self.w_a, "weights-a"), stored(self.w_b, "weights-b")
+
+    @cached_property
+    def blocks(self) -> tuple[int, int] | None:
+        return sm.pair_blocks(self.idf, self.a, self.b)
+
     @cached_property
     def sims(self) -> DataFrame:
-        return sm.similarities(self.w_a, self.w_b)
+        return sm.similarities(self.w_a, self.w_b, blocks=self.blocks)
 
     @cached_property
     def gold(self) -> DataFrame:
@@ -122,6 +135,15 @@ class Ctx:
     def splits(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return rc.keyed_split(self.ratings)
 
+    @cached_property
+    def ids(self) -> rc.Dictionary:
+        """Dense ids of all ratings, stored once for every fit of a query."""
+        return rc.dictionary(self.ratings)
+
+    @cached_property
+    def dense_train(self) -> rc.DenseRatings:
+        return rc.dense(self.splits[0], self.ids)
+
 
 @dataclass(frozen=True)
 class Query:
@@ -162,6 +184,15 @@ def _numbered_lines(c: Ctx) -> DataFrame:
     return numbered_lines(c.lines, ["doc_id", "line_no"])
 
 
+@query("read_file_lines", o.with_([o.CLF_LINES], """SELECT value, row_number() OVER (ORDER BY line_id) - 1 AS line_index
+  FROM clf_lines"""))
+def _read_file_lines(c: Ctx) -> DataFrame:
+    # The log in the order of its ids, written as several text files into the shared folder.
+    path = f"{checkpoint_dir(c.spark).rstrip('/')}/log-{uuid.uuid4().hex[:12]}"
+    c.clf.repartitionByRange(8, "line_id").sortWithinPartitions("line_id").select("value").write.text(path)
+    return read_file_lines(c.spark, path).select("value", "line_index")
+
+
 @query("read_text_lines", o.with_([o.CLF_LINES], """SELECT value, count(*) AS n FROM clf_lines GROUP BY value"""))
 def _read_text_lines(c: Ctx) -> DataFrame:
     # The log written as text files into the shared folder, and read as text.
@@ -208,8 +239,8 @@ def _split_valid_failed(c: Ctx) -> DataFrame:
 @query("log_cleaning_report", o.with_([o.CLF_LINES], f"""SELECT count(*) AS n_lines,
   count(*) FILTER (WHERE regexp_matches(value, {o.q(o.ACCESS_LOG_PATTERN_ORIGINAL)})) AS n_ok_original,
   count(*) FILTER (WHERE NOT regexp_matches(value, {o.q(o.ACCESS_LOG_PATTERN_ORIGINAL)})) AS n_failed_original,
-  count(*) FILTER (WHERE regexp_matches(value, {o.q(ps.ACCESS_LOG_PATTERN)})) AS n_ok_corrected,
-  count(*) FILTER (WHERE NOT regexp_matches(value, {o.q(ps.ACCESS_LOG_PATTERN)})) AS n_failed_corrected
+  count(*) FILTER (WHERE regexp_matches(value, {o.q(o.ACCESS_LOG_PATTERN)})) AS n_ok_corrected,
+  count(*) FILTER (WHERE NOT regexp_matches(value, {o.q(o.ACCESS_LOG_PATTERN)})) AS n_failed_corrected
   FROM clf_lines"""))
 def _log_cleaning_report(c: Ctx) -> DataFrame:
     return ps.log_cleaning_report(c.clf)
@@ -225,7 +256,7 @@ def _parse_product_csv(c: Ctx) -> DataFrame:
   CASE WHEN st = 1 THEN replace(regexp_extract(value, {o.q(o.GOLDFILE_PATTERN)}, 2), '"', '') END AS b_id,
   st AS parse_status
   FROM (SELECT value, CASE WHEN NOT regexp_matches(value, {o.q(o.GOLDFILE_PATTERN)}) THEN -1
-          WHEN regexp_extract(value, {o.q(o.GOLDFILE_PATTERN)}, 1) = {o.q(ps.GOLDFILE_HEADER_FIELD)} THEN 0 ELSE 1 END AS st
+          WHEN regexp_extract(value, {o.q(o.GOLDFILE_PATTERN)}, 1) = {o.q(o.GOLDFILE_HEADER_FIELD)} THEN 0 ELSE 1 END AS st
         FROM gold_lines)"""))
 def _parse_gold_csv(c: Ctx) -> DataFrame:
     return ps.parse_gold_csv(fx.gold_lines(c.gold))
@@ -273,6 +304,15 @@ def _filter_modulo(c: Ctx) -> DataFrame:
     )
 
 
+@query("drop_stopwords", o.with_(o.ER[:1], f"""SELECT id, token, count(*) AS n FROM (
+  SELECT doc_id AS id, unnest({o.simple_tokens('text')}) AS token FROM documents)
+  WHERE NOT list_contains({o.STOP_LIST}, token) GROUP BY id, token"""))
+def _drop_stopwords(c: Ctx) -> DataFrame:
+    # The list as a table, anti-joined; the tokenizer of ER takes it as a literal.
+    tokens = c.a.select("id", F.explode(simple_tokenize("value")).alias("token"))
+    return sm.drop_stopwords(tokens, fx.stopwords(c.spark)).groupBy("id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("drop_empty_words", o.with_([o.DOC_LINES, o.ALL_WORDS], """SELECT count(*) AS n_words,
   count(*) FILTER (WHERE word <> '') AS n_nonempty FROM all_words"""))
 def _drop_empty_words(c: Ctx) -> DataFrame:
@@ -372,6 +412,16 @@ def _group_values(c: Ctx) -> DataFrame:
     return basic.group_values(c.ratings, "item_id", "rating")
 
 
+LIST_SIZE = 16
+
+
+@query("value_lists", o.with_([o.RATINGS], f"""SELECT item_id, segment, list(rating ORDER BY rating) AS "values"
+  FROM (SELECT item_id, rating, (row_number() OVER (PARTITION BY item_id ORDER BY rating) - 1) // {LIST_SIZE} AS segment FROM ratings)
+  GROUP BY item_id, segment"""))
+def _value_lists(c: Ctx) -> DataFrame:
+    return basic.value_lists(c.ratings, "item_id", "rating", LIST_SIZE)
+
+
 @query("group_count_values", o.with_([o.RATINGS], """SELECT user_id, count(*) AS "count" FROM ratings GROUP BY user_id"""))
 def _group_count_values(c: Ctx) -> DataFrame:
     return basic.group_count_values(c.ratings, "user_id")
@@ -442,6 +492,23 @@ def _unique_hosts(c: Ctx) -> DataFrame:
     return wl.unique_hosts(c.access)
 
 
+# The sketch against the exact count, day by day and over all days.
+_SKETCH_ERROR = 0.05
+
+
+@query("host_sketches", o.with_(o.LOG, """SELECT CAST(date_time AS DATE) AS day, count(*) AS requests, true AS near
+  FROM access GROUP BY 1 UNION ALL SELECT NULL, count(*), true FROM access"""))
+def _host_sketches(c: Ctx) -> DataFrame:
+    kept = stored(wl.host_sketches(c.access), "host-sketches")
+    exact = wl.daily_unique_hosts(c.access, by_date=True).withColumnRenamed("unique_hosts", "exact")
+    days = kept.select("day", "requests", F.hll_sketch_estimate("hosts").alias("unique_hosts")).join(exact, "day")
+    whole = wl.hosts_of_days(kept).select(
+        F.lit(None).cast("date").alias("day"), "requests", "unique_hosts", F.lit(wl.unique_hosts(c.access).scalar()).alias("exact")
+    )
+    near = F.abs(F.col("unique_hosts") - F.col("exact")) <= F.ceil(_SKETCH_ERROR * F.col("exact"))
+    return days.unionByName(whole).select("day", "requests", near.alias("near"))
+
+
 @query("daily_unique_hosts", o.with_(o.LOG, """SELECT CAST(dayofmonth(date_time) AS INTEGER) AS day,
   count(DISTINCT host) AS unique_hosts FROM access GROUP BY 1"""))
 def _daily_unique_hosts(c: Ctx) -> DataFrame:
@@ -500,6 +567,17 @@ def _top_words(c: Ctx) -> DataFrame:
     return wc.top_words(c.counts, 15)
 
 
+@query("top_words_proven", o.with_(_WC, 'SELECT word, "count" FROM word_counts ORDER BY "count" DESC, word LIMIT 15'))
+def _top_words_proven(c: Ctx) -> DataFrame:
+    return frequent_top(wc.corpus_words(c.lines), "word", 15)
+
+
+@query("top_endpoints_proven", o.with_(o.LOG, """SELECT endpoint, count(*) AS "count" FROM access
+  GROUP BY endpoint ORDER BY "count" DESC, endpoint LIMIT 10"""))
+def _top_endpoints_proven(c: Ctx) -> DataFrame:
+    return frequent_top(c.access, "endpoint", 10)
+
+
 @query("largest_values", o.with_([o.DOC_LINES, o.ALL_WORDS, o.WORDS],
                                  "SELECT word FROM words ORDER BY word DESC LIMIT 5"))
 def _largest_values(c: Ctx) -> DataFrame:
@@ -536,6 +614,21 @@ def _top_not_found_days(c: Ctx) -> DataFrame:
     return wl.top_not_found_days(c.access, 5)
 
 
+@query("stored_days", o.with_(o.LOG, """SELECT CAST(date_time AS DATE) AS day, response_code, count(*) AS "count",
+  CAST(sum(content_size) AS BIGINT) AS bytes FROM access
+  WHERE CAST(date_time AS DATE) BETWEEN (SELECT min(CAST(date_time AS DATE)) FROM access) + 1
+    AND (SELECT min(CAST(date_time AS DATE)) FROM access) + 3 GROUP BY 1, 2"""))
+def _stored_days(c: Ctx) -> DataFrame:
+    # The whole log is parsed and stored once; the report reads three of its days.
+    path = f"{checkpoint_dir(c.spark).rstrip('/')}/log-days-{uuid.uuid4().hex[:12]}"
+    store_days(c.access, path)
+    first = c.spark.read.parquet(path).agg(F.min("day")).first()[0]
+    days = (None, None) if first is None else (first + timedelta(days=1), first + timedelta(days=3))
+    return read_days(c.spark, path, *days).groupBy("day", "response_code").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("content_size").alias("bytes")
+    )
+
+
 @query("sort_by_key", o.with_(o.LOG, """SELECT response_code, count(*) AS "count" FROM access
   GROUP BY response_code ORDER BY response_code"""))
 def _sort_by_key(c: Ctx) -> DataFrame:
@@ -647,6 +740,16 @@ def _parse_apache_time(c: Ctx) -> DataFrame:
     return c.clf.select("line_id", parse_apache_time(F.regexp_extract("value", r"\[([^\]]*)\]", 1)).alias("date_time"))
 
 
+@query("day_of_month", o.with_(o.LOG, "SELECT line_id, CAST(dayofmonth(date_time) AS INTEGER) AS day FROM access"))
+def _day_of_month(c: Ctx) -> DataFrame:
+    return c.access.select("line_id", day_of_month("date_time").alias("day"))
+
+
+@query("hour_of_day", o.with_(o.LOG, "SELECT line_id, CAST(hour(date_time) AS INTEGER) AS hour FROM access"))
+def _hour_of_day(c: Ctx) -> DataFrame:
+    return c.access.select("line_id", hour_of_day("date_time").alias("hour"))
+
+
 @query("squared_error", o.with_([o.RATINGS, o.SPLITS], """SELECT user_id, item_id,
   round((rating - (SELECT avg(rating) FROM train)) * (rating - (SELECT avg(rating) FROM train)), 6) AS squared_error
   FROM test"""))
@@ -698,7 +801,7 @@ def _vector_norms(c: Ctx) -> DataFrame:
 @query("dot_product", o.with_(o.ER[:4], """SELECT a.id AS a_id, b.id AS b_id, round(sum(a.weight * b.weight), 6) AS dot
   FROM w_a a JOIN w_b b ON a.token = b.token GROUP BY a.id, b.id"""))
 def _dot_product(c: Ctx) -> DataFrame:
-    return sm.dot_products(c.w_a, c.w_b).withColumn("dot", r6("dot"))
+    return sm.dot_products(c.w_a, c.w_b, blocks=c.blocks).withColumn("dot", r6("dot"))
 
 
 @query("cosine_similarity", o.with_(o.ER_GOLD, """SELECT g.a_id, g.b_id,
@@ -722,7 +825,7 @@ def _inverted_index(c: Ctx) -> DataFrame:
 @query("common_tokens", o.with_(o.ER[:2], """SELECT a.id AS a_id, b.id AS b_id, list_sort(list(a.token)) AS tokens
   FROM tf_a a JOIN tf_b b ON a.token = b.token GROUP BY a.id, b.id"""))
 def _common_tokens(c: Ctx) -> DataFrame:
-    return sm.common_tokens(c.w_a, c.w_b)
+    return sm.common_tokens(c.w_a, c.w_b, blocks=c.blocks)
 
 
 @query("scalable_similarity", o.with_(o.ER, "SELECT a_id, b_id, round(similarity, 6) AS similarity FROM sims"))
@@ -730,6 +833,30 @@ def _scalable_similarity(c: Ctx) -> DataFrame:
     return c.sims.withColumn("similarity", r6("similarity"))
 
 
+THRESHOLDS = (0.2, 0.5, 0.8)
+_AT = f"levels AS (SELECT unnest([{', '.join(map(str, THRESHOLDS))}])::DOUBLE AS threshold)"
+
+
+@query("similarity_join", o.with_(o.ER + [_AT], """SELECT threshold, a_id, b_id, round(similarity, 6) AS similarity
+  FROM sims JOIN levels ON similarity >= threshold"""))
+def _similarity_join(c: Ctx) -> DataFrame:
+    a, b = c.stored_weights
+    parts = [sm.similarities(a, b, min_similarity=t).withColumn("threshold", F.lit(t)) for t in THRESHOLDS]
+    return basic.union_all(*parts).select("threshold", "a_id", "b_id", r6("similarity").alias("similarity"))
+
+
+# Which pairs the bounds let through is part of the method, so the oracle has the same bounds.
+@query("similarity_join_report", o.with_(o.ER + [_AT, *(f"""rest_{s} AS (SELECT u.id, u.token,
+  sqrt(sum(u.unit * u.unit) OVER (PARTITION BY u.id ORDER BY i.df, u.token ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS rest
+  FROM u_{s} u JOIN idf i ON u.token = i.token)""" for s in "ab"), """met AS (SELECT DISTINCT threshold, a.id AS a_id, b.id AS b_id
+  FROM rest_a a JOIN rest_b b ON a.token = b.token JOIN levels
+  ON a.rest >= threshold - 1e-9 AND b.rest >= threshold - 1e-9 AND a.rest * b.rest >= threshold - 1e-9)"""],
+    """SELECT m.threshold, count(*) AS candidates, count(*) FILTER (WHERE s.similarity >= m.threshold) AS pairs
+  FROM met m JOIN sims s ON m.a_id = s.a_id AND m.b_id = s.b_id GROUP BY m.threshold"""))
+def _similarity_join_report(c: Ctx) -> DataFrame:
+    return sm.threshold_report(*c.stored_weights, THRESHOLDS)
+
+
 @query("gold_evaluation", o.with_(o.ER_GOLD, """SELECT count(*) AS n_true_duplicates,
   round(avg(similarity), 6) AS avg_sim_duplicates,
   round(((SELECT sum(similarity) FROM sims) - sum(similarity))
@@ -815,7 +942,7 @@ def _items_for_user(c: Ctx) -> DataFrame:
 @query("train_als", o.with_([o.RATINGS, o.SPLITS], """SELECT DISTINCT 'user' AS kind, user_id AS id, 4 AS n FROM train
   UNION ALL SELECT DISTINCT 'item', item_id, 4 FROM train"""))
 def _train_als(c: Ctx) -> DataFrame:
-    fitted = rc.train_als(c.splits[0], rank=4)
+    fitted = rc.train_als(c.dense_train, rank=4)
     parts = [
         f.select(F.lit(kind).alias("kind"), F.col(i).alias("id"), F.size("features").alias("n"))
         for kind, i, f in (("user", "user_id", fitted.user_factors()), ("item", "item_id", fitted.item_factors()))
@@ -826,29 +953,28 @@ def _train_als(c: Ctx) -> DataFrame:
 @query("predict_pairs", o.with_([o.RATINGS, o.SPLITS], """SELECT user_id, item_id, true AS predicted FROM validation
   WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)"""))
 def _predict_pairs(c: Ctx) -> DataFrame:
-    train, val, _ = c.splits
-    found = rc.predict_pairs(rc.train_als(train, rank=4), val)
+    found = rc.predict_pairs(rc.train_als(c.dense_train, rank=4), c.splits[1])
     return found.select("user_id", "item_id", (~F.isnan("prediction")).alias("predicted"))
 
 
 @query("select_rank", "SELECT unnest([4, 8, 12]) AS rank, true AS scored, 1 AS n_best FROM (SELECT count(*) FROM lineitem)")
 def _select_rank(c: Ctx) -> DataFrame:
-    train, val, _ = c.splits
     best = F.sum(F.col("best").cast("int")).over(Window.partitionBy(F.lit(0))).cast("int")
-    return rc.select_rank(train, val).select("rank", (F.col("rmse") > 0).alias("scored"), best.alias("n_best"))
+    return rc.select_rank(c.dense_train, c.splits[1]).select("rank", (F.col("rmse") > 0).alias("scored"), best.alias("n_best"))
 
 
 @query("test_model", "SELECT true AS scored FROM (SELECT count(*) FROM lineitem)")
 def _test_model(c: Ctx) -> DataFrame:
-    train, val, test = c.splits
-    return rc.test_model(train, test, rc.best_rank(train, val)).select((F.col("rmse") > 0).alias("scored"))
+    _, val, test = c.splits
+    return rc.test_model(c.dense_train, test, rc.best_rank(c.dense_train, val)).select((F.col("rmse") > 0).alias("scored"))
 
 
 @query("retest_with_ratings", "SELECT true AS scored FROM (SELECT count(*) FROM lineitem)")
 def _retest_with_ratings(c: Ctx) -> DataFrame:
     train, val, test = c.splits
     mine = val.where(F.col("user_id") == c.ratings.agg(F.min("user_id")).scalar())
-    return rc.retest_with_ratings(train, mine, test, rc.best_rank(train, val)).select((F.col("rmse") > 0).alias("scored"))
+    rank = rc.best_rank(c.dense_train, val)
+    return rc.retest_with_ratings(train, mine, test, rank, ids=c.ids).select((F.col("rmse") > 0).alias("scored"))
 
 
 @query("recommend_for_user", o.with_([o.RATINGS, o.SPLITS], f"""SELECT m.item_id, m.title, n.n_ratings
@@ -858,12 +984,12 @@ def _retest_with_ratings(c: Ctx) -> DataFrame:
   WHERE m.item_id NOT IN (SELECT item_id FROM (SELECT * FROM train UNION ALL SELECT * FROM validation)
     WHERE user_id = (SELECT min(user_id) FROM ratings))"""))
 def _recommend_for_user(c: Ctx) -> DataFrame:
-    # All candidates, best first: the user's own ratings join training, the rank is the chosen one.
+    # All candidates: the user's own ratings join training, the rank is the chosen one.
     train, val, _ = c.splits
     user = c.ratings.agg(F.min("user_id")).first()[0]
     mine = val.where(F.col("user_id") == user)
     found = rc.recommend_for_user(
-        train, c.movies, user, mine, rank=rc.best_rank(train, val), min_ratings=RECOMMEND_MIN, k=c.movies.count() or 1
+        train, c.movies, user, mine, rank=rc.best_rank(c.dense_train, val), min_ratings=RECOMMEND_MIN, k=None, ids=c.ids
     )
     return found.select("item_id", "title", "n_ratings")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
-from tessera.plans.joins import grid_join
+from tessera.plans.joins import grid_join, lookup_join
 from tessera.sources.text import document_lines
 
 # Candidate pairs that one task of the anchor join makes of a hot token.
@@ -200,7 +200,7 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     b_tok = _distinct_tokens(b_lists, "b_id")
     a_df = a_tok.groupBy("token").agg(F.count(F.lit(1)).alias("df_a"))
     anchors = (
-        b_tok.join(a_df, "token", "left")
+        lookup_join(b_tok, a_df, "token", "left")
         .groupBy("b_id")
         .agg(F.min(F.struct(F.coalesce("df_a", F.lit(0)).alias("df_a"), F.col("token"))).alias("least"))
         .select("b_id", "least.token", "least.df_a")
@@ -208,8 +208,8 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     )
     # Rows of both sides per anchor token: copies and templates share anchors.
     sizes = anchors.groupBy("token").agg(F.first("df_a").alias("df_a"), F.count(F.lit(1)).alias("n_b"))
-    left = a_tok.join(sizes, "token")
-    right = anchors.select("b_id", "token").join(sizes, "token")
+    left = lookup_join(a_tok, sizes, "token")
+    right = lookup_join(anchors.select("b_id", "token"), sizes, "token")
     candidates = grid_join(left, right, "token", "a_id", "b_id", "df_a", "n_b", PAIRS_PER_TASK).select("a_id", "b_id")
     # The shorter texts first, then A's, tested where they meet.
     return (

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.functions.text import split_lines
+from tessera.plans.stored import indexed, row_id, stored
+
+# Rows that one task of a numbering sorts, at most about so many.
+ROWS_PER_RANGE = 1_000_000
 
 
 def read_text_lines(
@@ -37,52 +41,56 @@ def document_lines(
     ).where(F.col("line").isNotNull())
 
 
-def _range_bucket(key: Column, bounds: Sequence[Column]) -> Column:
-    """How many of the ascending ``bounds`` are not above ``key``, as a
-    balanced tree of comparisons."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
-
-
-def numbered_lines(df: DataFrame, order_by: str | Sequence[str], ranges: int = 64) -> DataFrame:
+def numbered_lines(
+    df: DataFrame, order_by: str | Sequence[str], ranges: int | None = None, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Attach a global 0-based ``line_index`` in the order of ``order_by``
     (the ``zipWithIndex`` operation).
 
-    Rows have no position of their own, so the order must come from columns;
-    rows that are equal in them are ordered by a hash of all columns. The
-    order is cut into ``ranges`` ranges at values taken from a sample of at
-    most ``100 * ranges`` rows, chosen by that hash. A row's range follows
-    from its own values alone, so the count per range and the number inside
-    it agree however the plan is run. One count per range reaches the driver.
+    The order comes from columns; rows that are equal in them are ordered by
+    a hash of all columns (for the order that files have, see
+    ``read_file_lines``). The rows are counted and range-partitioned by twice
+    as many quantiles as ``rows_per_range`` asks for (or by ``ranges``), so a
+    range of twice the mean still keeps to it, and a hot key is cut by the
+    hash. Each range is
+    sorted and written once with the place of every row in it; one count for
+    each range reaches the driver.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if not order:
         raise ValueError("numbered_lines needs columns to order by")
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     keyed = df.withColumn("_tie", tie)
-    names = [*order, "_tie"]
-    # Bounds as literals: both passes below use the same ones.
-    sample = sorted(
-        (tuple(r) for r in keyed.select(*names).orderBy(F.xxhash64("_tie")).limit(100 * ranges).collect()),
-        key=lambda r: [(x is not None, x) for x in r],
+    ranges = ranges or max(1, -(-2 * df.count() // rows_per_range))
+    ranged = keyed.repartitionByRange(ranges, *order, "_tie").sortWithinPartitions(*order, "_tie")
+    return indexed(ranged, "line_index", "numbered").drop("_tie")
+
+
+def read_file_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines of text files with their place: ``value``, ``file``, ``line_no``
+    (in the file) and ``line_index`` (over all files, ordered by path), both
+    from 0. Paths must not overlap.
+
+    Splits of a file are read by separate tasks. A split is known by its file
+    and first byte, and its lines are read in order; so the lines are written
+    once with their place in the split, and the splits' counts give each
+    split its offset. A row for each split is summed up by file, one for each
+    file over all.
+    """
+    paths = path if isinstance(path, str) else list(dict.fromkeys(path))
+    read = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), row_id().alias("row")
     )
-    picked = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
-    types = [keyed.schema[c].dataType for c in names]
-    bounds = [F.struct(*[F.lit(x).cast(t).alias(n) for x, t, n in zip(r, types, names)]) for r in dict.fromkeys(picked)]
-    ranged = keyed.withColumn("_range", _range_bucket(F.struct(*names), bounds))
-    counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
-    before, starts = 0, []
-    for i in range(len(bounds) + 1):
-        starts.append(before)
-        before += counts.get(i, 0)
-    start = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in starts]), F.col("_range") + 1)
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*names))
-    return ranged.withColumn("line_index", start + inside - 1).drop("_tie", "_range")
+    lines = stored(read, "lines")
+    splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    earlier = Window.unboundedPreceding, -1
+    files = splits.groupBy("file").agg(F.sum("n").alias("n"))
+    files = files.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(*earlier)), F.lit(0)).alias("files_before"))
+    in_file = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(*earlier))
+    offsets = splits.select("file", "start", "first", F.coalesce(in_file, F.lit(0)).alias("before")).join(files, "file")
+    placed = lines.join(stored(offsets, "splits"), ["file", "start"])
+    line_no = F.col("before") + F.col("row") - F.col("first")
+    return placed.select("value", "file", line_no.alias("line_no"), (F.col("files_before") + line_no).alias("line_index"))
 
 
 def from_values(
