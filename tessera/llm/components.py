@@ -2,8 +2,9 @@
 
 Every round links each node's larger neighbours to the least node it knows,
 then its smaller ones, until no link changes; what is left is a star around
-the least node of every component. The links are written to the shared folder
-after each round, so a lost executor costs one round at most."""
+the least node of every component. A node with a third of all links is a hot
+key of the joins, which Spark splits (``lookup_join``). The links are written to
+the shared folder after each round, so a lost executor costs one round at most."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise
+from tessera.plans.joins import lookup_join
 
 
 def _state(links: DataFrame) -> tuple:
@@ -20,13 +22,13 @@ def _state(links: DataFrame) -> tuple:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return lookup_join(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = lookup_join(down, least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, ship, table
 from tessera.llm.components import components
+from tessera.plans.joins import lookup_join
 
 THRESHOLD = 0.9
 LIST = 10
@@ -192,7 +193,7 @@ def _blocks(vectors: DataFrame, bits: int, first: int, draws: int) -> DataFrame:
     keyed = _keyed(vectors.select("node", "size", "vec"), bits, first, draws)
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"))
     parts = F.when(F.col("n") > 2 * BLOCK, F.ceil(F.col("n") / BLOCK)).otherwise(1)
-    return keyed.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), parts)).alias("key"), "node", "vec")
+    return lookup_join(keyed, sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), parts)).alias("key"), "node", "vec")
 
 
 def _borders(placed: DataFrame, bits: int, first: int, draws: int, threshold: float, small: bool) -> DataFrame:
@@ -204,7 +205,7 @@ def _borders(placed: DataFrame, bits: int, first: int, draws: int, threshold: fl
     byc = keyed.groupBy("key", "c").agg(F.count("*").alias("m"))
     heavy = F.col("m") > BLOCK
     large = byc.groupBy("key").agg(F.sum("m").alias("n"), F.sum(F.when(~heavy, F.col("m"))).alias("others")).where(F.col("n") > 2 * BLOCK)
-    cut = byc.join(large, "key").select(
+    cut = lookup_join(byc, large, "key").select(
         "key", "c", heavy.alias("heavy"), F.when(heavy, F.col("c")).otherwise(F.lit(0)).alias("kind"),
         F.ceil(F.when(heavy, F.col("m")).otherwise(F.col("others")) / BLOCK).cast("int").alias("parts"),
     )
@@ -381,7 +382,7 @@ def near_duplicates(
             reached = components(links)
         members = reached.withColumnRenamed("component", "c").join(vectors, "node")
         sizes = members.groupBy("c").agg(F.count("*").alias("total"), F.min("least").alias("component_id"))
-        members = materialise(members.join(sizes, "c"), "members")
+        members = materialise(lookup_join(members, sizes, "c"), "members")
         counted = materialise(_tiles(members, threshold), "counted")
         recall = _audit(vectors, counted, threshold, audit, turn)
         if recall is not None and recall >= RECALL:

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, table, utf8
 from tessera.llm.components import components
+from tessera.llm.exchange import mix
+from tessera.plans.joins import lookup_join
 
 SEED = 42
 WORDS = 4
@@ -105,12 +107,6 @@ def _near_codewords(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(who), np.concatenate(anchor)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
 def anchors(x: np.ndarray, width: int, max_bits: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Parts of ``width``-bit values (first bit, bits), and for each part which
     value goes to which anchor."""
@@ -126,7 +122,7 @@ def _keys(max_bits: int) -> Callable:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(np.uint64)
             for first, _, who, anchor in anchors(fp, 64, max_bits):
-                key = _mix(_mix(anchor) + np.uint64(first + 1))
+                key = mix(mix(anchor) + np.uint64(first + 1))
                 yield _rows(key, fp[who], np.full(len(who), first))
 
     return run
@@ -157,7 +153,7 @@ def _rekey(max_bits: int) -> Callable:
                     yield _rows(key[mine], fp[mine], first[mine])
                     continue
                 for at, _, who, anchor in anchors(rest, width, max_bits):
-                    yield _rows(_mix(_mix(key[mine][who] + np.uint64(at + 1)) ^ anchor), fp[mine][who], first[mine][who])
+                    yield _rows(mix(mix(key[mine][who] + np.uint64(at + 1)) ^ anchor), fp[mine][who], first[mine][who])
 
     return run
 
@@ -261,7 +257,7 @@ def near_duplicates(
     reached = components(links(classes, max_bits, hot))
     of = classes.join(reached, classes.fp == reached.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     of = materialise(of, "class-components")
-    named = of.join(of.groupBy("c").agg(F.min("least").alias("component_id")), "c").select("fp", "component_id")
+    named = lookup_join(of, of.groupBy("c").agg(F.min("least").alias("component_id")), "c").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
