@@ -6,12 +6,18 @@ key once, with what it knows of it; keys go to buckets by range of their
 order of its keys. A key that fills a third of the corpus is one entry per
 block, and the buckets are as many as the number of keys asks for, so neither
 side grows with one key or with the input.
+
+A row holds what one block asks of one bucket, and only buckets that it has
+keys of get one. Long rows are compressed one by one, column by column. Where
+buckets are so many that rows are short, the bytes of all rows are made at
+once and cut, a key and its values side by side, so that the cost follows the
+number of keys and not that of the buckets.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +31,13 @@ BUCKET_KEYS = 500_000
 
 TALLY = -1  # the block number of tallies
 
-REQUEST = "bucket int, block long, keys binary, known binary"
-REPLY = "block long, kind int, bucket int, reply binary"
+LONG = 64  # keys of a row, on average, from which rows are compressed one by one
+
+# `first` is the least key of the bucket, as a signed number; `shape` has the
+# widths of a short row's entries, and is empty for a long one.
+REQUEST = "bucket int, block long, first long, shape binary, keys binary, known binary"
+REPLY = "block long, kind int, bucket int, shape binary, reply binary"
+_REQUEST = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("shape", pa.binary()), ("keys", pa.binary()), ("known", pa.binary())])
 
 
 def split_words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -87,29 +98,105 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64) + np.uint64(first)
 
 
-def bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's range starts in sorted keys, and the end."""
-    starts = np.array([-(-(b << 64) // buckets) for b in range(1, buckets)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, starts), [len(keys)]))
+def _span(buckets: int) -> int:
+    """Keys that a bucket's range covers."""
+    return -(-(1 << 64) // buckets)
 
 
-def requests(block: int, keys: np.ndarray, known: list[np.ndarray], buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """Rows that ask the buckets for ``keys`` (sorted, distinct)."""
-    cut = bounds(keys, buckets)
-    for b in range(buckets):
-        a, z = int(cut[b]), int(cut[b + 1])
-        if z > a:
-            parts = [pack_ints(k[a:z]) for k in known]
-            yield b, block, pack_keys(keys[a:z]), struct.pack(f"<B{len(parts)}I", len(parts), *map(len, parts)) + b"".join(parts)
+def _width(values: np.ndarray) -> int:
+    return max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
 
 
-def request_batch(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
-    types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-    return pa.RecordBatch.from_arrays(cols, ["bucket", "block", "keys", "known"])
+def _bytes(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bytes of each value, a row each."""
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
 
 
-def _known(data: bytes) -> list[np.ndarray]:
+def _whole(raw: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, : raw.shape[1]] = raw
+    return wide.view("<u8").ravel()
+
+
+def _slices(raw: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Rows of bytes as one binary value for each start."""
+    offsets = np.concatenate((starts, [len(raw)])).astype(np.int64) * raw.shape[1]
+    data = pa.py_buffer(np.ascontiguousarray(raw).tobytes())
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), data]).cast(pa.binary())
+
+
+class _Values:
+    """Columns of whole numbers as short rows: their least value (or 0) and
+    width make the shape, the bytes of an entry lie side by side."""
+
+    @staticmethod
+    def pack(columns: list[np.ndarray], starts: np.ndarray) -> tuple[bytes, pa.Array]:
+        shape, raw = [], []
+        for x in columns:
+            x = x.astype(np.int64)
+            low = min(0, int(x.min())) if len(x) else 0
+            width = _width((x - low).astype(np.uint64))
+            shape.append(struct.pack("<qB", low, width))
+            raw.append(_bytes(x - low, width))
+        return b"".join(shape), _slices(np.concatenate(raw, axis=1) if raw else np.empty((0, 1), np.uint8), starts)
+
+    @staticmethod
+    def unpack(shape: bytes, data: bytes) -> list[np.ndarray]:
+        columns = [struct.unpack_from("<qB", shape, at) for at in range(0, len(shape), 9)]
+        raw = np.frombuffer(data, np.uint8).reshape(-1, sum(w for _, w in columns))
+        out, at = [], 0
+        for low, width in columns:
+            out.append(_whole(raw[:, at : at + width]).astype(np.int64) + low)
+            at += width
+        return out
+
+    @staticmethod
+    def entry(shape: bytes) -> int:
+        """Bytes of an entry."""
+        return sum(shape[8::9])
+
+
+def _long_values(columns: list[np.ndarray], starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
+    out = []
+    for a, z in zip(starts.tolist(), stops.tolist(), strict=True):
+        parts = [pack_ints(x[a:z]) for x in columns]
+        out.append(struct.pack(f"<B{len(parts)}I", len(parts), *map(len, parts)) + b"".join(parts))
+    return out
+
+
+def no_requests() -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in _REQUEST], schema=_REQUEST)
+
+
+def requests(block: int, keys: np.ndarray, known: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """Rows that ask the buckets for ``keys`` (sorted, distinct), with an
+    array of whole numbers known for them each."""
+    if not len(keys):
+        return no_requests()
+    span = _span(buckets)
+    bucket = (keys // np.uint64(span)).astype(np.int64) if span < 1 << 64 else np.zeros(len(keys), np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    stops = np.concatenate((starts[1:], [len(keys)]))
+    first = bucket[starts].astype(np.uint64) * np.uint64(span % (1 << 64))
+    n = len(starts)
+    if len(keys) >= LONG * n:
+        shape = [b""] * n
+        packed = pa.array([pack_keys(keys[a:z]) for a, z in zip(starts.tolist(), stops.tolist(), strict=True)], pa.binary())
+        values = pa.array(_long_values(known, starts, stops), pa.binary())
+    else:
+        step = np.diff(keys, prepend=keys[:1])
+        step[starts] = keys[starts] - first
+        width = _width(step)
+        packed = _slices(_bytes(step, width), starts)
+        of, values = _Values.pack(known, starts)
+        shape = [bytes((width,)) + of] * n
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[starts], pa.int32()), pa.array(np.full(n, block, np.int64)), pa.array(first.view(np.int64)), pa.array(shape, pa.binary()), packed, values],
+        schema=_REQUEST,
+    )
+
+
+def _long_known(data: bytes) -> list[np.ndarray]:
     n = data[0]
     sizes = struct.unpack_from(f"<{n}I", data, 1)
     out, at = [], 1 + 4 * n
@@ -119,6 +206,49 @@ def _known(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _by_shape(shapes: list[bytes]) -> dict[bytes, list[int]]:
+    by: dict[bytes, list[int]] = {}
+    for i, shape in enumerate(shapes):
+        by.setdefault(shape, []).append(i)
+    return by
+
+
+def _gather(size: np.ndarray, parts: list[tuple[list[int], list[np.ndarray]]], columns: int, kind: type) -> list[np.ndarray]:
+    """Columns of all rows in their order, from groups of rows."""
+    start = np.cumsum(size) - size
+    out = [np.empty(int(size.sum()), kind) for _ in range(columns)]
+    for rows, found in parts:
+        n = size[rows]
+        spot = np.repeat(start[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        for x, y in zip(out, found, strict=True):
+            x[spot] = y
+    return out
+
+
+def _asked(bucket: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Number of keys of each request, all keys, and what is known of them."""
+    first = bucket.column("first").to_numpy().view(np.uint64)
+    shapes, keys, known = (bucket.column(c).to_pylist() for c in ("shape", "keys", "known"))
+    size, parts, values = np.zeros(len(keys), np.int64), [], []
+    for shape, rows in _by_shape(shapes).items():
+        if not shape:
+            mine = [unpack_keys(keys[i]) for i in rows]
+            size[rows] = [len(x) for x in mine]
+            parts.append((rows, [np.concatenate(mine)]))
+            values.append((rows, [np.concatenate(x) for x in zip(*[_long_known(known[i]) for i in rows], strict=True)]))
+            continue
+        width = shape[0]
+        n = np.array([len(keys[i]) for i in rows]) // width
+        size[rows] = n
+        step = _whole(np.frombuffer(b"".join([keys[i] for i in rows]), np.uint8).reshape(-1, width))
+        total = np.cumsum(step, dtype=np.uint64)
+        begin = np.cumsum(n) - n
+        parts.append((rows, [total + np.repeat(first[rows] - (total[begin] - step[begin]), n)]))
+        values.append((rows, _Values.unpack(shape[1:], b"".join([known[i] for i in rows]))))
+    (every,) = _gather(size, parts, 1, np.uint64)
+    return size, every, _gather(size, values, len(values[0][1]), np.int64)
+
+
 def answer(
     asked: DataFrame, kind: int, join: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]],
     tally: Callable[[np.ndarray, list[np.ndarray]], int] | None = None,
@@ -130,31 +260,28 @@ def answer(
     keys and their entries, see ``tallied``."""
 
     def run(bucket: pa.Table) -> pa.Table:
-        blocks = bucket.column("block").to_pylist()
-        keys = [unpack_keys(x) for x in bucket.column("keys").to_pylist()]
-        known = [_known(x) for x in bucket.column("known").to_pylist()]
-        every = np.concatenate(keys)
+        blocks, buckets = bucket.column("block").to_pylist(), bucket.column("bucket").to_pylist()
+        size, every, known = _asked(bucket)
         order = np.argsort(every, kind="stable")
         ranked = every[order]
         new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
         starts = np.flatnonzero(new)
-        joined = join([np.concatenate(k)[order] for k in zip(*known, strict=True)], starts)
+        joined = join([k[order] for k in known], starts)
         place = np.empty(len(every), np.int64)
         place[order] = np.cumsum(new) - 1
-        replies, at = [], 0
-        for k in keys:
-            mine = place[at : at + len(k)]
-            at += len(k)
-            parts = [pack_ints(x[mine]) for x in joined]
-            replies.append(struct.pack(f"<B{len(parts)}I", len(parts), *map(len, parts)) + b"".join(parts))
-        buckets = bucket.column("bucket").to_pylist()
+        begin = np.cumsum(size) - size
+        if len(every) >= LONG * len(size):
+            shape, told = b"", _long_values([x[place] for x in joined], begin, begin + size)
+        else:
+            shape, told = _Values.pack([x[place] for x in joined], begin)
+            told = told.to_pylist()
         if tally:
             blocks.append(TALLY)
             buckets.append(buckets[0])
-            replies.append(struct.pack("<q", tally(ranked[starts], joined)))
+            told.append(struct.pack("<q", tally(ranked[starts], joined)))
         return pa.table({
-            "block": pa.array(blocks, pa.int64()), "kind": pa.array([kind] * len(blocks), pa.int32()),
-            "bucket": pa.array(buckets, pa.int32()), "reply": pa.array(replies, pa.binary()),
+            "block": pa.array(blocks, pa.int64()), "kind": pa.array([kind] * len(blocks), pa.int32()), "bucket": pa.array(buckets, pa.int32()),
+            "shape": pa.array([shape] * len(blocks), pa.binary()), "reply": pa.array(told, pa.binary()),
         })
 
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
@@ -169,8 +296,17 @@ def replies(rows: pa.Table, kind: int, n: int, keys: int) -> list[np.ndarray]:
     """A block's replies of a kind, joined in the order of its keys: ``n``
     arrays with an entry for each of ``keys`` keys."""
     mine = rows.filter(pc.equal(rows.column("kind"), kind)).sort_by("bucket")
-    parts = [_known(x) for x in mine.column("reply").to_pylist()]
-    out = [np.concatenate([np.empty(0, np.int64), *[p[i] for p in parts]]) for i in range(n)]
+    shapes, told = mine.column("shape").to_pylist(), mine.column("reply").to_pylist()
+    size, parts = np.zeros(len(told), np.int64), []
+    for shape, at in _by_shape(shapes).items():
+        if shape:
+            size[at] = np.array([len(told[i]) for i in at]) // _Values.entry(shape)
+            parts.append((at, _Values.unpack(shape, b"".join([told[i] for i in at]))))
+        else:
+            found = [_long_known(told[i]) for i in at]
+            size[at] = [len(x[0]) for x in found]
+            parts.append((at, [np.concatenate(x) for x in zip(*found, strict=True)]))
+    out = _gather(size, parts, n, np.int64)
     if any(len(x) != keys for x in out):
         raise ValueError("replies and keys differ in number")
     return out

@@ -200,7 +200,7 @@ def score(
                 grams = open_block(data.as_py())[1]
                 keys, counts = grams.keys, grams.counts()
                 del grams
-                yield ex.request_batch(list(ex.requests(block.as_py(), keys, counts, buckets)))
+                yield ex.requests(block.as_py(), keys, counts, buckets)
                 del keys, counts
                 trim()
 

@@ -1,21 +1,29 @@
-"""Substring dedup by an exchange of phrase hashes.
-
-Every phrase of ``window`` words of every document is looked up among those of
-all documents, in buckets by range of the phrase's hash; an entry holds the
-least document with that phrase. Words inside a phrase that a document with a
-smaller id has are removed. This replaces a relative Lempel-Ziv parse against
-blocks of reference text, for which every document would meet every block; as
-each phrase has its own entry, no passage can hide at a boundary. ``factors``
-reports the runs of phrases found in one earlier document; nothing is removed
-by them.
-
-All phrases of a corpus would be as many as its words. So blocks of documents
-first exchange anchors: the least hash of the short phrases inside a long one.
-Equal long phrases have equal anchors, hence only those whose anchor occurs
-in two documents go to the index.
-
-Phrases are compared by 64-bit hashes of whole words; a false match of two of
-n distinct phrases has a chance of n * n / 2^65.
+"""Substring dedup by relative Lempel-Ziv parsing.
+
+A document is cut greedily into factors, each a passage of reference text as
+long as it goes on, and words inside sufficiently long factors are removed.
+Reference text is all documents with a smaller id; which part of it a document
+must meet is found through an index over all blocks of documents, for every
+document against every block would be quadratic:
+
+* the index has the phrases of ``window`` words of all blocks, in buckets by
+  range of their hash. A phrase's entry is the first place that has it: of the
+  document with the least id, its first. All phrases of a corpus would be as
+  many as its words, so blocks first exchange anchors, the least hash of the
+  short phrases inside a long one; equal long phrases have equal anchors, hence
+  only those whose anchor occurs in two documents are indexed;
+* a factor starts at the first phrase that has an earlier place and runs on
+  while the places of its phrases run on in that reference text. Phrases across
+  the end of a factor are looked up as any other, so the next factor may begin
+  before it, and no passage hides at a boundary;
+* each distinct passage that factors refer to is cut from its block once and
+  sent to the blocks that need it, where factors are compared with it word by
+  word. Only words inside ``window`` or more equal ones in a row are removed, so
+  the hashes decide what is compared and nothing else.
+
+A passage that a third of all documents hold is one entry of the index, is cut
+once, and is sent once to each block of documents; the join that deals it out
+is one that Spark can split.
 
 Defined cases: a null or empty text has no words; a text shorter than the
 window keeps all its words; a row without an id is neither reference nor
@@ -30,13 +38,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import exchange as ex
-from tessera.llm.common import in_blocks, materialise, spans_cover, table, trim, utf8
+from tessera.llm.common import in_blocks, materialise, table, trim, utf8
 
 WINDOW = 50
 BLOCK = 8 << 20  # bytes of text in a block of documents
@@ -53,7 +62,8 @@ OUT = T.StructType([
         T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("source", T.LongType()),
     ]))),
 ])
-ANCHORS, PHRASES = 1, 2
+ANCHORS, PHRASES, PASSAGES = 1, 2, 3
+CUT = "source long, start long, length long, words binary"
 
 
 def phrase_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -109,13 +119,15 @@ class Block:
         return phrase_hashes(self.hashes, self.window)[self.first] if len(self.first) else np.empty(0, np.uint64)
 
 
-def _span(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their least and greatest document."""
+def _span(keys: np.ndarray, ids: np.ndarray, places: bool = False) -> tuple[np.ndarray, ...]:
+    """Distinct keys with their least and greatest document; with ``places``
+    also the first entry that has both the key and the least document."""
     order = np.lexsort((ids, keys))
     ranked, mine = keys[order], ids[order]
     new = np.flatnonzero(np.concatenate((np.ones(min(1, len(ranked)), bool), ranked[1:] != ranked[:-1])))
     last = np.concatenate((new[1:], [len(ranked)])) - 1 if len(new) else new
-    return ranked[new], mine[new], mine[last]
+    found = ranked[new], mine[new], mine[last]
+    return (*found, order[new]) if places else found
 
 
 def dedup_substrings(
@@ -153,7 +165,7 @@ def dedup_substrings(
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, keys, low, high in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                yield ex.request_batch(list(ex.requests(block, ex.unpack_keys(keys), [ex.unpack_ints(low), ex.unpack_ints(high)], few)))
+                yield ex.requests(block, ex.unpack_keys(keys), [ex.unpack_ints(low), ex.unpack_ints(high)], few)
 
     def shared(known: list[np.ndarray], new: np.ndarray) -> list[np.ndarray]:
         return [(np.minimum.reduceat(known[0], new) < np.maximum.reduceat(known[1], new)).astype(np.int64)]
@@ -174,66 +186,144 @@ def dedup_substrings(
 
     def ask_phrases(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.Table.from_batches([ex.request_batch([])])
+            return pa.Table.from_batches([ex.no_requests()])
         number, block, places, phrases, _ = opened(left, right)
-        keys, low, _ = _span(phrases, block.doc_id[places])
-        return pa.Table.from_batches([ex.request_batch(list(ex.requests(number, keys, [low], many)))])
+        keys, low, _, at = _span(phrases, block.doc_id[places], places=True)
+        known = [low, np.full(len(keys), number), block.first[places][at]]
+        return pa.Table.from_batches([ex.requests(number, keys, known, many)])
 
-    def least(known: list[np.ndarray], new: np.ndarray) -> list[np.ndarray]:
-        return [np.minimum.reduceat(known[0], new)]
+    def earliest(known: list[np.ndarray], new: np.ndarray) -> list[np.ndarray]:
+        """Of each phrase the least document, its block and place in that."""
+        group = np.repeat(np.arange(len(new)), np.diff(np.concatenate((new, [len(known[0])]))))
+        order = np.lexsort((known[2], known[1], known[0], group))[new]
+        return [x[order] for x in known]
 
     bodies = blocks.select("block", "rows")
-    told = told.union(materialise(ex.answer(ex.per_block(bodies, told, ask_phrases, ex.REQUEST), PHRASES, least), "phrase-replies"))
+    anchored = told
+    found = materialise(ex.answer(ex.per_block(bodies, anchored, ask_phrases, ex.REQUEST), PHRASES, earliest), "phrase-replies")
+    both = anchored.union(found)
+
+    def factor(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A block's factors: where they start in it, their words, and the
+        block and place they are to be compared with."""
+        rows = np.empty((0, 6), np.int64)
+        if left.num_rows:
+            number, block, places, phrases, keys = opened(left, right)
+            low, source, place = ex.replies(right, PHRASES, 3, len(keys))
+            if len(keys):
+                spot = np.searchsorted(keys, phrases)
+                held = low[spot] < block.doc_id[places]
+                here, doc = block.first[places][held], block.doc[places][held]
+                start, length, entry = factors(here, doc, source[spot][held], place[spot][held], window)
+                rows = np.column_stack([np.full(len(start), number), start, length, *(x[spot][held][entry] for x in (source, place, low))])
+        return pa.table({n: pa.array(rows[:, i]) for i, n in enumerate(("block", "at", "length", "source", "start", "doc"))})
+
+    parsed = materialise(ex.per_block(bodies, both, factor, "block long, at long, length long, source long, start long, doc long"), "factors")
+    asked = parsed.select("block", "source", "start", "length").distinct()
+    wanted = materialise(asked.select("source", "start", "length").distinct(), "passages")
+
+    def cut_passages(left: pa.Table, right: pa.Table) -> pa.Table:
+        starts, lengths = (right.column(c).to_numpy() for c in ("start", "length"))
+        out = []
+        if left.num_rows and right.num_rows:
+            texts = utf8(unpack_one(left, "rows").column(text_at))
+            edge, cuts = 0, iter(np.argsort(starts, kind="stable").tolist())
+            mine = next(cuts, None)
+            for text in texts:
+                words = text.split()
+                while mine is not None and starts[mine] < edge + len(words):
+                    a = int(starts[mine]) - edge
+                    out.append((mine, b" ".join(words[a : a + int(lengths[mine])])))
+                    mine = next(cuts, None)
+                edge += len(words)
+        which = pa.array([i for i, _ in out], pa.int64())
+        packer = zstandard.ZstdCompressor(level=1)
+        cols = [right.column(c).take(which).combine_chunks() for c in ("source", "start", "length")]
+        return pa.table([*cols, pa.array([packer.compress(w) for _, w in out], pa.binary())], names=["source", "start", "length", "words"])
+
+    by_source = bodies.withColumnRenamed("block", "source").groupBy("source").cogroup(wanted.groupBy("source"))
+    passages = materialise(by_source.applyInArrow(cut_passages, CUT), "passage-words")
+    sent = materialise(asked.join(passages, ["source", "start", "length"]), "passages-sent")
 
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("out", OUT)])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
+    # Factors and the passages they are compared with, as one table beside the blocks.
+    none = F.lit(None)
+    evidence = parsed.select("block", "source", "start", "length", "at", "doc", none.cast("binary").alias("words")).union(
+        sent.select("block", "source", "start", "length", none.cast("long"), none.cast("long"), "words")
+    )
 
     def parse(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return arrow.empty_table()
-        _, block, places, phrases, keys = opened(left, right)
-        (low,) = ex.replies(right, PHRASES, 1, len(keys))
-        source = np.zeros(len(block.first), np.int64)
-        held = np.zeros(len(block.first), bool)
-        if len(keys):
-            source[places] = low[np.searchsorted(keys, phrases)]
-            held[places] = source[places] < block.doc_id[places]
-        out = []
-        for d, raw in enumerate(utf8(block.rows.column(text_at))):
-            a, z = int(block.cut[d]), int(block.cut[d + 1])
+        rows = unpack_one(left, "rows")
+        opener = zstandard.ZstdDecompressor()
+        passage, mine = {}, []
+        for source, start, length, at, doc, words in zip(*[right.column(c).to_pylist() for c in ("source", "start", "length", "at", "doc", "words")], strict=True):
+            if words is None:
+                mine.append((at, (source, start, length), doc))
+            else:
+                passage[source, start, length] = words
+        mine.sort()
+        out, edge, k = [], 0, 0
+        for raw in utf8(rows.column(text_at)):
             words = raw.split()
-            spans = factors(held[a:z], source[a:z], window) if held[a:z].any() else []
+            spans = []
+            while k < len(mine) and mine[k][0] < edge + len(words):
+                at, named, doc = mine[k]
+                reference = opener.decompress(passage[named]).split(b" ")
+                spans += [(x, n, doc) for x, n in equal_runs(words, at - edge, reference, window)]
+                k += 1
+            edge += len(words)
             kept = words
             if spans:
-                gone = spans_cover(len(words), np.flatnonzero(held[a:z]), window)
-                kept = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
+                gone = np.zeros(len(words) + 1, np.int32)
+                np.add.at(gone, [x for x, *_ in spans], 1)
+                np.add.at(gone, [x + n for x, n, *_ in spans], -1)
+                kept = [w for w, x in zip(words, (np.cumsum(gone[:-1]) > 0).tolist(), strict=True) if not x]
             line = b" ".join(kept)
             out.append({
                 "n_words": len(words), "n_removed": len(words) - len(kept), "kept_sha256": hashlib.sha256(line).hexdigest(),
                 "kept_text": (line if spans else raw).decode() if with_text else None,
                 "factors": [{"start": x, "length": n, "source": s} for x, n, s in spans] if with_factors else None,
             })
-        row = pa.StructArray.from_arrays([block.rows.column(i).cast(f.type) for i, f in enumerate(arrow.field("row").type)], fields=list(arrow.field("row").type))
+        row = pa.StructArray.from_arrays([rows.column(i).cast(f.type) for i, f in enumerate(arrow.field("row").type)], fields=list(arrow.field("row").type))
         return pa.table([row, pa.array(out, arrow.field("out").type)], schema=arrow)
 
-    return ex.per_block(bodies, told, parse, schema)
+    return ex.per_block(bodies, evidence, parse, schema)
 
 
 def unpack_one(blocks: pa.Table, column: str) -> pa.RecordBatch:
     return ex.unpack_rows(blocks.column(column)[0].as_py())
 
 
-def factors(held: np.ndarray, source: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors of at least ``window`` words: start, words, source. A
-    factor runs while its phrases are held by one source."""
-    edge = np.flatnonzero(np.concatenate(([True], (held[1:] != held[:-1]) | (source[1:] != source[:-1]), [True])))
-    return [
-        (int(a), int(z - a) + window - 1, int(source[a]))
-        for a, z in zip(edge[:-1], edge[1:], strict=True)
-        if held[a]
-    ]
+def factors(here: np.ndarray, doc: np.ndarray, source: np.ndarray, place: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Greedy factors over the phrases (first words ``here``, ascending) that
+    have an earlier place: start and words of each, and its first phrase. A
+    factor goes on while the next phrase begins a word later in the document
+    and in the reference text."""
+    if not len(here):
+        return here, here, here
+    more = (here[1:] == here[:-1] + 1) & (doc[1:] == doc[:-1]) & (source[1:] == source[:-1]) & (place[1:] == place[:-1] + 1)
+    first = np.flatnonzero(np.concatenate(([True], ~more)))
+    last = np.concatenate((first[1:], [len(here)])) - 1
+    return here[first], here[last] - here[first] + window, first
+
+
+def equal_runs(words: list[bytes], at: int, passage: list[bytes], window: int) -> list[tuple[int, int]]:
+    """Runs of at least ``window`` words from ``at`` on that equal the
+    passage's: start and words."""
+    if words[at : at + len(passage)] == passage:
+        return [(at, len(passage))]
+    out, begin = [], at
+    for i, word in enumerate([*passage, None], at):
+        if i >= len(words) or words[i] != word:
+            if i - begin >= window:
+                out.append((begin, i - begin))
+            begin = i + 1
+    return out
 
 
 def without_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 
 from tessera.llm import exchange as ex
-from tessera.llm.substrings import WINDOW, Block, dedup_substrings, phrase_hashes, without_duplicates
+from tessera.llm import substrings
+from tessera.llm.substrings import WINDOW, Block, dedup_substrings, equal_runs, factors, phrase_hashes, without_duplicates
 
 
 def plain(rows, window):
@@ -72,6 +73,26 @@ def test_factors_name_their_source(spark, make_docs, shared_rows):
     assert of[2]["factors"] == []
 
 
+def test_factors_are_greedy_and_may_overlap():
+    """Phrases 3 to 5 lie in one text in a row, 6 in another, 9 elsewhere."""
+    here, doc = np.array([3, 4, 5, 6, 9]), np.zeros(5, int)
+    start, length, first = factors(here, doc, np.array([7, 7, 7, 8, 8]), np.array([10, 11, 12, 40, 43]), 4)
+    assert start.tolist() == [3, 6, 9] and length.tolist() == [6, 4, 4] and first.tolist() == [0, 3, 4]
+
+
+def test_words_decide_and_not_hashes():
+    words = b"a b c d e f g h".split()
+    assert equal_runs(words, 1, b"b c d e".split(), 2) == [(1, 4)]
+    assert equal_runs(words, 1, b"b c X e f g".split(), 2) == [(1, 2), (4, 3)]
+    assert equal_runs(words, 1, b"b X d X f".split(), 2) == []
+
+
+def test_removal_comes_from_the_factors(spark, make_docs, shared_rows, monkeypatch):
+    """Without factors nothing is removed; with words that differ neither."""
+    monkeypatch.setattr(substrings, "factors", lambda here, *rest: (here[:0],) * 3)
+    assert {r["out"]["n_removed"] for r in dedup_substrings(make_docs(shared_rows)).collect()} == {0}
+
+
 def test_empty(spark, make_docs):
     assert dedup_substrings(make_docs([])).collect() == []
 
@@ -99,5 +120,5 @@ def test_anchors_are_even_over_the_buckets():
     text = " ".join(f"word{i}" for i in range(40_000))
     rows = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])
     keys = np.unique(Block(rows, 0, 1, WINDOW).anchors())
-    sizes = np.diff(ex.bounds(keys, 8))
+    sizes = np.bincount((keys // np.uint64(ex._span(8))).astype(int))
     assert sizes.max() < 1.3 * sizes.mean()
