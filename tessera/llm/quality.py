@@ -30,7 +30,6 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +61,9 @@ OUT = T.StructType([
     T.StructField("keep", T.BooleanType()),
 ])
 
-_WORD = re.compile(r"[^\W\d_]+")
-_MARKS = re.compile(r"[^\w\s]+")
+# Words are runs of letters and of bytes beyond ASCII, marks runs of other visible ASCII characters.
+_LETTERS = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
+_VISIBLE = bytes(0x20 if c <= 0x20 or c >= 0x7F or chr(c).isalnum() or c == 0x5F else c for c in range(256))
 _BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _STEMS = (4, 5)
@@ -79,16 +79,17 @@ def _number(name: str, bits: int) -> int:
 
 
 class _Remembered(dict):
-    """Feature numbers of a word; made at the first question, and forgotten
-    when there are too many."""
+    """Feature numbers of a word as bytes; made at the first question, and
+    forgotten when there are too many."""
 
     def __init__(self, names: Callable[[str], list[str]]):
         self.names = names
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CAPACITY:
             self.clear()
-        found = self[word] = tuple(_number(x, TEXT_BITS) for x in self.names(word))
+        numbers = [_number(x, TEXT_BITS) for x in self.names(word.decode("utf-8", "surrogatepass"))]
+        found = self[word] = np.array(numbers, "<i4").tobytes()
         return found
 
 
@@ -96,29 +97,38 @@ _OF_WORD = _Remembered(lambda w: [f"w {w}", *(f"b {w[:n]}" for n in _STEMS if le
 _OF_MARK = _Remembered(lambda m: [f"m {m[:8]}"])
 
 
+def marks_of(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").translate(_VISIBLE).split()
+
+
 def _capitals(text: str) -> int:
     plain = text.encode("ascii", "ignore")
     n = len(plain) - len(plain.translate(None, _CAPITALS))
     return n + sum(map(str.isupper, "".join(_BEYOND_ASCII.findall(text)))) if len(plain) < len(text) else n
 
 
-def text_features(text: str, marks: list[str] | None = None) -> np.ndarray:
+def _distinct(numbers: bytes) -> np.ndarray:
+    """Distinct numbers, ascending."""
+    row = np.sort(np.frombuffer(numbers, "<i4"))
+    return row[np.concatenate((np.ones(min(1, len(row)), bool), row[1:] != row[:-1]))]
+
+
+def text_features(text: str, marks: list[bytes] | None = None) -> np.ndarray:
     """Hashed features of the text view; ``marks`` if they are known."""
-    words = _WORD.findall(text.lower())
+    words = text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()
     distinct = set(words)
-    numbers = list(chain.from_iterable(map(_OF_WORD.__getitem__, distinct)))
-    numbers += chain.from_iterable(map(_OF_MARK.__getitem__, set(_MARKS.findall(text) if marks is None else marks)))
+    numbers = [*map(_OF_WORD.__getitem__, distinct), *map(_OF_MARK.__getitem__, set(marks_of(text) if marks is None else marks))]
     if words:
         names = (
             f"varied {_bucket(len(distinct) / len(words))} {min(10, len(words).bit_length())}",
             f"loud {_bucket(_capitals(text) / len(text))}",
-            f"long {min(30, len(''.join(words)) // len(words))}",
+            f"long {min(30, len(b''.join(words)) // len(words))}",
         )
-        numbers += [_number(x, TEXT_BITS) for x in names]
-    return np.unique(np.array(numbers, np.int32))
+        numbers.append(np.array([_number(x, TEXT_BITS) for x in names], "<i4").tobytes())
+    return _distinct(b"".join(numbers))
 
 
-def meta_features(text: str, lang: str | None, source: str | None, n_chars: int | None, marks: list[str] | None = None) -> np.ndarray:
+def meta_features(text: str, lang: str | None, source: str | None, n_chars: int | None, marks: list[bytes] | None = None) -> np.ndarray:
     """Hashed features of the metadata view."""
     lines = text.split("\n")
     n = max(1, len(text))
@@ -126,11 +136,11 @@ def meta_features(text: str, lang: str | None, source: str | None, n_chars: int
         f"lang {lang}", f"source {source}", f"chars {None if n_chars is None else int(n_chars).bit_length()}",
         f"lines {len(lines).bit_length()}", f"width {(n // len(lines)).bit_length()}",
         f"repeated {_bucket(1 - len(set(lines)) / len(lines))}",
-        f"marks {_bucket(2 * len(''.join(_MARKS.findall(text) if marks is None else marks)) / n)}",
+        f"marks {_bucket(2 * len(b''.join(marks_of(text) if marks is None else marks)) / n)}",
         f"bars {_bucket(10 * text.count('|') / n)}",
         f"blanks {_bucket(text.count(' ') / n)}",
     ]
-    return np.unique(np.array([_number(x, META_BITS) for x in names], np.int32))
+    return _distinct(np.array([_number(x, META_BITS) for x in names], "<i4").tobytes())
 
 
 #: Sparse rows: an array of distinct feature numbers each.
@@ -344,7 +354,7 @@ def _features(rows: pa.StructArray, at: dict[str, int | None]) -> tuple[list[np.
         return [None] * len(rows) if at[name] is None else rows.field(at[name]).to_pylist()
 
     texts = [x or "" for x in column("text")]
-    marks = [_MARKS.findall(x) for x in texts]
+    marks = [marks_of(x) for x in texts]
     meta = [meta_features(*x) for x in zip(texts, column("lang"), column("source"), column("n_chars"), marks, strict=True)]
     return [text_features(*x) for x in zip(texts, marks, strict=True)], meta
 
