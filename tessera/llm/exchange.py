@@ -40,11 +40,19 @@ REPLY = "block long, kind int, bucket int, shape binary, reply binary"
 _REQUEST = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("shape", pa.binary()), ("keys", pa.binary()), ("known", pa.binary())])
 
 
+def _plain(column: pa.Array) -> pa.Array:
+    """A string column without nulls, large and not a slice."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if column.offset:  # Arrow lower-cases slices of large strings wrongly
+        column = pa.concat_arrays([column, column.slice(0, 0)])
+    return column
+
+
 def split_words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """ASCII white-space words of a string column, end to end: a number for
     each word, where each row's words start (and the last end), and the
     words that the numbers stand for. Null has no words."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = _plain(column)
     split = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
     coded = split.flatten().dictionary_encode()
     number, offsets = coded.indices.to_numpy().astype(np.int64), split.offsets.to_numpy().astype(np.int64)
@@ -56,6 +64,22 @@ def split_words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.n
     return number, offsets, coded.dictionary
 
 
+def count_words(column: pa.Array) -> np.ndarray:
+    """How many ASCII white-space words each row has."""
+    column = _plain(column)
+    if not len(column):
+        return np.empty(0, np.int64)
+    _, offsets, data = column.buffers()
+    edge = np.frombuffer(offsets, np.int64)[: len(column) + 1]
+    text = np.frombuffer(data, np.uint8)[edge[0] : edge[-1]] if data is not None else np.empty(0, np.uint8)
+    blank = (text == 0x20) | ((text >= 0x09) & (text <= 0x0D))
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    first = (edge[:-1] - edge[0])[np.diff(edge) > 0]  # words do not run across rows
+    begins[first] = ~blank[first]
+    return np.diff(np.concatenate(([0], np.cumsum(begins)))[edge - edge[0]])
+
+
 def word_hashes(words: pa.Array) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(x) for x in words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))

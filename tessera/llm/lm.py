@@ -27,6 +27,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -48,13 +49,18 @@ _START, _END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"start of text",
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def folds(ids: pa.Array) -> np.ndarray:
+    """Fold of each id, by the hash of its text."""
+    return np.array([zlib.crc32(b"" if x is None else str(x).encode()) % FOLDS for x in ids.to_pylist()], np.int64)
+
+
 class Grams:
     """N-grams of all orders of a block's documents. A document is ``order -
     1`` start marks, its words and an end mark, all documents end to end."""
 
     def __init__(self, ids: pa.Array, texts: pa.Array, order: int):
         number, offsets, words = ex.split_words(texts, lower=True)
-        fold = np.array([zlib.crc32(b"" if x is None else str(x).encode()) % FOLDS for x in ids.to_pylist()], np.int64)
+        fold = folds(ids)
         self.held_out, self.order = fold == HELD_OUT, order
         self.tokens = np.diff(offsets) + 1
         size = self.tokens + order - 1
@@ -89,7 +95,14 @@ class Grams:
         self._there = np.concatenate([np.flatnonzero(a >= 0) for a in self.at])
         every = np.concatenate(keys)
         del keys
-        self.keys, self.inverse = np.unique(every, return_inverse=True)
+        # Distinct keys by hash; only these are sorted.
+        code, distinct = pd.factorize(every)
+        del every
+        rank = np.argsort(distinct)
+        self.keys = distinct[rank]
+        place = np.empty(len(rank), np.int64)
+        place[rank] = np.arange(len(rank))
+        self.inverse = place[code]
         self._train, self._deleted = train, deleted
 
     def counts(self) -> list[np.ndarray]:
@@ -173,17 +186,14 @@ def score(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for i, batch in enumerate(in_blocks(batches, BLOCK)):
-            grams = Grams(batch.column(0), batch.column(1), 1)
-            tokens = grams.tokens
+            fold, tokens = folds(batch.column(0)), ex.count_words(batch.column(1)) + 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([(part << 32) + i]), pa.array([int(tokens.sum())]), pa.array([int(tokens[~grams.held_out].sum())]),
-                    pa.array([int(grams.deleted.sum())]), pa.array([ex.pack_rows(batch)], pa.binary()),
+                    pa.array([(part << 32) + i]), pa.array([int(tokens.sum())]), pa.array([int(tokens[fold != HELD_OUT].sum())]),
+                    pa.array([int(tokens[fold == DELETED].sum())]), pa.array([ex.pack_rows(batch)], pa.binary()),
                 ],
                 ["block", "tokens", "train", "deleted", "rows"],
             )
-            del batch, grams
-            trim()
 
     blocks = materialise(rows.mapInArrow(cut, "block long, tokens long, train long, deleted long, rows binary"), "lm-blocks")
     tokens, train, deleted = ex.total(blocks, "tokens", "train", "deleted")

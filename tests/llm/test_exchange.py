@@ -59,3 +59,18 @@ def test_cost_follows_keys():
         took[buckets] = time.process_time() - start
         assert made.nbytes < 60 * len(keys)
     assert took[100_000] < 1 and took[10_000_000] < 3  # a fraction of that on a free machine
+
+
+def test_words_of_a_slice():
+    """Arrow 23 misreads slices of strings that were made large."""
+    texts = [f"Ab{i} É {'x' * (i % 50)} Cd\n{i}" for i in range(4000)] + [None, ""]
+    whole = pa.array(texts)
+    for at, n in ((0, 10), (500, 500), (3990, 12)):
+        number, offsets, words = ex.split_words(whole.slice(at, n), lower=True)
+        words = words.to_pylist()
+        got = [[words[x] for x in number[a:z]] for a, z in zip(offsets, offsets[1:], strict=False)]
+        assert got == [[w.replace("A", "a").replace("C", "c") for w in (t or "").split()] for t in texts[at : at + n]]
+        assert ex.count_words(whole.slice(at, n)).tolist() == [len((t or "").split()) for t in texts[at : at + n]]
+    odd = ["a", "", "b c", None, " d ", "\t\n", "e", "\x0bf\x1cg h"]
+    assert ex.count_words(pa.array(odd)).tolist() == [len((t or "").encode().split()) for t in odd]
+    assert ex.count_words(pa.array([], pa.string())).tolist() == [] and ex.count_words(pa.array([None], pa.string())).tolist() == [0]
