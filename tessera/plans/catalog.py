@@ -29,6 +29,7 @@ from tessera.plans.stored import stored
 from tessera.session import checkpoint_dir
 from tessera.sources import fixtures as fx
 from tessera.sources import parsers as ps
+from tessera.sources.gzip_lines import read_gzip_lines
 from tessera.sources.logstore import read_days, store_days
 from tessera.sources.tables import Tables
 from tessera.sources.text import document_lines, numbered_lines, read_file_lines, read_text_lines
@@ -201,6 +202,14 @@ def _read_text_lines(c: Ctx) -> DataFrame:
     return read_text_lines(c.spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("read_gzip_lines", o.with_([o.CLF_LINES], """SELECT value, count(*) AS n FROM clf_lines GROUP BY value"""))
+def _read_gzip_lines(c: Ctx) -> DataFrame:
+    # The log written as gzip files into the shared folder, read by ranges of 64 kB.
+    path = f"{checkpoint_dir(c.spark).rstrip('/')}/log-{uuid.uuid4().hex[:12]}"
+    c.clf.select("value").write.option("compression", "gzip").text(path)
+    return read_gzip_lines(c.spark, path, 1 << 16).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("load_stopwords", o.with_([o.DOC_LINES], """SELECT DISTINCT trim(w, ' ') AS token FROM (
   SELECT unnest(string_split(line, ' ')) AS w FROM doc_lines) WHERE trim(w, ' ') <> ''"""))
 def _load_stopwords(c: Ctx) -> DataFrame:
