@@ -92,7 +92,7 @@ def test_contraction(spark, shape):
     import random
 
     rng = random.Random(shape)
-    n = 400
+    n = 150
     up = {0: None} | {i: {"chain": i - 1, "star": 0, "mixed": rng.choice([i - 1, i - 1, i - 1, rng.randrange(i)])}[shape] for i in range(1, n)}
     up |= {n: None}  # another tree
     kids = {i: sum(p == i for p in up.values()) for i in up}
