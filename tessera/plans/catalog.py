@@ -860,8 +860,9 @@ def _similarity_join(c: Ctx) -> DataFrame:
   FROM u_{s} u JOIN idf i ON u.token = i.token)""" for s in "ab"), """met AS (SELECT DISTINCT threshold, a.id AS a_id, b.id AS b_id
   FROM rest_a a JOIN rest_b b ON a.token = b.token JOIN levels
   ON a.rest >= threshold - 1e-9 AND b.rest >= threshold - 1e-9 AND a.rest * b.rest >= threshold - 1e-9)"""],
-    """SELECT m.threshold, count(*) AS candidates, count(*) FILTER (WHERE s.similarity >= m.threshold) AS pairs
-  FROM met m JOIN sims s ON m.a_id = s.a_id AND m.b_id = s.b_id GROUP BY m.threshold"""))
+    """SELECT l.threshold, count(m.a_id) AS candidates, count(*) FILTER (WHERE s.similarity >= l.threshold) AS pairs
+  FROM levels l LEFT JOIN met m ON m.threshold = l.threshold LEFT JOIN sims s ON m.a_id = s.a_id AND m.b_id = s.b_id
+  GROUP BY l.threshold"""))
 def _similarity_join_report(c: Ctx) -> DataFrame:
     return sm.threshold_report(*c.stored_weights, THRESHOLDS)
 
