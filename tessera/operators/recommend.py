@@ -277,10 +277,12 @@ def recommend_for_user(
     train = ratings if my_ratings is None else add_ratings(ratings, my_ratings)
     model = train_als(dense(train, ids), rank, iterations, reg, seed)
     known = item_counts(train).where(F.col("n_ratings") > min_ratings)
-    candidates = unrated_items(train, movies, user_id).join(known, "item_id")
+    candidates = unrated_items(train, movies, user_id).select("item_id").join(known, "item_id")
+    # One user for all: as a scalar, for a join on a constant is a join without a key.
+    user = model.ids.users.where(F.col("user_id") == user_id).select("user").scalar()
+    asked = candidates.join(model.ids.items, "item_id").withColumn("user", user).where(F.col("user").isNotNull())
     found = (
-        predict_pairs(model, candidates)
-        .join(known, "item_id")
+        model.model.transform(asked).select("item_id", "n_ratings", "prediction")
         .join(movies.select("item_id", "title"), "item_id")
         .select("item_id", "title", "n_ratings", "prediction")
     )
