@@ -113,12 +113,19 @@ class Ctx:
         return stored(self.w_a, "weights-a"), stored(self.w_b, "weights-b")
 
     @cached_property
-    def blocks(self) -> tuple[int, int] | None:
-        return sm.pair_blocks(self.idf, self.a, self.b)
+    def paired(self) -> tuple[DataFrame, DataFrame, tuple[int, int] | None]:
+        """Weights of both sides, and the shape of a block join of all their
+        pairs. The shape is measured before the join, so tokens are stored
+        and each record is tokenized once."""
+        tok_a, tok_b = (stored(sm.record_tokens(x), "tokens").repartition("id") for x in (self.a, self.b))
+        idf = sm.inverse_document_frequency([tok_a, tok_b])
+        blocks = sm.pair_blocks(idf, self.a, self.b)
+        return sm.tfidf(sm.term_frequency_of(tok_a), idf), sm.tfidf(sm.term_frequency_of(tok_b), idf), blocks
 
     @cached_property
     def sims(self) -> DataFrame:
-        return sm.similarities(self.w_a, self.w_b, blocks=self.blocks)
+        w_a, w_b, blocks = self.paired
+        return sm.similarities(w_a, w_b, blocks=blocks)
 
     @cached_property
     def gold(self) -> DataFrame:
@@ -810,7 +817,8 @@ def _vector_norms(c: Ctx) -> DataFrame:
 @query("dot_product", o.with_(o.ER[:4], """SELECT a.id AS a_id, b.id AS b_id, round(sum(a.weight * b.weight), 6) AS dot
   FROM w_a a JOIN w_b b ON a.token = b.token GROUP BY a.id, b.id"""))
 def _dot_product(c: Ctx) -> DataFrame:
-    return sm.dot_products(c.w_a, c.w_b, blocks=c.blocks).withColumn("dot", r6("dot"))
+    w_a, w_b, blocks = c.paired
+    return sm.dot_products(w_a, w_b, blocks=blocks).withColumn("dot", r6("dot"))
 
 
 @query("cosine_similarity", o.with_(o.ER_GOLD, """SELECT g.a_id, g.b_id,
@@ -834,7 +842,8 @@ def _inverted_index(c: Ctx) -> DataFrame:
 @query("common_tokens", o.with_(o.ER[:2], """SELECT a.id AS a_id, b.id AS b_id, list_sort(list(a.token)) AS tokens
   FROM tf_a a JOIN tf_b b ON a.token = b.token GROUP BY a.id, b.id"""))
 def _common_tokens(c: Ctx) -> DataFrame:
-    return sm.common_tokens(c.w_a, c.w_b, blocks=c.blocks)
+    w_a, w_b, blocks = c.paired
+    return sm.common_tokens(w_a, w_b, blocks=blocks)
 
 
 @query("scalable_similarity", o.with_(o.ER, "SELECT a_id, b_id, round(similarity, 6) AS similarity FROM sims"))
