@@ -90,8 +90,22 @@ def split_sizes(ratings: DataFrame) -> DataFrame:
 
 
 def random_split(ratings: DataFrame, weights: Sequence[float] = (6, 2, 2), seed: int = 0) -> list[DataFrame]:
-    """Random split with the given weights (Spark's ``randomSplit``)."""
-    return ratings.randomSplit([float(w) for w in weights], seed)
+    """Random split with the given weights: every row draws once, and a part
+    has the draws of its range.
+
+    Rows are stored with their draws, so the parts neither overlap nor miss a
+    row whatever is computed anew, and none of them is sorted for it (Spark's
+    ``randomSplit`` makes and sorts all rows once for each part).
+    """
+    if not weights or min(weights) < 0 or sum(weights) <= 0:
+        raise ValueError("weights must not be negative, and one must be above 0")
+    drawn = stored(ratings.withColumn("_draw", F.rand(seed)), "draws")
+    ends = [sum(weights[: i + 1]) / sum(weights) for i in range(len(weights))]
+    draw = F.col("_draw")
+    part = F.lit(max(i for i, w in enumerate(weights) if w > 0))  # whatever the last end is rounded to
+    for i in reversed(range(len(weights))):
+        part = F.when(draw < ends[i], F.lit(i)).otherwise(part)
+    return [drawn.where(part == i).drop("_draw") for i in range(len(weights))]
 
 
 def rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:

@@ -135,3 +135,17 @@ def test_stable_sort_breaks_ties_by_id(spark):
     rows = [(1.0, "a", i) for i in (3, 1, 2)]
     got = basic.stable_sort(spark.createDataFrame(rows, "k double, v string, id int"), "k", "v", ids=["id"]).collect()
     assert [r.id for r in got] == [1, 2, 3]
+
+
+def test_random_split_deals_every_row_once_and_sorts_nothing(spark):
+    rows = [(i % 50, i % 7, float(i % 3)) for i in range(600)] + [(None, None, None)] * 30
+    ratings = spark.createDataFrame(rows, SCHEMA_A).repartition(3)
+    parts = rc.random_split(ratings, (6, 2, 2), seed=3)
+    order = lambda r: [(x is not None, x) for x in r]
+    got = [[tuple(r) for r in p.collect()] for p in parts]
+    assert sorted((r for p in got for r in p), key=order) == sorted(rows, key=order)
+    assert len(got[0]) > len(got[1]) + len(got[2]) > 150 and parts[0].columns == ratings.columns
+    assert all("Sort" not in p._jdf.queryExecution().executedPlan().toString() for p in parts)
+    assert [p.count() for p in rc.random_split(ratings, (0, 1, 0))] == [0, 630, 0]
+    with pytest.raises(ValueError, match="negative"):
+        rc.random_split(ratings, (1, -1))
