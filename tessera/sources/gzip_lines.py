@@ -27,6 +27,9 @@ from tessera.plans.stored import stored
 SPLIT_BYTES = 64 << 20
 READ_BYTES = 1 << 20
 
+# Tasks that read ranges, at most; with more ranges a task reads several, one after the other.
+MOST_TASKS = 256
+
 # The first bytes of a gzip member (deflate), and the flag bits that must be zero.
 MAGIC = b"\x1f\x8b\x08"
 RESERVED = 0xE0
@@ -120,8 +123,11 @@ def read_gzip_lines(spark: SparkSession, path: str | list[str], split_bytes: int
     files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"))  # contents are not read
     ranges = files.where("size > 0").withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(split_bytes).cast("bigint"))))
     ranges = ranges.withColumn("end", F.col("start") + split_bytes)
-    cut = stored(ranges.repartition("path", "start").mapInArrow(_cut, _PIECES), "gzip-lines")
-    whole = cut.where("closed AND place > 0").select("text")
+    # A task for each range, by a number of its own: as rows ranges are so small that Spark would put all into one task.
+    n = files.agg(F.sum(F.ceil(F.col("size") / F.lit(split_bytes)))).first()[0] or 1
+    cut = stored(ranges.repartition(min(n, MOST_TASKS), "path", "start").mapInArrow(_cut, _PIECES), "gzip-lines")
+    # Dealt out anew: a split of the stored lines holds far more text than its bytes tell.
+    whole = cut.where("closed AND place > 0").repartition("start", "place").select("text")
     edges = cut.where("NOT closed OR place = 0")
     # A line's number within the file's edges: how many line feeds are before it.
     in_file = Window.partitionBy("file").orderBy("start", "place")

@@ -2,10 +2,13 @@
 
 import gzip
 import random
+import re
 import zlib
+from pathlib import Path
 
 import pytest
 
+from tessera.session import checkpoint_dir
 from tessera.sources.gzip_lines import MAGIC, read_gzip_lines
 
 
@@ -41,6 +44,17 @@ def test_a_file_is_read_by_several_tasks(spark, tmp_path):
     assert cut == size
 
 
+def test_ranges_are_dealt_to_tasks(spark, tmp_path):
+    for f in range(4):
+        (tmp_path / f"{f}.gz").write_bytes(gzip.compress(b"".join(b"line %d\n" % (f * 1000 + i) for i in range(1000))))
+    shared = Path(re.sub("^file:/*", "/", checkpoint_dir(spark)))
+    before = set(shared.glob("gzip-lines-*"))
+    got = read_gzip_lines(spark, str(tmp_path), 1000)
+    assert sorted(r.value for r in got.collect()) == sorted(f"line {i}" for i in range(4000))
+    (cut,) = set(shared.glob("gzip-lines-*")) - before
+    assert len(list(cut.glob("part-*"))) > 2  # one task read all ranges before
+
+
 def test_a_damaged_file_is_an_error(spark, tmp_path):
     whole = gzip.compress(b"some text\n" * 100)
     (tmp_path / "cut.gz").write_bytes(whole[:-9])
