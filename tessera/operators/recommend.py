@@ -26,6 +26,14 @@ ALS_REG = 0.1
 ALS_SEED = 5
 RANKS = (4, 8, 12)
 
+# ALS sends a copy of nearly every factor to every block of the other side, in
+# each iteration. So there are as few blocks as hold these many ratings each.
+LEAST_BLOCKS = 3
+RATINGS_PER_BLOCK = 50_000_000
+
+# Fits that run side by side; each holds its ratings in memory.
+FITS_AT_ONCE = 2
+
 
 def count_and_average(ratings: DataFrame) -> DataFrame:
     """(item_id, n_ratings, avg_rating)."""
@@ -121,9 +129,10 @@ def rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
     return p.join(r, keys).agg(F.sqrt(F.avg(squared_error("prediction", "rating"))).alias("rmse"))
 
 
-def als(rank: int, iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED) -> ALS:
+def als(rank: int, iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED,
+        blocks: int = LEAST_BLOCKS) -> ALS:
     return ALS(
-        rank=rank, maxIter=iterations, regParam=reg, seed=seed,
+        rank=rank, maxIter=iterations, regParam=reg, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="user", itemCol="item", ratingCol="rating",
         coldStartStrategy="drop", nonnegative=False,
     )
@@ -155,16 +164,19 @@ def dictionary(ratings: DataFrame) -> Dictionary:
 
 @dataclass(frozen=True)
 class DenseRatings:
-    """Stored (user, item, rating) with the ids they stand for."""
+    """Stored (user, item, rating) with the ids they stand for, and the
+    blocks of users and of items a fit cuts them into."""
 
     rows: DataFrame
     ids: Dictionary
+    blocks: int = LEAST_BLOCKS
 
 
 def dense(ratings: DataFrame, ids: Dictionary | None = None) -> DenseRatings:
     """``ratings`` in dense ids, stored for the fits that read them."""
     ids = ids or dictionary(ratings)
-    return DenseRatings(stored(ids.coded(ratings).select("user", "item", "rating"), "ratings"), ids)
+    rows = stored(ids.coded(ratings).select("user", "item", "rating"), "ratings")
+    return DenseRatings(rows, ids, max(LEAST_BLOCKS, -(-rows.count() // RATINGS_PER_BLOCK)))
 
 
 @dataclass(frozen=True)
@@ -194,7 +206,7 @@ def train_als(train: DataFrame | DenseRatings, rank: int, iterations: int = ALS_
     if isinstance(train, DataFrame):
         train = dense(train)
     checkpoint_dir(train.rows.sparkSession)
-    return FittedALS(als(rank, iterations, reg, seed).fit(train.rows), train.ids)
+    return FittedALS(als(rank, iterations, reg, seed, train.blocks).fit(train.rows), train.ids)
 
 
 def predict_pairs(fitted: FittedALS, pairs: DataFrame) -> DataFrame:
@@ -208,8 +220,8 @@ def select_rank(train: DataFrame | DenseRatings, validation: DataFrame, ranks: S
     """(rank, rmse, best) of a model per rank on the validation set; ``best``
     marks the lowest error, of equal errors the lowest rank.
 
-    Both sets are stored once in dense ids, and the fits run side by side as
-    jobs of their own. A key that repeats in the validation set counts once,
+    Both sets are stored once in dense ids, and fits run side by side as
+    jobs of their own, ``FITS_AT_ONCE`` at a time. A key that repeats in the validation set counts once,
     with its mean (as in ``rmse``). One number per rank comes to the driver.
     """
     if isinstance(train, DataFrame):
@@ -221,8 +233,8 @@ def select_rank(train: DataFrame | DenseRatings, validation: DataFrame, ranks: S
         scored = train_als(train, rank, iterations, reg, seed).model.transform(known)
         return scored.agg(F.sqrt(F.avg(squared_error("prediction", "rating"))).alias("rmse")).first()["rmse"]
 
-    with ThreadPool(len(ranks)) as pool:
-        found = pool.map(inheritable_thread_target(known.sparkSession)(error), ranks)
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        found = pool.map(inheritable_thread_target(known.sparkSession)(error), ranks, chunksize=1)
     errors = {int(r): None if e is None else float(e) for r, e in zip(ranks, found)}
     best = min((r for r, e in errors.items() if e is not None), key=lambda r: (errors[r], r), default=None)
     rows = [(r, e, r == best) for r, e in errors.items()]

@@ -142,14 +142,23 @@ class Ctx:
     def splits(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return rc.keyed_split(self.ratings)
 
+    @cached_property
+    def stored_ratings(self) -> DataFrame:
+        """Ratings, for queries that read them several times."""
+        return stored(self.ratings, "all-ratings")
+
+    @cached_property
+    def stored_splits(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return rc.keyed_split(self.stored_ratings)
+
     @cached_property
     def ids(self) -> rc.Dictionary:
         """Dense ids of all ratings, stored once for every fit of a query."""
-        return rc.dictionary(self.ratings)
+        return rc.dictionary(self.stored_ratings)
 
     @cached_property
     def dense_train(self) -> rc.DenseRatings:
-        return rc.dense(self.splits[0], self.ids)
+        return rc.dense(self.stored_splits[0], self.ids)
 
 
 @dataclass(frozen=True)
@@ -971,26 +980,26 @@ def _train_als(c: Ctx) -> DataFrame:
 @query("predict_pairs", o.with_([o.RATINGS, o.SPLITS], """SELECT user_id, item_id, true AS predicted FROM validation
   WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)"""))
 def _predict_pairs(c: Ctx) -> DataFrame:
-    found = rc.predict_pairs(rc.train_als(c.dense_train, rank=4), c.splits[1])
+    found = rc.predict_pairs(rc.train_als(c.dense_train, rank=4), c.stored_splits[1])
     return found.select("user_id", "item_id", (~F.isnan("prediction")).alias("predicted"))
 
 
 @query("select_rank", "SELECT unnest([4, 8, 12]) AS rank, true AS scored, 1 AS n_best FROM (SELECT count(*) FROM lineitem)")
 def _select_rank(c: Ctx) -> DataFrame:
     best = F.sum(F.col("best").cast("int")).over(Window.partitionBy(F.lit(0))).cast("int")
-    return rc.select_rank(c.dense_train, c.splits[1]).select("rank", (F.col("rmse") > 0).alias("scored"), best.alias("n_best"))
+    return rc.select_rank(c.dense_train, c.stored_splits[1]).select("rank", (F.col("rmse") > 0).alias("scored"), best.alias("n_best"))
 
 
 @query("test_model", "SELECT true AS scored FROM (SELECT count(*) FROM lineitem)")
 def _test_model(c: Ctx) -> DataFrame:
-    _, val, test = c.splits
+    _, val, test = c.stored_splits
     return rc.test_model(c.dense_train, test, rc.best_rank(c.dense_train, val)).select((F.col("rmse") > 0).alias("scored"))
 
 
 @query("retest_with_ratings", "SELECT true AS scored FROM (SELECT count(*) FROM lineitem)")
 def _retest_with_ratings(c: Ctx) -> DataFrame:
-    train, val, test = c.splits
-    mine = val.where(F.col("user_id") == c.ratings.agg(F.min("user_id")).scalar())
+    train, val, test = c.stored_splits
+    mine = val.where(F.col("user_id") == c.stored_ratings.agg(F.min("user_id")).scalar())
     rank = rc.best_rank(c.dense_train, val)
     return rc.retest_with_ratings(train, mine, test, rank, ids=c.ids).select((F.col("rmse") > 0).alias("scored"))
 
@@ -1003,8 +1012,8 @@ def _retest_with_ratings(c: Ctx) -> DataFrame:
     WHERE user_id = (SELECT min(user_id) FROM ratings))"""))
 def _recommend_for_user(c: Ctx) -> DataFrame:
     # All candidates: the user's own ratings join training, the rank is the chosen one.
-    train, val, _ = c.splits
-    user = c.ratings.agg(F.min("user_id")).first()[0]
+    train, val, _ = c.stored_splits
+    user = c.stored_ratings.agg(F.min("user_id")).first()[0]
     mine = val.where(F.col("user_id") == user)
     found = rc.recommend_for_user(
         train, c.movies, user, mine, rank=rc.best_rank(c.dense_train, val), min_ratings=RECOMMEND_MIN, k=None, ids=c.ids

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import basic
 from tessera.operators import recommend as rc
+from tessera.plans.catalog import Ctx
 from tessera.sources import fixtures as fx
 from tessera.sources.parsers import parse_movies, parse_ratings
 from tessera.sources.tables import Tables
@@ -149,3 +150,21 @@ def test_random_split_deals_every_row_once_and_sorts_nothing(spark):
     assert [p.count() for p in rc.random_split(ratings, (0, 1, 0))] == [0, 630, 0]
     with pytest.raises(ValueError, match="negative"):
         rc.random_split(ratings, (1, -1))
+
+
+def test_fits_cut_ratings_into_few_blocks(spark, monkeypatch):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(10)]
+    ratings = spark.createDataFrame(rows, SCHEMA_A)
+    assert rc.dense(ratings).blocks == 3 and rc.als(2).getNumUserBlocks() == rc.als(2).getNumItemBlocks() == 3
+    monkeypatch.setattr(rc, "RATINGS_PER_BLOCK", 25)
+    train = rc.dense(ratings)
+    assert train.blocks == 5
+    assert rc.predict_pairs(rc.train_als(train, rank=2, iterations=2), ratings).count() == 120
+
+
+def test_queries_of_fits_make_ratings_once(spark):
+    c = Ctx(spark, "/root/testdata/sf0.001")
+    for part in (*c.stored_splits, c.ids.users, c.dense_train.rows):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "lineitem" not in plan and "l_orderkey" not in plan
+    assert c.stored_ratings.count() == c.ratings.count()
