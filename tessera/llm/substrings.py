@@ -15,7 +15,10 @@ document against every block would be quadratic:
 * a factor starts at the first phrase that has an earlier place and runs on
   while the places of its phrases run on in that reference text. Phrases across
   the end of a factor are looked up as any other, so the next factor may begin
-  before it, and no passage hides at a boundary;
+  before it, and no passage hides at a boundary. Phrases of which each has its
+  earliest place elsewhere (many near copies, a few words over and over) would
+  make a factor for every word; of overlapping factors only as many are kept as
+  hold all their words;
 * each distinct passage that factors refer to is cut from its block once and
   sent to the blocks that need it, where factors are compared with it word by
   word. Only words inside ``window`` or more equal ones in a row are removed, so
@@ -34,6 +37,7 @@ passed through; empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -214,7 +218,7 @@ def dedup_substrings(
                 spot = np.searchsorted(keys, phrases)
                 held = low[spot] < block.doc_id[places]
                 here, doc = block.first[places][held], block.doc[places][held]
-                start, length, entry = factors(here, doc, source[spot][held], place[spot][held], window)
+                start, length, entry = needed(*factors(here, doc, source[spot][held], place[spot][held], window))
                 rows = np.column_stack([np.full(len(start), number), start, length, *(x[spot][held][entry] for x in (source, place, low))])
         return pa.table({n: pa.array(rows[:, i]) for i, n in enumerate(("block", "at", "length", "source", "start", "doc"))})
 
@@ -312,6 +316,18 @@ def factors(here: np.ndarray, doc: np.ndarray, source: np.ndarray, place: np.nda
     return here[first], here[last] - here[first] + window, first
 
 
+def needed(start: np.ndarray, length: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of factors (starts and ends ascend) as few as hold the same words: from
+    each one on the last that begins in it or right behind it."""
+    kept, starts, ends = [], start.tolist(), (start + length).tolist()
+    at = 0
+    while at < len(starts):
+        kept.append(at)
+        at = max(at + 1, bisect_right(starts, ends[at]) - 1)
+    which = np.array(kept, np.int64)
+    return start[which], length[which], first[which]
+
+
 def equal_runs(words: list[bytes], at: int, passage: list[bytes], window: int) -> list[tuple[int, int]]:
     """Runs of at least ``window`` words from ``at`` on that equal the
     passage's: start and words."""

@@ -8,7 +8,7 @@ import pytest
 
 from tessera.llm import exchange as ex
 from tessera.llm import substrings
-from tessera.llm.substrings import WINDOW, Block, dedup_substrings, equal_runs, factors, phrase_hashes, without_duplicates
+from tessera.llm.substrings import WINDOW, Block, dedup_substrings, equal_runs, factors, needed, phrase_hashes, without_duplicates
 
 
 def plain(rows, window):
@@ -80,6 +80,25 @@ def test_factors_are_greedy_and_may_overlap():
     assert start.tolist() == [3, 6, 9] and length.tolist() == [6, 4, 4] and first.tolist() == [0, 3, 4]
 
 
+def test_few_factors_hold_the_words_of_all():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        here = np.flatnonzero(rng.random(300) < rng.choice([0.05, 0.5, 1]))
+        found = factors(here, here // 150, rng.integers(0, 3, len(here)), np.arange(len(here)) * rng.integers(1, 3, len(here)), 10)
+        start, length, _ = needed(*found)
+        words = [set().union(*(range(a, a + n) for a, n in zip(*x, strict=True))) for x in (found[:2], (start, length))]
+        assert words[0] == words[1] and len(start) <= 2 * len(words[0]) / 10 + 1
+    assert all(len(x) == 0 for x in needed(*(np.empty(0, np.int64),) * 3))
+
+
+def test_repeated_words_make_few_factors(spark, make_docs):
+    """Every phrase of a word that is repeated has the same earliest place."""
+    rows = [(1, " ".join(["x y"] * 30)), (2, " ".join(["x y"] * 500))]
+    out = {r["row"]["doc_id"]: r["out"] for r in dedup_substrings(make_docs(rows), with_factors=True).collect()}
+    assert out[2]["n_removed"] == 1000 and len(out[2]["factors"]) <= 1 + 2 * 1000 // 50
+    assert got(dedup_substrings(make_docs(rows))) == sorted(map(str, plain(rows, 50)))
+
+
 def test_words_decide_and_not_hashes():
     words = b"a b c d e f g h".split()
     assert equal_runs(words, 1, b"b c d e".split(), 2) == [(1, 4)]
