@@ -35,17 +35,13 @@ def gold_similarities(a_tokens: DataFrame, b_tokens: DataFrame, idf: DataFrame,
 
 
 def scored_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
-    """Every candidate or gold pair once: (a_id, b_id, similarity,
-    is_candidate, is_gold); similarity is 0 for a gold pair that is not a
-    candidate. One full outer join; the candidates arrive already
-    partitioned by (a_id, b_id) from their aggregation."""
-    c = sims.select(*KEYS, "similarity", F.lit(True).alias("_cand"))
+    """Every candidate pair and whether it is a gold pair: (a_id, b_id,
+    similarity, is_gold). Gold pairs that are no candidates have similarity 0
+    and are counted, not made, so that a small gold mapping is broadcast and no
+    candidate is shuffled."""
     g = gold.select(*KEYS, F.lit(True).alias("_gold"))
-    return c.join(g, KEYS, "full_outer").select(
-        *KEYS,
-        F.coalesce(F.col("similarity"), F.lit(0.0)).alias("similarity"),
-        F.coalesce(F.col("_cand"), F.lit(False)).alias("is_candidate"),
-        F.coalesce(F.col("_gold"), F.lit(False)).alias("is_gold"),
+    return sims.select(*KEYS, "similarity").join(g, KEYS, "left").select(
+        *KEYS, "similarity", F.coalesce(F.col("_gold"), F.lit(False)).alias("is_gold")
     )
 
 
@@ -93,27 +89,38 @@ def threshold_sweep(sims: DataFrame, gold: DataFrame, n_thresholds: int = 100) -
       fn(t) = gold pairs with sim < t (exact comparison);
       tp(t) = gold pairs - fn(t).
 
-    One pass: each scored pair emits a signed count for its bin and, if it
-    is gold, a count for the first threshold it falls below. A partially
-    aggregated group-by reduces that to at most ~2n small rows, and running
-    sums over those rows give every threshold at once. The data are never
-    paired with the thresholds.
+    One pass: candidates are counted by bin and, if gold, by the first
+    threshold they fall below; at most ~n * n small rows are left of them. Every
+    gold pair counts as one of similarity 0, which the candidates among them
+    take back. Signed sums of these counts by bin and threshold are at most ~2n
+    rows, and running sums over those give every threshold at once. The data
+    are never paired with the thresholds.
     """
     n = n_thresholds
     spark = sims.sparkSession
-    x = F.col("similarity")
-    delta = F.col("is_candidate").cast("int") - F.col("is_gold").cast("int")
-    events = scored_pairs(sims, gold).select(
-        F.explode(F.array(
-            F.struct(F.lit("fp").alias("kind"), similarity_bin(x, n).cast("long").alias("idx"), delta.alias("v")),
-            F.struct(F.lit("fn").alias("kind"), F.greatest(_first_threshold_above(x, n), F.lit(0)).alias("idx"),
-                     F.col("is_gold").cast("int").alias("v")),
-        )).alias("e")
-    ).select("e.kind", "e.idx", "e.v")
+    x, is_gold = F.col("similarity"), F.col("is_gold")
+    above = F.greatest(_first_threshold_above(x, n), F.lit(0))
+    counts = (
+        scored_pairs(sims, gold)
+        .groupBy(similarity_bin(x, n).cast("long").alias("bin"), F.when(is_gold, above).alias("above"), "is_gold")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    at_zero = F.greatest(_first_threshold_above(F.lit(0.0), n), F.lit(0))
+
+    def event(kind: str, idx, v) -> F.Column:
+        return F.struct(F.lit(kind).alias("kind"), idx.cast("long").alias("idx"), v.cast("long").alias("v"))
+
+    own, mine = F.col("n"), is_gold.cast("long")
+    candidates = counts.select(F.explode(F.array(
+        event("fp", F.col("bin"), own * (1 - mine)), event("fp", F.lit(0), own * mine),
+        event("fn", F.col("above"), own * mine), event("fn", at_zero, -own * mine),
+    )).alias("e"))
+    true = gold.agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.array(event("fp", F.lit(0), -own), event("fn", at_zero, own))).alias("e"))
+    events = candidates.unionByName(true).select("e.kind", "e.idx", "e.v")
     events = events.where((F.col("v") != 0) & ((F.col("kind") == "fn") | F.col("idx").between(0, n)))
     # Fixed bound: the threshold grid has n + 1 rows per kind.
     grid = spark.range(0, n + 1).select(
-        F.explode(F.array(F.lit("fp"), F.lit("fn"))).alias("kind"), F.col("id").alias("idx"), F.lit(0).alias("v")
+        F.explode(F.array(F.lit("fp"), F.lit("fn"))).alias("kind"), F.col("id").alias("idx"), F.lit(0).cast("long").alias("v")
     )
     per_key = events.unionByName(grid).groupBy("kind", "idx").agg(F.sum("v").alias("v"))
     by_kind = Window.partitionBy("kind")

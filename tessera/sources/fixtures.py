@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize
 from tessera.plans.joins import grid_join, lookup_join
+from tessera.plans.stored import stored
 from tessera.sources.text import document_lines
 
 # Candidate pairs that one task of the anchor join makes of a hot token.
@@ -165,9 +166,9 @@ def records_b(benchmark: DataFrame) -> DataFrame:
 
 
 def _token_lists(records: DataFrame) -> DataFrame:
-    """(id, tokens) clustered by id: one exchange that every branch of
-    ``gold_pairs`` reads, so each record is tokenized once."""
-    return records.select("id", simple_tokenize("value").alias("tokens")).repartition("id")
+    """(id, tokens), stored: every branch of ``gold_pairs`` reads them, so each
+    record is tokenized once."""
+    return stored(records.select("id", simple_tokenize("value").alias("tokens")).repartition("id"), "token-lists")
 
 
 def _distinct_tokens(lists: DataFrame, id_alias: str) -> DataFrame:
@@ -194,6 +195,8 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     token that is rarest in A (a containing A record must hold it), the
     anchor is equi-joined to A's (id, token) postings, and the candidates
     are verified with a substring test on the normalised token strings.
+    The anchors are stored: knowing their size, Spark need not shuffle all
+    postings of A where they are few.
     """
     a_lists, b_lists = _token_lists(a), _token_lists(b)
     a_tok = _distinct_tokens(a_lists, "a_id")
@@ -206,6 +209,7 @@ def gold_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
         .select("b_id", "least.token", "least.df_a")
         .where("df_a > 0")
     )
+    anchors = stored(anchors, "anchors")
     # Rows of both sides per anchor token: copies and templates share anchors.
     sizes = anchors.groupBy("token").agg(F.first("df_a").alias("df_a"), F.count(F.lit(1)).alias("n_b"))
     left = lookup_join(a_tok, sizes, "token")
