@@ -14,8 +14,9 @@ group-by on (a_id, b_id). The pairs of a hot token are cut into a grid of
 tasks (see ``grid_join``). Where records share so many tokens that token pairs
 outnumber what a grid of blocks copies (``pair_blocks`` measures both), the
 pairs are summed cell by cell instead, without a shuffle of token pairs
-(``block_pairs``). With a least similarity only pairs that can reach it are
-made (``threshold_candidates``).
+(``block_cells``). With a least similarity only pairs that can reach it are
+made (``threshold_candidates``). Postings of tokens that the other side lacks
+make no pair and stay out of both joins.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.text import tokenize
-from tessera.plans.joins import block_pairs, block_shape, grid_join, lookup_join
+from tessera.llm.common import ship
+from tessera.operators import cells
+from tessera.plans.joins import block_cells, block_shape, grid_join, lookup_join
 from tessera.sources.fixtures import STOPWORDS
 
 # Target number of candidate pairs produced by one join task for a hot token.
@@ -39,6 +43,8 @@ PAIRS_PER_CELL = 100_000
 # doubles depend on their order.
 SLACK = 1e-9
 
+_IDS = ("a_id", "b_id")
+
 
 def record_tokens(
     records: DataFrame, stopwords: Iterable[str] = STOPWORDS, id_col: str = "id", text_col: str = "value"
@@ -243,21 +249,31 @@ def pair_blocks(
     return (rows, columns) if (n["met"] or 0.0) > copies else None
 
 
-def _summed_pairs(
-    a_w: DataFrame, b_w: DataFrame, value_col: str, sums: dict, blocks: tuple[int, int] | None, pairs_per_task: int
-) -> DataFrame:
-    """Aggregates of every pair that shares a token, over ``token``,
-    ``left_value`` and ``right_value``, by one of the two joins."""
-    if blocks:
-        a = a_w.select(F.col("id").alias("a_id"), "token", F.col(value_col).alias("value"))
-        b = b_w.select(F.col("id").alias("b_id"), "token", F.col(value_col).alias("value"))
-        return block_pairs(a, b, "token", "a_id", "b_id", *blocks, sums)
-    joined = _pair_postings(a_w, b_w, value_col, pairs_per_task).withColumnsRenamed({"a_value": "left_value", "b_value": "right_value"})
-    return joined.groupBy("a_id", "b_id").agg(*[c.alias(n) for n, c in sums.items()])
+def _shared(a_w: DataFrame, b_w: DataFrame, *values: str) -> tuple[DataFrame, DataFrame]:
+    """Postings of both sides that can meet one of the other side."""
+    return (
+        a_w.where(F.col("df_1") > 0).select(F.col("id").alias("a_id"), "token", *values),
+        b_w.where(F.col("df_0") > 0).select(F.col("id").alias("b_id"), "token", *values),
+    )
 
 
-def _products():
-    return F.sum(F.col("left_value") * F.col("right_value"))
+def _in_cells(a: DataFrame, b: DataFrame, blocks: tuple[int, int], run: cells.Run, *more: T.StructField) -> DataFrame:
+    """(a_id, b_id, ...) by ``run`` on the cells of a block join."""
+    ship(a.sparkSession)
+    schema = T.StructType([T.StructField("a_id", a.schema["a_id"].dataType), T.StructField("b_id", b.schema["b_id"].dataType), *more])
+    return block_cells(a, b, "a_id", "b_id", *blocks, run, schema)
+
+
+def _summed_products(
+    a_w: DataFrame, b_w: DataFrame, value_col: str, name: str, blocks: tuple[int, int] | None, pairs_per_task: int
+) -> DataFrame:
+    """(a_id, b_id, ``name``): the sum of products over the shared tokens of
+    every pair that shares one, by one of the two joins."""
+    if blocks:
+        a, b = _shared(a_w, b_w, value_col)
+        return _in_cells(a, b, blocks, cells.summed(_IDS, value_col, name), T.StructField(name, T.DoubleType()))
+    joined = _pair_postings(a_w, b_w, value_col, pairs_per_task)
+    return joined.groupBy("a_id", "b_id").agg(F.sum(F.col("a_value") * F.col("b_value")).alias(name))
 
 
 def similarities(
@@ -270,19 +286,24 @@ def similarities(
     cosine is the sum of products of unit weights over shared tokens, so no
     per-pair norm lookup (and no extra join) is needed.
     """
-    a_u, b_u = unit_weights(a_w), unit_weights(b_w)
     if min_similarity > 0:
-        return _scored(threshold_candidates(a_u, b_u, min_similarity, pairs_per_task), a_u, b_u).where(F.col("similarity") >= min_similarity)
-    return _summed_pairs(a_u, b_u, "unit", {"similarity": _products()}, blocks, pairs_per_task)
+        return threshold_join(a_w, b_w, [min_similarity], pairs_per_task, blocks).drop("threshold")
+    return _summed_products(unit_weights(a_w), unit_weights(b_w), "unit", "similarity", blocks, pairs_per_task)
+
+
+def _rests(units: DataFrame) -> DataFrame:
+    """Adds ``rest``: the length of what is left of each vector from a token
+    on, from rare to common. The window runs from the common end: one that
+    looks ahead is summed anew for every row."""
+    from_end = Window.partitionBy("id").orderBy(F.desc(F.col("df_0") + F.col("df_1")), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)
+    return units.withColumn("rest", F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(from_end)))
 
 
 def _prefixes(units: DataFrame, min_similarity: float) -> DataFrame:
     """(id, token, rest, df_0, df_1): the rarest tokens of each vector, as far
     as what is left from a token on (``rest``, its length) can still make the
     least similarity with a vector of length one."""
-    onwards = Window.partitionBy("id").orderBy(F.col("df_0") + F.col("df_1"), "token").rowsBetween(0, Window.unboundedFollowing)
-    rest = F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(onwards))
-    return units.withColumn("rest", rest).where(F.col("rest") >= min_similarity - SLACK).select("id", "token", "rest", "df_0", "df_1")
+    return _rests(units).where(F.col("rest") >= min_similarity - SLACK).select("id", "token", "rest", "df_0", "df_1")
 
 
 def threshold_candidates(a_u: DataFrame, b_u: DataFrame, min_similarity: float, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
@@ -307,24 +328,51 @@ def _scored(pairs: DataFrame, a_u: DataFrame, b_u: DataFrame) -> DataFrame:
     return met.groupBy("a_id", "b_id").agg(F.sum(F.col("a_unit") * F.col("b_unit")).alias("similarity"))
 
 
-def threshold_report(a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
-    """(threshold, candidates, pairs): how many pairs the pruned join makes
-    and keeps for each threshold."""
+def threshold_scores(
+    a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+) -> DataFrame:
+    """(threshold, a_id, b_id, similarity): for each threshold the pairs of
+    ``threshold_candidates``, scored over all their tokens; in cells of a block
+    join for all thresholds at once."""
     a_u, b_u = unit_weights(a_w), unit_weights(b_w)
+    cols, levels = ("threshold", "a_id", "b_id", "similarity"), [float(t) for t in thresholds]
+    if blocks:
+        a, b = _shared(_rests(a_u), _rests(b_u), "unit", "rest")
+        double = [T.StructField(c, T.DoubleType()) for c in ("threshold", "similarity")]
+        return _in_cells(a, b, blocks, cells.above(_IDS, levels, SLACK), *double).select(*cols)
     out = None
-    for t in thresholds:
-        met = threshold_candidates(a_u, b_u, t, pairs_per_task)
-        scored = _scored(met, a_u, b_u).agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("similarity") >= t).alias("pairs"))
-        row = scored.select(F.lit(float(t)).alias("threshold"), "candidates", "pairs")
-        out = row if out is None else out.unionByName(row)
+    for t in levels:
+        scored = _scored(threshold_candidates(a_u, b_u, t, pairs_per_task), a_u, b_u)
+        part = scored.withColumn("threshold", F.lit(t)).select(*cols)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
+def threshold_join(
+    a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+) -> DataFrame:
+    """(threshold, a_id, b_id, similarity): for each threshold the pairs of at
+    least that similarity."""
+    return threshold_scores(a_w, b_w, thresholds, pairs_per_task, blocks).where(F.col("similarity") >= F.col("threshold"))
+
+
+def threshold_report(
+    a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+) -> DataFrame:
+    """(threshold, candidates, pairs): how many pairs the pruned join makes
+    and keeps for each threshold."""
+    t, sim = F.col("threshold"), F.col("similarity")
+    counts = [c for x in thresholds for c in (F.count_if(t == float(x)), F.count_if((t == float(x)) & (sim >= float(x))))]
+    found = threshold_scores(a_w, b_w, thresholds, pairs_per_task, blocks).agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)])
+    rows = [F.struct(F.lit(float(x)).alias("threshold"), F.col(f"n{2 * i}").alias("candidates"), F.col(f"n{2 * i + 1}").alias("pairs")) for i, x in enumerate(thresholds)]
+    return found.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def dot_products(
     a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
 ) -> DataFrame:
     """(a_id, b_id, dot): raw dot products over shared tokens."""
-    return _summed_pairs(a_w, b_w, "weight", {"dot": _products()}, blocks, pairs_per_task)
+    return _summed_products(a_w, b_w, "weight", "dot", blocks, pairs_per_task)
 
 
 def common_tokens(
@@ -334,7 +382,11 @@ def common_tokens(
 
     A list is at most as long as the smaller record's vocabulary.
     """
-    return _summed_pairs(a_w, b_w, "weight", {"tokens": F.sort_array(F.collect_list("token"))}, blocks, pairs_per_task)
+    if blocks:
+        tokens = T.StructField("tokens", T.ArrayType(T.StringType()))
+        return _in_cells(*_shared(a_w, b_w), blocks, cells.listed(_IDS, "tokens"), tokens)
+    joined = _pair_postings(a_w, b_w, "weight", pairs_per_task)
+    return joined.groupBy("a_id", "b_id").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
 
 
 def er_weights(
@@ -395,9 +447,9 @@ def pair_similarity(
 def similarity_total(a_w: DataFrame, b_w: DataFrame) -> DataFrame:
     """One row: the sum of the similarities of all A x B pairs. It factors by
     token, (sum of A's unit weights) x (sum of B's), so no pair is made."""
-    def sums(w: DataFrame, name: str) -> DataFrame:
-        return unit_weights(w).groupBy("token").agg(F.sum("unit").alias(name))
+    def sums(w: DataFrame, other: str, name: str) -> DataFrame:
+        return unit_weights(w).where(F.col(other) > 0).groupBy("token").agg(F.sum("unit").alias(name))
 
-    return sums(a_w, "sa").join(sums(b_w, "sb"), "token").agg(
+    return sums(a_w, "df_1", "sa").join(sums(b_w, "df_0", "sb"), "token").agg(
         F.coalesce(F.sum(F.col("sa") * F.col("sb")), F.lit(0.0)).alias("total")
     )

@@ -44,6 +44,13 @@ def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def pairs6(c: str) -> F.Column:
+    """``r6`` for scores of very many pairs, which are not negative: by
+    arithmetic, for Spark's own rounding goes through decimal digits."""
+    x = F.col(c)
+    return F.when(x.between(0.0, 1e9), F.floor(x * 1e6 + 0.5) / 1e6).otherwise(r6(x)).alias(c)
+
+
 class Ctx:
     """Shared lazy DataFrames of one data directory (plans, not data)."""
 
@@ -108,27 +115,32 @@ class Ctx:
         return sm.tfidf(self.tf_b, self.idf)
 
     @cached_property
-    def stored_weights(self) -> tuple[DataFrame, DataFrame]:
-        """Both sides' weights, for queries that join them several times."""
-        return stored(self.w_a, "weights-a"), stored(self.w_b, "weights-b")
+    def stored_weights(self) -> tuple[DataFrame, DataFrame, tuple[int, int] | None]:
+        """As ``paired``, for joins at several thresholds: a block join reads
+        the weights once, token joins read stored ones."""
+        w_a, w_b, blocks = self.paired
+        return (w_a, w_b, blocks) if blocks else (stored(w_a, "weights-a"), stored(w_b, "weights-b"), None)
 
     @cached_property
     def paired(self) -> tuple[DataFrame, DataFrame, tuple[int, int] | None]:
         """Weights of both sides, and the shape of a block join of all their
-        pairs. The shape is measured before the join, so tokens are stored
-        and each record is tokenized once."""
+        pairs. The shape is measured before the join, so tokens and document
+        frequencies are stored: each record is tokenized once."""
         tok_a, tok_b = (stored(sm.record_tokens(x), "tokens").repartition("id") for x in (self.a, self.b))
-        idf = sm.inverse_document_frequency([tok_a, tok_b])
+        idf = stored(sm.inverse_document_frequency([tok_a, tok_b]), "idf")
         blocks = sm.pair_blocks(idf, self.a, self.b)
         return sm.tfidf(sm.term_frequency_of(tok_a), idf), sm.tfidf(sm.term_frequency_of(tok_b), idf), blocks
 
     @cached_property
     def sims(self) -> DataFrame:
-        return sm.similarities(self.w_a, self.w_b)
+        w_a, w_b, blocks = self.paired
+        return sm.similarities(w_a, w_b, blocks=blocks)
 
     @cached_property
     def gold(self) -> DataFrame:
-        return fx.gold_pairs(self.a, self.b)
+        """Stored: evaluations read it several times, and Spark knows its size,
+        so a small one is broadcast to the scored pairs as they are made."""
+        return stored(fx.gold_pairs(self.a, self.b), "gold")
 
     @cached_property
     def ratings(self) -> DataFrame:
@@ -397,7 +409,7 @@ def _true_duplicates(c: Ctx) -> DataFrame:
 @query("non_duplicates", o.with_(o.ER_GOLD, """SELECT s.a_id, s.b_id, round(s.similarity, 6) AS similarity
   FROM sims s ANTI JOIN gold g ON s.a_id = g.a_id AND s.b_id = g.b_id"""))
 def _non_duplicates(c: Ctx) -> DataFrame:
-    return ev.non_duplicates(c.sims, c.gold).select("a_id", "b_id", r6("similarity").alias("similarity"))
+    return ev.non_duplicates(c.sims, c.gold).select("a_id", "b_id", pairs6("similarity"))
 
 
 @query("gold_similarities", o.with_(o.ER_GOLD, "SELECT a_id, b_id, round(similarity, 6) AS similarity FROM gs"))
@@ -826,7 +838,7 @@ def _vector_norms(c: Ctx) -> DataFrame:
   FROM w_a a JOIN w_b b ON a.token = b.token GROUP BY a.id, b.id"""))
 def _dot_product(c: Ctx) -> DataFrame:
     w_a, w_b, blocks = c.paired
-    return sm.dot_products(w_a, w_b, blocks=blocks).withColumn("dot", r6("dot"))
+    return sm.dot_products(w_a, w_b, blocks=blocks).withColumn("dot", pairs6("dot"))
 
 
 @query("cosine_similarity", o.with_(o.ER_GOLD, """SELECT g.a_id, g.b_id,
@@ -856,7 +868,7 @@ def _common_tokens(c: Ctx) -> DataFrame:
 
 @query("scalable_similarity", o.with_(o.ER, "SELECT a_id, b_id, round(similarity, 6) AS similarity FROM sims"))
 def _scalable_similarity(c: Ctx) -> DataFrame:
-    return c.sims.withColumn("similarity", r6("similarity"))
+    return c.sims.withColumn("similarity", pairs6("similarity"))
 
 
 THRESHOLDS = (0.2, 0.5, 0.8)
@@ -866,9 +878,9 @@ _AT = f"levels AS (SELECT unnest([{', '.join(map(str, THRESHOLDS))}])::DOUBLE AS
 @query("similarity_join", o.with_(o.ER + [_AT], """SELECT threshold, a_id, b_id, round(similarity, 6) AS similarity
   FROM sims JOIN levels ON similarity >= threshold"""))
 def _similarity_join(c: Ctx) -> DataFrame:
-    a, b = c.stored_weights
-    parts = [sm.similarities(a, b, min_similarity=t).withColumn("threshold", F.lit(t)) for t in THRESHOLDS]
-    return basic.union_all(*parts).select("threshold", "a_id", "b_id", r6("similarity").alias("similarity"))
+    w_a, w_b, blocks = c.stored_weights
+    joined = sm.threshold_join(w_a, w_b, THRESHOLDS, blocks=blocks)
+    return joined.select("threshold", "a_id", "b_id", pairs6("similarity"))
 
 
 # Which pairs the bounds let through is part of the method, so the oracle has the same bounds.
@@ -881,7 +893,8 @@ def _similarity_join(c: Ctx) -> DataFrame:
   FROM levels l LEFT JOIN met m ON m.threshold = l.threshold LEFT JOIN sims s ON m.a_id = s.a_id AND m.b_id = s.b_id
   GROUP BY l.threshold"""))
 def _similarity_join_report(c: Ctx) -> DataFrame:
-    return sm.threshold_report(*c.stored_weights, THRESHOLDS)
+    w_a, w_b, blocks = c.stored_weights
+    return sm.threshold_report(w_a, w_b, THRESHOLDS, blocks=blocks)
 
 
 @query("gold_evaluation", o.with_(o.ER_GOLD, """SELECT count(*) AS n_true_duplicates,

@@ -14,13 +14,17 @@ key has none, for it lies as the join wants it; ``lookup_join`` gives it one.
 A many-to-many join of a hot key makes far more rows than it reads, so
 ``grid_join`` cuts the key's pairs into a grid of tasks itself. Where most
 records share a key with most others, ``block_pairs`` brings all keys of a
-pair to one task.
+pair to one task; ``block_cells`` hands such a task's rows to a function.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -116,6 +120,26 @@ def block_pairs(
     return pairs.groupBy("_row", "_column", left_by, right_by).agg(*[c.alias(n) for n, c in sums.items()]).drop("_row", "_column")
 
 
+def block_cells(
+    left: DataFrame, right: DataFrame, left_by: str, right_by: str, rows: int, columns: int,
+    run: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType,
+) -> DataFrame:
+    """What ``run`` makes of the cells of the grid of ``block_pairs``: it gets
+    the rows of both sides that fall into a cell, all those of their records.
+    One shuffle a side; nothing between the rows and the result leaves the task.
+    """
+    def block(by: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(by)), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
+
+    a = left.select("*", block(left_by, rows).alias("_row"), every(columns).alias("_column"))
+    b = right.select("*", every(rows).alias("_row"), block(right_by, columns).alias("_column"))
+    cell = ["_row", "_column"]
+    return a.groupBy(*cell).cogroup(b.groupBy(*cell)).applyInArrow(run, schema)
+
+
 def block_shape(n_left: int, n_right: int, pairs_per_cell: int) -> tuple[int, int]:
     """Rows and columns of a grid whose cells hold about ``pairs_per_cell``
     pairs of records and about as many records of either side."""

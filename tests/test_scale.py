@@ -8,11 +8,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import basic, frequent
+from tessera.operators import basic, cells, frequent
+from tessera.operators import evaluation as ev
 from tessera.operators import similarity as sm
 from tessera.operators import weblog as wl
 from tessera.plans.joins import block_pairs, block_shape, lookup_join
-from tessera.plans.stored import ROW_BITS
+from tessera.plans.stored import ROW_BITS, stored
 from tessera.sources import fixtures as fx
 from tessera.sources import logstore
 from tessera.sources import text as tx
@@ -216,3 +217,71 @@ def test_log_store_reads_and_replaces_days(spark, tmp_path):
     logstore.store_days(mended, path)
     after = logstore.read_days(spark, path)
     assert after.count() == 721 and after.where("host = 'new'").count() == 24
+
+
+def test_thresholds_in_cells_equal_token_joins(spark):
+    rows = [(i, f"t{i % 3} t{i % 5} t{i % 2} x{i}") for i in range(40)]
+    others = spark.createDataFrame([(100 + i, v) for i, v in rows[:25]], "id long, value string")
+    a, b, _ = sm.er_weights(spark.createDataFrame(rows, "id long, value string"), others)
+    levels = [0.2, 0.7]
+
+    def found(blocks):
+        rows = sm.threshold_scores(a, b, levels, blocks=blocks).collect()
+        assert len({(r.threshold, r.a_id, r.b_id) for r in rows}) == len(rows)
+        return {(r.threshold, r.a_id, r.b_id): r.similarity for r in rows}
+
+    want = found(None)
+    assert want and found((4, 3)) == pytest.approx(want, rel=1e-12)
+    report = [tuple(r) for r in sm.threshold_report(a, b, levels, blocks=blocks).collect()]
+    assert report == [(t, sum(k[0] == t for k in want), sum(k[0] == t and s >= t for k, s in want.items())) for t in levels]
+    assert [tuple(r) for r in sm.threshold_report(a.limit(0), b, levels, blocks=(4, 3)).collect()] == [(t, 0, 0) for t in levels]
+
+
+def test_cells_in_slices(spark, monkeypatch):
+    """Slices of single records, ids that come twice, and no copies of a side."""
+    rows = [(i % 30, f"t{i % 3} t{i % 5} x{i % 7}") for i in range(60)]
+    a = spark.createDataFrame(rows, "id long, value string")
+    b = spark.createDataFrame([(100 + i, v) for i, v in rows[:25]], "id long, value string")
+    wa, wb, _ = sm.er_weights(a, b)
+    left, right = (w.select(F.col("id").alias(f"{s}_id"), "token", "weight").toArrow() for w, s in ((wa, "a"), (wb, "b")))
+    monkeypatch.setattr(cells, "MET_AT_ONCE", 1)
+    dots = cells.summed(("a_id", "b_id"), "weight", "dot")(left, right).to_pylist()
+    assert {(r["a_id"], r["b_id"]): r["dot"] for r in dots} == pytest.approx({(r.a_id, r.b_id): r.dot for r in sm.dot_products(wa, wb).collect()})
+    lists = cells.listed(("a_id", "b_id"), "tokens")(left, right).to_pylist()
+    assert {(r["a_id"], r["b_id"]): r["tokens"] for r in lists} == {(r.a_id, r.b_id): r.tokens for r in sm.common_tokens(wa, wb).collect()}
+
+
+def test_token_pairs_of_cells_are_no_rows(spark):
+    """No shuffle of what the join makes."""
+    a, b = units(spark)
+    plan = final_plan(sm.dot_products(a, b, blocks=(4, 1))).split("== Initial Plan ==")[0]
+    assert "FlatMapCoGroupsInArrow" in plan and "hashpartitioning(a_id" not in plan and "hashpartitioning(b_id" not in plan
+
+
+def test_rests_look_back_only(spark):
+    """A window that looks ahead costs the square of a vector's length."""
+    a, _ = units(spark)
+    assert "unboundedfollowing" not in final_plan(sm._rests(sm.unit_weights(a))).lower()
+
+
+def test_gold_is_broadcast_to_the_candidates(spark):
+    rows = [(i, j, (i * j % 100) / 100) for i in range(40) for j in range(30)]
+    sims = spark.createDataFrame(rows, "a_id long, b_id long, similarity double")
+    gold = stored(spark.createDataFrame([(1, 2), (3, 4), (99, 5), (99, 5)], "a_id long, b_id long"), "gold")
+    for df in (ev.non_duplicates(sims, gold), ev.scored_pairs(sims, gold)):
+        assert "BroadcastHashJoin" in final_plan(df).split("== Initial Plan ==")[0] and "hashpartitioning(a_id" not in final_plan(df)
+    sweep = {r.threshold: (r.tp, r.fp, r.fn) for r in ev.threshold_sweep(sims, gold).collect()}
+    score = {(i, j): s for i, j, s in rows}
+    assert sweep[0.0] == (4, len(rows) - 4, 0)
+    for t in (0.02, 0.1, 0.5):
+        fn = 2 + sum(score[p] < t for p in ((1, 2), (3, 4)))
+        assert sweep[t] == (4 - fn, sum(int(s * 100) / 100 >= t for p, s in score.items() if p not in ((1, 2), (3, 4))), fn)
+
+
+def test_rounding_of_scores(spark):
+    from tessera.plans.catalog import pairs6
+
+    values = [0.0, 1.0, 0.1234565, 0.12345649, 1e-7, 5e-7, 123456.7890125, 1e12 + 0.1234567, None]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    want = [r[0] for r in df.select(F.round("x", 6)).collect()]
+    assert [r[0] for r in df.select(pairs6("x")).collect()] == want
