@@ -232,7 +232,7 @@ def test_thresholds_in_cells_equal_token_joins(spark):
 
     want = found(None)
     assert want and found((4, 3)) == pytest.approx(want, rel=1e-12)
-    report = [tuple(r) for r in sm.threshold_report(a, b, levels, blocks=blocks).collect()]
+    report = [tuple(r) for r in sm.threshold_report(a, b, levels, blocks=(4, 3)).collect()]
     assert report == [(t, sum(k[0] == t for k in want), sum(k[0] == t and s >= t for k, s in want.items())) for t in levels]
     assert [tuple(r) for r in sm.threshold_report(a.limit(0), b, levels, blocks=(4, 3)).collect()] == [(t, 0, 0) for t in levels]
 
