@@ -80,6 +80,8 @@ def annotate(
             made = fn(rows)
             cols = [made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type) for f in arrow_out]
             yield pa.RecordBatch.from_arrays([rows, pa.StructArray.from_arrays(cols, fields=list(arrow_out))], ["row", "out"])
+            del batch, rows, made, cols
+        trim()
 
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).mapInArrow(run, schema)
 
@@ -126,6 +128,23 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def only(owner: str, drop: Callable[[], None] | None = None) -> None:
+    """A worker outlives its tasks and serves one operator after the other.
+    What others than ``owner`` keep between tasks is dropped, so that a worker
+    holds the memory of one operator at a time; ``drop`` empties what the
+    owner keeps."""
+    others = [x for x in _KEPT if x != owner]
+    for x in others:
+        _KEPT.pop(x)()
+    if others:
+        trim()
+    if drop is not None:
+        _KEPT[owner] = drop
+
+
 def spans_cover(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     """Boolean array of ``n`` positions covered by windows at ``starts``."""
     edge = np.zeros(n + 1, np.int32)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import in_blocks, materialise, table, utf8
+from tessera.llm.common import in_blocks, materialise, only, table, utf8
 
 WINDOW = 13
 CHUNK_BYTES = 16 << 20
@@ -410,6 +410,7 @@ def _shared(chunk: DataFrame) -> Broadcast:
 
 def _states(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window: int, text_at: int) -> Iterator[tuple[pa.StructArray, list[dict]]]:
     """Blocks of rows (the first column) and what the chunk's search found."""
+    only("decontaminate")
     chunk = Benchmark(items, window)
     for batch in in_blocks(batches):
         rows = batch.column(0)

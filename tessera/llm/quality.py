@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import annotate, materialise, ship, table
+from tessera.llm.common import annotate, materialise, only, ship, table
 
 LABELLED = 20_000
 POOL = 10_000
@@ -97,6 +97,11 @@ _OF_WORD = _Remembered(lambda w: [f"w {w}", *(f"b {w[:n]}" for n in _STEMS if le
 _OF_MARK = _Remembered(lambda m: [f"m {m[:8]}"])
 
 
+def _forget() -> None:
+    _OF_WORD.clear()
+    _OF_MARK.clear()
+
+
 def marks_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_VISIBLE).split()
 
@@ -353,10 +358,14 @@ def _features(rows: pa.StructArray, at: dict[str, int | None]) -> tuple[list[np.
     def column(name: str) -> list:
         return [None] * len(rows) if at[name] is None else rows.field(at[name]).to_pylist()
 
-    texts = [x or "" for x in column("text")]
-    marks = [marks_of(x) for x in texts]
-    meta = [meta_features(*x) for x in zip(texts, column("lang"), column("source"), column("n_chars"), marks, strict=True)]
-    return [text_features(*x) for x in zip(texts, marks, strict=True)], meta
+    only("quality", _forget)
+    text, meta = [], []
+    for one, *of in zip(*map(column, ("text", "lang", "source", "n_chars")), strict=True):
+        one = one or ""
+        marks = marks_of(one)  # of one text at a time
+        text.append(text_features(one, marks))
+        meta.append(meta_features(one, *of, marks))
+    return text, meta
 
 
 def _places(docs: DataFrame) -> dict[str, int | None]:

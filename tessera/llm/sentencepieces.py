@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.llm.chunks import ChunkEncoder
-from tessera.llm.common import annotate, table
+from tessera.llm.common import annotate, only, table
 from tessera.llm.token_files import tokenizer_path
 
 ROWS = 1000
@@ -201,6 +201,7 @@ _MODELS: dict[str, Pieces] = {}
 
 def pieces(path: str) -> Pieces:
     """The model, one for each worker."""
+    only("sentencepieces", _MODELS.clear)
     if path not in _MODELS:
         _MODELS[path] = Pieces(path)
     return _MODELS[path]

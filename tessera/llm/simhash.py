@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, table, utf8
+from tessera.llm.common import materialise, only, table, trim, utf8
 from tessera.llm.components import components
 from tessera.llm.exchange import mix
 from tessera.plans.joins import lookup_join
@@ -64,9 +64,12 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
     """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("simhash")
         for batch in batches:
             fps = np.array([fingerprint(x, words) for x in utf8(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            del batch
+        trim()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, fp long")

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import exchange as ex
-from tessera.llm.common import in_blocks, materialise, table, trim, utf8
+from tessera.llm.common import in_blocks, materialise, only, table, trim, utf8
 
 WINDOW = 50
 BLOCK = 8 << 20  # bytes of text in a block of documents
@@ -143,6 +143,7 @@ def dedup_substrings(
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("substrings")
         part = TaskContext.get().partitionId()
         for i, rows in enumerate(in_blocks(batches, BLOCK)):
             block = Block(rows, id_at, text_at, window)

@@ -82,3 +82,24 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (5, 6), (6, 5), (9, 5), (None, 4)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, 5: 5, 6: 5, 9: 5}
+
+
+def test_a_worker_drops_what_the_classifier_kept(spark):
+    import pyarrow as pa
+
+    from tessera.llm import quality, simhash
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = pa.StructArray.from_arrays([pa.array(["some plain words, here", None])], ["text"])
+    quality._features(texts, {"text": 0, "lang": None, "source": None, "n_chars": None})
+    assert quality._OF_WORD and quality._OF_MARK
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), texts.field(0)], ["doc_id", "text"])
+    found = list(simhash.fingerprints(Rows())(iter([batch])))
+    assert [x.column(0).to_pylist() for x in found] == [[1, 2]]
+    assert not quality._OF_WORD and not quality._OF_MARK
