@@ -12,6 +12,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 CAPACITY = 1_000_000
 
 GROUP = 4_000_000  # characters that are in words at a time
@@ -22,20 +26,27 @@ _BLANK_BEFORE = re.compile(r"[^\S ] ")
 
 
 class _Store:
-    """Ids by chunk; emptied when it would outgrow its capacity."""
+    """Ids by chunk; when it would outgrow its capacity, all but those asked
+    for just now are dropped."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], capacity: int):
         self.encode, self.capacity = encode, capacity
         self.known: dict[str, bytes] = {}
 
-    def learn(self, wanted: set[str]) -> dict[str, bytes]:
-        missing = list(wanted.difference(self.known))
-        if len(self.known) + len(missing) > self.capacity:
-            self.known.clear()
-            missing = list(wanted)
+    def ids(self, wanted: list[str]) -> list[bytes]:
+        """Ids of distinct chunks."""
+        found = list(map(self.known.get, wanted))
+        missing = [i for i, x in enumerate(found) if x is None]
         if missing:
-            self.known.update(zip(missing, self.encode(missing), strict=True))
-        return self.known
+            chunks = [wanted[i] for i in missing]
+            made = self.encode(chunks)
+            if len(self.known) + len(missing) > self.capacity:
+                # What is asked for again was often asked for before.
+                self.known = {c: x for c, x in zip(wanted, found, strict=True) if x is not None}
+            self.known.update(zip(chunks, made, strict=True))
+            for i, x in zip(missing, made, strict=True):
+                found[i] = x
+        return found
 
 
 class ChunkEncoder:
@@ -73,32 +84,44 @@ class ChunkEncoder:
         out = [b""] * len(texts)
         even = [i for i, text in enumerate(texts) if not _ragged(text)]
         if even:
-            # One text after the other would ask for a word again and again; all at once, for each distinct word.
-            heads = self.encode_first([texts[i].partition(" ")[0] for i in even])
-            for group in _groups(even, texts):
-                units = [part.split(" ")[1:] for _, part in group]
-                get = self.rest.learn(set().union(*units)).__getitem__
-                for (i, _), words in zip(group, units, strict=True):
-                    out[i] += b"".join(map(get, words))
-            for i, head in zip(even, heads, strict=True):
-                out[i] = head + out[i]
+            heads = [texts[i].partition(" ")[0] for i in even]
+            for i, ids in zip(even, self.encode_first(heads), strict=True):
+                out[i] = ids
+            for group in _groups(even, heads, texts):
+                for (i, _), ids in zip(group, self._behind_spaces([part for _, part in group]), strict=True):
+                    out[i] += ids
         for i in set(range(len(texts))).difference(even):
             head, *tail = _CUT.split(texts[i])
             out[i] = b"".join([*self.encode_first([head]), *(self.encode_rest([x[1:] for x in tail]) if tail else [])])
         return out
 
+    def _behind_spaces(self, parts: list[str]) -> Iterator[bytes]:
+        """Ids of parts that begin with a space: Arrow numbers their words and
+        lays out the ids by number, only distinct words are looked up."""
+        words = pc.split_pattern(pa.array(parts, pa.large_string()), " ")
+        coded = words.flatten().dictionary_encode()
+        # The first is empty, before each part's first space. By way of numpy, as to_pylist makes a scalar of each.
+        distinct = coded.dictionary[1:].to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array([b"", *self.rest.ids(distinct)], pa.large_binary()).take(coded.indices)
+        _, at, data = ids.buffers()
+        ends = np.frombuffer(at, np.int64)[words.offsets.to_numpy()].tolist()
+        raw = memoryview(data or b"")
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            yield bytes(raw[a:b])
+
 
 def _ragged(text: str) -> bool:
     """Whether a space stands beside other white space or at an end."""
     return text[0] == " " or _BLANK_BEHIND.search(text) is not None or _BLANK_BEFORE.search(text) is not None
 
 
-def _groups(places: list[int], texts: list[str]) -> Iterator[list[tuple[int, str]]]:
-    """Texts with their places in groups of about ``GROUP`` characters; a
-    longer text is cut before a space and so in several groups, in order."""
+def _groups(places: list[int], heads: list[str], texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+    """What follows the heads of texts, with their places, in groups of about
+    ``GROUP`` characters; a longer text is cut before a space and so in several
+    groups, in order."""
     group, size = [], 0
-    for i in places:
-        at, text = 0, texts[i]
+    for i, head in zip(places, heads, strict=True):
+        at, text = len(head), texts[i]
         while at < len(text):
             end = text.find(" ", at + GROUP)
             part = text[at : end if end > 0 else len(text)]

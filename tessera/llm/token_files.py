@@ -31,6 +31,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.chunks import ChunkEncoder
-from tessera.llm.common import materialise, scratch, table
+from tessera.llm.common import materialise, only, scratch, table
 
 FRAME_IDS = 1 << 16
 END_ID = 2
@@ -88,6 +89,7 @@ def byte_bpe(path: str) -> ChunkEncoder:
     """Encoder over a ``tokenizers`` file, one for each worker. Texts are cut
     in chunks only for a byte-level BPE without a normalizer, and never those
     that hold the string of an added token."""
+    only("token_files", _ENCODERS.clear)
     if path not in _ENCODERS:
         import os
 
@@ -113,18 +115,27 @@ def byte_bpe(path: str) -> ChunkEncoder:
 
         def after_space(words: list[str]) -> list[bytes]:
             """A word behind a space is cut as the pre-tokenizer does, for its
-            pieces are encoded by themselves; many words share a piece."""
-            whole = [" " + x for x in words]
-            cuts = [_CUT_ASCII(x) if x.isascii() else _CUT_ANY(x) if _SETTLED.fullmatch(x) else [x] for x in whole]
-            missing = list({x for pieces in cuts for x in pieces}.difference(known))
-            if len(known) + len(missing) > PIECES:
-                known.clear()
-                missing = list({x for pieces in cuts for x in pieces})
-            behind = [x for x in missing if x[0] == " " and len(x) > 1]
-            others = [x for x in missing if x[0] != " " or len(x) == 1]
-            known.update(zip(behind, together(behind), strict=True))
-            known.update(zip(others, encode(others) if others else [], strict=True))
-            return [b"".join([known[x] for x in pieces]) for pieces in cuts]
+            pieces are encoded by themselves; many words share a piece. Letters
+            alone are one piece."""
+            flat: list[str] = []
+            sizes = []
+            for word in words:
+                x = " " + word
+                pieces = [x] if word.isalpha() else _CUT_ASCII(x) if x.isascii() else _CUT_ANY(x) if _SETTLED.fullmatch(x) else [x]
+                flat += pieces
+                sizes.append(len(pieces))
+            ids = list(map(known.get, flat))
+            missing = {x for x, found in zip(flat, ids, strict=True) if found is None}
+            if missing:
+                if len(known) + len(missing) > PIECES:
+                    known.clear()
+                behind = [x for x in missing if x[0] == " " and len(x) > 1]
+                others = [x for x in missing if x[0] != " " or len(x) == 1]
+                known.update(zip(behind, together(behind), strict=True))
+                known.update(zip(others, encode(others) if others else [], strict=True))
+                ids = [known[x] if found is None else found for x, found in zip(flat, ids, strict=True)]
+            each = iter(ids)
+            return [next(each) if n == 1 else b"".join(islice(each, n)) for n in sizes]
 
         def together(words: list[str]) -> list[bytes]:
             """Words that begin with a space are laid end to end and encoded in

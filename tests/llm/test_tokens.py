@@ -137,3 +137,19 @@ def test_empty_map_matches_nothing():
     assert CharacterMap(b"").longest(b"abc", 0) is None
     plain = Normalizer(SimpleNamespace(precompiled_charsmap=b"", add_dummy_prefix=False, remove_extra_whitespaces=False, escape_whitespaces=True))
     assert plain(b"a b")[0] == "a▁b".encode()
+
+
+def test_chunks_just_asked_for_outlast_a_full_store():
+    from tessera.llm.chunks import ChunkEncoder
+
+    asked = []
+
+    def rest(chunks):
+        asked.extend(chunks)
+        return [x.encode() for x in chunks]
+
+    encoder = ChunkEncoder(lambda texts: [x.encode() for x in texts], rest, lambda text: False, capacity=3)
+    assert encoder.encode(["x a b", "one", ""]) == [b"xab", b"one", b""]
+    assert encoder.encode(["x b c a d b"]) == [b"xbcadb"]
+    assert encoder.encode(["x c a", "x b d"]) == [b"xca", b"xbd"]
+    assert sorted(asked) == ["a", "b", "c", "d"]
