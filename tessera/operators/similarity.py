@@ -17,6 +17,9 @@ pairs are summed cell by cell instead, without a shuffle of token pairs
 (``block_cells``). With a least similarity only pairs that can reach it are
 made (``threshold_candidates``). Postings of tokens that the other side lacks
 make no pair and stay out of both joins.
+
+The queries hold both sides as ``Packed`` counts instead: the functions here
+take them where they take rows, and no posting of A is shuffled.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from pyspark.sql import types as T
 from tessera.functions.text import tokenize
 from tessera.llm.common import ship
 from tessera.operators import cells
+from tessera.operators import packed as pk
+from tessera.operators.packed import Packed, Weights
 from tessera.plans.joins import block_cells, block_shape, grid_join, lookup_join
 from tessera.sources.fixtures import STOPWORDS
 
@@ -100,12 +105,15 @@ def _exploded(tokens: DataFrame, distinct: bool = False) -> DataFrame:
     ).where(F.col("token").isNotNull())
 
 
-def term_frequency_of(tokens: DataFrame) -> DataFrame:
-    """(id, token, n_tokens, n, tf) from id-clustered (id, tokens).
+def term_frequency_of(tokens: DataFrame | Packed) -> DataFrame | Packed:
+    """(id, token, n_tokens, n, tf) from id-clustered (id, tokens); packed
+    tokens hold these counts already.
 
     The record length rides along with every token, so no per-record join
     or window is needed, and the count per (id, token) needs no shuffle.
     """
+    if isinstance(tokens, Packed):
+        return tokens
     return (
         _exploded(tokens).groupBy("id", "token", "n_tokens")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -122,7 +130,7 @@ def record_count(records: DataFrame) -> DataFrame:
     return records.agg(F.count_distinct("id").alias("n_records"))
 
 
-def inverse_document_frequency(token_frames: Sequence[DataFrame]) -> DataFrame:
+def inverse_document_frequency(token_frames: Sequence[DataFrame | Packed]) -> DataFrame:
     """(token, df, df_0, df_1, ..., idf) over the union of several corpora.
 
     Input: one (id, tokens) frame per corpus (one row per record, empty
@@ -134,16 +142,17 @@ def inverse_document_frequency(token_frames: Sequence[DataFrame]) -> DataFrame:
     """
     tagged = None
     for i, toks in enumerate(token_frames):
-        part = _exploded(toks, distinct=True).select("token", F.lit(i).alias("_src"))
+        held = toks.frequencies() if isinstance(toks, Packed) else _exploded(toks, distinct=True).withColumn("n", F.lit(1).cast("bigint"))
+        part = held.select("token", "n", F.lit(i).alias("_src"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    per_corpus = [F.count_if(F.col("_src") == i).alias(f"df_{i}") for i in range(len(token_frames))]
+    per_corpus = [F.sum(F.when(F.col("_src") == i, F.col("n")).otherwise(0)).alias(f"df_{i}") for i in range(len(token_frames))]
     n_total = None
     for toks in token_frames:
-        n = toks.agg(F.count_distinct("id")).scalar()
+        n = F.lit(toks.n_records) if isinstance(toks, Packed) else toks.agg(F.count_distinct("id")).scalar()
         n_total = n if n_total is None else n_total + n
     return (
         tagged.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("df"), *per_corpus)
+        .agg(F.sum("n").alias("df"), *per_corpus)
         .withColumn("idf", n_total / F.col("df"))
     )
 
@@ -173,13 +182,16 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
     )
 
 
-def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """(id, token, weight, df_0, df_1, ...): tf * idf.
+def tfidf(tf: DataFrame | Packed, idf: DataFrame) -> DataFrame | Weights:
+    """(id, token, weight, df_0, df_1, ...): tf * idf; of packed counts as
+    ``Weights``, whose blocks look up their distinct tokens.
 
     A lookup join on token: the vocabulary has no size bound, so the idf
     table is never broadcast by hand, and AQE splits the partitions that
     hot tokens fill.
     """
+    if isinstance(tf, Packed):
+        return pk.weights(tf, idf)
     extra = [c for c in idf.columns if c.startswith("df_")]
     joined = lookup_join(tf.select("id", "token", "tf"), idf.select("token", "idf", *extra), "token")
     return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"), *extra)
@@ -190,8 +202,11 @@ def vector_norms(weights: DataFrame) -> DataFrame:
     return weights.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
 
 
-def unit_weights(weights: DataFrame) -> DataFrame:
-    """Adds ``norm`` and ``unit`` = weight / norm (window on id)."""
+def unit_weights(weights: DataFrame | Weights) -> DataFrame | Weights:
+    """Adds ``norm`` and ``unit`` = weight / norm (window on id; blocks make
+    them when they are read)."""
+    if isinstance(weights, Weights):
+        return weights
     w = Window.partitionBy("id")
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(w))
     return weights.withColumn("norm", norm).withColumn("unit", F.try_divide(F.col("weight"), F.col("norm")))
@@ -202,12 +217,21 @@ def inverted_index(tokens: DataFrame) -> DataFrame:
     return _exploded(tokens, distinct=True).select("token", "id")
 
 
+def long_form(weights: DataFrame | Weights, *values: str, meets: str | None = None) -> DataFrame:
+    """(id, token, values) as rows."""
+    if isinstance(weights, Weights):
+        return weights.rows(*values, meets=meets)
+    return (weights.where(F.col(meets) > 0) if meets else weights).select("id", "token", *values)
+
+
 def _pair_postings(
-    a_w: DataFrame, b_w: DataFrame, value_col: str, pairs_per_task: int
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, value_col: str, pairs_per_task: int
 ) -> DataFrame:
     """Join the A and B postings on token; ``a_w`` and ``b_w`` carry ``df_0``
     (postings of the token in A) and ``df_1`` (in B), from which the pairs of
     a hot token are cut into tasks of about ``pairs_per_task`` pairs."""
+    a_w = long_form(a_w, value_col, "df_0", "df_1", meets="df_1")
+    b_w = long_form(b_w, value_col, "df_0", "df_1", meets="df_0")
     a = a_w.select(F.col("id").alias("a_id"), "token", F.col(value_col).alias("a_value"), "df_0", "df_1")
     b = b_w.select(F.col("id").alias("b_id"), "token", F.col(value_col).alias("b_value"), "df_0", "df_1")
     return grid_join(a, b, "token", "a_id", "b_id", "df_0", "df_1", pairs_per_task)
@@ -249,35 +273,38 @@ def pair_blocks(
     return (rows, columns) if (n["met"] or 0.0) > copies else None
 
 
-def _shared(a_w: DataFrame, b_w: DataFrame, *values: str) -> tuple[DataFrame, DataFrame]:
-    """Postings of both sides that can meet one of the other side."""
-    return (
-        a_w.where(F.col("df_1") > 0).select(F.col("id").alias("a_id"), "token", *values),
-        b_w.where(F.col("df_0") > 0).select(F.col("id").alias("b_id"), "token", *values),
-    )
-
-
-def _in_cells(a: DataFrame, b: DataFrame, blocks: tuple[int, int], run: cells.Run, *more: T.StructField) -> DataFrame:
-    """(a_id, b_id, ...) by ``run`` on the cells of a block join."""
-    ship(a.sparkSession)
-    schema = T.StructType([T.StructField("a_id", a.schema["a_id"].dataType), T.StructField("b_id", b.schema["b_id"].dataType), *more])
+def _in_cells(
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, values: Sequence[str], blocks: tuple[int, int], run: cells.Run, *more: T.StructField
+) -> DataFrame:
+    """(a_id, b_id, ...) by ``run`` on the cells of a block join of the
+    postings that can meet one of the other side. Packed records are the
+    blocks of their side; others are cut into ``blocks``."""
+    def ids(w: DataFrame | Weights) -> T.DataType:
+        return w.counts.id_type if isinstance(w, Weights) else w.schema["id"].dataType
+
+    schema = T.StructType([T.StructField("a_id", ids(a_w)), T.StructField("b_id", ids(b_w)), *more])
+    b = long_form(b_w, *values, meets="df_0").withColumnRenamed("id", "b_id")
+    if isinstance(a_w, Weights):
+        postings = b_w.counts.postings if isinstance(b_w, Weights) else b.count()
+        return a_w.meet(b, postings, values, run, schema)
+    ship(b.sparkSession)
+    a = long_form(a_w, *values, meets="df_1").withColumnRenamed("id", "a_id")
     return block_cells(a, b, "a_id", "b_id", *blocks, run, schema)
 
 
 def _summed_products(
-    a_w: DataFrame, b_w: DataFrame, value_col: str, name: str, blocks: tuple[int, int] | None, pairs_per_task: int
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, value_col: str, name: str, blocks: tuple[int, int] | None, pairs_per_task: int
 ) -> DataFrame:
     """(a_id, b_id, ``name``): the sum of products over the shared tokens of
     every pair that shares one, by one of the two joins."""
     if blocks:
-        a, b = _shared(a_w, b_w, value_col)
-        return _in_cells(a, b, blocks, cells.summed(_IDS, value_col, name), T.StructField(name, T.DoubleType()))
+        return _in_cells(a_w, b_w, [value_col], blocks, cells.summed(_IDS, value_col, name), T.StructField(name, T.DoubleType()))
     joined = _pair_postings(a_w, b_w, value_col, pairs_per_task)
     return joined.groupBy("a_id", "b_id").agg(F.sum(F.col("a_value") * F.col("b_value")).alias(name))
 
 
 def similarities(
-    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None, min_similarity: float = 0.0
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None, min_similarity: float = 0.0
 ) -> DataFrame:
     """(a_id, b_id, similarity) for every pair sharing at least one token and
     of at least ``min_similarity``.
@@ -291,22 +318,24 @@ def similarities(
     return _summed_products(unit_weights(a_w), unit_weights(b_w), "unit", "similarity", blocks, pairs_per_task)
 
 
-def _rests(units: DataFrame) -> DataFrame:
+def _rests(units: DataFrame | Weights) -> DataFrame | Weights:
     """Adds ``rest``: the length of what is left of each vector from a token
     on, from rare to common. The window runs from the common end: one that
-    looks ahead is summed anew for every row."""
+    looks ahead is summed anew for every row. Blocks make it when they are read."""
+    if isinstance(units, Weights):
+        return units
     from_end = Window.partitionBy("id").orderBy(F.desc(F.col("df_0") + F.col("df_1")), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)
     return units.withColumn("rest", F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(from_end)))
 
 
-def _prefixes(units: DataFrame, min_similarity: float) -> DataFrame:
+def _prefixes(units: DataFrame | Weights, min_similarity: float) -> DataFrame:
     """(id, token, rest, df_0, df_1): the rarest tokens of each vector, as far
     as what is left from a token on (``rest``, its length) can still make the
     least similarity with a vector of length one."""
-    return _rests(units).where(F.col("rest") >= min_similarity - SLACK).select("id", "token", "rest", "df_0", "df_1")
+    return long_form(_rests(units), "rest", "df_0", "df_1").where(F.col("rest") >= min_similarity - SLACK)
 
 
-def threshold_candidates(a_u: DataFrame, b_u: DataFrame, min_similarity: float, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+def threshold_candidates(a_u: DataFrame | Weights, b_u: DataFrame | Weights, min_similarity: float, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """(a_id, b_id) of all pairs that can have ``min_similarity``, from unit
     weights with document frequencies.
 
@@ -322,14 +351,14 @@ def threshold_candidates(a_u: DataFrame, b_u: DataFrame, min_similarity: float,
 
 def _scored(pairs: DataFrame, a_u: DataFrame, b_u: DataFrame) -> DataFrame:
     """(a_id, b_id, similarity) of pairs that share a token, over all their tokens."""
-    a = a_u.select(F.col("id").alias("a_id"), "token", F.col("unit").alias("a_unit"))
-    b = b_u.select(F.col("id").alias("b_id"), "token", F.col("unit").alias("b_unit"))
+    a = long_form(a_u, "unit").select(F.col("id").alias("a_id"), "token", F.col("unit").alias("a_unit"))
+    b = long_form(b_u, "unit").select(F.col("id").alias("b_id"), "token", F.col("unit").alias("b_unit"))
     met = pairs.join(a, "a_id").join(b, ["b_id", "token"])
     return met.groupBy("a_id", "b_id").agg(F.sum(F.col("a_unit") * F.col("b_unit")).alias("similarity"))
 
 
 def threshold_scores(
-    a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
 ) -> DataFrame:
     """(threshold, a_id, b_id, similarity): for each threshold the pairs of
     ``threshold_candidates``, scored over all their tokens; in cells of a block
@@ -337,9 +366,8 @@ def threshold_scores(
     a_u, b_u = unit_weights(a_w), unit_weights(b_w)
     cols, levels = ("threshold", "a_id", "b_id", "similarity"), [float(t) for t in thresholds]
     if blocks:
-        a, b = _shared(_rests(a_u), _rests(b_u), "unit", "rest")
         double = [T.StructField(c, T.DoubleType()) for c in ("threshold", "similarity")]
-        return _in_cells(a, b, blocks, cells.above(_IDS, levels, SLACK), *double).select(*cols)
+        return _in_cells(_rests(a_u), _rests(b_u), ["unit", "rest"], blocks, cells.above(_IDS, levels, SLACK), *double).select(*cols)
     out = None
     for t in levels:
         scored = _scored(threshold_candidates(a_u, b_u, t, pairs_per_task), a_u, b_u)
@@ -349,7 +377,7 @@ def threshold_scores(
 
 
 def threshold_join(
-    a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
 ) -> DataFrame:
     """(threshold, a_id, b_id, similarity): for each threshold the pairs of at
     least that similarity."""
@@ -357,7 +385,7 @@ def threshold_join(
 
 
 def threshold_report(
-    a_w: DataFrame, b_w: DataFrame, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, thresholds: Sequence[float], pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
 ) -> DataFrame:
     """(threshold, candidates, pairs): how many pairs the pruned join makes
     and keeps for each threshold."""
@@ -369,14 +397,14 @@ def threshold_report(
 
 
 def dot_products(
-    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
 ) -> DataFrame:
     """(a_id, b_id, dot): raw dot products over shared tokens."""
     return _summed_products(a_w, b_w, "weight", "dot", blocks, pairs_per_task)
 
 
 def common_tokens(
-    a_w: DataFrame, b_w: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
+    a_w: DataFrame | Weights, b_w: DataFrame | Weights, pairs_per_task: int = PAIRS_PER_TASK, blocks: tuple[int, int] | None = None
 ) -> DataFrame:
     """(a_id, b_id, tokens): the sorted shared tokens of each candidate pair.
 
@@ -384,7 +412,7 @@ def common_tokens(
     """
     if blocks:
         tokens = T.StructField("tokens", T.ArrayType(T.StringType()))
-        return _in_cells(*_shared(a_w, b_w), blocks, cells.listed(_IDS, "tokens"), tokens)
+        return _in_cells(a_w, b_w, [], blocks, cells.listed(_IDS, "tokens"), tokens)
     joined = _pair_postings(a_w, b_w, "weight", pairs_per_task)
     return joined.groupBy("a_id", "b_id").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
 
@@ -444,10 +472,12 @@ def pair_similarity(
     )
 
 
-def similarity_total(a_w: DataFrame, b_w: DataFrame) -> DataFrame:
+def similarity_total(a_w: DataFrame | Weights, b_w: DataFrame | Weights) -> DataFrame:
     """One row: the sum of the similarities of all A x B pairs. It factors by
     token, (sum of A's unit weights) x (sum of B's), so no pair is made."""
-    def sums(w: DataFrame, other: str, name: str) -> DataFrame:
+    def sums(w: DataFrame | Weights, other: str, name: str) -> DataFrame:
+        if isinstance(w, Weights):
+            return unit_weights(w).token_sums("unit", name, other)
         return unit_weights(w).where(F.col(other) > 0).groupBy("token").agg(F.sum("unit").alias(name))
 
     return sums(a_w, "df_1", "sa").join(sums(b_w, "df_0", "sb"), "token").agg(

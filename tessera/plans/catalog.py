@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tessera.functions.logs import day_of_month, hour_of_day, parse_apache_time
 from tessera.functions.numeric import similarity_bin, squared_error
 from tessera.functions.text import clean_text, remove_quotes, simple_tokenize, tokenize
-from tessera.operators import basic, evaluation as ev, recommend as rc, similarity as sm
+from tessera.operators import basic, evaluation as ev, packed as pk, recommend as rc, similarity as sm
 from tessera.operators import weblog as wl, wordcount as wc
 from tessera.operators.frequent import frequent_top
 from tessera.plans import oracle as o
@@ -115,19 +115,27 @@ class Ctx:
         return sm.tfidf(self.tf_b, self.idf)
 
     @cached_property
-    def stored_weights(self) -> tuple[DataFrame, DataFrame, tuple[int, int] | None]:
+    def stored_weights(self) -> tuple[sm.Weights, sm.Weights, tuple[int, int] | None] | tuple[DataFrame, DataFrame, None]:
         """As ``paired``, for joins at several thresholds: a block join reads
         the weights once, token joins read stored ones."""
         w_a, w_b, blocks = self.paired
-        return (w_a, w_b, blocks) if blocks else (stored(w_a, "weights-a"), stored(w_b, "weights-b"), None)
+        if blocks:
+            return w_a, w_b, blocks
+        a, b = (stored(sm.long_form(w, "weight", "df_0", "df_1"), "weights") for w in (w_a, w_b))
+        return a, b, None
 
     @cached_property
-    def paired(self) -> tuple[DataFrame, DataFrame, tuple[int, int] | None]:
+    def packed(self) -> tuple[sm.Packed, sm.Packed, DataFrame]:
+        """Token counts of both sides in packed blocks, and the document
+        frequencies, all stored: each record is tokenized once."""
+        tok_a, tok_b = (pk.packed(sm.record_tokens(x), name) for x, name in ((self.a, "tokens-a"), (self.b, "tokens-b")))
+        return tok_a, tok_b, stored(sm.inverse_document_frequency([tok_a, tok_b]), "idf")
+
+    @cached_property
+    def paired(self) -> tuple[sm.Weights, sm.Weights, tuple[int, int] | None]:
         """Weights of both sides, and the shape of a block join of all their
-        pairs. The shape is measured before the join, so tokens and document
-        frequencies are stored: each record is tokenized once."""
-        tok_a, tok_b = (stored(sm.record_tokens(x), "tokens").repartition("id") for x in (self.a, self.b))
-        idf = stored(sm.inverse_document_frequency([tok_a, tok_b]), "idf")
+        pairs, which is measured before the join."""
+        tok_a, tok_b, idf = self.packed
         blocks = sm.pair_blocks(idf, self.a, self.b)
         return sm.tfidf(sm.term_frequency_of(tok_a), idf), sm.tfidf(sm.term_frequency_of(tok_b), idf), blocks
 
@@ -904,8 +912,11 @@ def _similarity_join_report(c: Ctx) -> DataFrame:
     AS avg_sim_non_duplicates
   FROM gs"""))
 def _gold_evaluation(c: Ctx) -> DataFrame:
-    gold = ev.gold_similarities(c.tok_a, c.tok_b, c.idf, c.gold)
-    out = ev.gold_evaluation(gold, sm.similarity_total(c.w_a, c.w_b), c.a, c.b)
+    tok_a, tok_b, idf = c.packed
+    w_a, w_b = (sm.tfidf(sm.term_frequency_of(x), idf) for x in (tok_a, tok_b))
+    # Only the records that gold pairs name are tokenized once more.
+    gold = ev.gold_similarities(sm.record_tokens(c.a), sm.record_tokens(c.b), idf, c.gold)
+    out = ev.gold_evaluation(gold, sm.similarity_total(w_a, w_b), c.a, c.b)
     return out.withColumn("avg_sim_duplicates", r6("avg_sim_duplicates")).withColumn(
         "avg_sim_non_duplicates", r6("avg_sim_non_duplicates")
     )

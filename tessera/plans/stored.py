@@ -7,8 +7,10 @@ that adaptive execution can split."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
@@ -17,11 +19,32 @@ from tessera.session import checkpoint_dir
 ROW_BITS = 33
 
 
+# With it, Spark drops the shuffle files of a query that has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries inside drop their shuffle files when they end, not when the
+    driver happens to collect its garbage: what they wrote stands for them.
+    The session's own setting is put back."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet under ``spark.checkpoint.dir``, read back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
