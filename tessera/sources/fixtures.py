@@ -168,7 +168,7 @@ def records_b(benchmark: DataFrame) -> DataFrame:
 def _token_lists(records: DataFrame) -> DataFrame:
     """(id, tokens), stored: every branch of ``gold_pairs`` reads them, so each
     record is tokenized once."""
-    return stored(records.select("id", simple_tokenize("value").alias("tokens")).repartition("id"), "token-lists")
+    return stored(records.select("id", simple_tokenize("value").alias("tokens")), "token-lists")
 
 
 def _distinct_tokens(lists: DataFrame, id_alias: str) -> DataFrame:
