@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import squared_error
-from tessera.plans.stored import indexed, stored
+from tessera.plans.stored import indexed, shuffles_dropped, stored
 from tessera.session import checkpoint_dir
 
 # ALS settings of the original jobs.
@@ -27,11 +27,18 @@ ALS_SEED = 5
 RANKS = (4, 8, 12)
 
 # ALS sends a copy of nearly every factor to every block of the other side, in
-# each iteration. So there are as few blocks as hold these many ratings each.
+# each iteration, so blocks are few. But a task holds a whole block, while it is
+# made some 50 bytes a rating, and the factors it asks for: 100 MB and 150 MB
+# (rank 12) at this number of ratings.
 LEAST_BLOCKS = 3
-RATINGS_PER_BLOCK = 50_000_000
+RATINGS_PER_BLOCK = 2_000_000
 
-# Fits that run side by side; each holds its ratings in memory.
+# ALS drops the shuffle files of iterations behind a checkpoint. Fits of more
+# than the least blocks have one in each iteration, small ones in the first only.
+CHECKPOINT_EVERY = 10
+
+# Fits of the least blocks that run side by side; each holds its ratings in
+# memory and the factors of an iteration on disk, so larger ones run one by one.
 FITS_AT_ONCE = 2
 
 
@@ -134,7 +141,7 @@ def als(rank: int, iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed:
     return ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="user", itemCol="item", ratingCol="rating",
-        coldStartStrategy="drop", nonnegative=False,
+        coldStartStrategy="drop", nonnegative=False, checkpointInterval=1 if blocks > LEAST_BLOCKS else CHECKPOINT_EVERY,
     )
 
 
@@ -199,9 +206,9 @@ def train_als(train: DataFrame | DenseRatings, rank: int, iterations: int = ALS_
               reg: float = ALS_REG, seed: int = ALS_SEED) -> FittedALS:
     """Explicit-feedback ALS (Spark ML); ids may be any bigint.
 
-    ALS cuts its iteration lineage by checkpointing every
-    ``checkpointInterval`` iterations into the session's shared
-    ``spark.checkpoint.dir``; make sure that folder is set.
+    ALS cuts its iteration lineage, and drops the shuffle files behind it, by
+    checkpointing every ``checkpointInterval`` iterations into the session's
+    shared ``spark.checkpoint.dir``; make sure that folder is set.
     """
     if isinstance(train, DataFrame):
         train = dense(train)
@@ -220,9 +227,10 @@ def select_rank(train: DataFrame | DenseRatings, validation: DataFrame, ranks: S
     """(rank, rmse, best) of a model per rank on the validation set; ``best``
     marks the lowest error, of equal errors the lowest rank.
 
-    Both sets are stored once in dense ids, and fits run side by side as
-    jobs of their own, ``FITS_AT_ONCE`` at a time. A key that repeats in the validation set counts once,
-    with its mean (as in ``rmse``). One number per rank comes to the driver.
+    Both sets are stored once in dense ids, and fits are jobs of their own;
+    small ones run side by side, ``FITS_AT_ONCE`` at a time. A key that repeats
+    in the validation set counts once, with its mean (as in ``rmse``). One
+    number per rank comes to the driver.
     """
     if isinstance(train, DataFrame):
         train = dense(train)
@@ -233,7 +241,7 @@ def select_rank(train: DataFrame | DenseRatings, validation: DataFrame, ranks: S
         scored = train_als(train, rank, iterations, reg, seed).model.transform(known)
         return scored.agg(F.sqrt(F.avg(squared_error("prediction", "rating"))).alias("rmse")).first()["rmse"]
 
-    with ThreadPool(FITS_AT_ONCE) as pool:
+    with shuffles_dropped(known.sparkSession), ThreadPool(FITS_AT_ONCE if train.blocks <= LEAST_BLOCKS else 1) as pool:
         found = pool.map(inheritable_thread_target(known.sparkSession)(error), ranks, chunksize=1)
     errors = {int(r): None if e is None else float(e) for r, e in zip(ranks, found)}
     best = min((r for r, e in errors.items() if e is not None), key=lambda r: (errors[r], r), default=None)

@@ -162,6 +162,24 @@ def test_fits_cut_ratings_into_few_blocks(spark, monkeypatch):
     assert rc.predict_pairs(rc.train_als(train, rank=2, iterations=2), ratings).count() == 120
 
 
+def test_blocks_of_a_fit_stay_small_whatever_the_ratings(spark, monkeypatch):
+    """A task holds a whole block, so its ratings have a bound, and a fit of
+    many blocks drops the factors that earlier iterations sent."""
+    assert rc.RATINGS_PER_BLOCK <= 5_000_000
+    assert rc.als(2).getCheckpointInterval() == 10 and rc.als(2, blocks=8).getCheckpointInterval() == 1
+    monkeypatch.setattr(rc, "RATINGS_PER_BLOCK", 25)
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(10)]
+    ratings = spark.createDataFrame(rows, SCHEMA_A)
+    sizes = []
+    monkeypatch.setattr(rc, "ThreadPool", lambda n: sizes.append(n) or pool(n))
+    pool = __import__("multiprocessing.pool", fromlist=["ThreadPool"]).ThreadPool
+    many = {r["rank"]: r.rmse for r in rc.select_rank(ratings, ratings, ranks=(1, 2), iterations=3).collect()}
+    monkeypatch.setattr(rc, "RATINGS_PER_BLOCK", 1000)
+    few = {r["rank"]: r.rmse for r in rc.select_rank(ratings, ratings, ranks=(1, 2), iterations=3).collect()}
+    assert sizes == [1, rc.FITS_AT_ONCE] and many.keys() == few.keys() == {1, 2}
+    assert all(0 < x < 2 for x in (*many.values(), *few.values()))
+
+
 def test_queries_of_fits_make_ratings_once(spark):
     c = Ctx(spark, "/root/testdata/sf0.001")
     for part in (*c.stored_splits, c.ids.users, c.dense_train.rows):
